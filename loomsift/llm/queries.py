@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomsift.canonical import CANONICAL
+from loomsift.llm.bpe import token_ids
 from loomsift.llm.copies import collapse_copies
+from loomsift.llm.leaks import leaks
 from loomsift.llm.unify import look_alikes
 from loomsift.session import table
 
@@ -17,13 +19,24 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return collapse_copies(table(spark, root, "participants"), list(CANONICAL), bag="extra_json", phones=["phone_number"])
 
 
+def p8_ids(spark: SparkSession, root: str) -> DataFrame:
+    """Token ids of each document."""
+    return token_ids(table(spark, root, "documents"))
+
+
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    """Documents that hold twelve consecutive words of an evaluation item."""
+    near = leaks(table(spark, root, "documents"), table(spark, root, "eval_items"))
+    return near.where("run >= 12").select("doc_id", "item_id").distinct()
+
+
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
     """Pairs of documents that look the same."""
     return look_alikes(table(spark, root, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p10_found)}
+    return {f.__name__: f for f in (p3_found, p8_ids, p9_found, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
