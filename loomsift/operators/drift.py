@@ -98,10 +98,11 @@ def header_columns(headers: DataFrame) -> DataFrame:
 
 
 def _similar(a: Column, b: Column) -> Column:
-    """One name is the other with a typing slip: few edits for its length, and the same digits."""
+    """One name is the other with a typing slip: few edits for its length or two letters swapped, and the same digits."""
+    letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
     longest = F.greatest(F.length(a), F.length(b))
     digits = lambda c: F.regexp_replace(c, r"\D+", "")
-    return (digits(a) == digits(b)) & (longest > 2) & (F.levenshtein(a, b) <= F.when(longest < 6, 1).otherwise(2))
+    return (digits(a) == digits(b)) & (longest > 2) & ((F.levenshtein(a, b) <= F.when(longest < 6, 1).otherwise(2)) | ((F.levenshtein(a, b) == 2) & (letters(a) == letters(b))))
 
 
 def schema_changes(headers: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ arithmetic, and a zone's offsets are looked up in its table of changes.
 from __future__ import annotations
 
 import bisect
-import functools
 import re
 import zoneinfo
 from collections.abc import Iterator, Mapping, Sequence
@@ -77,9 +76,18 @@ def _month_days(y: int, m: int) -> int:
     return 28 + (y % 4 == 0 and (y % 100 != 0 or y % 400 == 0)) if m == 2 else 30 if m in (4, 6, 9, 11) else 31
 
 
-@functools.cache
-def zone_changes(name: str, first: int = 1900, last: int = 2100) -> tuple[list[int], list[int]]:
+#: Changes by zone; a plain dictionary, as it travels to workers with the functions.
+_CHANGES: dict[str, tuple[list[int], list[int]]] = {}
+
+
+def zone_changes(name: str) -> tuple[list[int], list[int]]:
     """(seconds of UTC at which an offset begins, offset in seconds) of a zone, found by bisection."""
+    if name not in _CHANGES:
+        _CHANGES[name] = _find_changes(name)
+    return _CHANGES[name]
+
+
+def _find_changes(name: str, first: int = 1900, last: int = 2100) -> tuple[list[int], list[int]]:
     zone = zoneinfo.ZoneInfo(name)
     at = lambda s: int((datetime(1970, 1, 1, tzinfo=UTC) + timedelta(seconds=s)).astimezone(zone).utcoffset().total_seconds())
     start, stop, step = days_from_civil(first, 1, 1) * 86_400, days_from_civil(last, 1, 1) * 86_400, 14 * 86_400

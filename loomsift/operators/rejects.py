@@ -7,7 +7,6 @@ as vectors, and the cells that fail are labelled.
 
 from __future__ import annotations
 
-import functools
 import io
 import re
 from collections import defaultdict
@@ -29,12 +28,17 @@ _WHOLE = r"^[0-9]{1,9}$"
 _DECIMAL = r"^(?:[0-9]{1,9}(?:\.[0-9]*)?|\.[0-9]+) ?%?$"
 
 
-@functools.cache
+#: Compiled patterns by delimiter; a plain dictionary, as it travels to workers with the functions.
+_PATTERNS: dict[str, re.Pattern[str]] = {}
+
+
 def _closed(delimiter: str) -> re.Pattern[str]:
     """A record whose quotes are all closed; a quote counts only as the first character of a cell."""
+    if delimiter in _PATTERNS:
+        return _PATTERNS[delimiter]
     d = re.escape(delimiter)
     cell = rf'(?:"(?:[^"]|"")*+"[^{d}]*+|[^"{d}][^{d}]*+)?+'
-    return re.compile(rf"{cell}(?:{d}{cell})*+")
+    return _PATTERNS.setdefault(delimiter, re.compile(rf"{cell}(?:{d}{cell})*+"))
 
 
 def cells(record: str, delimiter: str) -> list[str] | None:
