@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomsift.canonical import CANONICAL
 from loomsift.llm.bpe import token_ids
+from loomsift.llm.canon import map_values
 from loomsift.llm.copies import collapse_copies
 from loomsift.llm.leaks import leaks
+from loomsift.llm.mojibake import repaired
 from loomsift.llm.unify import look_alikes
 from loomsift.session import table
 
@@ -19,6 +21,21 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return collapse_copies(table(spark, root, "participants"), list(CANONICAL), bag="extra_json", phones=["phone_number"])
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    """Garbled values and whether their text can be had again."""
+    return p5_restored(spark, root).select("id", "field_name", "outcome")
+
+
+def p5_restored(spark: SparkSession, root: str) -> DataFrame:
+    """Garbled values with their original text."""
+    return repaired(table(spark, root, "participants"), ("full_name", "village", "organization"))
+
+
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    """The reference entry that each typed value means."""
+    return map_values(table(spark, root, "participants"), table(spark, root, "reference_values"), ("county", "sub_county", "education_level", "gender"), {"sub_county": "county"})
+
+
 def p8_ids(spark: SparkSession, root: str) -> DataFrame:
     """Token ids of each document."""
     return token_ids(table(spark, root, "documents"))
@@ -36,7 +53,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p8_ids, p9_found, p10_found)}
+    return {f.__name__: f for f in (p3_found, p5_found, p5_restored, p6_found, p8_ids, p9_found, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
