@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomsift.canonical import CANONICAL
 from loomsift.llm.bpe import token_ids
@@ -12,10 +13,20 @@ from loomsift.llm.canon import map_values
 from loomsift.llm.copies import collapse_copies
 from loomsift.llm.leaks import leaks
 from loomsift.llm.mojibake import repaired
+from loomsift.llm.names import different_pairs, persons, spellings
 from loomsift.llm.unify import look_alikes
 from loomsift.session import table
 
 
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    """Pairs of rows of one person, and of spellings of one organisation or trainer, that differ in bare text."""
+    rows = table(spark, root, "participants")
+    people = different_pairs(persons(rows), "person").withColumn("field_name", F.lit("full_name"))
+    orgs = different_pairs(spellings(rows, "organization"), "entity").withColumn("field_name", F.lit("organization"))
+    trainers = different_pairs(spellings(rows, "trainer_name", phone_col="trainer_phone"), "entity").withColumn("field_name", F.lit("trainer_name"))
+    return people.unionByName(orgs).unionByName(trainers).select("field_name", "id_a", "id_b")
+
+
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
     """Groups of participants that differ in formatting only."""
     return collapse_copies(table(spark, root, "participants"), list(CANONICAL), bag="extra_json", phones=["phone_number"])
@@ -53,7 +64,7 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p5_found, p5_restored, p6_found, p8_ids, p9_found, p10_found)}
+    return {f.__name__: f for f in (p1_found, p3_found, p5_found, p5_restored, p6_found, p8_ids, p9_found, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
