@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 WS = r"\t\n\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
+#: The same characters as a text.
+WS_CHARS = "\t\n\x0b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 def squeeze(c: Column) -> Column:
     """White space runs become one space, the ends are cut; a text without more is null."""
     return F.nullif(F.trim(F.regexp_replace(c, f"[{WS}]+", " ")), F.lit(""))
@@ -16,8 +20,7 @@ def squeeze(c: Column) -> Column:
 
 def blank_like(c: Column) -> Column:
     """True for null, white space only, and the word null in any case."""
-    s = F.lower(squeeze(c))
-    return s.isNull() | (s == "null")
+    return c.isNull() | F.lower(F.btrim(c, F.lit(WS_CHARS))).isin("", "null")
 
 
 def null_like(c: Column) -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,17 +16,37 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the session's shared checkpoint folder, so that its lineage ends there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the one of ``spark.checkpoint.dir``. Only where neither that setting nor a
-    folder of the context exists, as in tests on one machine, a temporary one is made.
+    Only where neither that setting nor a checkpoint folder of the context exists, as in tests on
+    one machine, a temporary one is made.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomsift-"))
-    return df.checkpoint(eager=True)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="loomsift-"))
+    return context._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` as a table written to the shared folder, so that its lineage ends there.
+
+    Written as compressed columns, it takes less room than a checkpoint of rows. The tables of a
+    session are removed when its process ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/loomsift-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 @contextlib.contextmanager
