@@ -8,14 +8,17 @@ from the names under which the columns of both were mapped.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomsift.canonical import CANONICAL
+from loomsift.functions.spell import edits
 from loomsift.functions.text import bare, null_like
+from loomsift.session import checkpointed
 
 #: Further names of canonical fields, English and Swahili, that the alias dictionary lacks.
 SYNONYMS: dict[str, tuple[str, ...]] = {
@@ -81,28 +84,64 @@ def cell_type_of(cell_type: Column, sample: Column) -> Column:
     return F.coalesce(F.lower(F.trim(cell_type)), shown)
 
 
-def header_columns(headers: DataFrame) -> DataFrame:
-    """One row for each column of each version: ``feed``, ``version``, ``name`` (bare text), ``nth`` of
-    equal names, ``raw``, ``type``, ``sample`` and ``field``.
+def header_versions(headers: DataFrame) -> DataFrame:
+    """One row for each version of each feed: ``feed``, ``version`` and ``columns``, in their order.
 
-    A version that was delivered twice counts once, as its first delivery (by time, then file).
+    A column has ``col_no``, ``name`` (bare text), ``raw``, ``type``, ``field`` and ``sample``. A version
+    that was delivered twice counts once, as its first delivery (by time, then file). The columns
+    of one delivered file are what is gathered, never those of a feed.
     """
-    rows = headers.select(
-        F.col("feed_name").alias("feed"), F.col("feed_version").alias("version"), F.coalesce(F.col("loaded_at").cast("double"), F.lit(0.0)).alias("at"), F.coalesce("drive_file_id", F.lit("")).alias("file"), "col_no",
-        F.col("raw_column_name").alias("raw"), cell_type_of(F.col("cell_type"), F.col("sample_value")).alias("type"), F.col("sample_value").alias("sample"), bare(F.col("raw_column_name")).alias("name"),
-    ).where("feed IS NOT NULL AND version IS NOT NULL")
-    first = rows.groupBy("feed", "version").agg(F.min(F.struct("at", "file")).alias("d")).select("feed", "version", "d.*")
-    once = rows.join(first, ["feed", "version", "at", "file"]).dropDuplicates(["feed", "version", "col_no", "raw"])
-    nth = F.row_number().over(Window.partitionBy("feed", "version", "name").orderBy("col_no", "raw"))
-    return once.select("feed", "version", "col_no", "name", nth.alias("nth"), "raw", "type", "sample", field_of(F.col("name")).alias("field"))
+    column = F.struct("col_no", F.col("raw_column_name").alias("raw"), bare(F.col("raw_column_name")).alias("name"), cell_type_of(F.col("cell_type"), F.col("sample_value")).alias("type"), null_like(F.col("sample_value")).alias("sample"))
+    rows = headers.where("feed_name IS NOT NULL AND feed_version IS NOT NULL").select(F.col("feed_name").alias("feed"), F.col("feed_version").alias("version"), F.coalesce("drive_file_id", F.lit("")).alias("file"), "loaded_at", column.alias("c"))
+    files = rows.groupBy("feed", "version", "file").agg(F.min("loaded_at").alias("at"), F.array_sort(F.collect_set("c")).alias("columns"))
+    first = files.groupBy("feed", "version").agg(F.min_by("columns", F.struct(F.coalesce(F.col("at").cast("double"), F.lit(0.0)), "file")).alias("columns"))
+    known = F.transform("columns", lambda c: F.struct(c["col_no"].alias("col_no"), c["name"].alias("name"), c["raw"].alias("raw"), c["type"].alias("type"), field_of(c["name"]).alias("field"), c["sample"].alias("sample")))
+    return first.select("feed", "version", known.alias("columns"))
 
 
-def _similar(a: Column, b: Column) -> Column:
-    """One name is the other with a typing slip: few edits for its length or two letters swapped, and the same digits."""
-    letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
-    longest = F.greatest(F.length(a), F.length(b))
-    digits = lambda c: F.regexp_replace(c, r"\D+", "")
-    return (digits(a) == digits(b)) & (longest > 2) & ((F.levenshtein(a, b) <= F.when(longest < 6, 1).otherwise(2)) | ((F.levenshtein(a, b) == 2) & (letters(a) == letters(b))))
+def is_slip(a: str, b: str) -> bool:
+    """One name is the other with a typing slip: few edits for its length, and the same digits."""
+    longest = max(len(a), len(b))
+    digits = [[ch for ch in x if ch.isdigit()] for x in (a, b)]
+    most = 1 if longest < 6 else 2
+    return longest > 2 and digits[0] == digits[1] and edits(a, b, most) <= most
+
+
+def header_changes(old: Sequence[dict], new: Sequence[dict]) -> list[tuple[str, str | None]]:
+    """(kind, raw name) of each change between two versions' columns.
+
+    Equal names are paired in order of place. Of the others, a new and a gone name that map to the
+    same field are one column renamed, then those that are typing slips of each other, the most
+    similar first.
+    """
+
+    def numbered(columns: Sequence[dict]) -> dict[tuple[str, int], dict]:
+        out: dict[tuple[str, int], dict] = {}
+        for c in columns:
+            n = 0
+            while (c["name"], n) in out:
+                n += 1
+            out[c["name"], n] = c
+        return out
+
+    a, b = numbered(old), numbered(new)
+    out = [("type_changed", b[k]["raw"]) for k in b if k in a and a[k]["type"] and b[k]["type"] and a[k]["type"] != b[k]["type"]]
+    gone, fresh = [a[k] for k in a if k not in b], [b[k] for k in b if k not in a]
+    for c in list(fresh):
+        if c["field"] and (o := next((o for o in gone if o["field"] == c["field"]), None)):
+            out.append(("renamed", c["raw"]))
+            gone.remove(o)
+            fresh.remove(c)
+    slips = sorted((edits(c["name"], o["name"], 2), i, j) for i, c in enumerate(fresh) for j, o in enumerate(gone) if not (c["field"] and o["field"]) and is_slip(c["name"], o["name"]))
+    done_a: set[int] = set()
+    done_b: set[int] = set()
+    for _, i, j in slips:
+        if i not in done_a and j not in done_b:
+            done_a.add(i)
+            done_b.add(j)
+            out.append(("renamed", fresh[i]["raw"]))
+    out += [("added", c["raw"]) for i, c in enumerate(fresh) if i not in done_a]
+    return out + [("removed", o["raw"]) for j, o in enumerate(gone) if j not in done_b]
 
 
 def schema_changes(headers: DataFrame) -> DataFrame:
@@ -111,34 +150,28 @@ def schema_changes(headers: DataFrame) -> DataFrame:
     * ``renamed``: a new name that maps to the field of a name that is gone, or is a typing slip of
       it; ``added`` and ``removed`` are the names left over; ``type_changed`` keeps its name.
     * ``column_name`` is as stored in that version, for ``removed`` in the one before. The order of
-      columns, letter case and punctuation don't matter.
+      columns, letter case and punctuation don't matter; a null name counts as the empty one.
     * A feed's first version has no changes; null feeds or versions and an empty table give none.
 
-    Every step is a join or window on (feed, version, name), so no feed is gathered in one task.
+    Versions are ordered within their feed as bare numbers; their headers then meet by (feed,
+    version), so a feed with very many versions is spread over tasks.
     """
-    cols = header_columns(headers)
-    order = cols.select("feed", "version").distinct().withColumn("before", F.lag("version").over(Window.partitionBy("feed").orderBy("version"))).where("before IS NOT NULL")
-    now = cols.join(order, ["feed", "version"]).drop("before", "col_no", "sample")
-    old = cols.withColumnRenamed("version", "before").join(order, ["feed", "before"]).drop("before").select("feed", "version", "name", "nth", F.col("raw").alias("old_raw"), F.col("type").alias("old_type"), F.col("field").alias("old_field"))
-    both = now.join(old, ["feed", "version", "name", "nth"], "full")
-    changed = both.where("raw IS NOT NULL AND old_raw IS NOT NULL AND type <> old_type").select("feed", "version", F.lit("type_changed").alias("kind"), F.col("raw").alias("column"))
-    # a column may have any name but null; a null name counts as the empty one
-    new = both.where("old_raw IS NULL").select("feed", "version", "name", "nth", "raw", "field")
-    gone = both.where("raw IS NULL").select("feed", "version", F.col("name").alias("old_name"), F.col("nth").alias("old_nth"), "old_raw", "old_field")
-    ranked = lambda d, f, n, k: d.where(f"{f} IS NOT NULL").withColumn("rank", F.row_number().over(Window.partitionBy("feed", "version", f).orderBy(n, k))).withColumn("to", F.col(f))
-    a, b = ranked(new, "field", "name", "nth"), ranked(gone, "old_field", "old_name", "old_nth")
-    mapped = a.join(b, ["feed", "version", "to", "rank"]).select("feed", "version", "name", "nth", "raw", "old_name", "old_nth")
-    new2 = new.join(mapped, ["feed", "version", "name", "nth"], "left_anti")
-    gone2 = gone.join(mapped, ["feed", "version", "old_name", "old_nth"], "left_anti")
-    slip = new2.join(gone2, (new2.feed == gone2.feed) & (new2.version == gone2.version) & _similar(new2.name, gone2.old_name) & ~F.coalesce(new2.field != gone2.old_field, F.lit(False)))
-    slip = slip.select(new2.feed, new2.version, "name", "nth", "raw", "old_name", "old_nth", F.levenshtein("name", "old_name").alias("d"))
-    best = lambda *by: F.row_number().over(Window.partitionBy("feed", "version", *by).orderBy("d", "name", "old_name", "nth", "old_nth"))
-    slip = slip.withColumn("i", best("name", "nth")).withColumn("j", best("old_name", "old_nth")).where("i = 1 AND j = 1").drop("d", "i", "j")
-    renamed = mapped.unionByName(slip)
-    out = changed.unionByName(renamed.select("feed", "version", F.lit("renamed").alias("kind"), F.col("raw").alias("column")))
-    out = out.unionByName(new2.join(slip, ["feed", "version", "name", "nth"], "left_anti").select("feed", "version", F.lit("added").alias("kind"), F.col("raw").alias("column")))
-    out = out.unionByName(gone2.join(slip, ["feed", "version", "old_name", "old_nth"], "left_anti").select("feed", "version", F.lit("removed").alias("kind"), F.col("old_raw").alias("column")))
-    return out.select(F.col("feed").alias("feed_name"), F.col("version").alias("feed_version"), F.col("kind").alias("change_kind"), F.col("column").alias("column_name"))
+    versions = checkpointed(header_versions(headers))
+    order = versions.select("feed", "version").withColumn("before", F.lag("version").over(Window.partitionBy("feed").orderBy("version"))).where("before IS NOT NULL")
+    old = versions.select("feed", F.col("version").alias("before"), F.col("columns").alias("old"))
+    pairs = versions.join(order, ["feed", "version"]).join(old, ["feed", "before"]).select("feed", "version", "old", "columns")
+    kind = headers.schema["feed_version"].dataType.simpleString()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for feed, version, old, new in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out += [(feed, version, *change) for change in header_changes(old, new)]
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            types = (pa.string(), batch.schema.field(1).type, pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["feed_name", "feed_version", "change_kind", "column_name"])
+
+    return pairs.mapInArrow(compare, f"feed_name string, feed_version {kind}, change_kind string, column_name string")
 
 
 def enforce(rows: DataFrame, cells: Column, types: Mapping[str, str], rescue: str = "rescued_json") -> DataFrame:
@@ -193,7 +226,5 @@ def consistent_table(headers: DataFrame) -> DataFrame:
     ``TARGET_TYPES`` (else string), and ``rescued_json`` with unknown or uncastable cells under
     their raw names.
     """
-    cols = header_columns(headers)
-    cell = F.struct("col_no", "field", "raw", null_like(F.col("sample")).alias("value"))
-    rows = cols.groupBy(F.col("feed").alias("feed_name"), F.col("version").alias("feed_version")).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    rows = header_versions(headers).select(F.col("feed").alias("feed_name"), F.col("version").alias("feed_version"), F.transform("columns", lambda c: F.struct(c["field"].alias("field"), c["raw"].alias("raw"), c["sample"].alias("value"))).alias("cells"))
     return enforce(rows, F.col("cells"), {f: TARGET_TYPES.get(f, "string") for f in CANONICAL}).drop("cells")

@@ -75,17 +75,21 @@ def _failing(kind: str, column: pa.Array) -> pa.Array:
 
 def parse_records(header: str | None, records: list[str | None]) -> list[tuple[str | None, str | None, list[str] | None]]:
     """(reason, detail, cells) of each record under one header; the reason is null for a valid one."""
+    if header is None:
+        return [("columns", "no header", None)] * len(records)
     delimiter, names = header_of(header)
     out: list[tuple[str | None, str | None, list[str] | None]] = [(None, None, None)] * len(records)
     closed = _closed(delimiter)
     whole = []
     for i, r in enumerate(records):
-        if closed.fullmatch(r or ""):
+        if not r and len(names) > 1:
+            out[i] = ("columns", f"1 cells, {len(names)} in the header", None)  # the CSV reader would skip an empty line
+        elif closed.fullmatch(r or ""):
             whole.append(i)
         else:
             out[i] = ("quoting", "open quote at the end of the record", None)
-    if not whole or not names:
-        return [(r or "columns", d or "no header", c) for r, d, c in out]
+    if not whole:
+        return out
     lines = "\n".join((records[i] or "").translate(_BREAKS) for i in whole)
     wrong: dict[int, int] = {}
 
