@@ -131,7 +131,11 @@ class Matcher:
         for name, key, i in self.sounds:
             most = 1 if min(size, len(name)) < 6 else 2 if min(size, len(name)) < 11 else 3
             joined = key.replace(" ", "")
-            d = min([edits(raw, joined, most), *(edits(f, name, most) for f in forms)])
+            shorter = min(len(raw), len(joined))
+            typed = 1 if shorter < 6 else 2 if shorter < 9 else 3
+            d = min(edits(f, name, most) for f in forms)
+            d = d if d <= most else min(edits(raw, joined, typed), typed + 1)
+            most = max(most, typed) if d <= typed else most
             if d > most and len(raw) >= 5 and joined.startswith(raw) and len(joined) - len(raw) <= 3:
                 d = 1
             elif d > most and len(heard) == 1 and size >= 5 and name.startswith(heard[0]) and len(name) - size <= 2:

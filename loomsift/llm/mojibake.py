@@ -24,6 +24,7 @@ LOST = "\ufffd"
 SPLIT = r"(?<=[^A-Za-z0-9'\x80-\uffff])|(?=[^A-Za-z0-9'\x80-\uffff])"
 #: Java and Python: words made of Latin letters and apostrophes only.
 CLEAN = re.compile("[A-Za-z0-9'\u2019\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u1e00-\u1eff]+")
+_NOTHING_ELSE = re.compile(f"(?:{CLEAN.pattern})?")
 NOT_ASCII = r"[^\x00-\x7F]"
 #: Characters a clean word may be made of, besides those of the corpus; given by range.
 ALPHABET = [*map(chr, range(0xC0, 0x180)), "\u2019", "\u2018", "\u201c", "\u201d", "\u2013", "\u2014"]
@@ -77,7 +78,7 @@ class Sequences:
         best = None
         for chain, pattern, forms in self.chains:
             text = pattern.sub(lambda m: forms[m[0]], word)  # noqa: B023
-            if text != word and CLEAN.fullmatch(_HARMLESS.sub("", text)) and garbled(text, chain).casefold() == word.casefold() and (best is None or len(text) < len(best[0])):
+            if text != word and _NOTHING_ELSE.fullmatch(_HARMLESS.sub("", text)) and garbled(text, chain).casefold() == word.casefold() and (best is None or len(text) < len(best[0])):
                 best = text, ">".join(chain)
         return best
 

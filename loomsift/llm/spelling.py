@@ -5,6 +5,10 @@ from __future__ import annotations
 import re
 import unicodedata
 
+from loomsift.functions.spell import edits
+
+__all__ = ["SOUNDS", "edits", "plain", "sound", "words"]
+
 _MARKS = re.compile("[\u0300-\u036f]+")
 _WORDS = re.compile(r"[^\W_]+")
 #: Letter groups that sound alike and the letter that stands for them, in this order.
@@ -28,23 +32,3 @@ def sound(word: str) -> str:
         if a in word:
             word = word.replace(a, b)
     return _DOUBLE.sub(r"\1", word)
-
-
-def edits(a: str, b: str, most: int) -> int:
-    """Edit distance with swaps of neighbours as one edit, or ``most + 1`` if it is larger."""
-    if a == b:
-        return 0
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    before, row = None, list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            d = min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            new.append(d)
-        if min(new) > most:
-            return most + 1
-        before, row = row, new
-    return min(row[-1], most + 1)
