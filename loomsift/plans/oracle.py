@@ -90,6 +90,8 @@ def oracle_sql() -> dict[str, str]:
         "ext_filter": "select drive_file_id, lower(string_split(file_name, '.')[-1]) as ext from drive_file_state where lower(string_split(file_name, '.')[-1]) in ('csv', 'xlsx')",
         "first_parents": "select drive_file_id, nullif(parent_folder_id, '') as parent from drive_file_state",
         "sources_union": "select c_custkey::varchar as id, c_name as name, 'google_drive' as source_system, 1 as n_parents, c_nationkey::varchar as parent, null::varchar as mimeType from customer union all select s_suppkey::varchar, s_name, 'microsoft_onedrive', case when s_nationkey % 2 = 0 then 1 else 0 end, case when s_nationkey % 2 = 0 then s_nationkey::varchar end, 'text/csv' from supplier",
+        "one_file": "select drive_file_id as id, file_name as name from drive_file_state order by file_name nulls first, drive_file_id limit 1",
+        "key_union": f"with k as (select drive_file_id as file, source_row_number as row_no, list_sort(map_keys({_BAG})) as ks from participants), e as (select file, row_no, unnest(ks) as key, unnest(range(len(ks))) as pos from k), m as (select file, key, min(row_no * 1000 + pos) as seen from e group by 1, 2) select file, key, row_number() over (partition by file order by seen)::int as place from m",
         "byte_ranges": "with d as (select doc_id, coalesce(n_chars, 0)::bigint as size, doc_id % 7 = 0 as whole from documents), r as (select doc_id, size, whole, unnest(range(0, size, 100)) as first_byte from d where size > 0 and not whole) select doc_id, first_byte, least(first_byte + 100, size) - 1 as last_byte from r union all select doc_id, 0, size - 1 from d where size > 0 and whole",
         "byte_frontier": "select doc_id, coalesce(sum(coalesce(n_chars, 0)) over (partition by source order by seq_no, doc_id rows between unbounded preceding and 1 preceding), 0)::bigint as next_offset from documents",
         "url_encoded": "select p_partkey, replace(p_name, ' ', '%20') || '%20(%C3%BC%2F1)~' as encoded from part",

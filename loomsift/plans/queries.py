@@ -16,7 +16,7 @@ from loomsift.operators.rejects import loaded_records, split_records
 from loomsift.plans.pipeline import request_ranges
 from loomsift.session import table
 from loomsift.sources.csvwin import decoded
-from loomsift.sources.listing import first_parent, is_loadable, tag_drive_a, tag_drive_b, union_sources
+from loomsift.sources.listing import first_file, first_parent, is_loadable, tag_drive_a, tag_drive_b, union_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -69,6 +69,12 @@ def sources_union(spark: SparkSession, root: str) -> DataFrame:
     return union_sources(a, tag_drive_b(b)).select("id", "name", "source_system", F.size("parents").alias("n_parents"), first_parent(F.col("parents")).alias("parent"), "mimeType")
 
 
+@query
+def one_file(spark: SparkSession, root: str) -> DataFrame:
+    files = table(spark, root, "drive_file_state").select(F.col("drive_file_id").alias("id"), F.col("file_name").alias("name"))
+    return first_file(files)
+
+
 @query
 def byte_ranges(spark: SparkSession, root: str) -> DataFrame:
     files = table(spark, root, "documents").select("doc_id", F.coalesce("n_chars", F.lit(0)).cast("bigint").alias("size"), F.when(F.col("doc_id") % 7 == 0, "xlsx").otherwise("csv").alias("ext"))
@@ -201,6 +207,12 @@ def header_order(spark: SparkSession, root: str) -> DataFrame:
     return heads.select("drive_file_id", F.array_join("h.raw_column_name", "|").alias("ordered"))
 
 
+@query
+def key_union(spark: SparkSession, root: str) -> DataFrame:
+    rows = _people(spark, root).select(F.col("drive_file_id").alias("file"), F.col("source_row_number").alias("row_no"), F.sort_array(F.map_keys(F.from_json("extra_json", "map<string,string>"))).alias("keys"))
+    return mapping.keys_in_order(rows).select("file", "key", "place")
+
+
 @query
 def sample_value(spark: SparkSession, root: str) -> DataFrame:
     rows = _people(spark, root).where(F.col("source_row_number") <= mapping.SAMPLE_ROWS).select("drive_file_id", "source_row_number", null_like(F.col("remarks")).alias("v"))

@@ -109,7 +109,10 @@ def read_range(path: str, offset: int, length: int) -> bytes:
     """Bytes of a file on any file system that pyarrow knows; a bare path is local."""
     fs, name = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
     with fs.open_input_file(name) as f:
-        return f.read_at(length, offset)
+        data = f.read_at(length, offset)
+    if len(data) > length:  # a source that ignores the range can't be read in splits
+        raise OSError(f"asked for {length} bytes at {offset} of {path} but got {len(data)}")
+    return data
 
 
 def ranges(size: int, length: int) -> list[tuple[int, int]]:

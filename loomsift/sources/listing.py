@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,5 +65,11 @@ def union_sources(*listings: DataFrame) -> DataFrame:
     return out
 
 
-def local_size(path: str) -> int:
-    return os.path.getsize(path)
+def first_file(files: DataFrame) -> DataFrame:
+    """Only one file of a listing, the first by name and id."""
+    return files.orderBy("name", "id").limit(1)
+
+
+def switched_on(value: str | None) -> bool:
+    """Whether a setting given as text is on."""
+    return (value or "").strip().lower() in ("1", "true", "yes")

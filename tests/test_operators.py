@@ -127,3 +127,9 @@ def test_two_targets(spark):
         raise ValueError("no space")
 
     assert sinks.write_to_all(spark.range(3), {"main": lambda d: d.count(), "copy": bad}) == (3, {"copy": "copy: no space"})
+
+
+def test_settings_as_text():
+    from loomsift.sources.listing import switched_on
+
+    assert [switched_on(v) for v in ("1", " TRUE ", "yes", "0", "", None)] == [True, True, True, False, False, False]
