@@ -67,5 +67,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p3_found, p5_found, p5_restored, p6_found, p8_ids, p9_found, p10_found)}
 
 
+def _copies_sql() -> str:
+    """Grouping by the bare texts themselves."""
+    bare = lambda c: f"lower(regexp_replace(coalesce({c}, ''), '[^\\p{{L}}\\p{{N}}]+', '', 'g'))"
+    forms = [f"regexp_replace({bare(c)}, '^(254|0)(.)', '\\2')" if c == "phone_number" else bare(c) for c in CANONICAL]
+    entries = """array_to_string(list_sort(list_transform(map_entries(from_json(extra_json, '"MAP(VARCHAR, VARCHAR)"')), lambda e: e.key || chr(31) || e.value)), chr(30))"""
+    return f"with k as (select id, concat_ws(chr(29), {', '.join(forms)}, coalesce({entries}, '')) as k from participants) select min(id) as first_id, count(*)::int as n_copies from k group by k having count(*) > 1"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that it can express."""
+    return {"p3_found": _copies_sql()}
