@@ -495,10 +495,15 @@ def _join_places(members: Sequence[dict], parser: Parser) -> Iterator[tuple[int,
     yield from linked(members, _same_place)
 
 
+#: Titles as ``_name_words`` hears them.
+_TITLES_HEARD = sorted({re.sub(r"(.)\1+", r"\1", w.translate(str.maketrans("cwyjzq", "kuigsk"))) for w in TITLES})
+
+
 def _name_words(name: Column) -> Column:
     """The words of a name, as they sound roughly, by built-in functions."""
     flat = F.translate(F.lower(F.translate(name, "ÀÁÂÃÄÅÈÉÊËÌÍÎÏĨÒÓÔÕÖÙÚÛÜŨÇÑ", "AAAAAAEEEEIIIIIOOOOOUUUUUCN")), "àáâãäåèéêëìíîïĩòóôõöùúûüũçñcwyjzq_,.-", "aaaaaaeeeeiiiiiooooouuuuucnkuigsk    ")
-    return F.filter(F.split(F.replace(F.replace(flat, F.lit("ph"), F.lit("f")), F.lit("oo"), F.lit("u")), " +"), lambda w: F.length(w) > 1)
+    heard = F.regexp_replace(F.replace(F.replace(F.replace(flat, F.lit("ph"), F.lit("f")), F.lit("oo"), F.lit("u")), F.lit("x"), F.lit("ks")), r"(.)\1+", "$1")
+    return F.filter(F.split(heard, " +"), lambda w: (F.length(w) > 1) & ~w.isin(*_TITLES_HEARD))
 
 
 def _ends(words: Column) -> Column:
@@ -508,6 +513,13 @@ def _ends(words: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(F.filter(F.transform(longest, lambda s: s["w"]), lambda w: F.length(w) > 4), ends)))
 
 
+def _halves(words: Column) -> Column:
+    """Both ends of each word: four letters, and two where the word is short, so that one slip in it leaves an end whole."""
+    ends = lambda w, n: F.array(F.concat(F.lit("<"), F.left(w, F.lit(n))), F.concat(F.right(w, F.lit(n)), F.lit(">")))
+    both = lambda w: F.concat(*(F.when(c, ends(w, n)).otherwise(F.array().cast("array<string>")) for n, c in ((4, F.length(w) >= 5), (2, F.length(w) <= 6))))
+    return F.array_distinct(F.flatten(F.transform(words, both)))
+
+
 def _name_pieces(name: Column) -> Column:
     return _ends(_name_words(name))
 
@@ -592,18 +604,24 @@ def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_
     longest = F.max(F.struct(F.length("name").alias("n"), "name"))["name"]
     one = member.where("name IS NOT NULL").groupBy(F.col("person").alias("node")).agg(longest.alias("name"), *(F.max(n).alias(n) for n in ("nid", "mail", "phone", "age", "village", "ward", "sub")))
     one = one.where("coalesce(village, ward, sub) IS NOT NULL").withColumn("parts", _name_words(F.col("name")))
-    places = F.array_compact(F.array(F.left("village", F.lit(4)), F.when(F.col("village").isNull() | F.col("nid").isNull(), F.left("ward", F.lit(5)))))
-    # ages may differ by one, and of two persons with identity numbers none is linked: those without are in three ages' shards
-    ages = F.when(F.col("nid").isNull(), F.array(F.col("age") - 1, F.col("age"), F.col("age") + 1)).otherwise(F.array("age"))
-    aged = F.flatten(F.transform(_ends(F.col("parts")), lambda p: F.flatten(F.transform(places, lambda s: F.transform(ages, lambda y: F.xxhash64(p, s, y))))))
-    spots = F.array_compact(F.array(F.concat(F.lit("v"), F.left("village", F.lit(4))), F.concat(F.lit("s"), F.left("sub", F.lit(4)))))
-    worded = F.when(F.size("parts") > 1, F.transform(spots, lambda s: F.xxhash64(F.array_join(F.array_sort("parts"), " "), s)))
+    none = F.array().cast("array<string>")
+    tagged = lambda n: F.transform(F.coalesce(_halves(F.array(n)), none), lambda e: F.concat(F.lit(n[0]), e))
+    places, pieces_of = F.concat(tagged("village"), tagged("ward")), F.coalesce(_halves(F.col("parts")), none)
+    # ages that differ by one share one of these
+    ages = F.array_distinct(F.array(F.floor(F.col("age") / 2), F.floor((F.col("age") + 1) / 2)))
+    spots = F.flatten(F.transform(pieces_of, lambda p: F.transform(places, lambda s: F.xxhash64(p, s))))
+    one = one.withColumn("spots", spots)
+    aged = F.flatten(F.transform("spots", lambda s: F.transform(ages, lambda y: F.xxhash64(s, y))))
+    # by the sub-county alone only the very words of a name count, and both ages are needed
+    worded = F.when(F.size("parts") > 0, F.flatten(F.transform(tagged("sub"), lambda s: F.transform(ages, lambda y: F.xxhash64(F.array_join(F.array_sort("parts"), " "), s, y)))))
     nothing = F.array().cast("array<bigint>")
-    hashes = F.concat(F.when(F.col("age").isNotNull(), aged).otherwise(nothing), F.coalesce(worded, nothing))
-    keys = one.select("node", F.col("nid").isNull().alias("open"), F.explode(hashes).alias("k"))
-    one = one.drop("parts")
+    known = F.when(F.col("age").isNotNull(), F.concat(aged, F.coalesce(worded, nothing))).otherwise(nothing)
+    # the keys without an age are for pairs of which one lacks it: two with ages meet by those with one
+    hashes = F.concat(F.transform(known, lambda k: F.struct(k.alias("k"), F.lit(True).alias("met"))), F.transform("spots", lambda k: F.struct(k.alias("k"), F.col("age").isNull().alias("met"))))
+    keys = one.select("node", F.col("nid").isNull().alias("open"), F.explode(hashes).alias("h")).select("node", "open", "h.*")
+    one = one.drop("parts", "spots")
     w = Window.partitionBy("k")
-    near = keys.withColumns({"n": F.count("*").over(w), "any": F.max("open").over(w)}).where("n > 1 AND any").select("k", "node")
+    near = keys.withColumns({"n": F.count("*").over(w), "any": F.max("open").over(w), "some": F.max("met").over(w)}).where("n > 1 AND any AND some").select("k", "node")
     shards = bounded_shards(near.join(one, "node"), "k", F.xxhash64("node"))
     links = unambiguous(checkpointed(_edges(shards, _join_places, IDENTIFIERS).distinct()))
     merged = components(links).withColumnRenamed("node", "person").withColumnRenamed("component", "whole")

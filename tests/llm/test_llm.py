@@ -100,6 +100,27 @@ def test_large_groups_are_cut_without_loss(spark, monkeypatch):
     assert {r.id: r.person for r in names.persons(df).collect()} == whole
 
 
+def pairs_of(spark, rows, cols="id bigint, full_name string, national_id string, age string, village string, ward string, sub_county string"):
+    df = spark.createDataFrame(rows, cols)
+    for c in ("email", "username", "phone_number"):
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast("string"))
+    found = {}
+    for r in names.persons(df).collect():
+        found.setdefault(r.person, set()).add(r.id)
+    return sorted(sorted(v) for v in found.values() if len(v) > 1)
+
+
+def test_places_offer_all_that_their_verifier_accepts(spark):
+    rows = [
+        (1, "Ann Wambui Njoroge", "11111111", "30", "Kwale Estate", None, "East"), (2, "Mrs Ann Wambi Njoroge", None, None, "Kwale Estate", None, "East"),  # no age on one side, a slip and a title
+        (3, "Peter Otieno Kamau", "22222222", "41", "Sendihupi", "Pirofohu", "Mosa"), (4, "Peter Otieno", None, "41", None, "Pirofohu", None),  # a ward only
+        (5, "Grace Nafula Simiyu", "33333333", "25", "Linjizuzi", None, "West"), (6, "Grace Nafula Simiyo", None, "26", "Lanjizuzi", None, "West"),  # a slip at the start of the village
+        (7, "Ali Juma", "44444444", "52", "Moba", None, None), (8, "Aly Juma", None, "52", "Moba", None, None),  # short words
+    ]
+    assert pairs_of(spark, rows) == [[1, 2], [3, 4], [5, 6], [7, 8]]
+
+
 def test_bounded_shards_meet_every_pair(spark):
     df = spark.range(100).select(F.lit("k").alias("k"), F.col("id").alias("node"))
     shards = [{m.node for m in r.members} for r in names.bounded_shards(df, "k", F.xxhash64("node"), 15).collect()]
