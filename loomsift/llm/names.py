@@ -531,6 +531,29 @@ def _place(c: Column) -> Column:
     return F.nullif(F.nullif(s, F.lit("")), F.lit("null"))
 
 
+def _place_keys(one: DataFrame) -> DataFrame:
+    """Keys ``k`` of each ``profile`` of a person ``node`` by place, piece of the name and age.
+
+    ``open``: it has no identity number; ``met``: the key is worth a shard by this profile.
+    """
+    one = one.withColumn("parts", _name_words(F.col("name")))
+    none = F.array().cast("array<string>")
+    tagged = lambda n: F.transform(F.coalesce(_halves(F.array(n)), none), lambda e: F.concat(F.lit(n[0]), e))
+    places, pieces_of = F.concat(tagged("village"), tagged("ward")), F.coalesce(_halves(F.col("parts")), none)
+    # ages that differ by one share one of these
+    ages = F.array_distinct(F.array(F.floor(F.col("age") / 2), F.floor((F.col("age") + 1) / 2)))
+    spots = F.flatten(F.transform(pieces_of, lambda p: F.transform(places, lambda s: F.xxhash64(p, s))))
+    one = one.withColumn("spots", spots)
+    aged = F.flatten(F.transform("spots", lambda s: F.transform(ages, lambda y: F.xxhash64(s, y))))
+    # by the sub-county alone only the very words of a name count, and both ages are needed
+    worded = F.when(F.size("parts") > 0, F.flatten(F.transform(tagged("sub"), lambda s: F.transform(ages, lambda y: F.xxhash64(F.array_join(F.array_sort("parts"), " "), s, y)))))
+    nothing = F.array().cast("array<bigint>")
+    known = F.when(F.col("age").isNotNull(), F.concat(aged, F.coalesce(worded, nothing))).otherwise(nothing)
+    # the keys without an age are for pairs of which one lacks it: two with ages meet by those with one
+    hashes = F.concat(F.transform(known, lambda k: F.struct(k.alias("k"), F.lit(True).alias("met"))), F.transform("spots", lambda k: F.struct(k.alias("k"), F.col("age").isNull().alias("met"))))
+    return one.select("node", "profile", F.col("nid").isNull().alias("open"), F.explode(hashes).alias("h")).select("node", "profile", "open", "h.*")
+
+
 def evidence_groups(keys: DataFrame) -> DataFrame:
     """Rows (``id``, ``nid``, ``mail``, ``phone``; numbers) with ``grp``, equal for those that share an identifier, directly or through others.
 
@@ -601,28 +624,15 @@ def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_
         member = member.unionByName(large.withColumn("first", least).join(whole, "first", "left").select(*fields, F.coalesce("component", "first").alias("person")))
     member = checkpointed(member)
     # second round: persons without a common identifier, by place and piece of the name
-    longest = F.max(F.struct(F.length("name").alias("n"), "name"))["name"]
-    one = member.where("name IS NOT NULL").groupBy(F.col("person").alias("node")).agg(longest.alias("name"), *(F.max(n).alias(n) for n in ("nid", "mail", "phone", "age", "village", "ward", "sub")))
-    one = one.where("coalesce(village, ward, sub) IS NOT NULL").withColumn("parts", _name_words(F.col("name")))
-    none = F.array().cast("array<string>")
-    tagged = lambda n: F.transform(F.coalesce(_halves(F.array(n)), none), lambda e: F.concat(F.lit(n[0]), e))
-    places, pieces_of = F.concat(tagged("village"), tagged("ward")), F.coalesce(_halves(F.col("parts")), none)
-    # ages that differ by one share one of these
-    ages = F.array_distinct(F.array(F.floor(F.col("age") / 2), F.floor((F.col("age") + 1) / 2)))
-    spots = F.flatten(F.transform(pieces_of, lambda p: F.transform(places, lambda s: F.xxhash64(p, s))))
-    one = one.withColumn("spots", spots)
-    aged = F.flatten(F.transform("spots", lambda s: F.transform(ages, lambda y: F.xxhash64(s, y))))
-    # by the sub-county alone only the very words of a name count, and both ages are needed
-    worded = F.when(F.size("parts") > 0, F.flatten(F.transform(tagged("sub"), lambda s: F.transform(ages, lambda y: F.xxhash64(F.array_join(F.array_sort("parts"), " "), s, y)))))
-    nothing = F.array().cast("array<bigint>")
-    known = F.when(F.col("age").isNotNull(), F.concat(aged, F.coalesce(worded, nothing))).otherwise(nothing)
-    # the keys without an age are for pairs of which one lacks it: two with ages meet by those with one
-    hashes = F.concat(F.transform(known, lambda k: F.struct(k.alias("k"), F.lit(True).alias("met"))), F.transform("spots", lambda k: F.struct(k.alias("k"), F.col("age").isNull().alias("met"))))
-    keys = one.select("node", F.col("nid").isNull().alias("open"), F.explode(hashes).alias("h")).select("node", "open", "h.*")
-    one = one.drop("parts", "spots")
+    # a person stands there with each name, age and place that one of its rows has, and with its identifiers
+    named = member.where("name IS NOT NULL")
+    known_by = named.groupBy(F.col("person").alias("node")).agg(*(F.max(n).alias(n) for n in IDENTIFIERS))
+    profiles = named.where("coalesce(village, ward, sub) IS NOT NULL").groupBy(F.col("person").alias("node"), "bare", "age", "village", "ward", "sub").agg(F.min("node").alias("profile"), F.min("name").alias("name")).drop("bare")
+    one = checkpointed(profiles.join(known_by, "node"))
+    keys = _place_keys(one)
     w = Window.partitionBy("k")
-    near = keys.withColumns({"n": F.count("*").over(w), "any": F.max("open").over(w), "some": F.max("met").over(w)}).where("n > 1 AND any AND some").select("k", "node")
-    shards = bounded_shards(near.join(one, "node"), "k", F.xxhash64("node"))
+    near = keys.withColumns({"lo": F.min("node").over(w), "hi": F.max("node").over(w), "any": F.max("open").over(w), "some": F.max("met").over(w)}).where("lo <> hi AND any AND some").select("k", "profile")
+    shards = bounded_shards(near.join(one, "profile"), "k", F.xxhash64("profile"))
     links = unambiguous(checkpointed(_edges(shards, _join_places, IDENTIFIERS).distinct()))
     merged = components(links).withColumnRenamed("node", "person").withColumnRenamed("component", "whole")
     return member.where("bare IS NOT NULL").select("node", "bare", "person").join(merged, "person", "left").select(F.col("node").alias("id"), "bare", F.coalesce("whole", "person").alias("person"))

@@ -121,6 +121,13 @@ def test_places_offer_all_that_their_verifier_accepts(spark):
     assert pairs_of(spark, rows) == [[1, 2], [3, 4], [5, 6], [7, 8]]
 
 
+def test_each_row_of_a_person_can_be_met(spark):
+    rows = [
+        (1, "Ann Wambui Njoroge", "11111111", "30", "Kwale Estate", "Pirofohu", "East"), (2, "Ann Wambui Njoroge Kamau", "11111111", "36", "Sendihupi", "Tuzembocha", "West"), (3, "Ann Njoroge", None, "30", "Kwale Estate", "Pirofohu", "East"),
+    ]
+    assert pairs_of(spark, rows) == [[1, 2, 3]]
+
+
 def test_bounded_shards_meet_every_pair(spark):
     df = spark.range(100).select(F.lit("k").alias("k"), F.col("id").alias("node"))
     shards = [{m.node for m in r.members} for r in names.bounded_shards(df, "k", F.xxhash64("node"), 15).collect()]
