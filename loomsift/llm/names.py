@@ -355,6 +355,27 @@ def _edges(shards: DataFrame, join: Callable[[Sequence[dict], Parser], Iterator[
     return shards.select("members").repartition(partitions(shards.sparkSession)).mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
+def _one_slip(x: Column, y: Column) -> Column:
+    """``_same_number`` by built-in functions."""
+    x, y = x.cast("string"), y.cast("string")
+    swapped = F.exists(F.sequence(F.lit(1), F.greatest(F.length(x) - 1, F.lit(1))), lambda i: y == F.concat(F.substring(x, F.lit(1), i - 1), F.substring(x, i + 1, F.lit(1)), F.substring(x, i, F.lit(1)), F.substring(x, i + 2, F.length(x))))
+    return (F.levenshtein(x, y) <= 1) | swapped
+
+
+def _contradicting(known: DataFrame, key: str) -> DataFrame:
+    """``key`` where two rows differ in an identifier; identity numbers that are one slip apart don't.
+
+    Numbers are gathered only where all are a slip from the smallest, so they are few.
+    """
+    least = known.groupBy(key).agg(*(f(c).alias(f"{n}_{c}") for c in IDENTIFIERS for n, f in (("lo", F.min), ("hi", F.max))))
+    clear = least.where(" OR ".join(f"coalesce(lo_{c} <> hi_{c}, false)" for c in IDENTIFIERS if c != "nid"))
+    numbers = known.where("nid IS NOT NULL").join(least.where("lo_nid <> hi_nid").select(key, "lo_nid"), key).select(key, "nid", "lo_nid").distinct()
+    near = numbers.groupBy(key).agg(F.min(_one_slip(F.col("nid"), F.col("lo_nid"))).alias("near"))
+    gathered = numbers.join(near.where("near"), key, "left_semi").groupBy(key).agg(F.collect_set("nid").alias("ns"))
+    slips = gathered.where(F.exists("ns", lambda x: F.exists("ns", lambda y: (x < y) & ~_one_slip(x, y))))
+    return clear.select(key).unionByName(near.where("NOT near").select(key)).unionByName(slips.select(key)).distinct()
+
+
 def unambiguous(edges: DataFrame) -> DataFrame:
     """Links without those that would join persons whose identifiers differ.
 
@@ -363,13 +384,12 @@ def unambiguous(edges: DataFrame) -> DataFrame:
     by chance: such components are left apart.
     """
     ends = edges.select(F.col("a").alias("n"), *(F.col(f"{c}_b").alias(c) for c in IDENTIFIERS)).unionByName(edges.select(F.col("b").alias("n"), *(F.col(f"{c}_a").alias(c) for c in IDENTIFIERS)))
-    differ = " OR ".join(f"min({c}) <> max({c})" for c in IDENTIFIERS)
-    torn = ends.groupBy("n").agg(F.expr(f"coalesce({differ}, false)").alias("torn")).where("torn").select("n")
+    torn = _contradicting(ends, "n")
     left = edges.join(torn, edges.a == torn.n, "left_anti").join(torn, edges.b == torn.n, "left_anti")
     left = checkpointed(left)
     groups = checkpointed(components(left))
     own = left.select(F.col("a").alias("node"), *(F.col(f"{c}_a").alias(c) for c in IDENTIFIERS)).unionByName(left.select(F.col("b").alias("node"), *(F.col(f"{c}_b").alias(c) for c in IDENTIFIERS)))
-    mixed = own.join(groups, "node").groupBy("component").agg(F.expr(f"coalesce({differ}, false)").alias("mixed")).where("mixed").select("component")
+    mixed = _contradicting(own.join(groups, "node"), "component")
     dropped = groups.join(mixed, "component", "left_semi").select("node")
     return left.join(dropped, left.a == dropped.node, "left_anti").select("a", "b")
 
@@ -534,7 +554,7 @@ def _place(c: Column) -> Column:
 def _place_keys(one: DataFrame) -> DataFrame:
     """Keys ``k`` of each ``profile`` of a person ``node`` by place, piece of the name and age.
 
-    ``open``: it has no identity number; ``met``: the key is worth a shard by this profile.
+    ``met``: the key is worth a shard by this profile.
     """
     one = one.withColumn("parts", _name_words(F.col("name")))
     none = F.array().cast("array<string>")
@@ -551,7 +571,7 @@ def _place_keys(one: DataFrame) -> DataFrame:
     known = F.when(F.col("age").isNotNull(), F.concat(aged, F.coalesce(worded, nothing))).otherwise(nothing)
     # the keys without an age are for pairs of which one lacks it: two with ages meet by those with one
     hashes = F.concat(F.transform(known, lambda k: F.struct(k.alias("k"), F.lit(True).alias("met"))), F.transform("spots", lambda k: F.struct(k.alias("k"), F.col("age").isNull().alias("met"))))
-    return one.select("node", "profile", F.col("nid").isNull().alias("open"), F.explode(hashes).alias("h")).select("node", "profile", "open", "h.*")
+    return one.select("node", "profile", F.explode(hashes).alias("h")).select("node", "profile", "h.*")
 
 
 def evidence_groups(keys: DataFrame) -> DataFrame:
@@ -631,7 +651,7 @@ def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_
     one = checkpointed(profiles.join(known_by, "node"))
     keys = _place_keys(one)
     w = Window.partitionBy("k")
-    near = keys.withColumns({"lo": F.min("node").over(w), "hi": F.max("node").over(w), "any": F.max("open").over(w), "some": F.max("met").over(w)}).where("lo <> hi AND any AND some").select("k", "profile")
+    near = keys.withColumns({"lo": F.min("node").over(w), "hi": F.max("node").over(w), "some": F.max("met").over(w)}).where("lo <> hi AND some").select("k", "profile")
     shards = bounded_shards(near.join(one, "profile"), "k", F.xxhash64("profile"))
     links = unambiguous(checkpointed(_edges(shards, _join_places, IDENTIFIERS).distinct()))
     merged = components(links).withColumnRenamed("node", "person").withColumnRenamed("component", "whole")

@@ -128,6 +128,17 @@ def test_each_row_of_a_person_can_be_met(spark):
     assert pairs_of(spark, rows) == [[1, 2, 3]]
 
 
+def test_slips_in_identity_numbers_join_by_place(spark):
+    spot = ("30", "Kwale Estate", "Pirofohu", "East")
+    slip = [(1, "Ann Wambui Njoroge", "12345678", *spot), (2, "Anne Wambui Njoroge", "12345687", *spot)]
+    assert pairs_of(spark, slip) == [[1, 2]]
+    assert pairs_of(spark, [*slip, (3, "Ann Wambi Njoroge", None, *spot)]) == [[1, 2, 3]]
+    assert pairs_of(spark, [slip[0], (2, "Anne Wambui Njoroge", "87654321", *spot), (3, "Ann Wambi Njoroge", None, *spot)]) == []
+    numbers = [(1234567, 1234567), (1234567, 1243567), (1234567, 1234576), (1234567, 123456), (1234567, 1243576), (12, 21), (123456, 654321), (1234567, 2134567)]
+    got = spark.createDataFrame(numbers, "x bigint, y bigint").select("x", "y", names._one_slip(F.col("x"), F.col("y")).alias("s")).collect()
+    assert all(r.s == names._same_number(r.x, r.y) for r in got)
+
+
 def test_bounded_shards_meet_every_pair(spark):
     df = spark.range(100).select(F.lit("k").alias("k"), F.col("id").alias("node"))
     shards = [{m.node for m in r.members} for r in names.bounded_shards(df, "k", F.xxhash64("node"), 15).collect()]
