@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -445,38 +445,62 @@ def _join_rows(members: Sequence[dict], parser: Parser) -> Iterator[tuple[int, i
     yield from linked(members, _same_person, lambda m: [v for v in (m["nid"], m["mail"]) if v is not None])
 
 
-def _roots(members: Sequence[dict], parser: Parser) -> list[int]:
-    """The smallest node of each member's person within one shard; equal profiles are joined once."""
-    profiles: dict[tuple, list[int]] = {}
-    for i, m in enumerate(members):
-        profiles.setdefault((m["bare"], m["nid"], m["mail"], m["phone"]), []).append(i)
-    firsts = [at[0] for at in profiles.values()]
-    root = list(range(len(members)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for at in profiles.values():
-        for i in at[1:]:
-            root[i] = at[0]
-    # links by an identifier first; a further one never joins persons whose identifiers differ
-    links = [(firsts[i], firsts[j]) for i, j in _join_rows([members[i] for i in firsts], parser)]
-    known: dict[int, list[set]] = {i: [{members[i][n]} - {None} for n in IDENTIFIERS] for i in firsts}
-    for i, j in sorted(links, key=lambda p: (not _agree(members[p[0]], members[p[1]], ("nid", "mail")), *p)):
+def _united(known: Mapping[int, Sequence[int | None]], links: Iterable[tuple[int, int]]) -> dict[int, int]:
+    """The smallest node of each node's person; ``known`` has the ``IDENTIFIERS`` of each node.
+
+    Links by an identity number or address come first; a further one never joins persons whose
+    identifiers differ. The order of the links given decides nothing.
+    """
+    root = {n: n for n in known}
+
+    def find(n: int) -> int:
+        while root[n] != n:
+            root[n] = root[root[n]]
+            n = root[n]
+        return n
+
+    agree = lambda a, b: any(x is not None and x == y for n, x, y in zip(IDENTIFIERS, known[a], known[b], strict=True) if n != "phone")
+    sets = {n: [{v} - {None} for v in values] for n, values in known.items()}
+    for name_only, i, j in sorted({(not agree(i, j), min(i, j), max(i, j)) for i, j in links}):
         a, b = find(i), find(j)
-        if a == b or (not _agree(members[i], members[j], ("nid", "mail")) and any(x and y and not x & y and not (n == "nid" and any(_same_number(p, q) for p in x for q in y)) for n, x, y in zip(IDENTIFIERS, known[a], known[b], strict=True))):
+        if a == b or (name_only and any(x and y and not x & y and not (n == "nid" and any(_same_number(p, q) for p in x for q in y)) for n, x, y in zip(IDENTIFIERS, sets[a], sets[b], strict=True))):
             continue
         a, b = min(a, b), max(a, b)
         root[b] = a
-        known[a] = [x | y for x, y in zip(known[a], known[b], strict=True)]
-    least: dict[int, int] = {}
-    for i, m in enumerate(members):
-        r = find(i)
-        least[r] = min(least.get(r, m["node"]), m["node"])
-    return [least[find(i)] for i in range(len(members))]
+        sets[a] = [x | y for x, y in zip(sets[a], sets[b], strict=True)]
+    return {n: find(n) for n in known}
+
+
+def _roots(members: Sequence[dict], parser: Parser) -> list[int]:
+    """The smallest node of each member's person within one group; equal profiles are joined once."""
+    profiles: dict[tuple, list[dict]] = {}
+    for m in members:
+        profiles.setdefault((m["bare"], m["nid"], m["mail"], m["phone"]), []).append(m)
+    least = lambda same, n: min((m[n] for m in same if m[n] is not None), default=None)
+    firsts = {p: same[0] | {n: least(same, n) for n in ("node", "name", "age")} for p, same in profiles.items()}
+    each = sorted(firsts.values(), key=lambda m: m["node"])
+    person = _united({m["node"]: [m[n] for n in IDENTIFIERS] for m in each}, [(each[i]["node"], each[j]["node"]) for i, j in _join_rows(each, parser)])
+    return [person[firsts[m["bare"], m["nid"], m["mail"], m["phone"]]["node"]] for m in members]
+
+
+def _settled(profiles: DataFrame, edges: DataFrame) -> DataFrame:
+    """``first`` and ``person`` of large groups' profiles (``node`` and ``IDENTIFIERS``) by the rule of ``_roots``.
+
+    What no links connect can't be one person, so the rule is applied to each connected part; of
+    a part only its numbers are gathered.
+    """
+    whole = checkpointed(components(edges))
+    known = profiles.join(whole, "node").groupBy("component").agg(F.collect_list(F.struct("node", *IDENTIFIERS)).alias("known"))
+    links = edges.join(whole, edges.a == whole.node).groupBy("component").agg(F.collect_list(F.struct("a", "b")).alias("links"))
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            person: dict[int, int] = {}
+            for known, links in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                person |= _united({m["node"]: [m[n] for n in IDENTIFIERS] for m in known}, [(e["a"], e["b"]) for e in links])
+            yield pa.RecordBatch.from_arrays([pa.array(person.keys(), pa.int64()), pa.array(person.values(), pa.int64())], ["first", "settled"])
+
+    return known.join(links, "component").select("known", "links").mapInArrow(settle, "first bigint, settled bigint")
 
 
 def _one_spot(a: dict, b: dict) -> bool:
@@ -526,13 +550,6 @@ def _name_words(name: Column) -> Column:
     return F.filter(F.split(heard, " +"), lambda w: (F.length(w) > 1) & ~w.isin(*_TITLES_HEARD))
 
 
-def _ends(words: Column) -> Column:
-    """Both ends of each of the two longest words."""
-    ends = lambda w: F.array(F.concat(F.lit("<"), F.left(w, F.lit(4))), F.concat(F.right(w, F.lit(4)), F.lit(">")))
-    longest = F.slice(F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), 1, 2)
-    return F.array_distinct(F.flatten(F.transform(F.filter(F.transform(longest, lambda s: s["w"]), lambda w: F.length(w) > 4), ends)))
-
-
 def _halves(words: Column) -> Column:
     """Both ends of each word: four letters, and two where the word is short, so that one slip in it leaves an end whole."""
     ends = lambda w, n: F.array(F.concat(F.lit("<"), F.left(w, F.lit(n))), F.concat(F.right(w, F.lit(n)), F.lit(">")))
@@ -540,10 +557,6 @@ def _halves(words: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(words, both)))
 
 
-def _name_pieces(name: Column) -> Column:
-    return _ends(_name_words(name))
-
-
 def _place(c: Column) -> Column:
     """The beginning of a place name, as it sounds roughly: what is compared, and short."""
     s = F.replace(F.lower(F.btrim(c, F.lit(WS_CHARS + "'\"();,."))), F.lit("oo"), F.lit("u"))
@@ -599,7 +612,7 @@ def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_
       count as none. Ids are expected to be unique and not negative; a null id is left out.
     * Groups of candidates are small unless an identifier is shared by very many rows; such a group
       is cut into shards of bounded size by identifiers and pieces of the names, each two blocks of
-      which meet (see ``bounded_shards``). Nothing is left out.
+      which meet (see ``bounded_shards``), and what their links connect is settled by the same rule.
     """
     c = lambda n: F.col(f"`{n}`").cast("string")
     # each step is a projection of its own: what a later one uses twice is worked out once
@@ -636,12 +649,12 @@ def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_
     if not hot.isEmpty():
         first = large.groupBy("grp", "bare", "nid", "mail", "phone").agg(F.min("node").alias("node"), F.min("name").alias("name"), F.min("age").alias("age"))
         key = lambda n: F.when(F.col(n).isNotNull(), F.xxhash64(F.lit(n), "grp", n))
-        parts = F.concat(F.transform(F.coalesce(_name_pieces(F.col("name")), F.array().cast("array<string>")), lambda p: F.xxhash64("grp", p)), F.array_compact(F.array(key("nid"), key("mail"))))
+        parts = F.concat(F.transform(F.coalesce(_halves(_name_words(F.col("name"))), F.array().cast("array<string>")), lambda p: F.xxhash64("grp", p)), F.array_compact(F.array(key("nid"), key("mail"))))
         shards = bounded_shards(first.select("node", "name", "nid", "mail", "phone", "age", F.explode(parts).alias("k")), "k", F.xxhash64("node"))
-        whole = components(checkpointed(_edges(shards, _join_rows).distinct())).withColumnRenamed("node", "first")
+        whole = _settled(first.select("node", *IDENTIFIERS), checkpointed(_edges(shards, _join_rows).distinct()))
         same = ["grp", "bare", "nid", "mail", "phone"]
         least = F.min("node").over(Window.partitionBy(*same))
-        member = member.unionByName(large.withColumn("first", least).join(whole, "first", "left").select(*fields, F.coalesce("component", "first").alias("person")))
+        member = member.unionByName(large.withColumn("first", least).join(whole, "first", "left").select(*fields, F.coalesce("settled", "first").alias("person")))
     member = checkpointed(member)
     # second round: persons without a common identifier, by place and piece of the name
     # a person stands there with each name, age and place that one of its rows has, and with its identifiers

@@ -139,6 +139,21 @@ def test_slips_in_identity_numbers_join_by_place(spark):
     assert all(r.s == names._same_number(r.x, r.y) for r in got)
 
 
+def test_large_groups_are_settled_by_the_rule_of_small_ones(spark, monkeypatch):
+    tel = "0712345678"
+    rows = [
+        (1, "Ann Wambui", "11111111", tel), (2, "Ann Wambui Njeri", "87654321", tel), (3, "Anne Wambui", None, tel),  # one row fits two namesakes
+        (4, "Ali Juma", None, tel), (5, "Ally Juma", None, tel),  # short words
+        *((10 + i, f"{w} Zukejoti{w}", str(20000000 + 1111 * i), tel) for i, w in enumerate(("Peter", "Grace", "Omari", "Kioko"))),
+    ]
+    cols = "id bigint, full_name string, national_id string, phone_number string"
+    wide = [(*r, None, None, None, None) for r in rows]
+    small = pairs_of(spark, wide, cols + ", age string, village string, ward string, sub_county string")
+    assert small == [[1, 3], [4, 5]]
+    monkeypatch.setattr(names, "GROUP", 4)
+    assert pairs_of(spark, wide, cols + ", age string, village string, ward string, sub_county string") == small
+
+
 def test_bounded_shards_meet_every_pair(spark):
     df = spark.range(100).select(F.lit("k").alias("k"), F.col("id").alias("node"))
     shards = [{m.node for m in r.members} for r in names.bounded_shards(df, "k", F.xxhash64("node"), 15).collect()]
