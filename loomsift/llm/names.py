@@ -680,48 +680,58 @@ def different_pairs(df: DataFrame, group: str) -> DataFrame:
     return a.join(b, group).where("id_a < id_b AND ba <> bb").select("id_a", "id_b")
 
 
-_SPELLING = pa.schema([("node", pa.int64()), ("words", pa.list_(pa.string())), ("kinds", pa.list_(pa.string())), ("lo", pa.string()), ("hi", pa.string()), ("k", pa.string())])
+_SPELLING = pa.schema([("node", pa.int64()), ("words", pa.list_(pa.string())), ("kinds", pa.list_(pa.string())), ("k", pa.string())])
 
 
 def spellings(df: DataFrame, name_col: str, id_col: str = "id", phone_col: str | None = None) -> DataFrame:
     """``id`` (the smallest that holds it), ``bare`` and ``entity`` of each spelling of a column.
 
     Values of the same bare text are one spelling; blank-like ones are none. With ``phone_col``
-    the values are persons' names and the telephone number that goes with one spelling confirms
-    or contradicts; without it they are organisations' names: their own words must be alike and
-    their kinds must not contradict.
+    the values are persons' names: two spellings that go with one telephone number are confirmed
+    by it, and two that both go with numbers but share none are no link. A spelling that goes with
+    several numbers, or with none, and fits spellings of different numbers is left apart (see
+    ``unambiguous``). Without ``phone_col`` they are organisations' names: their own words must be
+    alike and their kinds must not contradict.
 
     Only distinct spellings go further. They are sharded by pieces of their words, in shards of
     bounded size.
     """
     v = F.col(f"`{name_col}`").cast("string")
     rows = df.where(~blank_like(v) & F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.trim(v).alias("name"), bare(v).alias("bare"), (phone9(F.col(f"`{phone_col}`").cast("string")) if phone_col else F.lit(None).cast("string")).alias("phone"))
-    each = rows.where("bare <> ''").groupBy("bare").agg(F.min("id").alias("node"), F.min("name").alias("name"), F.min("phone").alias("lo"), F.max("phone").alias("hi"))
-    each = checkpointed(each)
+    rows = checkpointed(rows.where("bare <> ''").groupBy("bare", "phone").agg(F.min("id").alias("id"), F.min("name").alias("name")))
+    each = checkpointed(rows.groupBy("bare").agg(F.min("id").alias("node"), F.min("name").alias("name"), F.min("phone").alias("lo"), F.max("phone").alias("hi")))
     people = phone_col is not None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser()
         for batch in batches:
             out: list[dict] = []
-            for node, name, lo, hi in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for node, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own, kinds = (parser.person(name), ()) if people else organisation(parser, name)
-                row = {"node": node, "words": list(own), "kinds": sorted(kinds), "lo": lo, "hi": hi}
-                out += [row | {"k": p} for p in [*pieces(own or tuple(parser.split(name))), *([lo] if lo else [])]]
+                row = {"node": node, "words": list(own), "kinds": sorted(kinds)}
+                out += [row | {"k": p} for p in (None, *pieces(own or tuple(parser.split(name))))]
             yield pa.RecordBatch.from_pylist(out, schema=_SPELLING)
 
-    keys = each.select("node", "name", "lo", "hi").repartition(partitions(df.sparkSession)).mapInArrow(cut, "node bigint, words array<string>, kinds array<string>, lo string, hi string, k string")
-    shards = bounded_shards(keys, "k", F.xxhash64("node"))
+    cuts = checkpointed(each.select("node", "name").repartition(partitions(df.sparkSession)).mapInArrow(cut, "node bigint, words array<string>, kinds array<string>, k string"))
+    # one number alone tells whose spelling it is; of several each is a key, but none tells
+    told = each.select("node", F.when(F.col("lo") == F.col("hi"), F.col("lo")).cast("bigint").alias("phone"), F.col("lo").isNotNull().alias("numbered"))
+    numbers = rows.where("phone IS NOT NULL").join(each.select("bare", "node"), "bare").select("node", F.col("phone").alias("number"))
+    by_piece = cuts.where("k IS NOT NULL").withColumn("number", F.lit(None).cast("string"))
+    by_number = cuts.where("k IS NULL").join(numbers, "node").select("node", "words", "kinds", F.concat(F.lit("tel "), "number").alias("k"), "number")
+    shards = bounded_shards(by_piece.unionByName(by_number).join(told, "node"), "k", F.xxhash64("node"))
 
     def same_organisation(a: dict, b: dict, near: Near) -> bool:
         return organisation_match((tuple(a["words"]), frozenset(a["kinds"])), (tuple(b["words"]), frozenset(b["kinds"])), near)
 
     def same_trainer(a: dict, b: dict, near: Near) -> bool:
-        shared = bool(a["lo"] and b["lo"]) and a["lo"] <= b["hi"] and b["lo"] <= a["hi"]
-        return (shared or not (a["lo"] and b["lo"])) and person_match(a["words"], b["words"], shared, near)
+        shared = a["number"] is not None  # all of the shard have it; spellings that share a number meet there
+        return (shared or not (a["numbered"] and b["numbered"])) and person_match(a["words"], b["words"], shared, near)
 
     def join(members: Sequence[dict], parser: Parser) -> Iterator[tuple[int, int]]:
-        yield from linked(members, same_trainer if people else same_organisation, lambda m: [m["lo"]] if m["lo"] else [])
+        yield from linked(members, same_trainer if people else same_organisation, lambda m: [m["number"]] if m["number"] else [])
 
-    links = components(checkpointed(_edges(shards, join).distinct()))
+    edges = checkpointed(_edges(shards, join, ("phone",)).distinct())
+    if people:
+        edges = unambiguous(edges.withColumns({f"{n}_{s}": F.lit(None).cast("bigint") for n in ("nid", "mail") for s in "ab"}))
+    links = components(edges)
     return each.join(links, "node", "left").select(F.col("node").alias("id"), "bare", F.coalesce("component", "node").alias("entity"))

@@ -171,6 +171,24 @@ def test_spellings(spark):
     assert names.spellings(df.limit(0), "org").count() == 0
 
 
+def test_numbers_of_trainers(spark):
+    one, two, three = "0711111111", "0733333333", "0722222222"
+
+    def entities(rows):
+        found = {}
+        df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id bigint, name string, tel string")
+        for r in names.spellings(df, "name", phone_col="tel").collect():
+            found.setdefault(r.entity, set()).add(r.id)
+        return sorted(sorted(v) for v in found.values())
+
+    # one spelling with two numbers, and a number in between
+    assert entities([("J Otieno", one), ("J Otieno", two), ("Jane Otieno", three)]) == [[0], [2]]
+    # typed by two namesakes: fits both, so it is left apart
+    assert entities([("J Otieno", one), ("J Otieno", two), ("Jane Otieno", one), ("John Otieno", two), ("Jane A Otieno", one)]) == [[0], [2, 4], [3]]
+    # the second number links too
+    assert entities([("Dorothy Pashu", one), ("Dorothy Pashu", two), ("Dotty Pashu", two)]) == [[0, 2]]
+
+
 # ---- copies
 
 
