@@ -294,11 +294,23 @@ def pieces(name_words: Sequence[str]) -> list[str]:
     return sorted(out)
 
 
+def _short_forms(name_words: Sequence[str]) -> set[tuple[str, str]]:
+    """What a word shares with its short forms, cut ends with a slip, and words typed together; for no words a key of its own."""
+    out = set() if name_words else {("", "")}
+    for w in {*name_words, *(NICKNAMES[w] for w in name_words if w in NICKNAMES)}:
+        for v in {w, sound(w)}:
+            if len(v) > 2:
+                out |= {("<", v[:3]), (">", v[-3:])}
+            out |= {(v[0], v[i : i + 2]) for i in (2, 3, 4) if len(v) >= max(5, i + 1)}
+    return out
+
+
 def linked(entries: Sequence[dict], same: Callable[[dict, dict, Near], bool], also: Callable[[dict], Sequence[object]] = lambda e: (), words: str = "words") -> Iterator[tuple[int, int]]:
     """Trie join of one shard: positions of entries that are the same.
 
     The words of all entries go into a trie under their sound. Each entry's words are traced
-    through it; entries with a neighbouring word, or with an equal value of ``also``, are compared.
+    through it; entries with a neighbouring word, one that may be its short form, or an equal value
+    of ``also``, are compared.
     In a shard of two or three entries all of them are, and the trie is asked only about words
     that differ.
     """
@@ -308,12 +320,13 @@ def linked(entries: Sequence[dict], same: Callable[[dict, dict, Near], bool], al
         yield from (p for p in itertools.combinations(range(len(entries)), 2) if same(entries[p[0]], entries[p[1]], near))
         return
     at: dict[object, list[int]] = {}
-    for i, e in enumerate(entries):
-        for v in (*heard[i], *(("", v) for v in also(e))):
+    keys = [[*(("", v) for v in also(e)), *_short_forms(e[words])] for e in entries]
+    for i in range(len(entries)):
+        for v in (*heard[i], *keys[i]):
             at.setdefault(v, []).append(i)
     for i, e in enumerate(entries):
         found = {j for w in heard[i] for n in near.of(w) for j in at.get(n, ()) if j > i}
-        found.update(j for v in also(e) for j in at["", v] if j > i)
+        found.update(j for v in keys[i] for j in at[v] if j > i)
         for j in sorted(found):
             if same(e, entries[j], near):
                 yield i, j

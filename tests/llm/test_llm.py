@@ -139,6 +139,14 @@ def test_slips_in_identity_numbers_join_by_place(spark):
     assert all(r.s == names._same_number(r.x, r.y) for r in got)
 
 
+@pytest.mark.parametrize("pair", [("Liz Wambui", "Elizabeth W"), ("Abd Kamau", "Abdullahi K"), ("Nekuyachi", "Neguyachimbe")])
+def test_shard_size_decides_nothing(pair):
+    p = names.Parser()
+    entries = [{"words": p.person(n)} for n in (*pair, "Omari Zukejoti", "Peter Hitusenja")]
+    same = lambda a, b, near: names.person_match(a["words"], b["words"], False, near)
+    assert list(names.linked(entries, same)) == list(names.linked(entries[:2], same)) == [(0, 1)]
+
+
 def test_large_groups_are_settled_by_the_rule_of_small_ones(spark, monkeypatch):
     tel = "0712345678"
     rows = [
