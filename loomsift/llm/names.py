@@ -606,9 +606,11 @@ def evidence_groups(keys: DataFrame) -> DataFrame:
     Only numbers are shuffled. Rows of one identity number are one node; the links that mail
     addresses and telephones add between nodes, few beside the rows, go through ``components``.
     """
-    own = keys.withColumn("c1", F.min("id").over(Window.partitionBy(F.coalesce("nid", -F.col("id") - 1))))
+    # minima are pre-aggregated and joined back: a hot number sends one row a task
+    first = keys.where("nid IS NOT NULL").groupBy("nid").agg(F.min("id").alias("c"))
+    own = keys.join(first, "nid", "left").withColumn("c1", F.coalesce("c", "id")).drop("c")
     by = own.select("c1", F.explode(F.array_compact(F.array(F.when(F.col("mail").isNotNull(), F.xxhash64(F.lit("m"), "mail")), F.when(F.col("phone").isNotNull(), F.xxhash64(F.lit("p"), "phone"))))).alias("k"))
-    links = by.withColumn("least", F.min("c1").over(Window.partitionBy("k"))).where("c1 <> least").select(F.col("c1").alias("a"), F.col("least").alias("b")).distinct()
+    links = by.join(by.groupBy("k").agg(F.min("c1").alias("least")), "k").where("c1 <> least").select(F.col("c1").alias("a"), F.col("least").alias("b")).distinct()
     found = components(links)
     return own.join(found.withColumnRenamed("node", "c1"), "c1", "left").select("id", "nid", "mail", "phone", F.coalesce("component", "c1").alias("grp"))
 
@@ -666,8 +668,11 @@ def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_
         shards = bounded_shards(first.select("node", "name", "nid", "mail", "phone", "age", F.explode(parts).alias("k")), "k", F.xxhash64("node"))
         whole = _settled(first.select("node", *IDENTIFIERS), checkpointed(_edges(shards, _join_rows).distinct()))
         same = ["grp", "bare", "nid", "mail", "phone"]
-        least = F.min("node").over(Window.partitionBy(*same))
-        member = member.unionByName(large.withColumn("first", least).join(whole, "first", "left").select(*fields, F.coalesce("settled", "first").alias("person")))
+        firsts = first.select(*(F.col(n).alias(f"_{n}") for n in same), F.col("node").alias("first"))
+        alike = F.lit(True)
+        for n in same:
+            alike = alike & F.col(n).eqNullSafe(F.col(f"_{n}"))
+        member = member.unionByName(large.join(firsts, alike).join(whole, "first", "left").select(*fields, F.coalesce("settled", "first").alias("person")))
     member = checkpointed(member)
     # second round: persons without a common identifier, by place and piece of the name
     # a person stands there with each name, age and place that one of its rows has, and with its identifiers

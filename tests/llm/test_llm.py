@@ -162,6 +162,14 @@ def test_large_groups_are_settled_by_the_rule_of_small_ones(spark, monkeypatch):
     assert pairs_of(spark, wide, cols + ", age string, village string, ward string, sub_county string") == small
 
 
+def test_groups_of_a_hot_number_need_no_window(spark):
+    keys = spark.range(40).select("id", F.when(F.col("id") % 3 == 0, 7).cast("bigint").alias("nid"), F.when(F.col("id") % 5 == 1, 8).cast("bigint").alias("mail"), F.when(F.col("id") == 2, 9).cast("bigint").alias("phone"))
+    got = names.evidence_groups(keys)
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    joined = {i for i in range(40) if i % 3 == 0 or i % 5 == 1}  # 6 has both
+    assert {r.id: r.grp for r in got.collect()} == {i: 0 if i in joined else i for i in range(40)}
+
+
 def test_bounded_shards_meet_every_pair(spark):
     df = spark.range(100).select(F.lit("k").alias("k"), F.col("id").alias("node"))
     shards = [{m.node for m in r.members} for r in names.bounded_shards(df, "k", F.xxhash64("node"), 15).collect()]
