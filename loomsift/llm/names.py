@@ -1,9 +1,9 @@
 """Variant spellings of names typed by people (problem 1).
 
-Names are sharded: by what else the rows share (identifiers, telephone, place) or by pieces of the
-names. In each shard the words of the names form a trie; each word is taken through it with a
-Levenshtein automaton, which lists its neighbours within a bounded distance, and names whose words
-are neighbours are compared under all orders of their words.
+The distinct words of all names go through a trie join (``tries``): two words that are spellings of
+one another get a key in common. Names are then candidates for one another where they share such a
+key beside other evidence (an identifier, a telephone, a place), and candidates are compared under
+all assignments of their words, whatever their order.
 """
 
 from __future__ import annotations
@@ -16,11 +16,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loomsift.functions.text import WS_CHARS, bare, blank_like
 from loomsift.llm.mojibake import ALPHABET, CLEAN, Sequences
 from loomsift.llm.spelling import edits, plain, sound
+from loomsift.llm.tries import bound, keyed
 from loomsift.operators.components import components
 from loomsift.session import checkpointed, partitions
 
@@ -31,8 +31,8 @@ NICKNAMES = {
     "jackie": "jacqueline", "bob": "robert", "rob": "robert", "bill": "william", "will": "william", "liz": "elizabeth", "beth": "elizabeth", "betty": "elizabeth", "lizzy": "elizabeth", "peggy": "margaret", "maggie": "margaret", "meg": "margaret",
     "dick": "richard", "rick": "richard", "kate": "catherine", "cathy": "catherine", "kathy": "catherine", "chris": "christopher", "tina": "christine", "steve": "stephen", "mike": "michael", "mick": "michael", "tony": "anthony", "jim": "james", "jimmy": "james",
     "joe": "joseph", "dan": "daniel", "dave": "david", "nick": "nicholas", "ben": "benjamin", "vicky": "victoria", "becky": "rebecca", "patty": "patricia", "trish": "patricia", "pat": "patricia", "dot": "dorothy", "dolly": "dorothy", "flo": "florence",
-    "sue": "susan", "suzy": "susan", "tim": "timothy", "geoff": "geoffrey", "jeff": "geoffrey", "jon": "jonathan", "john": "jonathan", "sam": "samuel", "pete": "peter", "ken": "kennedy", "manu": "emmanuel", "emma": "emmanuel", "alex": "alexander",
-    "josie": "josephine", "jo": "josephine", "winnie": "winfred", "vero": "veronica", "ronnie": "veronica", "mo": "mohamed", "moha": "mohamed", "abdi": "abdullahi", "abdu": "abdullahi", "fatma": "fatuma", "kip": "kiprono", "bea": "beatrice", "trixie": "beatrice", "prisca": "priscilla", "cilla": "priscilla", "maggy": "magdalene", "magda": "magdalene", "lena": "magdalene", "raph": "raphael", "nzoki": "nzoki", "phil": "philip", "greg": "gregory", "vin": "vincent", "vinny": "vincent", "charlie": "charles", "chuck": "charles", "frank": "francis", "fran": "francis", "grace": "grace", "joy": "joyce",
+    "sue": "susan", "suzy": "susan", "tim": "timothy", "geoff": "geoffrey", "jeff": "geoffrey", "jon": "jonathan", "sam": "samuel", "pete": "peter", "ken": "kennedy", "manu": "emmanuel", "emma": "emmanuel", "alex": "alexander",
+    "josie": "josephine", "jo": "josephine", "winnie": "winfred", "vero": "veronica", "ronnie": "veronica", "mo": "mohamed", "moha": "mohamed", "abdi": "abdullahi", "abdu": "abdullahi", "fatma": "fatuma", "kip": "kiprono", "bea": "beatrice", "trixie": "beatrice", "prisca": "priscilla", "cilla": "priscilla", "maggy": "magdalene", "magda": "magdalene", "lena": "magdalene", "raph": "raphael", "phil": "philip", "greg": "gregory", "vin": "vincent", "vinny": "vincent", "charlie": "charles", "chuck": "charles", "frank": "francis", "fran": "francis", "joy": "joyce",
 }
 #: The words that tell an organisation's kind, each with what is typed for it.
 KINDS = {
@@ -44,12 +44,14 @@ KINDS = {
 #: Short names of whole kinds.
 ACRONYMS = {"shg": ("self", "help", "group"), "sacco": ("savings", "credit", "society"), "tti": ("technical", "training", "institute"), "vtc": ("vocational", "training", "centre"), "cbo": ("community",), "ttc": ("teachers", "training", "college")}
 FILLERS = frozenset("the of and branch main hq kenya head office ke for".split())
-#: A shard of more names than this is split by pieces of the names, and then into pairs of blocks.
+#: Words beside a place's name.
+PLACE_WORDS = frozenset("sc sub county near ward constituency of the".split())
+#: More candidates than this are cut into blocks, each two of which meet; the result doesn't depend on it.
 SHARD = 400
+#: A word is frequent if it makes up one in so many names, so there are few of them.
+FREQUENT = 400
 #: Identifiers of a row; two rows of one person never differ in them where both have one.
 IDENTIFIERS = ("nid", "mail", "phone")
-#: Rows that share identifiers are settled in one go up to this number.
-GROUP = 2000
 
 _KIND_OF = {typed: kind for kind, others in KINDS.items() for typed in (kind, *others)}
 _INNER = re.compile("['\u2019.]")
@@ -61,80 +63,14 @@ _COOP = re.compile("(?i)\\bco-op\\b")
 _TOKEN = re.compile("(?:[^\\W_]|\ufffd)+")
 
 
-def bound(n: int) -> int:
-    """Edits allowed in a word of ``n`` letters."""
-    return 0 if n < 3 else 1 if n < 6 else 2 if n < 11 else 3
-
-
-class Trie:
-    """Words by letters; a Levenshtein automaton is run down its branches."""
-
-    def __init__(self) -> None:
-        self.root: dict = {}
-
-    def add(self, word: str, value: object) -> None:
-        node = self.root
-        for ch in word:
-            node = node.setdefault(ch, {})
-        node.setdefault("", []).append(value)
-
-    def near(self, word: str, most: int) -> Iterator[tuple[object, int]]:
-        """(value, distance) of the words within ``most`` edits, a swap of neighbours being one.
-
-        The automaton's states are the rows of distances to all beginnings of ``word``; a branch
-        whose row exceeds the bound everywhere is left.
-        """
-        n = len(word)
-        stack = [(self.root, "", None, list(range(n + 1)))]
-        while stack:
-            node, last, before, row = stack.pop()
-            for ch, child in node.items():
-                if ch == "":
-                    if row[n] <= most:
-                        for value in child:
-                            yield value, row[n]
-                    continue
-                left = row[0] + 1
-                new = [left]
-                for j in range(n):
-                    w = word[j]
-                    d = row[j] if w == ch or ch == "\ufffd" or w == "\ufffd" else row[j] + 1
-                    if row[j + 1] < d:
-                        d = row[j + 1] + 1
-                    if left < d:
-                        d = left + 1
-                    if j and before is not None and w == last and word[j - 1] == ch and before[j - 1] + 1 < d:
-                        d = before[j - 1] + 1
-                    new.append(d)
-                    left = d
-                if min(new) <= most:
-                    stack.append((child, ch, row, new))
-
-
-class Near:
-    """The trie of one shard's words and, for each word that is asked for, its neighbours by the automaton."""
-
-    def __init__(self, heard: Sequence[str]) -> None:
-        self.heard, self.trie = heard, None
-        self.found: dict[str, set[str]] = {}
-
-    def of(self, word: str) -> set[str]:
-        near = self.found.get(word)
-        if near is None:
-            if self.trie is None:
-                self.trie = Trie()
-                for w in self.heard:
-                    self.trie.add(w, w)
-            near = self.found[word] = {w for w, _ in self.trie.near(word, bound(len(word)))}
-        return near
-
-
 class Parser:
     """Names to words: garbled letters restored, accents and titles dropped."""
 
     def __init__(self) -> None:
         self.sequences: Sequences | None = None
         self.kinds: dict[str, str | None] = {}
+        self.places: dict[str, str] = {}
+        self.sounds: dict[str, list[str]] = {}
 
     def kind(self, word: str) -> str | None:
         """``_kind_of`` with a memory, as kind words are few."""
@@ -161,8 +97,30 @@ class Parser:
         kept = [w for w in all_words if w not in TITLES]
         return tuple(kept or all_words)
 
-
-def stands_for(a: str, b: str, near: Near | None = None) -> int:
+    def place(self, name: str | None) -> str | None:
+        """A place as it sounds, without words that belong to no name; null for none."""
+        if name is None:
+            return None
+        if name not in self.places:
+            if len(self.places) > 200_000:
+                self.places.clear()
+            all_words = self.split(name)
+            self.places[name] = " ".join(map(sound, [w for w in all_words if w not in PLACE_WORDS and not w.isdigit()] or all_words))
+        return None if self.places[name] in ("", "nul") else self.places[name]
+
+    def heard(self, words: Sequence[str]) -> list[str]:
+        """The words as they sound, each once, with what nicknames stand for; initials are left out."""
+        out = set()
+        for w in words:
+            if w not in self.sounds:
+                if len(self.sounds) > 200_000:
+                    self.sounds.clear()
+                self.sounds[w] = [sound(x) for x in (w, NICKNAMES.get(w)) if x and len(x) > 1]
+            out.update(self.sounds[w])
+        return sorted(out)
+
+
+def stands_for(a: str, b: str) -> int:
     """How the word ``a`` stands for ``b`` or the other way round: 3 spelling, 2 short form, 1 initial, 0 not."""
     if a == b:
         return 3
@@ -173,13 +131,12 @@ def stands_for(a: str, b: str, near: Near | None = None) -> int:
     x, y = sound(a), sound(b)
     if x == y:
         return 3
-    most = bound(min(len(a), len(b)))
+    most = bound(max(len(x), len(y)))
     if most:
-        if near is not None and (y in near.of(x) or x in near.of(y)):
-            return 3
-        if near is None and edits(x, y, most) <= most:
+        if edits(x, y, most) <= most:
             return 3
         if len(x) != len(a) or len(y) != len(b):  # letters that sound alike may hide a slip
+            most = bound(min(len(a), len(b)))
             if edits(a, b, most) <= most:
                 return 3
     if len(a) >= 3 and (b.startswith(a) or (len(x) >= 3 and y.startswith(x))):
@@ -193,36 +150,68 @@ def stands_for(a: str, b: str, near: Near | None = None) -> int:
     return 0
 
 
-def fits(a: Sequence[str], b: Sequence[str], near: Near | None = None) -> tuple[int, int, int]:
+def assigned(score: Sequence[Sequence[int]]) -> tuple[int, int]:
+    """The best assignment of rows to different columns: (how many, of these with a score above 1), the first counting most.
+
+    By augmenting paths of greatest gain, for names of any length; for a few words it is the same
+    as trying all orders.
+    """
+    n, m = len(score), len(score[0]) if score else 0
+    if n <= 3 and m <= 3:
+        best = (0, 0)
+        for order in itertools.permutations(range(m), n):
+            got = [score[i][j] for i, j in enumerate(order)]
+            best = max(best, (sum(s > 0 for s in got), sum(s > 1 for s in got)))
+        return best
+    # shortest augmenting paths over costs; n <= m, an edge of score 0 costs nothing and counts nothing
+    cost = [[-(s > 0) * (n + 1) - (s > 1) for s in row] for row in score]
+    u, v, match, way = [0] * (n + 1), [0] * (m + 1), [0] * (m + 1), [0] * (m + 1)
+    for i in range(1, n + 1):
+        match[0], j0 = i, 0
+        least, used = [float("inf")] * (m + 1), [False] * (m + 1)
+        while True:
+            used[j0] = True
+            i0, delta, j1 = match[j0], float("inf"), 0
+            for j in range(1, m + 1):
+                if not used[j]:
+                    c = cost[i0 - 1][j - 1] - u[i0] - v[j]
+                    if c < least[j]:
+                        least[j], way[j] = c, j0
+                    if least[j] < delta:
+                        delta, j1 = least[j], j
+            for j in range(m + 1):
+                if used[j]:
+                    u[match[j]] += delta
+                    v[j] -= delta
+                else:
+                    least[j] -= delta
+            j0 = j1
+            if not match[j0]:
+                break
+        while j0:
+            match[j0], j0 = match[way[j0]], way[j0]
+    got = [score[match[j] - 1][j - 1] for j in range(1, m + 1) if match[j]]
+    return sum(s > 0 for s in got), sum(s > 1 for s in got)
+
+
+def fits(a: Sequence[str], b: Sequence[str]) -> tuple[int, int, int]:
     """The best assignment of the shorter name's words to different words of the longer one, in any order.
 
     Gives (words assigned, of these spellings or short forms, words of the shorter left over).
     """
     if len(a) > len(b):
         a, b = b, a
-    score = [[stands_for(x, y, near) for y in b] for x in a]
-    best = (0, 0)
-    if len(a) <= 4 and len(b) <= 6:
-        for order in itertools.permutations(range(len(b)), len(a)):
-            got = [score[i][j] for i, j in enumerate(order)]
-            best = max(best, (sum(s > 0 for s in got), sum(s > 1 for s in got)))
-    else:  # long names: greedy, best matches first
-        free_a, free_b, n, strong = set(range(len(a))), set(range(len(b))), 0, 0
-        for s, i, j in sorted(((score[i][j], i, j) for i in range(len(a)) for j in range(len(b)) if score[i][j]), key=lambda t: (-t[0], t[1], t[2])):
-            if i in free_a and j in free_b:
-                free_a.discard(i)
-                free_b.discard(j)
-                n, strong = n + 1, strong + (s > 1)
-        best = (n, strong)
+    best = assigned([[stands_for(x, y) for y in b] for x in a])
     left = len(a) - best[0]
-    if left and len(a) < len(b) <= 4:  # words typed together
+    if left and len(a) < len(b):  # words typed together, from any of them on, forwards or backwards
         whole = "".join(a)
-        if abs(len(whole) - sum(map(len, b))) <= 3 and any(edits(whole, "".join(p), bound(len(whole))) <= bound(len(whole)) for p in itertools.permutations(b)):
+        most = bound(len(whole))
+        if abs(len(whole) - sum(map(len, b))) <= most and any(edits(whole, "".join(p[i:] + p[:i]), most) <= most for p in (b, b[::-1]) for i in range(len(b))):
             return len(a), len(a), 0
     return best[0], best[1], left
 
 
-def person_match(a: tuple[str, ...], b: tuple[str, ...], sure: bool, near: Near | None = None) -> bool:
+def person_match(a: tuple[str, ...], b: tuple[str, ...], sure: bool) -> bool:
     """Whether two names may be one person's; ``sure`` if an identifier says so already."""
     if not a or not b:
         return sure
@@ -231,7 +220,7 @@ def person_match(a: tuple[str, ...], b: tuple[str, ...], sure: bool, near: Near
         return True
     if len(same) >= 2 and len(same) >= min(len(a), len(b)):
         return True
-    n, strong, left = fits(a, b, near)
+    n, strong, left = fits(a, b)
     if sure:
         return n >= 1 and (strong >= 1 or left == 0)
     if left or not strong:
@@ -272,7 +261,7 @@ def organisation(parser: Parser, name: str) -> tuple[tuple[str, ...], frozenset[
     return tuple(own), frozenset(kinds)
 
 
-def organisation_match(a: tuple[tuple[str, ...], frozenset[str]], b: tuple[tuple[str, ...], frozenset[str]], near: Near | None = None) -> bool:
+def organisation_match(a: tuple[tuple[str, ...], frozenset[str]], b: tuple[tuple[str, ...], frozenset[str]]) -> bool:
     """Whether two names may be one organisation's: own words alike and kinds that don't contradict."""
     if not a[0] or not b[0]:
         return a[0] == b[0] and a[1] == b[1]
@@ -281,85 +270,48 @@ def organisation_match(a: tuple[tuple[str, ...], frozenset[str]], b: tuple[tuple
     long = [tuple(w for w in x[0] if len(w) > 5) or x[0] for x in (a, b)]  # shorter ones beside them are slips in kind words
     if long[0] == long[1]:
         return True
-    n, strong, left = fits(*long, near)
+    n, strong, left = fits(*long)
     return (not left and strong == n and len(long[0]) == len(long[1])) or "".join(a[0]) == "".join(b[0])
 
 
-def pieces(name_words: Sequence[str]) -> list[str]:
-    """Parts of a name that spelling slips leave whole: ends and consonants of its longest words."""
-    heard = sorted({sound(w) for w in name_words if len(w) > 3} or {sound(w) for w in name_words}, key=lambda w: (-len(w), w))[:3]
-    out = set()
-    for w in heard:
-        out |= {f"<{w[:4]}", f"{w[-4:]}>", "".join(ch for ch in w if ch not in "aeiou")}
-    return sorted(out)
-
-
-def _short_forms(name_words: Sequence[str]) -> set[tuple[str, str]]:
-    """What a word shares with its short forms, cut ends with a slip, and words typed together; for no words a key of its own."""
-    out = set() if name_words else {("", "")}
-    for w in {*name_words, *(NICKNAMES[w] for w in name_words if w in NICKNAMES)}:
-        for v in {w, sound(w)}:
-            if len(v) > 2:
-                out |= {("<", v[:3]), (">", v[-3:])}
-            out |= {(v[0], v[i : i + 2]) for i in (2, 3, 4) if len(v) >= max(5, i + 1)}
-    return out
-
-
-def linked(entries: Sequence[dict], same: Callable[[dict, dict, Near], bool], also: Callable[[dict], Sequence[object]] = lambda e: (), words: str = "words") -> Iterator[tuple[int, int]]:
-    """Trie join of one shard: positions of entries that are the same.
-
-    The words of all entries go into a trie under their sound. Each entry's words are traced
-    through it; entries with a neighbouring word, one that may be its short form, or an equal value
-    of ``also``, are compared.
-    In a shard of two or three entries all of them are, and the trie is asked only about words
-    that differ.
-    """
-    heard = [{sound(w) for w in e[words] if len(w) > 1} for e in entries]
-    near = Near(sorted(set().union(*heard))) if heard else Near(())
-    if len(entries) <= 3:
-        yield from (p for p in itertools.combinations(range(len(entries)), 2) if same(entries[p[0]], entries[p[1]], near))
-        return
-    at: dict[object, list[int]] = {}
-    keys = [[*(("", v) for v in also(e)), *_short_forms(e[words])] for e in entries]
-    for i in range(len(entries)):
-        for v in (*heard[i], *keys[i]):
-            at.setdefault(v, []).append(i)
-    for i, e in enumerate(entries):
-        found = {j for w in heard[i] for n in near.of(w) for j in at.get(n, ()) if j > i}
-        found.update(j for v in keys[i] for j in at[v] if j > i)
-        for j in sorted(found):
-            if same(e, entries[j], near):
-                yield i, j
-
-
-def bounded_shards(rows: DataFrame, key: str, spread: Column, limit: int = SHARD) -> DataFrame:
-    """``key`` and ``members`` (structs of the other columns): every two rows of a key meet in some shard.
+def bounded_shards(rows: DataFrame, key: str, spread: Column, limit: int | None = None, size: str | None = None) -> DataFrame:
+    """``members`` (structs of the other columns and ``side``): every two rows of a key meet in exactly one shard.
 
     A key with up to ``limit`` rows is one shard. One with more is cut into blocks by ``spread``,
-    and each two blocks make a shard, so no shard holds more than some twice ``limit`` rows and no
-    pair is lost.
+    and each two blocks make a shard, in which rows of different ``side`` meet (0: all meet), so
+    no shard holds more than some twice ``limit`` rows and no pair is lost. ``size`` names a column
+    with the rows of the key, if it is known.
     """
-    cols = [c for c in rows.columns if c != key]
-    sizes = rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
-    sized = rows.join(sizes, key).withColumn("_m", F.ceil(F.col("_n") / limit).cast("int"))
-    block = F.pmod(spread, F.col("_m")).cast("int")
-    pair = F.transform(F.sequence(F.lit(0), F.col("_m") - 1), lambda o: F.struct(F.least(block, o).alias("x"), F.greatest(block, o).alias("y")))
-    whole = F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))
-    spreaded = sized.withColumn("_p", F.explode(F.when(F.col("_m") > 1, pair).otherwise(whole)))
-    return spreaded.groupBy(key, "_p").agg(F.collect_list(F.struct(*cols)).alias("members")).select(key, "members")
-
-
-def _edges(shards: DataFrame, join: Callable[[Sequence[dict], Parser], Iterator[tuple[int, int]]], carry: Sequence[str] = ()) -> DataFrame:
+    limit = limit or SHARD
+    cols = [c for c in rows.columns if c not in (key, size)]
+    if size is None:
+        size = "_n"
+        rows = rows.join(rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1"), key)
+    cut = F.ceil(F.col(size) / limit).cast("int")
+    sized = rows.withColumn("_m", cut).withColumn("_b", F.pmod(spread, F.col("_m")).cast("int"))
+    part = lambda o: F.struct(F.least("_b", o).alias("x"), F.greatest("_b", o).alias("y"), F.when(o == F.col("_b"), 0).when(o > F.col("_b"), 1).otherwise(2).alias("side"))
+    spreaded = sized.withColumn("_p", F.explode(F.transform(F.sequence(F.lit(0), F.col("_m") - 1), part)))
+    return spreaded.groupBy(key, "_p.x", "_p.y").agg(F.collect_list(F.struct(*cols, F.col("_p.side").alias("side"))).alias("members")).where(F.size("members") > 1).select("members")
+
+
+def _meeting(members: Sequence[dict]) -> Iterator[tuple[dict, dict]]:
+    """The pairs of a shard that are to be compared."""
+    for i, a in enumerate(members):
+        side = a["side"]
+        for b in members[i + 1 :]:
+            if not side or side != b["side"]:
+                yield a, b
+
+
+def _edges(shards: DataFrame, join: Callable[[Sequence[dict]], Iterator[tuple[dict, dict]]], carry: Sequence[str] = ()) -> DataFrame:
     """Links (a, b) of the shards' members by their ``node``; of both ends also the numbers named in ``carry``."""
     names = ["a", "b", *(f"{c}_{s}" for s in "ab" for c in carry)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = Parser()
         for batch in batches:
             out: list[list[int | None]] = [[] for _ in names]
             for members in batch.column(0).to_pylist():
-                for i, j in join(members, parser):
-                    x, y = members[i], members[j]
+                for x, y in join(members):
                     for col, value in zip(out, (x["node"], y["node"], *(x[c] for c in carry), *(y[c] for c in carry)), strict=True):
                         col.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
@@ -443,19 +395,29 @@ def _differ(a: dict, b: dict, names: Sequence[str]) -> bool:
     return any(a[n] is not None and b[n] is not None and a[n] != b[n] and not (n == "nid" and _same_number(a[n], b[n])) for n in names)
 
 
-def _same_person(a: dict, b: dict, near: Near) -> bool:
+
+def _same_person(a: dict, b: dict) -> bool:
     if _agree(a, b, ("nid", "mail")):
-        return person_match(a["words"], b["words"], True, near)
+        return person_match(a["words"], b["words"], True)
     if _differ(a, b, IDENTIFIERS) or (a["age"] is not None and b["age"] is not None and abs(a["age"] - b["age"]) > 2):
         return False
-    return bool(a["words"] and b["words"]) and person_match(a["words"], b["words"], False, near)
+    return bool(a["words"] and b["words"]) and person_match(a["words"], b["words"], False)
 
 
-def _join_rows(members: Sequence[dict], parser: Parser) -> Iterator[tuple[int, int]]:
-    """Links of rows that share identifiers."""
-    for m in members:
-        m["words"] = parser.person(m["name"]) if m["name"] else ()
-    yield from linked(members, _same_person, lambda m: [v for v in (m["nid"], m["mail"]) if v is not None])
+def _join_group(members: Sequence[dict]) -> Iterator[tuple[dict, dict]]:
+    """Links of rows that share identifiers, among those with a key in common: one of a word, an identity number or an address."""
+    at: dict[object, list[int]] = {}
+    for i, m in enumerate(members):
+        for k in {*m["keys"], ("nid", m["nid"]), ("mail", m["mail"])} - {("nid", None), ("mail", None)}:
+            at.setdefault(k, []).append(i)
+    for i, j in sorted({p for same in at.values() for p in itertools.combinations(same, 2)}):
+        if _same_person(members[i], members[j]):
+            yield members[i], members[j]
+
+
+def _join_key(members: Sequence[dict]) -> Iterator[tuple[dict, dict]]:
+    """The same for a shard of rows that have one such key in common."""
+    return (p for p in _meeting(members) if _same_person(*p))
 
 
 def _united(known: Mapping[int, Sequence[int | None]], links: Iterable[tuple[int, int]]) -> dict[int, int]:
@@ -484,16 +446,15 @@ def _united(known: Mapping[int, Sequence[int | None]], links: Iterable[tuple[int
     return {n: find(n) for n in known}
 
 
-def _roots(members: Sequence[dict], parser: Parser) -> list[int]:
+def _roots(members: Sequence[dict]) -> dict[int, int]:
     """The smallest node of each member's person within one group; equal profiles are joined once."""
     profiles: dict[tuple, list[dict]] = {}
     for m in members:
         profiles.setdefault((m["bare"], m["nid"], m["mail"], m["phone"]), []).append(m)
     least = lambda same, n: min((m[n] for m in same if m[n] is not None), default=None)
-    firsts = {p: same[0] | {n: least(same, n) for n in ("node", "name", "age")} for p, same in profiles.items()}
-    each = sorted(firsts.values(), key=lambda m: m["node"])
-    person = _united({m["node"]: [m[n] for n in IDENTIFIERS] for m in each}, [(each[i]["node"], each[j]["node"]) for i, j in _join_rows(each, parser)])
-    return [person[firsts[m["bare"], m["nid"], m["mail"], m["phone"]]["node"]] for m in members]
+    firsts = [(same, same[0] | {n: least(same, n) for n in ("node", "words", "keys", "age")}) for same in profiles.values()]
+    person = _united({m["node"]: [m[n] for n in IDENTIFIERS] for _, m in firsts}, [(a["node"], b["node"]) for a, b in _join_group([m for _, m in firsts])])
+    return {m["node"]: person[first["node"]] for same, first in firsts for m in same}
 
 
 def _settled(profiles: DataFrame, edges: DataFrame) -> DataFrame:
@@ -534,159 +495,174 @@ def _one_spot(a: dict, b: dict) -> bool:
     return ages and not (a["village"] and b["village"]) and not (a["ward"] and b["ward"]) and agree("sub", 2)
 
 
-def _same_place(a: dict, b: dict, near: Near) -> bool:
+def _same_place(a: dict, b: dict) -> bool:
     """Names alike at one spot; where neither village nor ward says so, the very words of the names must agree."""
-    if not _one_spot(a, b):
+    if not (a["met"] or b["met"]) or not _one_spot(a, b):
         return False
     if not (a["village"] and b["village"]) and not (a["ward"] and b["ward"]) and (len(a["words"]) < 2 or sorted(map(sound, a["words"])) != sorted(map(sound, b["words"]))):
         return False
-    return person_match(a["words"], b["words"], False, near)
+    return person_match(a["words"], b["words"], False)
 
 
-def _join_places(members: Sequence[dict], parser: Parser) -> Iterator[tuple[int, int]]:
-    """Links of one shard. Names are taken apart only if some two of a small shard's persons may be one by all else."""
-    if len(members) <= 8 and not any(_one_spot(a, b) for a, b in itertools.combinations(members, 2)):
-        return
-    for m in members:
-        m["words"] = parser.person(m["name"])
-    yield from linked(members, _same_place)
+def _join_place(members: Sequence[dict]) -> Iterator[tuple[dict, dict]]:
+    return (p for p in _meeting(members) if _same_place(*p))
 
 
-#: Titles as ``_name_words`` hears them.
-_TITLES_HEARD = sorted({re.sub(r"(.)\1+", r"\1", w.translate(str.maketrans("cwyjzq", "kuigsk"))) for w in TITLES})
+def evidence_groups(keys: DataFrame) -> DataFrame:
+    """``keys`` (``id``, ``nid``, ``mail``, ``phone``; numbers) with ``grp``, equal for those that share an identifier, directly or through others.
 
+    Only numbers are shuffled. Rows of one identity number are one node; the links that mail
+    addresses and telephones add between nodes, few beside the rows, go through ``components``.
+    """
+    # minima are pre-aggregated and joined back: a hot number sends one row a task
+    first = keys.where("nid IS NOT NULL").groupBy("nid").agg(F.min("id").alias("c"))
+    own = keys.join(first, "nid", "left").withColumn("c1", F.coalesce("c", "id")).drop("c")
+    by = own.select("c1", F.explode(F.array_compact(F.array(F.when(F.col("mail").isNotNull(), F.xxhash64(F.lit("m"), "mail")), F.when(F.col("phone").isNotNull(), F.xxhash64(F.lit("p"), "phone"))))).alias("k"))
+    links = by.join(by.groupBy("k").agg(F.min("c1").alias("least")), "k").where("c1 <> least").select(F.col("c1").alias("a"), F.col("least").alias("b")).distinct()
+    found = components(links)
+    return own.join(found.withColumnRenamed("node", "c1"), "c1", "left").select(*keys.columns, F.coalesce("component", "c1").alias("grp"))
 
-def _name_words(name: Column) -> Column:
-    """The words of a name, as they sound roughly, by built-in functions."""
-    flat = F.translate(F.lower(F.translate(name, "ÀÁÂÃÄÅÈÉÊËÌÍÎÏĨÒÓÔÕÖÙÚÛÜŨÇÑ", "AAAAAAEEEEIIIIIOOOOOUUUUUCN")), "àáâãäåèéêëìíîïĩòóôõöùúûüũçñcwyjzq_,.-", "aaaaaaeeeeiiiiiooooouuuuucnkuigsk    ")
-    heard = F.regexp_replace(F.replace(F.replace(F.replace(flat, F.lit("ph"), F.lit("f")), F.lit("oo"), F.lit("u")), F.lit("x"), F.lit("ks")), r"(.)\1+", "$1")
-    return F.filter(F.split(heard, " +"), lambda w: (F.length(w) > 1) & ~w.isin(*_TITLES_HEARD))
 
+_NONE = "array<bigint>"
 
-def _halves(words: Column) -> Column:
-    """Both ends of each word: four letters, and two where the word is short, so that one slip in it leaves an end whole."""
-    ends = lambda w, n: F.array(F.concat(F.lit("<"), F.left(w, F.lit(n))), F.concat(F.right(w, F.lit(n)), F.lit(">")))
-    both = lambda w: F.concat(*(F.when(c, ends(w, n)).otherwise(F.array().cast("array<string>")) for n, c in ((4, F.length(w) >= 5), (2, F.length(w) <= 6))))
-    return F.array_distinct(F.flatten(F.transform(words, both)))
 
+def _parsed(raw: DataFrame) -> DataFrame:
+    """``raw`` with its name as ``words``, as ``heard`` words, and its places as they sound."""
+    kept = [c for c in raw.columns if c not in ("name", "village", "ward", "sub")]
+    schema = ", ".join(f"{n} {t}" for n, t in raw.select(*kept).dtypes) + ", words array<string>, heard array<string>, village string, ward string, sub string"
 
-def _place(c: Column) -> Column:
-    """The beginning of a place name, as it sounds roughly: what is compared, and short."""
-    s = F.replace(F.lower(F.btrim(c, F.lit(WS_CHARS + "'\"();,."))), F.lit("oo"), F.lit("u"))
-    s = F.left(F.translate(s, "àáâãäåèéêëìíîïĩòóôõöùúûüũçñcwyjzq_ ", "aaaaaaeeeeiiiiiooooouuuuucnkuigsk"), F.lit(10))
-    return F.nullif(F.nullif(s, F.lit("")), F.lit("null"))
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parser = Parser()
+        for batch in batches:
+            words = [parser.person(n) if n else () for n in batch.column("name").to_pylist()]
+            places = [pa.array(map(parser.place, batch.column(c).to_pylist()), pa.string()) for c in ("village", "ward", "sub")]
+            lists = [pa.array(x, pa.list_(pa.string())) for x in (words, map(parser.heard, words))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *lists, *places], [*kept, "words", "heard", "village", "ward", "sub"])
+
+    return raw.mapInArrow(parse, schema)
 
 
-def _place_keys(one: DataFrame) -> DataFrame:
-    """Keys ``k`` of each ``profile`` of a person ``node`` by place, piece of the name and age.
+def _vocabulary(words: DataFrame) -> DataFrame:
+    """``word``, its number ``n`` and the hashes of its ``keys`` for a table of words."""
+    counts = checkpointed(words.where("word <> ''").groupBy("word").agg(F.count("*").alias("n")))
+    return checkpointed(keyed(counts).select("word", "n", F.transform("keys", lambda k: F.xxhash64(k)).alias("keys")))
 
-    ``met``: the key is worth a shard by this profile.
+
+def _row_keys(base: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``id`` with its words' keys: ``must``, and ``weak`` ones.
+
+    Keys of frequent words are weak in a name without initials that also has a word that isn't
+    frequent: two such names that are variants share another key too, so two weak ones need not
+    be compared.
     """
-    one = one.withColumn("parts", _name_words(F.col("name")))
-    none = F.array().cast("array<string>")
-    tagged = lambda n: F.transform(F.coalesce(_halves(F.array(n)), none), lambda e: F.concat(F.lit(n[0]), e))
-    places, pieces_of = F.concat(tagged("village"), tagged("ward")), F.coalesce(_halves(F.col("parts")), none)
-    # ages that differ by one share one of these
-    ages = F.array_distinct(F.array(F.floor(F.col("age") / 2), F.floor((F.col("age") + 1) / 2)))
-    spots = F.flatten(F.transform(pieces_of, lambda p: F.transform(places, lambda s: F.xxhash64(p, s))))
-    one = one.withColumn("spots", spots)
-    aged = F.flatten(F.transform("spots", lambda s: F.transform(ages, lambda y: F.xxhash64(s, y))))
-    # by the sub-county alone only the very words of a name count, and both ages are needed
-    worded = F.when(F.size("parts") > 0, F.flatten(F.transform(tagged("sub"), lambda s: F.transform(ages, lambda y: F.xxhash64(F.array_join(F.array_sort("parts"), " "), s, y)))))
-    nothing = F.array().cast("array<bigint>")
-    known = F.when(F.col("age").isNotNull(), F.concat(aged, F.coalesce(worded, nothing))).otherwise(nothing)
-    # the keys without an age are for pairs of which one lacks it: two with ages meet by those with one
-    hashes = F.concat(F.transform(known, lambda k: F.struct(k.alias("k"), F.lit(True).alias("met"))), F.transform("spots", lambda k: F.struct(k.alias("k"), F.col("age").isNull().alias("met"))))
-    return one.select("node", "profile", F.explode(hashes).alias("h")).select("node", "profile", "h.*")
+    names = base.where("bare IS NOT NULL").count()
+    tokens = base.select("id", F.exists("words", lambda w: F.length(w) == 1).alias("initial"), F.explode("heard").alias("word")).join(vocabulary, "word")
+    listed = tokens.groupBy("id").agg(F.max("initial").alias("initial"), F.collect_list(F.struct((F.col("n") * FREQUENT >= names).alias("often"), "keys")).alias("t"))
+    weak = F.when(~F.col("initial") & F.exists("t", lambda t: ~t["often"]), F.filter("t", lambda t: t["often"])).otherwise(F.filter("t", lambda _: F.lit(False)))
+    keys = lambda c: F.array_distinct(F.flatten(F.transform(c, lambda t: t["keys"])))
+    return listed.select("id", keys(F.array_except("t", weak)).alias("must"), keys(weak).alias("weak"))
+
+
+def _by_identifiers(base: DataFrame, keys: DataFrame) -> DataFrame:
+    """``base``'s numbers with ``person``: rows that share identifiers and whose names are variants."""
+    groups = checkpointed(evidence_groups(base.select("id", "bare", "look", "nid", "mail", "phone")))
+    # a group of one name, or of rows without names, is one person
+    mixed = checkpointed(groups.groupBy("grp").agg(F.count("*").alias("n"), F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select("grp", "n"))
+    rows = groups.drop("look").join(mixed, "grp").join(base.select("id", "words", "age"), "id").join(keys.select("id", F.concat("must", "weak").alias("keys")), "id", "left")
+    rows = rows.withColumn("keys", F.coalesce("keys", F.array().cast(_NONE))).withColumnRenamed("id", "node")
+    fields = ["node", "bare", "nid", "mail", "phone", "age", "words", "keys"]
+    small = rows.where(F.col("n") <= SHARD).groupBy("grp").agg(F.collect_list(F.struct(*fields)).alias("members"))
 
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            person: dict[int, int] = {}
+            for members in batch.column(0).to_pylist():
+                person |= _roots(members)
+            yield pa.RecordBatch.from_arrays([pa.array(person.keys(), pa.int64()), pa.array(person.values(), pa.int64())], ["id", "person"])
 
-def evidence_groups(keys: DataFrame) -> DataFrame:
-    """Rows (``id``, ``nid``, ``mail``, ``phone``; numbers) with ``grp``, equal for those that share an identifier, directly or through others.
+    settled = small.select("members").mapInArrow(settle, "id bigint, person bigint")
+    if not mixed.where(F.col("n") > SHARD).isEmpty():  # the same for groups of any size: candidates meet by one key at a time
+        large = rows.where(F.col("n") > SHARD)
+        same = ["grp", "bare", "nid", "mail", "phone"]
+        first = checkpointed(large.groupBy(*same).agg(*(F.min(c).alias(c) for c in ("node", "words", "keys", "age"))))
+        key = lambda n: F.when(F.col(n).isNotNull(), F.xxhash64(F.lit(n), "grp", n))
+        parts = F.concat(F.transform("keys", lambda k: F.xxhash64("grp", k)), F.array_compact(F.array(key("nid"), key("mail"))))
+        shards = bounded_shards(first.select("node", "words", "nid", "mail", "phone", "age", F.explode(parts).alias("k")), "k", F.xxhash64("node"))
+        whole = _settled(first.select("node", *IDENTIFIERS), checkpointed(_edges(shards, _join_key).distinct()))
+        firsts = first.select(*(F.col(n).alias(f"_{n}") for n in same), F.col("node").alias("first"))
+        alike = F.lit(True)
+        for n in same:
+            alike = alike & F.col(n).eqNullSafe(F.col(f"_{n}"))
+        settled = settled.unionByName(large.join(firsts, alike).join(whole, "first", "left").select(F.col("node").alias("id"), F.coalesce("settled", "first").alias("person")))
+    return checkpointed(groups.join(settled, "id", "left").select("id", "bare", "look", "nid", "mail", "phone", F.coalesce("person", "grp").alias("person")))
 
-    Only numbers are shuffled. Rows of one identity number are one node; the links that mail
-    addresses and telephones add between nodes, few beside the rows, go through ``components``.
+
+def _spots(base: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``spot`` (a place as stored) with hashes by which places that are spellings of one another meet: ``spots`` by village and ward, ``wide`` by sub-county."""
+    places = base.where("bare IS NOT NULL").groupBy("spot").agg(*(F.first(c).alias(c) for c in ("village", "ward", "sub")))
+    for c in ("village", "ward", "sub"):
+        tagged = F.transform("keys", lambda k: F.xxhash64(F.lit(c), k)).alias(f"{c}_keys")  # noqa: B023
+        places = places.join(vocabulary.select(F.col("word").alias(c), tagged), c, "left").withColumn(f"{c}_keys", F.coalesce(f"{c}_keys", F.array().cast(_NONE)))
+    return places.select("spot", F.concat("village_keys", "ward_keys").alias("spots"), F.col("sub_keys").alias("wide"))
+
+
+def _by_place(base: DataFrame, keys: DataFrame, vocabulary: DataFrame, member: DataFrame) -> DataFrame:
+    """``node`` and ``component`` of persons without a common identifier that are one by name, place and age.
+
+    A person stands there with each name, age and place that one of its rows has, and with its
+    identifiers. Profiles are candidates if they share a word's key at a place. Keys are counted
+    with partial aggregation first, and those go no further by which no two persons can be linked:
+    one person only, all with a telephone, all with an address, or weak keys only.
     """
-    # minima are pre-aggregated and joined back: a hot number sends one row a task
-    first = keys.where("nid IS NOT NULL").groupBy("nid").agg(F.min("id").alias("c"))
-    own = keys.join(first, "nid", "left").withColumn("c1", F.coalesce("c", "id")).drop("c")
-    by = own.select("c1", F.explode(F.array_compact(F.array(F.when(F.col("mail").isNotNull(), F.xxhash64(F.lit("m"), "mail")), F.when(F.col("phone").isNotNull(), F.xxhash64(F.lit("p"), "phone"))))).alias("k"))
-    links = by.join(by.groupBy("k").agg(F.min("c1").alias("least")), "k").where("c1 <> least").select(F.col("c1").alias("a"), F.col("least").alias("b")).distinct()
-    found = components(links)
-    return own.join(found.withColumnRenamed("node", "c1"), "c1", "left").select("id", "nid", "mail", "phone", F.coalesce("component", "c1").alias("grp"))
+    known_by = member.groupBy("person").agg(*(F.max(n).alias(n) for n in IDENTIFIERS))
+    profiles = member.where("bare IS NOT NULL").groupBy("person", "look").agg(F.min("id").alias("id")).select("id", "person")
+    placed = base.where("bare IS NOT NULL AND coalesce(village, ward, sub) IS NOT NULL").select("id", "words", "age", "village", "ward", "sub", "spot", F.xxhash64("heard").alias("hh"))
+    one = placed.join(profiles, "id").join(keys, "id", "left").join(known_by, "person").join(_spots(base, vocabulary), "spot")
+    one = checkpointed(one.withColumnsRenamed({"id": "profile", "person": "node"}).drop("spot"))
+    none = F.array().cast("array<struct<k:bigint,met:boolean,mask:int>>")
+    has = lambda c, bit: F.when(F.col(c).isNotNull(), bit).otherwise(0)
+    mask = has("mail", 1) + has("phone", 2)
+    by = lambda c, met: F.flatten(F.transform(F.coalesce(c, F.array().cast(_NONE)), lambda k: F.transform("spots", lambda s: F.struct(F.xxhash64(k, s).alias("k"), F.lit(met).alias("met"), mask.alias("mask")))))
+    # by the sub-county alone only the very words of a name count, and both ages are needed
+    wide = F.when(F.col("age").isNotNull() & (F.size("words") > 1), F.transform("wide", lambda s: F.struct(F.xxhash64("hh", s).alias("k"), F.lit(True).alias("met"), (mask + has("village", 4) + has("ward", 8)).alias("mask"))))
+    spread = one.select("profile", "node", F.explode(F.concat(by("must", True), by("weak", False), F.coalesce(wide, none))).alias("h")).select("profile", "node", "h.*")
+    several = spread.groupBy("k").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_and("mask").alias("mask"), F.max("met").alias("some")).where("lo <> hi AND mask = 0 AND some").select("k", "n")
+    near = spread.select("k", "profile", "met").join(several, "k")
+    shards = bounded_shards(near.join(one.drop("must", "weak", "spots", "wide", "hh"), "profile"), "k", F.xxhash64("profile"), size="n")
+    return components(unambiguous(checkpointed(_edges(shards, _join_place, IDENTIFIERS).distinct())))
 
 
 def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_col: str = "national_id", mail_col: str = "email", user_col: str = "username", phone_col: str = "phone_number", age_col: str = "age", village_col: str = "village", ward_col: str = "ward", sub_col: str = "sub_county") -> DataFrame:
     """``id``, ``bare`` (a hash of the bare text) and ``person`` (the smallest id of its rows) of each row with a name.
 
-    Rows are candidates for one person if they share an identity number, the front part of a mail
-    address or user name, or a telephone number, or else a place and a piece of the name. Candidates
-    become one person if the trie join finds their names to be variants and nothing contradicts:
-    different identity numbers, addresses, telephones or ages.
+    The distinct words of all names and places go through the trie join. Rows are candidates for
+    one person if they share an identity number, the front part of a mail address or user name, or
+    a telephone number, or else a place, and beside it a key of their names' words (or the number
+    or address itself). Candidates become one person if their names are variants and nothing
+    contradicts: different identity numbers, addresses, telephones or ages.
 
     * Rows without a name can connect others by identifiers but are not returned; blank-like names
       count as none. Ids are expected to be unique and not negative; a null id is left out.
-    * Groups of candidates are small unless an identifier is shared by very many rows; such a group
-      is cut into shards of bounded size by identifiers and pieces of the names, each two blocks of
-      which meet (see ``bounded_shards``), and what their links connect is settled by the same rule.
+    * Groups of candidates of any size are settled by the same rule: small ones in one go, large ones
+      in shards by one key each, cut into blocks each two of which meet (see ``bounded_shards``).
     """
     c = lambda n: F.col(f"`{n}`").cast("string")
     # each step is a projection of its own: what a later one uses twice is worked out once
     raw = df.where(F.col(f"`{id_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").cast("bigint").alias("id"), c(name_col).alias("name"), digits_key(c(nid_col)).cast("bigint").alias("nid"), mail_key(c(mail_col), c(user_col)).alias("mail"), phone9(c(phone_col)).cast("bigint").alias("phone"),
-        whole_years(c(age_col)).alias("age"), _place(c(village_col)).alias("village"), _place(c(ward_col)).alias("ward"), _place(F.regexp_replace(c(sub_col), r"^[^A-Za-z]*(?:(?:SC|sc|near)\b[^A-Za-z]*)?", "")).alias("sub"),
+        whole_years(c(age_col)).alias("age"), c(village_col).alias("village"), c(ward_col).alias("ward"), c(sub_col).alias("sub"),
     )
+    raw = raw.withColumn("bare", F.nullif(F.nullif(bare(F.col("name")), F.lit("")), F.lit("null")))
     hashed = lambda n: F.when(F.col(n).isNotNull(), F.xxhash64(n)).alias(n)
-    groups = checkpointed(evidence_groups(raw.select("id", "nid", hashed("mail"), "phone")))
-    rows = raw.withColumn("bare", F.nullif(F.nullif(bare(F.col("name")), F.lit("")), F.lit("null")))
-    rows = rows.select("id", F.when(F.col("bare").isNotNull(), F.col("name")).alias("name"), hashed("bare"), "age", "village", "ward", "sub")
-    joined = rows.join(groups, "id").withColumnRenamed("id", "node")
-    fields = ["node", "name", "bare", "nid", "mail", "phone", "age", "village", "ward", "sub"]
-    sizes = groups.groupBy("grp").agg(F.count("*").alias("n")).where(f"n > {GROUP}").select("grp")
-    hot = checkpointed(sizes)
-    if not hot.isEmpty():
-        large, joined = joined.join(hot, "grp"), joined.join(hot, "grp", "left_anti")
-    listed = joined.groupBy("grp").agg(F.collect_list(F.struct(*fields)).alias("members"), F.min("bare").alias("lo"), F.max("bare").alias("hi"))
-    alone = listed.where("lo IS NULL OR lo = hi").select(F.explode("members").alias("m"), F.col("grp").alias("person")).select("m.*", "person")
-    schema = alone.schema
-
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = Parser()
-        used = ("node", "name", "bare", "nid", "mail", "phone", "age")
-        for batch in batches:
-            flat = batch.column(0).flatten()  # columns that decide nothing pass through as they are
-            rows = [dict(zip(used, values, strict=True)) for values in zip(*(flat.field(n).to_pylist() for n in used), strict=True)]
-            person: list[int] = []
-            for size in pc.list_value_length(batch.column(0)).to_pylist():
-                person += _roots(rows[len(person) : len(person) + size], parser)
-            yield pa.RecordBatch.from_arrays([*(flat.field(n) for n in fields), pa.array(person, pa.int64())], [*fields, "person"])
-
-    member = alone.unionByName(listed.where("lo <> hi").select("members").mapInArrow(settle, schema))
-    if not hot.isEmpty():
-        first = large.groupBy("grp", "bare", "nid", "mail", "phone").agg(F.min("node").alias("node"), F.min("name").alias("name"), F.min("age").alias("age"))
-        key = lambda n: F.when(F.col(n).isNotNull(), F.xxhash64(F.lit(n), "grp", n))
-        parts = F.concat(F.transform(F.coalesce(_halves(_name_words(F.col("name"))), F.array().cast("array<string>")), lambda p: F.xxhash64("grp", p)), F.array_compact(F.array(key("nid"), key("mail"))))
-        shards = bounded_shards(first.select("node", "name", "nid", "mail", "phone", "age", F.explode(parts).alias("k")), "k", F.xxhash64("node"))
-        whole = _settled(first.select("node", *IDENTIFIERS), checkpointed(_edges(shards, _join_rows).distinct()))
-        same = ["grp", "bare", "nid", "mail", "phone"]
-        firsts = first.select(*(F.col(n).alias(f"_{n}") for n in same), F.col("node").alias("first"))
-        alike = F.lit(True)
-        for n in same:
-            alike = alike & F.col(n).eqNullSafe(F.col(f"_{n}"))
-        member = member.unionByName(large.join(firsts, alike).join(whole, "first", "left").select(*fields, F.coalesce("settled", "first").alias("person")))
-    member = checkpointed(member)
-    # second round: persons without a common identifier, by place and piece of the name
-    # a person stands there with each name, age and place that one of its rows has, and with its identifiers
-    named = member.where("name IS NOT NULL")
-    known_by = named.groupBy(F.col("person").alias("node")).agg(*(F.max(n).alias(n) for n in IDENTIFIERS))
-    profiles = named.where("coalesce(village, ward, sub) IS NOT NULL").groupBy(F.col("person").alias("node"), "bare", "age", "village", "ward", "sub").agg(F.min("node").alias("profile"), F.min("name").alias("name")).drop("bare")
-    one = checkpointed(profiles.join(known_by, "node"))
-    keys = _place_keys(one)
-    w = Window.partitionBy("k")
-    near = keys.withColumns({"lo": F.min("node").over(w), "hi": F.max("node").over(w), "some": F.max("met").over(w)}).where("lo <> hi AND some").select("k", "profile")
-    shards = bounded_shards(near.join(one, "profile"), "k", F.xxhash64("profile"))
-    links = unambiguous(checkpointed(_edges(shards, _join_places, IDENTIFIERS).distinct()))
-    merged = components(links).withColumnRenamed("node", "person").withColumnRenamed("component", "whole")
-    return member.where("bare IS NOT NULL").select("node", "bare", "person").join(merged, "person", "left").select(F.col("node").alias("id"), "bare", F.coalesce("whole", "person").alias("person"))
+    raw = raw.select("id", F.when(F.col("bare").isNotNull(), F.col("name")).alias("name"), hashed("bare"), "nid", hashed("mail"), "phone", "age", "village", "ward", "sub")
+    texts = [F.coalesce(c, F.lit("")) for c in ("village", "ward", "sub")]
+    base = checkpointed(_parsed(raw).withColumn("spot", F.xxhash64(*texts)).withColumn("look", F.xxhash64("bare", F.coalesce("age", F.lit(-1)), "spot")))
+    words = base.where("bare IS NOT NULL").select(F.explode(F.concat("heard", F.array_compact(F.array("village", "ward", "sub")))).alias("word"))
+    vocabulary = _vocabulary(words)
+    keys = checkpointed(_row_keys(base, vocabulary))
+    member = _by_identifiers(base, keys)
+    merged = _by_place(base, keys, vocabulary, member).withColumnRenamed("node", "person").withColumnRenamed("component", "whole")
+    return member.where("bare IS NOT NULL").select("id", "bare", "person").join(merged, "person", "left").select("id", "bare", F.coalesce("whole", "person").alias("person"))
 
 
 def different_pairs(df: DataFrame, group: str) -> DataFrame:
@@ -698,7 +674,7 @@ def different_pairs(df: DataFrame, group: str) -> DataFrame:
     return a.join(b, group).where("id_a < id_b AND ba <> bb").select("id_a", "id_b")
 
 
-_SPELLING = pa.schema([("node", pa.int64()), ("words", pa.list_(pa.string())), ("kinds", pa.list_(pa.string())), ("k", pa.string())])
+_SPELLING = pa.schema([("node", pa.int64()), ("words", pa.list_(pa.string())), ("kinds", pa.list_(pa.string())), ("heard", pa.list_(pa.string())), ("letters", pa.list_(pa.string())), ("initial", pa.bool_())])
 
 
 def spellings(df: DataFrame, name_col: str, id_col: str = "id", phone_col: str | None = None) -> DataFrame:
@@ -711,8 +687,8 @@ def spellings(df: DataFrame, name_col: str, id_col: str = "id", phone_col: str |
     ``unambiguous``). Without ``phone_col`` they are organisations' names: their own words must be
     alike and their kinds must not contradict.
 
-    Only distinct spellings go further. They are sharded by pieces of their words, in shards of
-    bounded size.
+    Only distinct spellings go further. Their distinct words go through the trie join; spellings
+    with a key in common (persons: keys of two words, or of a word and an initial) are candidates.
     """
     v = F.col(f"`{name_col}`").cast("string")
     rows = df.where(~blank_like(v) & F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.trim(v).alias("name"), bare(v).alias("bare"), (phone9(F.col(f"`{phone_col}`").cast("string")) if phone_col else F.lit(None).cast("string")).alias("phone"))
@@ -726,27 +702,43 @@ def spellings(df: DataFrame, name_col: str, id_col: str = "id", phone_col: str |
             out: list[dict] = []
             for node, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own, kinds = (parser.person(name), ()) if people else organisation(parser, name)
-                row = {"node": node, "words": list(own), "kinds": sorted(kinds)}
-                out += [row | {"k": p} for p in (None, *pieces(own or tuple(parser.split(name))))]
+                out.append({"node": node, "words": list(own), "kinds": sorted(kinds), "heard": parser.heard(own or parser.split(name)), "letters": sorted({sound(w)[0] for w in own}), "initial": any(len(w) == 1 for w in own)})
             yield pa.RecordBatch.from_pylist(out, schema=_SPELLING)
 
-    cuts = checkpointed(each.select("node", "name").repartition(partitions(df.sparkSession)).mapInArrow(cut, "node bigint, words array<string>, kinds array<string>, k string"))
+    cuts = checkpointed(each.select("node", "name").repartition(partitions(df.sparkSession)).mapInArrow(cut, "node bigint, words array<string>, kinds array<string>, heard array<string>, letters array<string>, initial boolean"))
+    tokens = cuts.select("node", F.explode("heard").alias("word")).join(_vocabulary(cuts.select(F.explode("heard").alias("word"))), "word")
+    listed = tokens.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("word", "keys"))).alias("t"))
+    whole = F.array(F.xxhash64(F.array_join("words", "")), F.xxhash64(F.array_join(F.reverse("words"), "")))  # words typed together
+    sure = lambda c: F.transform(c, lambda k: F.struct(k.cast("string").alias("k"), F.lit(True).alias("met")))
+    if people:
+        pair = lambda x, y: F.xxhash64(F.least(x, y), F.greatest(x, y))
+        others = lambda t: F.filter("t", lambda o: o["word"] != t["word"])
+        two = F.flatten(F.transform("t", lambda t: F.flatten(F.transform(others(t), lambda o: F.flatten(F.transform(t["keys"], lambda x: F.transform(o["keys"], lambda y: pair(x, y))))))))
+        # a word and a letter: only for pairs of which one has an initial
+        one = F.flatten(F.transform("t", lambda t: F.flatten(F.transform(t["keys"], lambda x: F.transform("letters", lambda y: F.struct(F.xxhash64(x, y).cast("string").alias("k"), F.col("initial").alias("met")))))))
+        single = F.when(F.size("words") == 1, F.flatten(F.transform("t", lambda t: t["keys"]))).otherwise(F.array().cast(_NONE))
+        parts = F.concat(sure(F.concat(two, single, whole)), one)
+    else:
+        parts = sure(F.concat(F.flatten(F.transform("t", lambda t: t["keys"])), whole))
+    by_word = cuts.join(listed, "node").withColumn("p", F.explode(F.array_distinct(parts))).select("node", "words", "kinds", "p.k", "p.met", F.lit(None).cast("string").alias("number"))
     # one number alone tells whose spelling it is; of several each is a key, but none tells
     told = each.select("node", F.when(F.col("lo") == F.col("hi"), F.col("lo")).cast("bigint").alias("phone"), F.col("lo").isNotNull().alias("numbered"))
     numbers = rows.where("phone IS NOT NULL").join(each.select("bare", "node"), "bare").select("node", F.col("phone").alias("number"))
-    by_piece = cuts.where("k IS NOT NULL").withColumn("number", F.lit(None).cast("string"))
-    by_number = cuts.where("k IS NULL").join(numbers, "node").select("node", "words", "kinds", F.concat(F.lit("tel "), "number").alias("k"), "number")
-    shards = bounded_shards(by_piece.unionByName(by_number).join(told, "node"), "k", F.xxhash64("node"))
+    by_number = cuts.join(numbers, "node").select("node", "words", "kinds", F.concat(F.lit("tel "), "number").alias("k"), F.lit(True).alias("met"), "number")
+    keyed_by = checkpointed(by_word.unionByName(by_number))
+    several = keyed_by.groupBy("k").agg(F.count("*").alias("n"), F.max("met").alias("some")).where("n > 1 AND some").select("k", "n")
+    shards = bounded_shards(keyed_by.join(several, "k").join(told, "node"), "k", F.xxhash64("node"), size="n")
 
-    def same_organisation(a: dict, b: dict, near: Near) -> bool:
-        return organisation_match((tuple(a["words"]), frozenset(a["kinds"])), (tuple(b["words"]), frozenset(b["kinds"])), near)
+    def same_organisation(a: dict, b: dict) -> bool:
+        return organisation_match((tuple(a["words"]), frozenset(a["kinds"])), (tuple(b["words"]), frozenset(b["kinds"])))
 
-    def same_trainer(a: dict, b: dict, near: Near) -> bool:
+    def same_trainer(a: dict, b: dict) -> bool:
         shared = a["number"] is not None  # all of the shard have it; spellings that share a number meet there
-        return (shared or not (a["numbered"] and b["numbered"])) and person_match(a["words"], b["words"], shared, near)
+        return (shared or not (a["numbered"] and b["numbered"])) and person_match(a["words"], b["words"], shared)
 
-    def join(members: Sequence[dict], parser: Parser) -> Iterator[tuple[int, int]]:
-        yield from linked(members, same_trainer if people else same_organisation, lambda m: [m["number"]] if m["number"] else [])
+    def join(members: Sequence[dict]) -> Iterator[tuple[dict, dict]]:
+        same = same_trainer if people else same_organisation
+        return ((a, b) for a, b in _meeting(members) if (a["met"] or b["met"]) and same(a, b))
 
     edges = checkpointed(_edges(shards, join, ("phone",)).distinct())
     if people:
