@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions.text import WS_CHARS, bare, blank_like
 from loomsift.llm.mojibake import ALPHABET, CLEAN, Sequences
+from loomsift.llm.sieve import sieved
 from loomsift.llm.spelling import edits, plain, sound
 from loomsift.llm.tries import bound, keyed
 from loomsift.operators.components import components
@@ -524,6 +525,8 @@ def evidence_groups(keys: DataFrame) -> DataFrame:
 
 
 _NONE = "array<bigint>"
+#: Words up to this number go to each task with their keys, some 100 bytes each; with more, rows meet their words' keys by a join.
+SENT = 300_000
 
 
 def _parsed(raw: DataFrame) -> DataFrame:
@@ -542,34 +545,90 @@ def _parsed(raw: DataFrame) -> DataFrame:
     return raw.mapInArrow(parse, schema)
 
 
-def _vocabulary(words: DataFrame) -> DataFrame:
-    """``word``, its number ``n`` and the hashes of its ``keys`` for a table of words."""
-    counts = checkpointed(words.where("word <> ''").groupBy("word").agg(F.count("*").alias("n")))
-    return checkpointed(keyed(counts).select("word", "n", F.transform("keys", lambda k: F.xxhash64(k)).alias("keys")))
+class Vocabulary:
+    """The distinct words of some text columns and lists of texts, with the keys that the trie join gives them."""
 
+    def __init__(self, df: DataFrame, texts: Sequence[str] = (), lists: Sequence[str] = ()) -> None:
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for c in range(batch.num_columns):
+                    words = batch.column(c)
+                    counted = pc.value_counts(words.flatten() if pa.types.is_list(words.type) else words)
+                    yield pa.RecordBatch.from_arrays([counted.field(0).cast(pa.string()), counted.field(1)], ["word", "n"])
 
-def _row_keys(base: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``id`` with its words' keys: ``must``, and ``weak`` ones.
+        counted = df.select(*lists, *texts).mapInArrow(count, "word string, n bigint")
+        counts = checkpointed(counted.where("word <> ''").groupBy("word").agg(F.sum("n").alias("n")))
+        number = counts.count()
+        #: ``word``, ``n`` and the hashes of its ``keys``.
+        self.table = checkpointed(keyed(counts, number).select("word", "n", F.transform("keys", lambda k: F.xxhash64(k)).alias("keys")))
+        self.sent = df.sparkSession.sparkContext.broadcast({w: (n, k) for w, n, k in self.table.collect()}) if number <= SENT else None
+
+
+def _split_keys(found: Sequence[tuple[int, Sequence[int]]], initial: bool, names: int) -> tuple[set[int], set[int]]:
+    """Keys that must be met, and weak ones, of a name whose words have these numbers and keys.
 
     Keys of frequent words are weak in a name without initials that also has a word that isn't
     frequent: two such names that are variants share another key too, so two weak ones need not
     be compared.
     """
-    names = base.where("bare IS NOT NULL").count()
-    tokens = base.select("id", F.exists("words", lambda w: F.length(w) == 1).alias("initial"), F.explode("heard").alias("word")).join(vocabulary, "word")
+    rare = {k for n, keys in found if n * FREQUENT < names for k in keys}
+    often = {k for n, keys in found if n * FREQUENT >= names for k in keys} - rare
+    return (rare, often) if rare and not initial else (rare | often, set())
+
+
+def with_keys(df: DataFrame, vocabulary: Vocabulary, names: int) -> DataFrame:
+    """``df`` (with ``words``, ``heard``, ``village``, ``ward``, ``sub`` and a unique ``id``) with ``must`` and ``weak`` keys of its names, and ``spots`` (by village and ward) and ``wide`` (by sub-county) of its places.
+
+    Places that are spellings of one another have one of these in common, as words have a key.
+    """
+    if vocabulary.sent is not None:
+        known, schema = vocabulary.sent, ", ".join(f"{n} {t}" for n, t in df.dtypes)
+
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            of = known.value
+            for batch in batches:
+                out: tuple[list, ...] = ([], [], [], [])
+                columns = (batch.column(c).to_pylist() for c in ("heard", "words", "village", "ward", "sub"))
+                for heard, words, village, ward, sub in zip(*columns, strict=True):
+                    must, weak = _split_keys([of[w] for w in heard], any(len(w) == 1 for w in words), names)
+                    spots = [*_tagged(of[village][1], "village"), *_tagged(of[ward][1] if ward else (), "ward")] if village else _tagged(of[ward][1], "ward") if ward else ()
+                    for col, v in zip(out, (list(must), list(weak), spots, _tagged(of[sub][1], "sub") if sub else ()), strict=True):
+                        col.append(v)
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.list_(pa.int64())) for c in out)], [*batch.schema.names, "must", "weak", "spots", "wide"])
+
+        return df.mapInArrow(look_up, schema + ", " + ", ".join(f"{c} {_NONE}" for c in ("must", "weak", "spots", "wide")))
+    none = F.array().cast(_NONE)
+    tokens = df.select("id", F.exists("words", lambda w: F.length(w) == 1).alias("initial"), F.explode("heard").alias("word")).join(vocabulary.table, "word")
     listed = tokens.groupBy("id").agg(F.max("initial").alias("initial"), F.collect_list(F.struct((F.col("n") * FREQUENT >= names).alias("often"), "keys")).alias("t"))
-    weak = F.when(~F.col("initial") & F.exists("t", lambda t: ~t["often"]), F.filter("t", lambda t: t["often"])).otherwise(F.filter("t", lambda _: F.lit(False)))
-    keys = lambda c: F.array_distinct(F.flatten(F.transform(c, lambda t: t["keys"])))
-    return listed.select("id", keys(F.array_except("t", weak)).alias("must"), keys(weak).alias("weak"))
+    keys = lambda often: F.array_distinct(F.flatten(F.transform(F.filter("t", lambda t: t["often"] == often), lambda t: t["keys"])))
+    split = listed.select("id", "initial", keys(False).alias("rare"), F.array_except(keys(True), keys(False)).alias("often"))
+    divided = ~F.col("initial") & (F.size("rare") > 0)
+    out = df.join(split.select("id", F.when(divided, F.col("rare")).otherwise(F.concat("rare", "often")).alias("must"), F.when(divided, F.col("often")).otherwise(none).alias("weak")), "id", "left")
+    for c in ("village", "ward", "sub"):
+        tagged = F.transform("keys", lambda k: k.bitwiseXOR(F.lit(TAGS[c]))).alias(f"_{c}")  # noqa: B023
+        out = out.join(vocabulary.table.select(F.col("word").alias(c), tagged), c, "left")
+    full = lambda c: F.coalesce(c, none)
+    return out.select(*df.columns, full("must").alias("must"), full("weak").alias("weak"), F.concat(full("_village"), full("_ward")).alias("spots"), full("_sub").alias("wide"))
+
+
+#: Numbers by which keys of the same word in different columns differ.
+TAGS = {"village": 0x5851F42D4C957F2D, "ward": 0x14057B7EF767814F, "sub": 0x2545F4914F6CDD1D}
 
 
-def _by_identifiers(base: DataFrame, keys: DataFrame) -> DataFrame:
+def _tagged(keys: Sequence[int], column: str) -> list[int]:
+    tag = TAGS[column]
+    return [k ^ tag for k in keys]
+
+
+def _by_identifiers(base: DataFrame, vocabulary: Vocabulary, names: int) -> DataFrame:
     """``base``'s numbers with ``person``: rows that share identifiers and whose names are variants."""
     groups = checkpointed(evidence_groups(base.select("id", "bare", "look", "nid", "mail", "phone")))
     # a group of one name, or of rows without names, is one person
-    mixed = checkpointed(groups.groupBy("grp").agg(F.count("*").alias("n"), F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select("grp", "n"))
-    rows = groups.drop("look").join(mixed, "grp").join(base.select("id", "words", "age"), "id").join(keys.select("id", F.concat("must", "weak").alias("keys")), "id", "left")
-    rows = rows.withColumn("keys", F.coalesce("keys", F.array().cast(_NONE))).withColumnRenamed("id", "node")
+    mixed = groups.groupBy("grp").agg(F.count("*").alias("n"), F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select("grp", "n")
+    rows = checkpointed(groups.drop("look").join(mixed, "grp"))
+    texts = sieved(base.select("id", "words", "heard", "age"), F.col("id"), rows, "id").join(rows, "id")
+    nowhere = [F.lit(None).cast("string").alias(c) for c in ("village", "ward", "sub")]
+    rows = with_keys(texts.select("*", *nowhere), vocabulary, names).withColumn("keys", F.concat("must", "weak")).withColumnRenamed("id", "node")
     fields = ["node", "bare", "nid", "mail", "phone", "age", "words", "keys"]
     small = rows.where(F.col("n") <= SHARD).groupBy("grp").agg(F.collect_list(F.struct(*fields)).alias("members"))
 
@@ -581,7 +640,7 @@ def _by_identifiers(base: DataFrame, keys: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(person.keys(), pa.int64()), pa.array(person.values(), pa.int64())], ["id", "person"])
 
     settled = small.select("members").mapInArrow(settle, "id bigint, person bigint")
-    if not mixed.where(F.col("n") > SHARD).isEmpty():  # the same for groups of any size: candidates meet by one key at a time
+    if not rows.where(F.col("n") > SHARD).isEmpty():  # the same for groups of any size: candidates meet by one key at a time
         large = rows.where(F.col("n") > SHARD)
         same = ["grp", "bare", "nid", "mail", "phone"]
         first = checkpointed(large.groupBy(*same).agg(*(F.min(c).alias(c) for c in ("node", "words", "keys", "age"))))
@@ -597,16 +656,44 @@ def _by_identifiers(base: DataFrame, keys: DataFrame) -> DataFrame:
     return checkpointed(groups.join(settled, "id", "left").select("id", "bare", "look", "nid", "mail", "phone", F.coalesce("person", "grp").alias("person")))
 
 
-def _spots(base: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``spot`` (a place as stored) with hashes by which places that are spellings of one another meet: ``spots`` by village and ward, ``wide`` by sub-county."""
-    places = base.where("bare IS NOT NULL").groupBy("spot").agg(*(F.first(c).alias(c) for c in ("village", "ward", "sub")))
-    for c in ("village", "ward", "sub"):
-        tagged = F.transform("keys", lambda k: F.xxhash64(F.lit(c), k)).alias(f"{c}_keys")  # noqa: B023
-        places = places.join(vocabulary.select(F.col("word").alias(c), tagged), c, "left").withColumn(f"{c}_keys", F.coalesce(f"{c}_keys", F.array().cast(_NONE)))
-    return places.select("spot", F.concat("village_keys", "ward_keys").alias("spots"), F.col("sub_keys").alias("wide"))
+def _met_at(one: DataFrame) -> DataFrame:
+    """``k``, ``met``, ``mask`` of each ``profile`` of a person ``node``: the keys by which it meets others at a place.
 
+    ``mask`` says what it has: a link needs two profiles of which not both have it.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: tuple[list, ...] = ([], [], [], [])
+            columns = (batch.column(c).to_pylist() for c in ("must", "weak", "spots", "wide", "hh", "mask"))
+            for row, (must, weak, spots, wide, hh, mask) in enumerate(zip(*columns, strict=True)):
+                before = len(out[0])
+                low = mask & 3
+                for keys, met in ((must, True), (weak, False)):
+                    out[0].extend([_mixed(k, s) for k in keys for s in spots])
+                    out[1].extend([met] * (len(keys) * len(spots)))
+                out[2].extend([low] * (len(out[0]) - before))
+                if hh is not None and wide:
+                    out[0].extend([_mixed(hh, s) for s in wide])
+                    out[1].extend([True] * len(wide))
+                    out[2].extend([mask] * len(wide))
+                out[3].extend([row] * (len(out[0]) - before))
+            at = pa.array(out[3], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("profile").take(at), batch.column("node").take(at), pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.int32())], ["profile", "node", "k", "met", "mask"])
+
+    has = lambda c, bit: F.when(F.col(c).isNotNull(), bit).otherwise(0)
+    # by the sub-county alone only the very words of a name count, and both ages are needed
+    very = F.when(F.col("age").isNotNull() & (F.size("words") > 1), F.xxhash64("heard")).alias("hh")
+    mask = (has("mail", 1) + has("phone", 2) + has("village", 4) + has("ward", 8)).alias("mask")
+    return one.select("profile", "node", "must", "weak", "spots", "wide", very, mask).mapInArrow(spread, "profile bigint, node bigint, k bigint, met boolean, mask int")
 
-def _by_place(base: DataFrame, keys: DataFrame, vocabulary: DataFrame, member: DataFrame) -> DataFrame:
+
+def _mixed(a: int, b: int) -> int:
+    """A 63-bit number of two."""
+    return ((a * 0x2127599BF4325C37) ^ (b * 0x61C8864680B583EB)) * 0x9E3779B97F4A7C15 >> 17 & 0x7FFFFFFFFFFFFFFF
+
+
+def _by_place(base: DataFrame, vocabulary: Vocabulary, names: int, member: DataFrame) -> DataFrame:
     """``node`` and ``component`` of persons without a common identifier that are one by name, place and age.
 
     A person stands there with each name, age and place that one of its rows has, and with its
@@ -615,20 +702,16 @@ def _by_place(base: DataFrame, keys: DataFrame, vocabulary: DataFrame, member: D
     one person only, all with a telephone, all with an address, or weak keys only.
     """
     known_by = member.groupBy("person").agg(*(F.max(n).alias(n) for n in IDENTIFIERS))
-    profiles = member.where("bare IS NOT NULL").groupBy("person", "look").agg(F.min("id").alias("id")).select("id", "person")
-    placed = base.where("bare IS NOT NULL AND coalesce(village, ward, sub) IS NOT NULL").select("id", "words", "age", "village", "ward", "sub", "spot", F.xxhash64("heard").alias("hh"))
-    one = placed.join(profiles, "id").join(keys, "id", "left").join(known_by, "person").join(_spots(base, vocabulary), "spot")
-    one = checkpointed(one.withColumnsRenamed({"id": "profile", "person": "node"}).drop("spot"))
-    none = F.array().cast("array<struct<k:bigint,met:boolean,mask:int>>")
-    has = lambda c, bit: F.when(F.col(c).isNotNull(), bit).otherwise(0)
-    mask = has("mail", 1) + has("phone", 2)
-    by = lambda c, met: F.flatten(F.transform(F.coalesce(c, F.array().cast(_NONE)), lambda k: F.transform("spots", lambda s: F.struct(F.xxhash64(k, s).alias("k"), F.lit(met).alias("met"), mask.alias("mask")))))
-    # by the sub-county alone only the very words of a name count, and both ages are needed
-    wide = F.when(F.col("age").isNotNull() & (F.size("words") > 1), F.transform("wide", lambda s: F.struct(F.xxhash64("hh", s).alias("k"), F.lit(True).alias("met"), (mask + has("village", 4) + has("ward", 8)).alias("mask"))))
-    spread = one.select("profile", "node", F.explode(F.concat(by("must", True), by("weak", False), F.coalesce(wide, none))).alias("h")).select("profile", "node", "h.*")
+    profiles = member.where("bare IS NOT NULL").groupBy("person", "look").agg(F.min("id").alias("id"))
+    placed = base.where("bare IS NOT NULL AND coalesce(village, ward, sub) IS NOT NULL").select("id", "words", "heard", "age", "village", "ward", "sub")
+    joined = placed.join(profiles.join(known_by, "person").drop("look"), "id")
+    one = checkpointed(with_keys(joined, vocabulary, names).withColumnsRenamed({"id": "profile", "person": "node"}))
+    spread = _met_at(one)
     several = spread.groupBy("k").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_and("mask").alias("mask"), F.max("met").alias("some")).where("lo <> hi AND mask = 0 AND some").select("k", "n")
-    near = spread.select("k", "profile", "met").join(several, "k")
-    shards = bounded_shards(near.join(one.drop("must", "weak", "spots", "wide", "hh"), "profile"), "k", F.xxhash64("profile"), size="n")
+    several = checkpointed(several)
+    near = checkpointed(sieved(spread.select("k", "profile", "met"), F.col("k"), several, "k").join(several, "k"))
+    texts = sieved(one.select("profile", "node", "words", "age", "village", "ward", "sub", *IDENTIFIERS), F.col("profile"), near, "profile")
+    shards = bounded_shards(near.join(texts, "profile"), "k", F.xxhash64("profile"), size="n")
     return components(unambiguous(checkpointed(_edges(shards, _join_place, IDENTIFIERS).distinct())))
 
 
@@ -656,12 +739,11 @@ def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_
     hashed = lambda n: F.when(F.col(n).isNotNull(), F.xxhash64(n)).alias(n)
     raw = raw.select("id", F.when(F.col("bare").isNotNull(), F.col("name")).alias("name"), hashed("bare"), "nid", hashed("mail"), "phone", "age", "village", "ward", "sub")
     texts = [F.coalesce(c, F.lit("")) for c in ("village", "ward", "sub")]
-    base = checkpointed(_parsed(raw).withColumn("spot", F.xxhash64(*texts)).withColumn("look", F.xxhash64("bare", F.coalesce("age", F.lit(-1)), "spot")))
-    words = base.where("bare IS NOT NULL").select(F.explode(F.concat("heard", F.array_compact(F.array("village", "ward", "sub")))).alias("word"))
-    vocabulary = _vocabulary(words)
-    keys = checkpointed(_row_keys(base, vocabulary))
-    member = _by_identifiers(base, keys)
-    merged = _by_place(base, keys, vocabulary, member).withColumnRenamed("node", "person").withColumnRenamed("component", "whole")
+    base = checkpointed(_parsed(raw).withColumn("look", F.xxhash64("bare", F.coalesce("age", F.lit(-1)), *texts)))
+    vocabulary = Vocabulary(base, ("village", "ward", "sub"), ("heard",))
+    names = base.where("bare IS NOT NULL").count()
+    member = _by_identifiers(base, vocabulary, names)
+    merged = _by_place(base, vocabulary, names, member).withColumnRenamed("node", "person").withColumnRenamed("component", "whole")
     return member.where("bare IS NOT NULL").select("id", "bare", "person").join(merged, "person", "left").select("id", "bare", F.coalesce("whole", "person").alias("person"))
 
 
@@ -706,7 +788,7 @@ def spellings(df: DataFrame, name_col: str, id_col: str = "id", phone_col: str |
             yield pa.RecordBatch.from_pylist(out, schema=_SPELLING)
 
     cuts = checkpointed(each.select("node", "name").repartition(partitions(df.sparkSession)).mapInArrow(cut, "node bigint, words array<string>, kinds array<string>, heard array<string>, letters array<string>, initial boolean"))
-    tokens = cuts.select("node", F.explode("heard").alias("word")).join(_vocabulary(cuts.select(F.explode("heard").alias("word"))), "word")
+    tokens = cuts.select("node", F.explode("heard").alias("word")).join(Vocabulary(cuts, lists=("heard",)).table, "word")
     listed = tokens.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("word", "keys"))).alias("t"))
     whole = F.array(F.xxhash64(F.array_join("words", "")), F.xxhash64(F.array_join(F.reverse("words"), "")))  # words typed together
     sure = lambda c: F.transform(c, lambda k: F.struct(k.cast("string").alias("k"), F.lit(True).alias("met")))

@@ -1,13 +1,15 @@
 """Trie join of distinct words: which words are spellings of one another.
 
 Words are sharded by letters that a spelling within the bound must share. Each shard's words form
-a trie; a Levenshtein automaton, as bit vectors, is run down its branches for each word that asks.
+a trie; the Levenshtein automata of the words that ask, as bit vectors, are run down its branches
+together, a level at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,11 +17,15 @@ from pyspark.sql import functions as F
 from loomsift.session import checkpointed, partitions
 
 #: A letter that was lost; it fits any letter.
-LOST = "�"
+LOST = "\ufffd"
 #: Words that ask one copy of a shard's trie; with more words, a shard is asked by several tasks.
-ASKING = 20_000
+ASKING = 50_000
+#: Words that go down a trie together.
+TOGETHER = 1_000
 #: Shortest word whose continuations count as its spellings.
 PREFIX = 4
+#: Letters of a word that fit the automaton's bit vectors; longer words are spelt one way only.
+LONGEST = 60
 
 
 def bound(n: int) -> int:
@@ -28,74 +34,101 @@ def bound(n: int) -> int:
 
 
 class Trie:
-    """Words by letters; a Levenshtein automaton is run down its branches."""
-
-    def __init__(self, words: Iterator[str] | list[str] = ()) -> None:
-        self.root: dict = {}
-        for w in words:
-            self.add(w)
-
-    def add(self, word: str) -> None:
-        node = self.root
-        for ch in word:
-            node = node.setdefault(ch, {})
-        node[""] = word
-
-    def near(self, word: str, most: int, half: int = 0, first: int = 0, edited: bool = False) -> Iterator[str]:
-        """The words within ``most`` edits of ``word``, a swap of neighbours being one.
-
-        The automaton's state is a bit vector for each number of edits, in which a bit stands for
-        the letters of ``word`` that are read; it is advanced by shifts and masks for each letter
-        of a branch, and a branch without a bit left is not followed. With ``half``, branches
-        that need more than ``first`` edits in so many first letters are left early; with
-        ``edited``, those that need none at the first letter.
+    """Words by letters: the children of each node stand side by side, level after level."""
+
+    def __init__(self, words: Sequence[str]) -> None:
+        self.words = sorted(set(words))
+        letters = sorted({ch for w in self.words for ch in w})
+        self.letter = {ch: i for i, ch in enumerate(letters)}
+        first, letter, word, begin = [0], [0], [-1], [(0, len(self.words), 0)]
+        at = 0
+        while at < len(begin):  # nodes in the order of levels; each is a range of the sorted words
+            lo, hi, depth = begin[at]
+            if lo < hi and len(self.words[lo]) == depth:
+                word[at] = lo
+                lo += 1
+            first[at] = len(begin)
+            while lo < hi:
+                ch, end = self.words[lo][depth], lo + 1
+                while end < hi and self.words[end][depth] == ch:
+                    end += 1
+                begin.append((lo, end, depth + 1))
+                first.append(0)
+                letter.append(self.letter[ch])
+                word.append(-1)
+                lo = end
+            at += 1
+        self.ranges = begin
+        self.first = np.array([*first, len(begin)], np.int64)
+        self.letters, self.word = np.array(letter, np.int64), np.array(word, np.int64)
+
+    def near(self, asked: Sequence[str], most: Sequence[int], half: Sequence[int] = (), first: Sequence[int] = (), edited: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(places in ``asked``, places in ``words``) of the words within so many edits, a swap of neighbours being one.
+
+        An automaton's state is a bit vector for each number of edits up to three, in which a bit
+        stands for the letters of its word that are read; shifts and masks take it over a letter
+        of a branch, and a branch without a bit left is not followed. With ``half``, branches that
+        need more than ``first`` edits in so many first letters are left early; with ``edited``,
+        those that need none at the first letter.
         """
-        n = len(word)
-        masks: dict[str, int] = {}
-        wild = 0
-        for i, ch in enumerate(word):
-            if ch == LOST:
-                wild |= 1 << i
-            else:
-                masks[ch] = masks.get(ch, 0) | 1 << i
-        full = (1 << (n + 1)) - 1
-        late = full & ~((1 << half) - 1)
-        a1, a2, a3 = (0 if d > most else full if d <= first or not half else late for d in (1, 2, 3))
-        a0, end = (0 if edited else full), 1 << n
-        stack = [(self.root, 1, 3 & a1, 7 & a2, 15 & a3, 0, 0, 0, 0)]
-        while stack:
-            # states for no edit up to three, those before the last letter (no more than two edits go on from there), and what it fits
-            node, o0, o1, o2, o3, p0, p1, p2, before = stack.pop()
-            before >>= 1
-            s0, s1, s2 = o0 | o0 << 1, o1 | o1 << 1, o2 | o2 << 1
-            for ch, child in node.items():
-                if ch == "":
-                    if (o0 | o1 | o2 | o3) & end:
-                        yield child
-                    continue
-                m = full if ch == LOST else masks.get(ch, 0) | wild
-                n0 = (o0 & m) << 1 & a0
-                n1 = ((o1 & m) << 1 | s0 | n0 << 1 | (p0 & m & before) << 2) & a1
-                n2 = ((o2 & m) << 1 | s1 | n1 << 1 | (p1 & m & before) << 2) & a2
-                n3 = ((o3 & m) << 1 | s2 | n2 << 1 | (p2 & m & before) << 2) & a3 if a3 else 0
-                if n0 or n1 or n2 or n3:
-                    stack.append((child, n0, n1, n2, n3, o0, o1, o2, m))
-
-    def continued(self, word: str) -> Iterator[str]:
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for at in range(0, len(asked), TOGETHER):
+            part = slice(at, at + TOGETHER)
+            found += [(q + at, w) for q, w in self._down(asked[part], most[part], half[part] or [0] * len(asked[part]), first[part] or [3] * len(asked[part]), edited)]
+        empty = np.empty(0, np.int64)
+        return (np.concatenate([q for q, _ in found]), np.concatenate([w for _, w in found])) if found else (empty, empty)
+
+    def _down(self, asked: Sequence[str], most: Sequence[int], half: Sequence[int], first: Sequence[int], edited: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        n = np.array([len(w) for w in asked], np.int64)
+        one = np.int64(1)
+        full = (one << (n + 1)) - 1
+        fits = np.zeros((len(asked), len(self.letter) + 1), np.int64)
+        for i, w in enumerate(asked):
+            for j, ch in enumerate(w):
+                if ch == LOST:
+                    fits[i] |= 1 << j
+                elif ch in self.letter:
+                    fits[i, self.letter[ch]] |= 1 << j
+        if LOST in self.letter:
+            fits[:, self.letter[LOST]] = full
+        limit, late = np.array(first, np.int64), full & ~((one << np.array(half, np.int64)) - 1)
+        allowed = [np.where(np.array(most) < d, 0, np.where(d <= limit, full, late)) for d in (1, 2, 3)]
+        alone = np.zeros_like(full) if edited else full
+        end = one << n
+        q, node = np.arange(len(asked)), np.zeros(len(asked), np.int64)
+        state = [np.full(len(asked), (2 << d) - 1, np.int64) & (allowed[d - 1] if d else full) for d in range(4)]
+        before, last = [np.zeros(len(asked), np.int64)] * 3, np.zeros(len(asked), np.int64)
+        while len(q):
+            count = self.first[node + 1] - self.first[node]
+            up = np.repeat(np.arange(len(q)), count)
+            child = np.arange(len(up)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.first[node], count)
+            who = q[up]
+            m = fits[who, self.letters[child]]
+            swap = m & (last[up] >> 1)
+            o = [x[up] for x in state]
+            new = [((o[0] & m) << 1) & alone[who]]
+            for d in (1, 2, 3):
+                new.append((((o[d] & m) << 1) | o[d - 1] | (o[d - 1] << 1) | (new[d - 1] << 1) | ((before[d - 1][up] & swap) << 2)) & allowed[d - 1][who])
+            alive = new[0] | new[1] | new[2] | new[3]
+            hit = np.nonzero((self.word[child] >= 0) & ((alive & end[who]) != 0))[0]
+            if len(hit):
+                yield who[hit], self.word[child[hit]]
+            go = np.nonzero(alive)[0]
+            q, node, last = who[go], child[go], m[go]
+            state, before = [x[go] for x in new], [x[go] for x in o[:3]]
+
+    def continued(self, word: str) -> Sequence[str]:
         """The words that begin with ``word`` and go on."""
-        node = self.root
+        node = 0
         for ch in word:
-            node = node.get(ch)
-            if node is None:
-                return
-        stack = [child for ch, child in node.items() if ch]
-        while stack:
-            node = stack.pop()
-            for ch, child in node.items():
-                if ch:
-                    stack.append(child)
-                else:
-                    yield child
+            code = self.letter.get(ch, -1)
+            lo, hi = self.first[node], self.first[node + 1]
+            at = lo + np.searchsorted(self.letters[lo:hi], code)
+            if at == hi or self.letters[at] != code:
+                return ()
+            node = int(at)
+        lo, hi, _ = self.ranges[node]
+        return self.words[lo + (self.word[node] >= 0) : hi]
 
 
 def _shards(word: str) -> Iterator[tuple[str, int]]:
@@ -122,53 +155,67 @@ def _shards(word: str) -> Iterator[tuple[str, int]]:
         yield f"f0{word[0]}", 2
 
 
-def neighbours(words: DataFrame) -> DataFrame:
-    """``a``, ``b``: the words that the trie join finds for each ``word`` of a table of distinct words.
+def shard_pairs(shard: str, stands: Sequence[str], asks: Sequence[str], begins: Sequence[str]) -> Iterator[tuple[str, str]]:
+    """(word, its neighbour) within one shard."""
+    back = shard[0] == "b"
+    turn = (lambda w: w[::-1]) if back else (lambda w: w)
+    trie = Trie([turn(w) for w in stands])
+    n = [len(w) for w in asks]
+    q, w = trie.near([turn(a) for a in asks], [bound(x) for x in n], [(x - 1) // 2 for x in n], [bound(x) // 2 for x in n], shard[1] == "1")
+    for i, j in zip(q.tolist(), w.tolist(), strict=True):
+        b = turn(trie.words[j])
+        if b != asks[i]:
+            yield asks[i], b
+    for a in begins:
+        for b in trie.continued(a):
+            yield a, b
+
+
+def neighbours(words: DataFrame, number: int) -> DataFrame:
+    """``a``, ``b``: the words that the trie join finds for each ``word`` of a table of so many distinct words.
 
     ``b`` is within ``bound(len(a))`` edits of ``a``, or begins with ``a`` and goes on. Null and
-    empty words find nothing. A shard that very many words ask is asked by several tasks, each
-    with the shard's trie; nothing goes through the driver but the number of words.
+    empty words, and those of more than ``LONGEST`` letters, find nothing. A shard that very many
+    words ask is asked by several tasks, each with the shard's trie.
     """
     spark = words.sparkSession
-    copies = max(1, -(-words.count() // ASKING))
+    copies = max(1, -(-number // ASKING))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, list, list, list] = ([], [], [], [])
             for word in batch.column(0).to_pylist():
-                for shard, role in _shards(word) if word else ():
-                    for copy in range(copies) if not role else (hash_of(word) % copies,):
+                for shard, role in _shards(word) if word and len(word) <= LONGEST else ():
+                    for copy in range(copies) if not role else (_number(word) % copies,):
                         for col, v in zip(out, (shard, copy, role, word), strict=True):
                             col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.string())], ["shard", "copy", "role", "word"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, back, edited, now = Trie(), False, False, None
+        now, held = None, ([], [], [])
+
+        def found() -> Iterator[pa.RecordBatch]:
+            pairs = set(shard_pairs(now[0], *held)) if now and held[0] and (held[1] or held[2]) else ()
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*pairs, strict=True)], ["a", "b"])
+
         for batch in batches:
-            found: tuple[list, list] = ([], [])
             for shard, copy, role, word in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (shard, copy) != now:
-                    trie, now, back, edited = Trie(), (shard, copy), shard[0] == "b", shard[1] == "1"
-                w = word[::-1] if back else word
-                if role == 0:
-                    trie.add(w)
-                    continue
-                n = len(w)
-                most = bound(n)
-                near = trie.continued(w) if role == 2 else trie.near(w, most, (n - 1) // 2, most // 2, edited)
-                for b in near:
-                    if b != w:
-                        found[0].append(word)
-                        found[1].append(b[::-1] if back else b)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in found], ["a", "b"])
+                    yield from found()
+                    now, held = (shard, copy), ([], [], [])
+                held[role].append(word)
+                if len(held[1]) >= ASKING:  # what asks comes after what stands
+                    yield from found()
+                    held[1].clear()
+        yield from found()
 
     dealt = words.select("word").mapInArrow(deal, "shard string, copy int, role int, word string")
-    # the words of a trie come before those that ask it; a shard is never gathered, it streams by
     ordered = dealt.repartition(max(partitions(spark), copies * 8), "shard", "copy").sortWithinPartitions("shard", "copy", "role")
     return ordered.mapInArrow(ask, "a string, b string").distinct()
 
 
-def hash_of(word: str) -> int:
+def _number(word: str) -> int:
     """A number of a word that is the same in every process."""
     n = 0
     for ch in word:
@@ -176,18 +223,18 @@ def hash_of(word: str) -> int:
     return n
 
 
-def keyed(words: DataFrame) -> DataFrame:
-    """``word``, ``keys``: any two words that are spellings of one another have a key in common.
+def keyed(words: DataFrame, number: int) -> DataFrame:
+    """``word``, ``n``, ``keys``: any two words that are spellings of one another have a key in common.
 
-    ``words`` has distinct words and their number ``n``. Of two neighbours the more frequent word is
-    the head. A word has as keys itself and its heads; a head that shares with the word a head
-    that has none itself is left out, as both meet there: so the many slips of one frequent word
-    have that word as a key, not each other.
+    ``words`` has distinct words and how often each occurs (``n``). Of two neighbours the more
+    frequent word is the head. A word has as keys itself and its heads; a head that shares with the
+    word a head that has none itself is left out, as both meet there: so the many slips of one
+    frequent word have that word as a key, not each other.
     """
-    number = words.select("word", "n")
-    pairs = neighbours(words)
+    counts = words.select("word", "n")
+    pairs = neighbours(words, number)
     rank = lambda n, w: F.struct(F.col(n), F.col(w))
-    up = pairs.join(number.select(F.col("word").alias("a"), F.col("n").alias("na")), "a").join(number.select(F.col("word").alias("b"), F.col("n").alias("nb")), "b")
+    up = pairs.join(counts.select(F.col("word").alias("a"), F.col("n").alias("na")), "a").join(counts.select(F.col("word").alias("b"), F.col("n").alias("nb")), "b")
     first = rank("na", "a") > rank("nb", "b")
     heads = checkpointed(up.select(F.when(first, F.col("b")).otherwise(F.col("a")).alias("word"), F.when(first, F.col("a")).otherwise(F.col("b")).alias("head")).distinct())
     lower = heads.select("word").distinct()
@@ -196,5 +243,5 @@ def keyed(words: DataFrame) -> DataFrame:
     both = inner.join(top, "word", "left").join(top.select(F.col("word").alias("head"), F.col("tops").alias("theirs")), "head", "left")
     kept = both.where(~F.coalesce(F.arrays_overlap("tops", "theirs"), F.lit(False))).groupBy("word").agg(F.collect_set("head").alias("more"))
     none = F.array().cast("array<string>")
-    joined = number.join(top, "word", "left").join(kept, "word", "left")
+    joined = counts.join(top, "word", "left").join(kept, "word", "left")
     return joined.select("word", "n", F.concat(F.array("word"), F.coalesce("tops", none), F.coalesce("more", none)).alias("keys"))
