@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.functions.text import bare
+from loomsift.llm.sieve import sieved
+from loomsift.session import checkpointed
 
 #: Bits cut from each 64-bit hash, so that 256 of them can be added without overflow.
 SPARE_BITS = 8
@@ -49,8 +51,8 @@ def fingerprinted(df: DataFrame, fields: Sequence[str], id_col: str, bag: str |
     seeds. ``phones`` are compared as phone numbers; ``bag`` names a JSON object column whose
     entries count as a set of exact keys and values.
     """
-    cols = {"rid": F.col(f"`{id_col}`"), "vals": _values(df, fields), "bag": _entries(F.col(f"`{bag}`")) if bag else F.lit(None).cast("map<string,string>")}
-    at = df.select(*(c.alias(n) for n, c in cols.items()))
+    cols = {"rid": F.col(f"`{id_col}`"), "vals": _values(df, fields), "raw": F.col(f"`{bag}`").cast("string") if bag else F.lit(None).cast("string")}
+    at = df.select(*(c.alias(n) for n, c in cols.items())).withColumn("bag", _entries(F.col("raw")))
     part = [F.get("vals", F.lit(i)) for i in range(len(fields))]
     part = [phone_key(c) if f in phones else c for f, c in zip(fields, part, strict=True)]
     out = {}
@@ -61,7 +63,7 @@ def fingerprinted(df: DataFrame, fields: Sequence[str], id_col: str, bag: str |
         if bag:
             total += F.coalesce(F.aggregate(F.map_entries("bag"), F.lit(0).cast("bigint"), lambda s, e: s + F.shiftright(F.xxhash64(F.lit(seed + 1), e["key"], e["value"]), 2 * SPARE_BITS)), F.lit(0))
         out[name] = total
-    return at.select("rid", F.array(*part).alias("vals"), "bag", *(c.alias(n) for n, c in out.items()))
+    return at.select("rid", F.array(*part).alias("vals"), "raw", *(c.alias(n) for n, c in out.items()))
 
 
 def collapse_copies(df: DataFrame, fields: Sequence[str], id_col: str = "id", bag: str | None = None, phones: Sequence[str] = ()) -> DataFrame:
@@ -71,14 +73,23 @@ def collapse_copies(df: DataFrame, fields: Sequence[str], id_col: str = "id", ba
     * Rows delivered again count as copies; an empty table gives no rows.
     * Other columns of ``df`` are not looked at, whatever their names.
 
-    One pass and one shuffle: records are grouped by fingerprint and values together, in a hash
-    aggregate, so comparing the values is the field by field check (records that share a
-    fingerprint by accident fall apart) and nothing is sorted. Copies within a task are added up
-    before the shuffle: a group that holds a third of all rows costs one row per task, and the
-    fingerprint in front makes unequal keys differ in the first bytes.
+    Records are normalised once and written with their fingerprints. Fingerprints are counted with
+    partial aggregation: two numbers a record are all that is shuffled of most. Only records whose
+    fingerprint occurs again are compared: their distinct forms are counted, again before the
+    shuffle, so a group of copies that makes up a third of all rows sends a few rows a task. Each
+    form is then held against one of its fingerprint field by field, the bag entry by entry;
+    nothing is sorted. Forms that differ in spite of one fingerprint are told apart exactly.
     """
-    marked = fingerprinted(df, fields, id_col, bag, phones)
-    entry = lambda e: F.to_json(F.struct(e["key"].alias("k"), e["value"].alias("v")))
-    keyed = marked.select("rid", "fp_a", "fp_b", F.array_join("vals", SEPARATOR).alias("vals"), (F.array_join(F.array_sort(F.transform(F.map_entries("bag"), entry)), SEPARATOR) if bag else F.lit("")).alias("entries"))
-    counted = keyed.groupBy("fp_a", "fp_b", "vals", "entries").agg(F.min("rid").alias("first_id"), F.count("*").alias("n"))
+    marked = checkpointed(fingerprinted(df, fields, id_col, bag, phones).select("rid", "fp_a", "fp_b", F.array_join("vals", SEPARATOR).alias("vals"), "raw"))
+    prints = ["fp_a", "fp_b"]
+    several = checkpointed(marked.groupBy(*prints).agg(F.count("*").alias("n")).where("n > 1").select(*prints))
+    kept = sieved(marked, F.col("fp_a"), several, "fp_a")
+    forms = kept.groupBy(*prints, "vals", "raw").agg(F.min("rid").alias("rid"), F.count("*").alias("n"))
+    forms = checkpointed(forms.join(several, prints, "left_semi").withColumn("bag", _entries(F.col("raw"))))
+    model = forms.groupBy(*prints).agg(F.min_by(F.struct("vals", "bag"), F.struct("vals", F.coalesce("raw", F.lit("")))).alias("m"))
+    held = forms.join(model, prints)
+    same = (F.col("vals") == F.col("m.vals")) & (F.size("bag") == F.size("m.bag")) & F.forall(F.map_entries("bag"), lambda e: F.try_element_at("m.bag", e["key"]).eqNullSafe(e["value"]) & F.map_contains_key("m.bag", e["key"]))
+    # a second model may stand under a fingerprint by accident: what differs from the first is grouped by its fields
+    other = F.when(~same, F.struct("vals", F.array_sort(F.map_entries("bag")).alias("bag")))
+    counted = held.withColumn("other", other).groupBy(*prints, "other").agg(F.min("rid").alias("first_id"), F.sum("n").alias("n"))
     return counted.where("n > 1").select("first_id", F.col("n").cast("int").alias("n_copies"))

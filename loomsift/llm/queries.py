@@ -14,7 +14,7 @@ from loomsift.llm.copies import collapse_copies
 from loomsift.llm.leaks import leaks
 from loomsift.llm.mojibake import repaired
 from loomsift.llm.names import different_pairs, persons, spellings
-from loomsift.llm.unify import look_alikes
+from loomsift.llm.unify import look_alike_classes, look_alikes
 from loomsift.session import table
 
 
@@ -54,8 +54,7 @@ def p8_ids(spark: SparkSession, root: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
     """Documents that hold twelve consecutive words of an evaluation item."""
-    near = leaks(table(spark, root, "documents"), table(spark, root, "eval_items"))
-    return near.where("run >= 12").select("doc_id", "item_id").distinct()
+    return leaks(table(spark, root, "documents"), table(spark, root, "eval_items"), passage=12, budget=0).select("doc_id", "item_id")
 
 
 def p10_found(spark: SparkSession, root: str) -> DataFrame:
@@ -63,8 +62,13 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
     return look_alikes(table(spark, root, "documents"))
 
 
+def p10_classes(spark: SparkSession, root: str) -> DataFrame:
+    """Each document that looks the same as another with the smallest document of its class."""
+    return look_alike_classes(table(spark, root, "documents")).select(F.col("d").alias("doc_id"), F.col("first").alias("class_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p3_found, p5_found, p5_restored, p6_found, p8_ids, p9_found, p10_found)}
+    return {f.__name__: f for f in (p1_found, p3_found, p5_found, p5_restored, p6_found, p8_ids, p9_found, p10_found, p10_classes)}
 
 
 def _copies_sql() -> str:

@@ -11,10 +11,13 @@ import re
 import unicodedata
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomsift.llm.sieve import sieved
 from loomsift.session import checkpointed
 
 #: Letters of other scripts that are drawn as Latin ones, and the letters they look like.
@@ -50,14 +53,31 @@ def one_form(text: str | None, fold: bool = True) -> str | None:
     return unicodedata.normalize("NFKC", text.casefold()) if fold else text
 
 
+def one_forms(texts: pa.Array, fold: bool = True) -> pa.Array:
+    """The consistent form of each text of an array, worked out once for each distinct value.
+
+    Values of printable ASCII only need white space and case, which are vector operations; the
+    others are taken one by one.
+    """
+    coded = (texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts).dictionary_encode()
+    values = coded.dictionary
+    plain = pc.fill_null(pc.match_substring_regex(values, r"^[ -~]*$"), False)
+    easy = pc.utf8_trim(pc.replace_substring_regex(values, " +", " "), " ")
+    easy = pc.ascii_lower(easy) if fold else easy
+    if pc.all(plain).as_py() is not False:
+        return easy.take(coded.indices)
+    hard = [one_form(t, fold) for t in values.filter(pc.invert(plain)).to_pylist()]
+    return pc.replace_with_mask(easy, pc.invert(plain), pa.array(hard, easy.type)).take(coded.indices)
+
+
 @F.pandas_udf(T.StringType())
 def _folded(s: pd.Series) -> pd.Series:
-    return s.map(one_form, na_action="ignore")
+    return one_forms(pa.array(s, pa.string(), from_pandas=True)).to_pandas()
 
 
 @F.pandas_udf(T.StringType())
 def _cased(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: one_form(t, False), na_action="ignore")
+    return one_forms(pa.array(s, pa.string(), from_pandas=True), False).to_pandas()
 
 
 def consistent(c: Column, fold: bool = True) -> Column:
@@ -65,25 +85,37 @@ def consistent(c: Column, fold: bool = True) -> Column:
     return _folded(c) if fold else _cased(c)
 
 
-def look_alikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", longer_than: int = 40) -> DataFrame:
-    """Pairs ``doc_a < doc_b`` of texts that differ as stored but look the same.
+def look_alike_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", longer_than: int = 40) -> DataFrame:
+    """One row for each document whose text differs from another's as stored but looks the same.
+
+    ``d`` is the document, ``first`` the smallest document of its class (all that look the same),
+    ``raw`` the hash of its text as stored; documents with equal texts have equal ``raw``.
 
-    * Texts that are null or have at most ``longer_than`` characters make no pair; equal texts
-      make none either, but each copy of a text pairs with each copy of its look-alikes.
-    * Case, accents, digits and word order can be seen: they keep texts apart, though the form
-      used for joins folds case.
-    * Extra columns are ignored; an empty table gives no pairs.
+    * Texts that are null or have at most ``longer_than`` characters are in no class; nor are
+      equal texts only. Case, accents, digits and word order can be seen: they keep texts apart.
+    * Extra columns are ignored; an empty table gives no rows.
 
-    Only hashes are shuffled at first: the form's hash is grouped with the smallest and largest
-    hash of the stored texts, and a form that occurs in one spelling only, however many copies
-    it has, goes no further.
+    Hashes of forms are grouped first, with the smallest and largest hash of the stored texts: a
+    form that occurs in one spelling only, however many copies it has, goes no further. Only
+    the texts left are shuffled, and grouped by the form itself.
     """
     docs = df.where(F.length(F.col(f"`{text_col}`")) > longer_than).select(F.col(f"`{id_col}`").alias("d"), F.col(f"`{text_col}`").alias("t"))
-    keyed = docs.select("d", F.xxhash64("t").alias("raw"), _cased("t").alias("form")).select("d", "raw", F.xxhash64("form").alias("h"), F.hash("form").alias("g"), F.length("form").alias("n"))
-    keyed = checkpointed(keyed)  # some 40 bytes a document, so that no text is normalised twice
-    keys = ["h", "g", "n"]
-    several = keyed.groupBy(*keys).agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select(*keys)
-    kept = keyed.join(several, keys)
-    a = kept.select(*keys, F.col("d").alias("a"), F.col("raw").alias("ra"))
-    b = kept.select(*keys, F.col("d").alias("b"), F.col("raw").alias("rb"))
-    return a.join(b, keys).where("ra <> rb AND a < b").select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"))
+    keyed = checkpointed(docs.select("d", F.xxhash64("t").alias("raw"), _cased("t").alias("form")).select("d", "raw", F.xxhash64("form").alias("h")))
+    several = checkpointed(keyed.groupBy("h").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select("h"))
+    spelt = checkpointed(keyed.join(several, "h", "left_semi").select("raw").distinct())
+    texts = sieved(docs.withColumn("raw", F.xxhash64("t")), F.col("raw"), spelt, "raw").join(spelt, "raw", "left_semi")
+    formed = checkpointed(texts.select("d", "raw", _cased("t").alias("form")))
+    classes = formed.groupBy("form").agg(F.min("d").alias("first"), F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select("form", "first")
+    return formed.join(classes, "form").select("d", "first", "raw")
+
+
+def look_alikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", longer_than: int = 40) -> DataFrame:
+    """Pairs ``doc_a < doc_b`` of texts that differ as stored but look the same: the classes of ``look_alike_classes``, written out.
+
+    Each copy of a text pairs with each copy of its look-alikes, so a class of many copies gives
+    very many pairs; the classes themselves have one row a document.
+    """
+    kept = checkpointed(look_alike_classes(df, id_col, text_col, longer_than))
+    a = kept.select("first", F.col("d").alias("a"), F.col("raw").alias("ra"))
+    b = kept.select("first", F.col("d").alias("b"), F.col("raw").alias("rb"))
+    return a.join(b, "first").where("ra <> rb AND a < b").select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b"))
