@@ -18,6 +18,28 @@ from loomsift.llm.unify import look_alike_classes, look_alikes
 from loomsift.session import table
 
 
+#: What the entries of the reference list are called in English and Swahili, besides their names.
+ALIASES: dict[str, dict[str, tuple[str, ...]]] = {
+    "gender": {
+        "Male": ("m", "man", "boy", "gentleman", "me", "mume", "mwanaume", "mvulana"),
+        "Female": ("f", "woman", "girl", "lady", "ke", "mke", "mwanamke", "msichana"),
+        "Other": ("non binary", "intersex", "third gender", "transgender", "nyingine"),
+        "Undisclosed": ("prefer not to say", "rather not say", "not disclosed", "not stated"),
+    },
+    "education_level": {
+        "No formal education": ("none", "nil", "hakuna", "never attended", "informal", "no education", "no schooling"),
+        "Primary": ("msingi", "pri", "primary school", "standard 7", "standard 8", "std 7", "std 8", "class 7", "class 8", "kcpe"),
+        "Secondary": ("sekondari", "sec", "form 4", "form four", "f4", "high school", "secondary school", "o level", "kcse"),
+        "Certificate": ("cheti", "cert"),
+        "Diploma": ("stashahada", "dip"),
+        "Higher diploma": ("hnd", "higher dip", "higher national diploma", "advanced diploma", "stashahada ya juu"),
+        "Bachelor's degree": ("bachelor", "bachelors", "bachelor degree", "degree", "undergraduate", "shahada", "bsc", "ba", "bed", "bcom", "beng"),
+        "Master's degree": ("master", "masters", "master degree", "uzamili", "msc", "ma", "mba", "med", "postgraduate"),
+        "Doctorate": ("phd", "dphil", "doctoral", "uzamivu"),
+    },
+}
+
+
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
     """Pairs of rows of one person, and of spellings of one organisation or trainer, that differ in bare text."""
     rows = table(spark, root, "participants")
@@ -44,7 +66,7 @@ def p5_restored(spark: SparkSession, root: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
     """The reference entry that each typed value means."""
-    return map_values(table(spark, root, "participants"), table(spark, root, "reference_values"), ("county", "sub_county", "education_level", "gender"), {"sub_county": "county"})
+    return map_values(table(spark, root, "participants"), table(spark, root, "reference_values"), ("county", "sub_county", "education_level", "gender"), {"sub_county": "county"}, ALIASES)
 
 
 def p8_ids(spark: SparkSession, root: str) -> DataFrame:
