@@ -12,14 +12,16 @@ import itertools
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.functions.text import WS_CHARS, bare, blank_like
 from loomsift.llm.mojibake import ALPHABET, CLEAN, Sequences
-from loomsift.llm.sieve import sieved
+from loomsift.llm.sieve import passing, sent_bits, sieved
 from loomsift.llm.spelling import edits, plain, sound
 from loomsift.llm.tries import bound, keyed
 from loomsift.operators.components import components
@@ -58,6 +60,9 @@ _KIND_OF = {typed: kind for kind, others in KINDS.items() for typed in (kind, *o
 _INNER = re.compile("['\u2019.]")
 _BREAK = re.compile("[ \\t,;()\"_]+")
 _JOINED = re.compile("(?<=[a-z]{3})(?=[A-Z][a-z])")
+_SIMPLE = re.compile("[A-Za-z0-9 ,_-]*")
+_ASCII = re.compile("[a-z0-9]+")
+_BARE = re.compile(r"[\W_]+")
 _LOST = re.compile("\ufffd+")
 _COOP = re.compile("(?i)\\bco-op\\b")
 #: A letter that was lost stays in its word and fits any letter.
@@ -82,6 +87,8 @@ class Parser:
         return self.kinds[word]
 
     def split(self, name: str) -> list[str]:
+        if _SIMPLE.fullmatch(name):
+            return _ASCII.findall((_JOINED.sub(" ", name) if _JOINED.search(name) else name).lower())
         if not name.isascii():
             name = " ".join(p if p.isascii() or CLEAN.fullmatch(p) else self._restored(p) for p in _BREAK.split(name))
         name = _JOINED.sub(" ", _INNER.sub(lambda m: " " if m[0] == "." else "", name))
@@ -295,6 +302,13 @@ def bounded_shards(rows: DataFrame, key: str, spread: Column, limit: int | None
     return spreaded.groupBy(key, "_p.x", "_p.y").agg(F.collect_list(F.struct(*cols, F.col("_p.side").alias("side"))).alias("members")).where(F.size("members") > 1).select("members")
 
 
+def _members(flat: pa.StructArray | pa.RecordBatch, columns: Sequence[str] | None = None) -> list[dict]:
+    """The rows of a struct array or batch, taken column by column."""
+    names = columns or [f.name for f in flat.type]
+    values = [(flat.column(n) if isinstance(flat, pa.RecordBatch) else flat.field(n)).to_pylist() for n in names]
+    return [dict(zip(names, v, strict=True)) for v in zip(*values, strict=True)]
+
+
 def _meeting(members: Sequence[dict]) -> Iterator[tuple[dict, dict]]:
     """The pairs of a shard that are to be compared."""
     for i, a in enumerate(members):
@@ -311,10 +325,12 @@ def _edges(shards: DataFrame, join: Callable[[Sequence[dict]], Iterator[tuple[di
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[int | None]] = [[] for _ in names]
-            for members in batch.column(0).to_pylist():
-                for x, y in join(members):
+            rows, at = _members(batch.column(0).flatten()), 0
+            for size in pc.list_value_length(batch.column(0)).to_pylist():
+                for x, y in join(rows[at : at + size]):
                     for col, value in zip(out, (x["node"], y["node"], *(x[c] for c in carry), *(y[c] for c in carry)), strict=True):
                         col.append(value)
+                at += size
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
 
     # shards are small in bytes but not in work: they are dealt out evenly
@@ -362,20 +378,22 @@ def unambiguous(edges: DataFrame) -> DataFrame:
 
 def digits_key(c: Column, least: int = 6) -> Column:
     """An identity number's digits, or null if there are fewer than ``least``."""
-    return F.nullif(F.regexp_extract(F.regexp_replace(c, r"[^0-9]+", ""), rf"^[0-9]{{{least},18}}$", 0), F.lit(""))
+    digits = F.regexp_replace(c, "[^0-9]+", "")
+    return F.when(F.length(digits).between(least, 18), digits)
 
 
 def phone9(c: Column) -> Column:
     """The last nine digits of a telephone number, or null if it lost some (powers of ten, fewer digits)."""
-    digits = F.regexp_replace(F.when(~(c.contains("E+") | c.contains("e+")), c), r"[^0-9]+", "")
-    return F.nullif(F.regexp_extract(digits, r"[0-9]{9}$", 0), F.lit(""))
+    digits = F.regexp_replace(F.when(~F.contains(c, F.lit("E+")) & ~F.contains(c, F.lit("e+")), c), "[^0-9]+", "")
+    return F.when(F.length(digits) >= 9, F.right(digits, F.lit(9)))
 
 
 def mail_key(mail: Column, user: Column) -> Column:
     """The part of an address before the @, or else the user name, without separators; null below six characters."""
-    from_mail = F.when(mail.contains("@"), F.substring_index(mail, "@", 1))
+    from_mail = F.when(F.contains(mail, F.lit("@")), F.substring_index(mail, "@", 1))
     other = F.when(~F.lower(F.btrim(user, F.lit(WS_CHARS))).isin("", "null"), user)
-    return F.nullif(F.regexp_extract(F.regexp_replace(F.lower(F.coalesce(from_mail, other)), r"[^a-z0-9]+", ""), "^.{6,}$", 0), F.lit(""))
+    bare_mail = F.regexp_replace(F.lower(F.coalesce(from_mail, other)), "[^a-z0-9]+", "")
+    return F.when(F.length(bare_mail) >= 6, bare_mail)
 
 
 def whole_years(c: Column) -> Column:
@@ -530,17 +548,22 @@ SENT = 300_000
 
 
 def _parsed(raw: DataFrame) -> DataFrame:
-    """``raw`` with its name as ``words``, as ``heard`` words, and its places as they sound."""
+    """``raw`` with a hash of its name's ``bare`` text, its ``words``, ``heard`` words and whether one is an ``initial``, and its places as they sound.
+
+    A blank-like name has no bare text and no words.
+    """
     kept = [c for c in raw.columns if c not in ("name", "village", "ward", "sub")]
-    schema = ", ".join(f"{n} {t}" for n, t in raw.select(*kept).dtypes) + ", words array<string>, heard array<string>, village string, ward string, sub string"
+    schema = ", ".join(f"{n} {t}" for n, t in raw.select(*kept).dtypes) + ", bare bigint, words array<string>, heard array<string>, initial boolean, village string, ward string, sub string"
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser()
         for batch in batches:
-            words = [parser.person(n) if n else () for n in batch.column("name").to_pylist()]
+            bares = [_BARE.sub("", n).lower() if n else "" for n in batch.column("name").to_pylist()]
+            words = [parser.person(n) if b and b != "null" else () for n, b in zip(batch.column("name").to_pylist(), bares, strict=True)]
+            hashes = [xxhash.xxh64_intdigest(b) - (1 << 63) if b and b != "null" else None for b in bares]
             places = [pa.array(map(parser.place, batch.column(c).to_pylist()), pa.string()) for c in ("village", "ward", "sub")]
             lists = [pa.array(x, pa.list_(pa.string())) for x in (words, map(parser.heard, words))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *lists, *places], [*kept, "words", "heard", "village", "ward", "sub"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(hashes, pa.int64()), *lists, pa.array([any(len(w) == 1 for w in ws) for ws in words], pa.bool_()), *places], [*kept, "bare", "words", "heard", "initial", "village", "ward", "sub"])
 
     return raw.mapInArrow(parse, schema)
 
@@ -577,28 +600,16 @@ def _split_keys(found: Sequence[tuple[int, Sequence[int]]], initial: bool, names
 
 
 def with_keys(df: DataFrame, vocabulary: Vocabulary, names: int) -> DataFrame:
-    """``df`` (with ``words``, ``heard``, ``village``, ``ward``, ``sub`` and a unique ``id``) with ``must`` and ``weak`` keys of its names, and ``spots`` (by village and ward) and ``wide`` (by sub-county) of its places.
+    """``df`` (with ``words``, ``heard``, ``initial``, ``village``, ``ward``, ``sub`` and a unique ``id``) with ``must`` and ``weak`` keys of its names, and ``spots`` (by village and ward) and ``wide`` (by sub-county) of its places.
 
-    Places that are spellings of one another have one of these in common, as words have a key.
+    Places that are spellings of one another have one of these in common, as words have a key. If
+    the vocabulary went to the tasks, the columns are null: ``keys_of`` looks them up there.
     """
+    columns = ("must", "weak", "spots", "wide")
     if vocabulary.sent is not None:
-        known, schema = vocabulary.sent, ", ".join(f"{n} {t}" for n, t in df.dtypes)
-
-        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            of = known.value
-            for batch in batches:
-                out: tuple[list, ...] = ([], [], [], [])
-                columns = (batch.column(c).to_pylist() for c in ("heard", "words", "village", "ward", "sub"))
-                for heard, words, village, ward, sub in zip(*columns, strict=True):
-                    must, weak = _split_keys([of[w] for w in heard], any(len(w) == 1 for w in words), names)
-                    spots = [*_tagged(of[village][1], "village"), *_tagged(of[ward][1] if ward else (), "ward")] if village else _tagged(of[ward][1], "ward") if ward else ()
-                    for col, v in zip(out, (list(must), list(weak), spots, _tagged(of[sub][1], "sub") if sub else ()), strict=True):
-                        col.append(v)
-                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.list_(pa.int64())) for c in out)], [*batch.schema.names, "must", "weak", "spots", "wide"])
-
-        return df.mapInArrow(look_up, schema + ", " + ", ".join(f"{c} {_NONE}" for c in ("must", "weak", "spots", "wide")))
+        return df.withColumns({c: F.lit(None).cast(_NONE) for c in columns})
     none = F.array().cast(_NONE)
-    tokens = df.select("id", F.exists("words", lambda w: F.length(w) == 1).alias("initial"), F.explode("heard").alias("word")).join(vocabulary.table, "word")
+    tokens = df.select("id", "initial", F.explode("heard").alias("word")).join(vocabulary.table, "word")
     listed = tokens.groupBy("id").agg(F.max("initial").alias("initial"), F.collect_list(F.struct((F.col("n") * FREQUENT >= names).alias("often"), "keys")).alias("t"))
     keys = lambda often: F.array_distinct(F.flatten(F.transform(F.filter("t", lambda t: t["often"] == often), lambda t: t["keys"])))
     split = listed.select("id", "initial", keys(False).alias("rare"), F.array_except(keys(True), keys(False)).alias("often"))
@@ -611,6 +622,17 @@ def with_keys(df: DataFrame, vocabulary: Vocabulary, names: int) -> DataFrame:
     return out.select(*df.columns, full("must").alias("must"), full("weak").alias("weak"), F.concat(full("_village"), full("_ward")).alias("spots"), full("_sub").alias("wide"))
 
 
+def keys_of(batch: pa.RecordBatch, known: Mapping[str, tuple[int, Sequence[int]]] | None, names: int) -> Iterator[tuple[Sequence[int], Sequence[int], Sequence[int], Sequence[int]]]:
+    """``must``, ``weak``, ``spots`` and ``wide`` of each row of a batch of ``with_keys``."""
+    if known is None:
+        yield from zip(*(batch.column(c).to_pylist() for c in ("must", "weak", "spots", "wide")), strict=True)
+        return
+    for heard, initial, village, ward, sub in zip(*(batch.column(c).to_pylist() for c in ("heard", "initial", "village", "ward", "sub")), strict=True):
+        must, weak = _split_keys([known[w] for w in heard], initial, names)
+        spots = _tagged(known[village][1], "village") if village else []
+        yield must, weak, spots + _tagged(known[ward][1], "ward") if ward else spots, _tagged(known[sub][1], "sub") if sub else ()
+
+
 #: Numbers by which keys of the same word in different columns differ.
 TAGS = {"village": 0x5851F42D4C957F2D, "ward": 0x14057B7EF767814F, "sub": 0x2545F4914F6CDD1D}
 
@@ -626,24 +648,36 @@ def _by_identifiers(base: DataFrame, vocabulary: Vocabulary, names: int) -> Data
     # a group of one name, or of rows without names, is one person
     mixed = groups.groupBy("grp").agg(F.count("*").alias("n"), F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select("grp", "n")
     rows = checkpointed(groups.drop("look").join(mixed, "grp"))
-    texts = sieved(base.select("id", "words", "heard", "age"), F.col("id"), rows, "id").join(rows, "id")
+    texts = sieved(base.select("id", "words", "heard", "initial", "age"), F.col("id"), rows, "id").join(rows, "id")
     nowhere = [F.lit(None).cast("string").alias(c) for c in ("village", "ward", "sub")]
-    rows = with_keys(texts.select("*", *nowhere), vocabulary, names).withColumn("keys", F.concat("must", "weak")).withColumnRenamed("id", "node")
-    fields = ["node", "bare", "nid", "mail", "phone", "age", "words", "keys"]
-    small = rows.where(F.col("n") <= SHARD).groupBy("grp").agg(F.collect_list(F.struct(*fields)).alias("members"))
+    known, full = vocabulary.sent, with_keys(texts.select("*", *nowhere), vocabulary, names).withColumnRenamed("id", "node")
+    fields = ["node", "bare", "nid", "mail", "phone", "age", "words", "heard", "initial", "must", "weak", "spots", "wide", "village", "ward", "sub"]
+    small = full.where(F.col("n") <= SHARD).groupBy("grp").agg(F.collect_list(F.struct(*fields)).alias("members"))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            person: dict[int, int] = {}
-            for members in batch.column(0).to_pylist():
-                person |= _roots(members)
+            flat, person, at = batch.column(0).flatten(), {}, 0
+            flat = pa.RecordBatch.from_arrays([flat.field(c) for c in fields], fields)
+            rows = _members(flat, ("node", "bare", "nid", "mail", "phone", "age", "words"))
+            for m, (must, weak, _, _) in zip(rows, keys_of(flat, known and known.value, names), strict=True):
+                m["keys"] = sorted({*must, *weak})
+            for size in pc.list_value_length(batch.column(0)).to_pylist():
+                person |= _roots(rows[at : at + size])
+                at += size
             yield pa.RecordBatch.from_arrays([pa.array(person.keys(), pa.int64()), pa.array(person.values(), pa.int64())], ["id", "person"])
 
     settled = small.select("members").mapInArrow(settle, "id bigint, person bigint")
     if not rows.where(F.col("n") > SHARD).isEmpty():  # the same for groups of any size: candidates meet by one key at a time
-        large = rows.where(F.col("n") > SHARD)
+        large = rows.where(F.col("n") > SHARD).withColumnRenamed("id", "node")
         same = ["grp", "bare", "nid", "mail", "phone"]
-        first = checkpointed(large.groupBy(*same).agg(*(F.min(c).alias(c) for c in ("node", "words", "keys", "age"))))
+
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [sorted({*must, *weak}) for must, weak, _, _ in keys_of(batch, known and known.value, names)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", *same, "words", "age")), pa.array(found, pa.list_(pa.int64()))], ["node", *same, "words", "age", "keys"])
+
+        first = full.where(F.col("n") > SHARD).mapInArrow(spread, "node bigint, " + ", ".join(f"{c} bigint" for c in same) + f", words array<string>, age int, keys {_NONE}")
+        first = checkpointed(first.groupBy(*same).agg(*(F.min(c).alias(c) for c in ("node", "words", "keys", "age"))))
         key = lambda n: F.when(F.col(n).isNotNull(), F.xxhash64(F.lit(n), "grp", n))
         parts = F.concat(F.transform("keys", lambda k: F.xxhash64("grp", k)), F.array_compact(F.array(key("nid"), key("mail"))))
         shards = bounded_shards(first.select("node", "words", "nid", "mail", "phone", "age", F.explode(parts).alias("k")), "k", F.xxhash64("node"))
@@ -656,41 +690,43 @@ def _by_identifiers(base: DataFrame, vocabulary: Vocabulary, names: int) -> Data
     return checkpointed(groups.join(settled, "id", "left").select("id", "bare", "look", "nid", "mail", "phone", F.coalesce("person", "grp").alias("person")))
 
 
-def _met_at(one: DataFrame) -> DataFrame:
+def _met_at(one: DataFrame, vocabulary: Vocabulary, names: int, wanted: DataFrame | None = None) -> DataFrame:
     """``k``, ``met``, ``mask`` of each ``profile`` of a person ``node``: the keys by which it meets others at a place.
 
-    ``mask`` says what it has: a link needs two profiles of which not both have it.
+    ``mask`` says what it has: a link needs two profiles of which not both have it. With
+    ``wanted``, a table of keys, most others are left out by a sieve of bounded size.
     """
+    known, bits = vocabulary.sent, sent_bits(wanted, "k") if wanted is not None else None
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [])
-            columns = (batch.column(c).to_pylist() for c in ("must", "weak", "spots", "wide", "hh", "mask"))
-            for row, (must, weak, spots, wide, hh, mask) in enumerate(zip(*columns, strict=True)):
-                before = len(out[0])
-                low = mask & 3
-                for keys, met in ((must, True), (weak, False)):
-                    out[0].extend([_mixed(k, s) for k in keys for s in spots])
-                    out[1].extend([met] * (len(keys) * len(spots)))
+            rows = zip(keys_of(batch, known and known.value, names), batch.column("hh").to_pylist(), batch.column("mask").to_pylist(), strict=True)
+            for row, ((must, weak, spots, wide), hh, mask) in enumerate(rows):
+                low, before = mask & 3, len(out[0])
+                if spots:
+                    places = [s * 0x61C8864680B583EB for s in spots]
+                    for keys, met in ((must, True), (weak, False)):
+                        if keys:
+                            out[0].extend([(k * 0x2127599BF4325C37 ^ s) * 0x9E3779B97F4A7C15 >> 17 & 0x7FFFFFFFFFFFFFFF for k in keys for s in places])
+                            out[1].extend([met] * (len(keys) * len(places)))
                 out[2].extend([low] * (len(out[0]) - before))
                 if hh is not None and wide:
-                    out[0].extend([_mixed(hh, s) for s in wide])
+                    out[0].extend([(hh * 0x2127599BF4325C37 ^ s * 0x61C8864680B583EB) * 0x9E3779B97F4A7C15 >> 17 & 0x7FFFFFFFFFFFFFFF for s in wide])
                     out[1].extend([True] * len(wide))
                     out[2].extend([mask] * len(wide))
                 out[3].extend([row] * (len(out[0]) - before))
-            at = pa.array(out[3], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("profile").take(at), batch.column("node").take(at), pa.array(out[0], pa.int64()), pa.array(out[1], pa.bool_()), pa.array(out[2], pa.int32())], ["profile", "node", "k", "met", "mask"])
+            at, cols = np.array(out[3], np.int64), [np.array(out[0], np.int64), np.array(out[1], bool), np.array(out[2], np.int32)]
+            if bits is not None:
+                kept = np.nonzero(passing(bits.value, cols[0]))[0]
+                at, cols = at[kept], [c[kept] for c in cols]
+            yield pa.RecordBatch.from_arrays([batch.column("profile").take(pa.array(at)), batch.column("node").take(pa.array(at)), *map(pa.array, cols)], ["profile", "node", "k", "met", "mask"])
 
     has = lambda c, bit: F.when(F.col(c).isNotNull(), bit).otherwise(0)
     # by the sub-county alone only the very words of a name count, and both ages are needed
     very = F.when(F.col("age").isNotNull() & (F.size("words") > 1), F.xxhash64("heard")).alias("hh")
     mask = (has("mail", 1) + has("phone", 2) + has("village", 4) + has("ward", 8)).alias("mask")
-    return one.select("profile", "node", "must", "weak", "spots", "wide", very, mask).mapInArrow(spread, "profile bigint, node bigint, k bigint, met boolean, mask int")
-
-
-def _mixed(a: int, b: int) -> int:
-    """A 63-bit number of two."""
-    return ((a * 0x2127599BF4325C37) ^ (b * 0x61C8864680B583EB)) * 0x9E3779B97F4A7C15 >> 17 & 0x7FFFFFFFFFFFFFFF
+    return one.select("profile", "node", "heard", "initial", "village", "ward", "sub", "must", "weak", "spots", "wide", very, mask).mapInArrow(spread, "profile bigint, node bigint, k bigint, met boolean, mask int")
 
 
 def _by_place(base: DataFrame, vocabulary: Vocabulary, names: int, member: DataFrame) -> DataFrame:
@@ -703,13 +739,12 @@ def _by_place(base: DataFrame, vocabulary: Vocabulary, names: int, member: DataF
     """
     known_by = member.groupBy("person").agg(*(F.max(n).alias(n) for n in IDENTIFIERS))
     profiles = member.where("bare IS NOT NULL").groupBy("person", "look").agg(F.min("id").alias("id"))
-    placed = base.where("bare IS NOT NULL AND coalesce(village, ward, sub) IS NOT NULL").select("id", "words", "heard", "age", "village", "ward", "sub")
+    placed = base.where("bare IS NOT NULL AND coalesce(village, ward, sub) IS NOT NULL").select("id", "words", "heard", "initial", "age", "village", "ward", "sub")
     joined = placed.join(profiles.join(known_by, "person").drop("look"), "id")
     one = checkpointed(with_keys(joined, vocabulary, names).withColumnsRenamed({"id": "profile", "person": "node"}))
-    spread = _met_at(one)
-    several = spread.groupBy("k").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_and("mask").alias("mask"), F.max("met").alias("some")).where("lo <> hi AND mask = 0 AND some").select("k", "n")
+    several = _met_at(one, vocabulary, names).groupBy("k").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_and("mask").alias("mask"), F.max("met").alias("some")).where("lo <> hi AND mask = 0 AND some").select("k", "n")
     several = checkpointed(several)
-    near = checkpointed(sieved(spread.select("k", "profile", "met"), F.col("k"), several, "k").join(several, "k"))
+    near = checkpointed(_met_at(one, vocabulary, names, several).select("k", "profile", "met").join(several, "k"))
     texts = sieved(one.select("profile", "node", "words", "age", "village", "ward", "sub", *IDENTIFIERS), F.col("profile"), near, "profile")
     shards = bounded_shards(near.join(texts, "profile"), "k", F.xxhash64("profile"), size="n")
     return components(unambiguous(checkpointed(_edges(shards, _join_place, IDENTIFIERS).distinct())))
@@ -735,9 +770,7 @@ def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_
         F.col(f"`{id_col}`").cast("bigint").alias("id"), c(name_col).alias("name"), digits_key(c(nid_col)).cast("bigint").alias("nid"), mail_key(c(mail_col), c(user_col)).alias("mail"), phone9(c(phone_col)).cast("bigint").alias("phone"),
         whole_years(c(age_col)).alias("age"), c(village_col).alias("village"), c(ward_col).alias("ward"), c(sub_col).alias("sub"),
     )
-    raw = raw.withColumn("bare", F.nullif(F.nullif(bare(F.col("name")), F.lit("")), F.lit("null")))
-    hashed = lambda n: F.when(F.col(n).isNotNull(), F.xxhash64(n)).alias(n)
-    raw = raw.select("id", F.when(F.col("bare").isNotNull(), F.col("name")).alias("name"), hashed("bare"), "nid", hashed("mail"), "phone", "age", "village", "ward", "sub")
+    raw = raw.withColumn("mail", F.when(F.col("mail").isNotNull(), F.xxhash64("mail")))
     texts = [F.coalesce(c, F.lit("")) for c in ("village", "ward", "sub")]
     base = checkpointed(_parsed(raw).withColumn("look", F.xxhash64("bare", F.coalesce("age", F.lit(-1)), *texts)))
     vocabulary = Vocabulary(base, ("village", "ward", "sub"), ("heard",))
@@ -747,83 +780,87 @@ def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_
     return member.where("bare IS NOT NULL").select("id", "bare", "person").join(merged, "person", "left").select("id", "bare", F.coalesce("whole", "person").alias("person"))
 
 
-def different_pairs(df: DataFrame, group: str) -> DataFrame:
-    """``id_a`` < ``id_b`` of one ``group`` whose ``bare`` differ."""
+def different_pairs(df: DataFrame, group: str, *keep: str) -> DataFrame:
+    """``id_a`` < ``id_b`` of one ``group`` whose ``bare`` differ, with columns that all of a group have in common."""
     mixed = df.groupBy(group).agg(F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select(group)
     kept = df.join(mixed, group)
-    a = kept.select(group, F.col("id").alias("id_a"), F.col("bare").alias("ba"))
+    a = kept.select(group, *keep, F.col("id").alias("id_a"), F.col("bare").alias("ba"))
     b = kept.select(group, F.col("id").alias("id_b"), F.col("bare").alias("bb"))
-    return a.join(b, group).where("id_a < id_b AND ba <> bb").select("id_a", "id_b")
+    return a.join(b, group).where("id_a < id_b AND ba <> bb").select(*keep, "id_a", "id_b")
+
 
+_SPELLING = pa.schema([("node", pa.int64()), ("field", pa.int32()), ("words", pa.list_(pa.string())), ("kinds", pa.list_(pa.string())), ("heard", pa.list_(pa.string())), ("letters", pa.list_(pa.string())), ("initial", pa.bool_())])
 
-_SPELLING = pa.schema([("node", pa.int64()), ("words", pa.list_(pa.string())), ("kinds", pa.list_(pa.string())), ("heard", pa.list_(pa.string())), ("letters", pa.list_(pa.string())), ("initial", pa.bool_())])
 
+def spellings(df: DataFrame, *organisations: str, people: Mapping[str, str] | None = None, id_col: str = "id") -> DataFrame:
+    """``field_name``, ``id`` (the smallest that holds it), ``bare`` and ``entity`` of each spelling of some columns.
 
-def spellings(df: DataFrame, name_col: str, id_col: str = "id", phone_col: str | None = None) -> DataFrame:
-    """``id`` (the smallest that holds it), ``bare`` and ``entity`` of each spelling of a column.
+    Values of the same bare text are one spelling of their column; blank-like ones are none.
 
-    Values of the same bare text are one spelling; blank-like ones are none. With ``phone_col``
-    the values are persons' names: two spellings that go with one telephone number are confirmed
-    by it, and two that both go with numbers but share none are no link. A spelling that goes with
-    several numbers, or with none, and fits spellings of different numbers is left apart (see
-    ``unambiguous``). Without ``phone_col`` they are organisations' names: their own words must be
-    alike and their kinds must not contradict.
+    * ``people`` names columns of persons' names, each with a column of telephones: two spellings
+      that go with one telephone number are confirmed by it, and two that both go with numbers but
+      share none are no link. A spelling that goes with several numbers, or with none, and fits
+      spellings of different numbers is left apart (see ``unambiguous``).
+    * ``organisations`` are columns of organisations' names: their own words must be alike and their
+      kinds must not contradict.
 
     Only distinct spellings go further. Their distinct words go through the trie join; spellings
     with a key in common (persons: keys of two words, or of a word and an initial) are candidates.
     """
-    v = F.col(f"`{name_col}`").cast("string")
-    rows = df.where(~blank_like(v) & F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.trim(v).alias("name"), bare(v).alias("bare"), (phone9(F.col(f"`{phone_col}`").cast("string")) if phone_col else F.lit(None).cast("string")).alias("phone"))
-    rows = checkpointed(rows.where("bare <> ''").groupBy("bare", "phone").agg(F.min("id").alias("id"), F.min("name").alias("name")))
-    each = checkpointed(rows.groupBy("bare").agg(F.min("id").alias("node"), F.min("name").alias("name"), F.min("phone").alias("lo"), F.max("phone").alias("hi")))
-    people = phone_col is not None
+    people = people or {}
+    columns = [*organisations, *people]
+    each_of = [F.struct(F.lit(i).alias("field"), F.col(f"`{c}`").cast("string").alias("v"), (F.col(f"`{people[c]}`").cast("string") if c in people else F.lit(None).cast("string")).alias("p")) for i, c in enumerate(columns)]
+    typed = df.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.explode(F.array(*each_of)).alias("t")).select("id", "t.*")
+    typed = typed.where("v IS NOT NULL").groupBy("field", "v", "p").agg(F.min("id").alias("id")).where(~blank_like(F.col("v")))
+    rows = typed.select("field", "id", F.trim("v").alias("name"), bare(F.col("v")).alias("bare"), phone9(F.col("p")).alias("phone"))
+    rows = checkpointed(rows.where("bare <> ''").groupBy("field", "bare", "phone").agg(F.min("id").alias("id"), F.min("name").alias("name")))
+    each = rows.groupBy("field", "bare").agg(F.min("id").alias("id"), F.min("name").alias("name"), F.min("phone").alias("lo"), F.max("phone").alias("hi"))
+    each = checkpointed(each.withColumn("node", F.col("id") * len(columns) + F.col("field")))
+    persons_from = len(organisations)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser()
         for batch in batches:
             out: list[dict] = []
-            for node, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own, kinds = (parser.person(name), ()) if people else organisation(parser, name)
-                out.append({"node": node, "words": list(own), "kinds": sorted(kinds), "heard": parser.heard(own or parser.split(name)), "letters": sorted({sound(w)[0] for w in own}), "initial": any(len(w) == 1 for w in own)})
+            for node, field, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own, kinds = (parser.person(name), ()) if field >= persons_from else organisation(parser, name)
+                out.append({"node": node, "field": field, "words": list(own), "kinds": sorted(kinds), "heard": parser.heard(own or parser.split(name)), "letters": sorted({sound(w)[0] for w in own}), "initial": any(len(w) == 1 for w in own)})
             yield pa.RecordBatch.from_pylist(out, schema=_SPELLING)
 
-    cuts = checkpointed(each.select("node", "name").repartition(partitions(df.sparkSession)).mapInArrow(cut, "node bigint, words array<string>, kinds array<string>, heard array<string>, letters array<string>, initial boolean"))
+    cuts = each.select("node", "field", "name").repartition(partitions(df.sparkSession)).mapInArrow(cut, "node bigint, field int, words array<string>, kinds array<string>, heard array<string>, letters array<string>, initial boolean")
+    cuts = checkpointed(cuts)
     tokens = cuts.select("node", F.explode("heard").alias("word")).join(Vocabulary(cuts, lists=("heard",)).table, "word")
     listed = tokens.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("word", "keys"))).alias("t"))
-    whole = F.array(F.xxhash64(F.array_join("words", "")), F.xxhash64(F.array_join(F.reverse("words"), "")))  # words typed together
-    sure = lambda c: F.transform(c, lambda k: F.struct(k.cast("string").alias("k"), F.lit(True).alias("met")))
-    if people:
-        pair = lambda x, y: F.xxhash64(F.least(x, y), F.greatest(x, y))
-        others = lambda t: F.filter("t", lambda o: o["word"] != t["word"])
-        two = F.flatten(F.transform("t", lambda t: F.flatten(F.transform(others(t), lambda o: F.flatten(F.transform(t["keys"], lambda x: F.transform(o["keys"], lambda y: pair(x, y))))))))
-        # a word and a letter: only for pairs of which one has an initial
-        one = F.flatten(F.transform("t", lambda t: F.flatten(F.transform(t["keys"], lambda x: F.transform("letters", lambda y: F.struct(F.xxhash64(x, y).cast("string").alias("k"), F.col("initial").alias("met")))))))
-        single = F.when(F.size("words") == 1, F.flatten(F.transform("t", lambda t: t["keys"]))).otherwise(F.array().cast(_NONE))
-        parts = F.concat(sure(F.concat(two, single, whole)), one)
-    else:
-        parts = sure(F.concat(F.flatten(F.transform("t", lambda t: t["keys"])), whole))
-    by_word = cuts.join(listed, "node").withColumn("p", F.explode(F.array_distinct(parts))).select("node", "words", "kinds", "p.k", "p.met", F.lit(None).cast("string").alias("number"))
+    sure = lambda c: F.transform(c, lambda k: F.struct(k.alias("k"), F.lit(True).alias("met")))
+    none = F.array().cast("array<struct<k:bigint,met:boolean>>")
+    whole = sure(F.array(F.xxhash64(F.array_join("words", "")), F.xxhash64(F.array_join(F.reverse("words"), ""))))  # words typed together
+    pair = lambda x, y: F.xxhash64(F.least(x, y), F.greatest(x, y))
+    others = lambda t: F.filter("t", lambda o: o["word"] != t["word"])
+    single = F.flatten(F.transform("t", lambda t: t["keys"]))
+    two = F.flatten(F.transform("t", lambda t: F.flatten(F.transform(others(t), lambda o: F.flatten(F.transform(t["keys"], lambda x: F.transform(o["keys"], lambda y: pair(x, y))))))))
+    # a word and a letter: only for pairs of which one has an initial
+    one = F.flatten(F.transform("t", lambda t: F.flatten(F.transform(t["keys"], lambda x: F.transform("letters", lambda y: F.struct(F.xxhash64(x, y).alias("k"), F.col("initial").alias("met")))))))
+    of_person = F.concat(sure(two), one, F.when(F.size("words") == 1, sure(single)).otherwise(none))
+    parts = F.concat(F.when(F.col("field") >= persons_from, of_person).otherwise(sure(single)), whole)
+    by_word = cuts.join(listed, "node").withColumn("p", F.explode(F.array_distinct(parts))).select("node", "field", "words", "kinds", F.xxhash64("field", "p.k").alias("k"), "p.met", F.lit(None).cast("string").alias("number"))
     # one number alone tells whose spelling it is; of several each is a key, but none tells
     told = each.select("node", F.when(F.col("lo") == F.col("hi"), F.col("lo")).cast("bigint").alias("phone"), F.col("lo").isNotNull().alias("numbered"))
-    numbers = rows.where("phone IS NOT NULL").join(each.select("bare", "node"), "bare").select("node", F.col("phone").alias("number"))
-    by_number = cuts.join(numbers, "node").select("node", "words", "kinds", F.concat(F.lit("tel "), "number").alias("k"), F.lit(True).alias("met"), "number")
-    keyed_by = checkpointed(by_word.unionByName(by_number))
+    numbers = rows.where("phone IS NOT NULL").join(each.select("field", "bare", "node"), ["field", "bare"]).select("node", F.col("phone").alias("number"))
+    by_number = cuts.join(numbers, "node").select("node", "field", "words", "kinds", F.xxhash64(F.lit("tel"), "field", "number").alias("k"), F.lit(True).alias("met"), "number")
+    keyed_by = checkpointed(by_word.unionByName(by_number).join(told, "node"))
     several = keyed_by.groupBy("k").agg(F.count("*").alias("n"), F.max("met").alias("some")).where("n > 1 AND some").select("k", "n")
-    shards = bounded_shards(keyed_by.join(several, "k").join(told, "node"), "k", F.xxhash64("node"), size="n")
+    shards = bounded_shards(keyed_by.join(several, "k"), "k", F.xxhash64("node"), size="n")
 
-    def same_organisation(a: dict, b: dict) -> bool:
-        return organisation_match((tuple(a["words"]), frozenset(a["kinds"])), (tuple(b["words"]), frozenset(b["kinds"])))
-
-    def same_trainer(a: dict, b: dict) -> bool:
+    def same(a: dict, b: dict) -> bool:
+        if not (a["met"] or b["met"]):
+            return False
+        if a["field"] < persons_from:
+            return organisation_match((tuple(a["words"]), frozenset(a["kinds"])), (tuple(b["words"]), frozenset(b["kinds"])))
         shared = a["number"] is not None  # all of the shard have it; spellings that share a number meet there
         return (shared or not (a["numbered"] and b["numbered"])) and person_match(a["words"], b["words"], shared)
 
-    def join(members: Sequence[dict]) -> Iterator[tuple[dict, dict]]:
-        same = same_trainer if people else same_organisation
-        return ((a, b) for a, b in _meeting(members) if (a["met"] or b["met"]) and same(a, b))
-
-    edges = checkpointed(_edges(shards, join, ("phone",)).distinct())
-    if people:
-        edges = unambiguous(edges.withColumns({f"{n}_{s}": F.lit(None).cast("bigint") for n in ("nid", "mail") for s in "ab"}))
+    edges = _edges(shards, lambda members: (p for p in _meeting(members) if same(*p)), ("phone",)).distinct()
+    edges = unambiguous(checkpointed(edges.withColumns({f"{n}_{s}": F.lit(None).cast("bigint") for n in ("nid", "mail") for s in "ab"})))
     links = components(edges)
-    return each.join(links, "node", "left").select(F.col("node").alias("id"), "bare", F.coalesce("component", "node").alias("entity"))
+    named = F.element_at(F.array(*map(F.lit, columns)), F.col("field") + 1).alias("field_name")
+    return each.join(links, "node", "left").select(named, "id", "bare", F.coalesce("component", "node").alias("entity"))

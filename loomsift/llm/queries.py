@@ -44,9 +44,8 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     """Pairs of rows of one person, and of spellings of one organisation or trainer, that differ in bare text."""
     rows = table(spark, root, "participants")
     people = different_pairs(persons(rows), "person").withColumn("field_name", F.lit("full_name"))
-    orgs = different_pairs(spellings(rows, "organization"), "entity").withColumn("field_name", F.lit("organization"))
-    trainers = different_pairs(spellings(rows, "trainer_name", phone_col="trainer_phone"), "entity").withColumn("field_name", F.lit("trainer_name"))
-    return people.unionByName(orgs).unionByName(trainers).select("field_name", "id_a", "id_b")
+    others = different_pairs(spellings(rows, "organization", people={"trainer_name": "trainer_phone"}), "entity", "field_name")
+    return people.unionByName(others).select("field_name", "id_a", "id_b")
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:

@@ -21,7 +21,7 @@ LOST = "\ufffd"
 #: Words that ask one copy of a shard's trie; with more words, a shard is asked by several tasks.
 ASKING = 50_000
 #: Words that go down a trie together.
-TOGETHER = 1_000
+TOGETHER = 2_000
 #: Shortest word whose continuations count as its spellings.
 PREFIX = 4
 #: Letters of a word that fit the automaton's bit vectors; longer words are spelt one way only.
