@@ -603,11 +603,10 @@ def with_keys(df: DataFrame, vocabulary: Vocabulary, names: int) -> DataFrame:
     """``df`` (with ``words``, ``heard``, ``initial``, ``village``, ``ward``, ``sub`` and a unique ``id``) with ``must`` and ``weak`` keys of its names, and ``spots`` (by village and ward) and ``wide`` (by sub-county) of its places.
 
     Places that are spellings of one another have one of these in common, as words have a key. If
-    the vocabulary went to the tasks, the columns are null: ``keys_of`` looks them up there.
+    the vocabulary went to the tasks, nothing is added: ``keys_of`` looks them up there.
     """
-    columns = ("must", "weak", "spots", "wide")
     if vocabulary.sent is not None:
-        return df.withColumns({c: F.lit(None).cast(_NONE) for c in columns})
+        return df
     none = F.array().cast(_NONE)
     tokens = df.select("id", "initial", F.explode("heard").alias("word")).join(vocabulary.table, "word")
     listed = tokens.groupBy("id").agg(F.max("initial").alias("initial"), F.collect_list(F.struct((F.col("n") * FREQUENT >= names).alias("often"), "keys")).alias("t"))
@@ -625,7 +624,7 @@ def with_keys(df: DataFrame, vocabulary: Vocabulary, names: int) -> DataFrame:
 def keys_of(batch: pa.RecordBatch, known: Mapping[str, tuple[int, Sequence[int]]] | None, names: int) -> Iterator[tuple[Sequence[int], Sequence[int], Sequence[int], Sequence[int]]]:
     """``must``, ``weak``, ``spots`` and ``wide`` of each row of a batch of ``with_keys``."""
     if known is None:
-        yield from zip(*(batch.column(c).to_pylist() for c in ("must", "weak", "spots", "wide")), strict=True)
+        yield from zip(*(batch.column(c).to_pylist() for c in KEYS), strict=True)
         return
     for heard, initial, village, ward, sub in zip(*(batch.column(c).to_pylist() for c in ("heard", "initial", "village", "ward", "sub")), strict=True):
         must, weak = _split_keys([known[w] for w in heard], initial, names)
@@ -633,6 +632,8 @@ def keys_of(batch: pa.RecordBatch, known: Mapping[str, tuple[int, Sequence[int]]
         yield must, weak, spots + _tagged(known[ward][1], "ward") if ward else spots, _tagged(known[sub][1], "sub") if sub else ()
 
 
+#: The columns of keys that ``with_keys`` adds.
+KEYS = ("must", "weak", "spots", "wide")
 #: Numbers by which keys of the same word in different columns differ.
 TAGS = {"village": 0x5851F42D4C957F2D, "ward": 0x14057B7EF767814F, "sub": 0x2545F4914F6CDD1D}
 
@@ -651,7 +652,7 @@ def _by_identifiers(base: DataFrame, vocabulary: Vocabulary, names: int) -> Data
     texts = sieved(base.select("id", "words", "heard", "initial", "age"), F.col("id"), rows, "id").join(rows, "id")
     nowhere = [F.lit(None).cast("string").alias(c) for c in ("village", "ward", "sub")]
     known, full = vocabulary.sent, with_keys(texts.select("*", *nowhere), vocabulary, names).withColumnRenamed("id", "node")
-    fields = ["node", "bare", "nid", "mail", "phone", "age", "words", "heard", "initial", "must", "weak", "spots", "wide", "village", "ward", "sub"]
+    fields = ["node", "bare", "nid", "mail", "phone", "age", "words", "heard", "initial", "village", "ward", "sub", *(c for c in KEYS if c in full.columns)]
     small = full.where(F.col("n") <= SHARD).groupBy("grp").agg(F.collect_list(F.struct(*fields)).alias("members"))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -726,7 +727,7 @@ def _met_at(one: DataFrame, vocabulary: Vocabulary, names: int, wanted: DataFram
     # by the sub-county alone only the very words of a name count, and both ages are needed
     very = F.when(F.col("age").isNotNull() & (F.size("words") > 1), F.xxhash64("heard")).alias("hh")
     mask = (has("mail", 1) + has("phone", 2) + has("village", 4) + has("ward", 8)).alias("mask")
-    return one.select("profile", "node", "heard", "initial", "village", "ward", "sub", "must", "weak", "spots", "wide", very, mask).mapInArrow(spread, "profile bigint, node bigint, k bigint, met boolean, mask int")
+    return one.select("profile", "node", "heard", "initial", "village", "ward", "sub", *(c for c in KEYS if c in one.columns), very, mask).mapInArrow(spread, "profile bigint, node bigint, k bigint, met boolean, mask int")
 
 
 def _by_place(base: DataFrame, vocabulary: Vocabulary, names: int, member: DataFrame) -> DataFrame:
