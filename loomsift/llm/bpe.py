@@ -29,8 +29,8 @@ NO_RANK = 2**31 - 1
 FOLD_BYTES = 64
 #: A word is frequent if it makes up at least one in so many tokens; so there are at most so many frequent words.
 FREQUENT = 20_000
-#: Only words up to this length (characters) are held as frequent ones, which bounds their size in memory to some 6 MB.
-FREQUENT_CHARS = 64
+#: Frequent words are broadcast if all of them have at most so many characters; else they are joined by hash, as the others.
+SENT_CHARS = 8_000_000
 
 
 def read_ranks(path: str = DEFAULT_VOCABULARY) -> dict[str, int]:
@@ -125,9 +125,10 @@ def token_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
     * The string of a special token in a text is ordinary text.
 
     Words are counted with partial aggregation and encoded once each. Words that make up a
-    noticeable part of all tokens would be hot join keys: there are at most FREQUENT of them, by
-    count, so their ids are broadcast; only the tokens of the other words, none of which is hot,
-    are shuffled by word.
+    noticeable part of all tokens would be hot join keys, whatever their length: there are at most
+    FREQUENT of them, by count, and as each makes up so much of the corpus, their characters are
+    at most FREQUENT times those of a mean word. If that is little, their ids are broadcast, and
+    only the tokens of the other words, none of which is hot, are shuffled by word.
     """
     ranks = read_ranks(vocabulary)
     docs = df.select(F.col(f"`{id_col}`").alias("d"), F.regexp_extract_all(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit(PATTERN), F.lit(0)).alias("w"))
@@ -135,8 +136,10 @@ def token_ids(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
     counts = docs.select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     words = checkpointed(encode_words(counts, ranks))
     total = words.agg(F.sum("n")).first()[0] or 0
-    frequent = (F.col("n") * FREQUENT >= total) & (F.length("word") <= FREQUENT_CHARS)
-    hot = F.broadcast(words.where(frequent).select("word", F.col("ids").alias("hot")))
+    frequent = F.col("n") * FREQUENT >= total
+    chars = words.where(frequent).agg(F.sum(F.length("word"))).first()[0] or 0
+    hot = words.where(frequent).select("word", F.col("ids").alias("hot"))
+    hot = F.broadcast(hot) if chars <= SENT_CHARS else hot
     cold = words.where(~frequent).select("word", F.col("ids").alias("cold"))
     tokens = docs.select("k", "d", F.posexplode_outer("w").alias("pos", "word")).join(hot, "word", "left")
     known = tokens.where("hot IS NOT NULL OR word IS NULL").select("k", "d", "pos", F.col("hot").alias("ids"))
