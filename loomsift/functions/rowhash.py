@@ -87,6 +87,12 @@ def header_order(header: Sequence[str]) -> list[int]:
     return sorted(range(len(header)), key=lambda i: (header[i] + ",").encode("utf-16-be", "surrogatepass"))
 
 
+def order_of(header: Column) -> Column:
+    """The 0-based positions of a header's columns in the order in which they are hashed; right for names without characters beyond the basic plane."""
+    keyed = F.transform(header, lambda h, i: F.struct(F.concat(h, F.lit(",")).alias("k"), i.alias("i")))
+    return F.transform(F.array_sort(keyed), lambda s: s["i"])
+
+
 def hash_input(source: Column, file_name: Column, header: Column, cells: Column, order: Column | None = None) -> Column:
     """The text that is hashed: source, file name and the JSON of (header, raw cell) pairs in header order.
 
@@ -95,8 +101,7 @@ def hash_input(source: Column, file_name: Column, header: Column, cells: Column,
     which is right for names without characters beyond the basic plane.
     """
     if order is None:
-        keyed = F.transform(header, lambda h, i: F.struct(F.concat(h, F.lit(",")).alias("k"), i.alias("i")))
-        order = F.transform(F.array_sort(keyed), lambda s: s["i"])
+        order = order_of(header)
     present = F.filter(order, lambda i: i < F.size(cells))
     pairs = F.transform(present, lambda i: F.array(F.get(header, i), F.get(cells, i)))
     return F.concat(source, F.lit("|"), file_name, F.lit("|"), F.to_json(pairs))

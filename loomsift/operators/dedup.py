@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomsift.session import checkpointed, partitions
+
 BATCH_ROWS = 2000
 
 
@@ -29,23 +31,36 @@ def insert_if_absent(new: DataFrame, target: DataFrame, key: str, *order: Column
     return first_by(fresh.select(*new.columns), [key], *order)
 
 
+def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over the rows before it in its group's order (0 for the first).
+
+    A group of any size is spread over tasks: rows are sorted in ranges by group and order and
+    written once, so that their places can't change; each range sums up its part, and the parts
+    before it, one row a range and group, are added. Nulls are groups of their own.
+    """
+    n = partitions(df.sparkSession)
+    ranged = df.withColumn("_v", value).repartitionByRange(n, *by, *order).withColumn("_p", F.spark_partition_id())
+    ranged = checkpointed(ranged)
+    within = Window.partitionBy("_p", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("_p", *by).agg(F.sum("_v").alias("_s"))
+    before = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("_p").alias("_q"), *(F.col(b).alias(f"_g{i}") for i, b in enumerate(by)), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
+    same = F.col("_p") == F.col("_q")
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"_g{i}"))
+    summed = ranged.withColumn("_t", F.coalesce(F.sum("_v").over(within), F.lit(0)))
+    return summed.join(parts, same).withColumn(name, F.col("_t") + F.col("_before")).select(*df.columns, name)
+
+
 def sequence(df: DataFrame, by: str, *order: str, name: str = "seq") -> DataFrame:
-    """A dense number from 1 within ``by``."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*order)))
+    """A dense number from 1 within ``by``; a group of any size is spread over tasks."""
+    return running_total(df, [by], order, F.lit(1), name).withColumn(name, F.col(name) + 1)
 
 
 def batches(df: DataFrame, by: str | None, *order: str, size: int = BATCH_ROWS) -> DataFrame:
-    """``df`` with ``batch``: rows in order, so many a batch, numbered from 0 within ``by``.
-
-    Without ``by`` there is one order over all rows; it is numbered per partition of a range sort
-    plus the sizes of those before, not in a single task.
-    """
-    if by is not None:
-        return sequence(df, by, *order, name="_n").withColumn("batch", F.floor((F.col("_n") - 1) / size)).drop("_n")
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() - (F.spark_partition_id().cast("bigint") * F.lit(1 << 33)))
-    sizes = ranged.groupBy("_p").agg(F.count("*").alias("_c"))
-    before = sizes.withColumn("_b", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a partition
-    return ranged.join(F.broadcast(before.select("_p", "_b")), "_p").withColumn("batch", F.floor((F.col("_b") + F.col("_i")) / size)).drop("_p", "_i", "_b")
+    """``df`` with ``batch``: rows in order, so many a batch, numbered from 0 within ``by`` or, without it, over all rows."""
+    placed = running_total(df, [by] if by else [], order, F.lit(1), "batch")
+    return placed.withColumn("batch", F.floor(F.col("batch") / size))
 
 
 def repeated(df: DataFrame, keys: Sequence[str], id_col: str = "id", null_safe: bool = False) -> DataFrame:

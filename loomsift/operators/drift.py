@@ -1,13 +1,14 @@
 """Columns that drift between the versions of a feed (problem 2).
 
-Ingestion enforces a target schema: a column that is known, or known by another name, is cast into
-its field; what is unknown or can't be cast is kept as JSON in a rescue column. Approved fields
-are promoted and the rescued values replayed into them. The changes between two versions follow
-from the names under which the columns of both were mapped.
+Ingestion enforces a target schema: a column that it has is cast into it; what is unknown or can't
+be cast is kept as JSON in a rescue column. Approved names are promoted and the rescued values
+replayed into typed columns. The changes of a feed come the same way: each version is enforced
+upon the schema of the one before, and what lands in its rescue column tells what changed.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
@@ -20,55 +21,27 @@ from loomsift.functions.spell import edits
 from loomsift.functions.text import bare, null_like
 from loomsift.session import checkpointed
 
-#: Further names of canonical fields, English and Swahili, that the alias dictionary lacks.
-SYNONYMS: dict[str, tuple[str, ...]] = {
-    "full_name": ("jina", "learner name", "names", "full nmae", "student name", "jina kamili"),
-    "gender": ("jinsia", "gendr", "m or f"),
-    "email": ("mail", "e mail", "barua pepe", "email adress"),
-    "phone_number": ("tel", "mobile no", "cell no", "simu", "phne number", "phone no", "tel no", "cell", "cell phone", "namba ya simu"),
-    "national_id": ("natl id", "kitambulisho", "id", "national idno", "id card no"),
-    "age": ("age in years", "age yrs", "umri"),
-    "county": ("kaunti", "home county", "countyname"),
-    "sub_county": ("subcnty", "sub cty", "constituency"),
-    "ward": ("wadi", "ward name"),
-    "village": ("kijiji", "home village", "vilage"),
-    "organization": ("org", "employer", "organizaton"),
-    "role": ("rol", "job title", "cheo"),
-    "disability": ("disabled", "disability yn", "ulemavu"),
-    "education_level": ("edu level", "elimu", "highest education"),
-    "internet_access": ("internet", "net access"),
-    "trainer_name": ("trainr name", "facilitator", "mkufunzi"),
-    "remarks": ("remark", "maoni", "observations"),
-    "completion_date": ("date complete", "compl date", "completed on"),
-    "registration_date": ("regdate", "reg dt", "registered on"),
-    "training_time": ("duration", "hours spent"),
-    "quiz_average": ("quiz avg", "quizaverage", "mean quiz score"),
-    "percent_complete": ("percent completed", "pct done", "progress"),
-    "serial_no": ("nambari", "s no", "row no"),
-    "monthly_income": ("income per month", "income ksh"),
-    "course_taken": ("course", "course name", "kozi"),
-    "date_trained": ("training date", "trained on"),
-    "has_device": ("owns device", "device owner"),
-    "partner": ("partner org", "mshirika"),
-}
-
 #: Types of the target table's samples; other fields are strings.
 TARGET_TYPES = {"age": "int", "quiz_average": "double", "monthly_income": "double", "registration_date": "date", "completion_date": "date", "date_trained": "date"}
 
 
-def known_names() -> dict[str, str]:
-    """Bare text of a header -> canonical field."""
+#: Further names of canonical fields, by field.
+Names = Mapping[str, Sequence[str]]
+
+
+def known_names(further: Names | None = None) -> dict[str, str]:
+    """Bare text of a header -> canonical field; ``further`` has names that the alias dictionary lacks."""
     out = {}
-    for names in (SYNONYMS, CANONICAL):
+    for names in (further or {}, CANONICAL):
         for field, others in names.items():
             for name in (field, *others):
                 out["".join(ch for ch in name.lower() if ch.isalnum())] = field
     return out
 
 
-def field_of(bare_name: Column) -> Column:
+def field_of(bare_name: Column, names: Mapping[str, str]) -> Column:
     """The canonical field that a header's bare text names, or null."""
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in known_names().items() for x in kv]), bare_name)
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), bare_name)
 
 
 def cell_type_of(cell_type: Column, sample: Column) -> Column:
@@ -87,16 +60,17 @@ def cell_type_of(cell_type: Column, sample: Column) -> Column:
 def header_versions(headers: DataFrame) -> DataFrame:
     """One row for each version of each feed: ``feed``, ``version`` and ``columns``, in their order.
 
-    A column has ``col_no``, ``name`` (bare text), ``raw``, ``type``, ``field`` and ``sample``. A version
-    that was delivered twice counts once, as its first delivery (by time, then file). The columns
-    of one delivered file are what is gathered, never those of a feed.
+    A column has ``col_no``, ``name`` (bare text), ``n`` (how often the name occurs before), ``raw``,
+    ``type`` and ``sample``. A version that was delivered twice counts once, as its first delivery
+    (by time, then file). The columns of one delivered file are what is gathered, never those of a feed.
     """
     column = F.struct("col_no", F.col("raw_column_name").alias("raw"), bare(F.col("raw_column_name")).alias("name"), cell_type_of(F.col("cell_type"), F.col("sample_value")).alias("type"), null_like(F.col("sample_value")).alias("sample"))
     rows = headers.where("feed_name IS NOT NULL AND feed_version IS NOT NULL").select(F.col("feed_name").alias("feed"), F.col("feed_version").alias("version"), F.coalesce("drive_file_id", F.lit("")).alias("file"), "loaded_at", column.alias("c"))
     files = rows.groupBy("feed", "version", "file").agg(F.min("loaded_at").alias("at"), F.array_sort(F.collect_set("c")).alias("columns"))
     first = files.groupBy("feed", "version").agg(F.min_by("columns", F.struct(F.coalesce(F.col("at").cast("double"), F.lit(0.0)), "file")).alias("columns"))
-    known = F.transform("columns", lambda c: F.struct(c["col_no"].alias("col_no"), c["name"].alias("name"), c["raw"].alias("raw"), c["type"].alias("type"), field_of(c["name"]).alias("field"), c["sample"].alias("sample")))
-    return first.select("feed", "version", known.alias("columns"))
+    before = lambda c, i: F.size(F.filter(F.slice("columns", F.lit(1), i), lambda o: o["name"] == c["name"])).alias("n")
+    numbered = F.transform("columns", lambda c, i: F.struct(c["col_no"].alias("col_no"), c["name"].alias("name"), before(c, i), c["raw"].alias("raw"), c["type"].alias("type"), c["sample"].alias("sample")))
+    return first.select("feed", "version", numbered.alias("columns"))
 
 
 def is_slip(a: str, b: str) -> bool:
@@ -107,48 +81,78 @@ def is_slip(a: str, b: str) -> bool:
     return longest > 2 and digits[0] == digits[1] and edits(a, b, most) <= most
 
 
-def header_changes(old: Sequence[dict], new: Sequence[dict]) -> list[tuple[str, str | None]]:
-    """(kind, raw name) of each change between two versions' columns.
+def enforced(pairs: DataFrame, target: str = "target", cells: str = "columns") -> DataFrame:
+    """``pairs`` with ``landed``, ``missing`` and ``rescued_json``: one version's columns enforced upon a target schema of its own.
 
-    Equal names are paired in order of place. Of the others, a new and a gone name that map to the
-    same field are one column renamed, then those that are typing slips of each other, the most
-    similar first.
+    Both are arrays of columns as ``header_versions`` gives them. A column of the target's name lands
+    if its cells have the type of the target's (or one of the types isn't known). What doesn't land
+    is rescued as JSON, with the reason: ``unknown``, or ``uncastable`` for another type.
     """
-
-    def numbered(columns: Sequence[dict]) -> dict[tuple[str, int], dict]:
-        out: dict[tuple[str, int], dict] = {}
-        for c in columns:
-            n = 0
-            while (c["name"], n) in out:
-                n += 1
-            out[c["name"], n] = c
+    same = lambda a, b: (a["name"] == b["name"]) & (a["n"] == b["n"])
+    fits = lambda a, b: same(a, b) & F.coalesce(a["type"] == b["type"], F.lit(True))
+    lands = lambda c: F.exists(target, lambda t: fits(t, c))
+    reason = lambda c: F.when(F.exists(target, lambda t: same(t, c)), "uncastable").otherwise("unknown")
+    rescued = F.transform(F.filter(cells, lambda c: ~lands(c)), lambda c: F.struct(c["raw"].alias("raw"), c["name"].alias("name"), c["type"].alias("type"), c["sample"].alias("value"), reason(c).alias("reason")))
+    return pairs.withColumns({"landed": F.transform(F.filter(cells, lands), lambda c: c["raw"]), "missing": F.filter(target, lambda t: ~F.exists(cells, lambda c: same(t, c))), "rescued_json": F.to_json(rescued)})
+
+
+class Approved:
+    """The names by which rescued columns may be promoted: known names of fields, and typing slips."""
+
+    def __init__(self, names: Mapping[str, str]) -> None:
+        self.names = names
+        self.fields: dict[str, str | None] = {}
+
+    def field(self, name: str) -> str | None:
+        """The field of a bare name or of the one known name that it is a slip of."""
+        if name not in self.fields:
+            if len(self.fields) > 100_000:
+                self.fields.clear()
+            found = self.names.get(name)
+            if found is None and len(name) > 3:
+                near = {f for n, f in self.names.items() if len(n) > 3 and is_slip(name, n)}
+                found = near.pop() if len(near) == 1 else None
+            self.fields[name] = found
+        return self.fields[name]
+
+    def promoted(self, missing: Sequence[str], unknown: Sequence[str]) -> list[tuple[int, int]]:
+        """(place in ``unknown``, place in ``missing``) of each rescued name under which a missing column goes on.
+
+        Names of one field first, in order, then typing slips of one another, the most similar first.
+        """
+        out: list[tuple[int, int]] = []
+        left = list(range(len(missing)))
+        for i, name in enumerate(unknown):
+            field = self.field(name)
+            if field and (j := next((j for j in left if self.field(missing[j]) == field), None)) is not None:
+                out.append((i, j))
+                left.remove(j)
+        free = set(range(len(unknown))) - {i for i, _ in out}
+        for _, i, j in sorted((edits(unknown[i], missing[j], 2), i, j) for i in free for j in left if is_slip(unknown[i], missing[j])):
+            if i in free and j in left:
+                out.append((i, j))
+                free.discard(i)
+                left.remove(j)
         return out
 
-    a, b = numbered(old), numbered(new)
-    out = [("type_changed", b[k]["raw"]) for k in b if k in a and a[k]["type"] and b[k]["type"] and a[k]["type"] != b[k]["type"]]
-    gone, fresh = [a[k] for k in a if k not in b], [b[k] for k in b if k not in a]
-    for c in list(fresh):
-        if c["field"] and (o := next((o for o in gone if o["field"] == c["field"]), None)):
-            out.append(("renamed", c["raw"]))
-            gone.remove(o)
-            fresh.remove(c)
-    slips = sorted((edits(c["name"], o["name"], 2), i, j) for i, c in enumerate(fresh) for j, o in enumerate(gone) if not (c["field"] and o["field"]) and is_slip(c["name"], o["name"]))
-    done_a: set[int] = set()
-    done_b: set[int] = set()
-    for _, i, j in slips:
-        if i not in done_a and j not in done_b:
-            done_a.add(i)
-            done_b.add(j)
-            out.append(("renamed", fresh[i]["raw"]))
-    out += [("added", c["raw"]) for i, c in enumerate(fresh) if i not in done_a]
-    return out + [("removed", o["raw"]) for j, o in enumerate(gone) if j not in done_b]
-
-
-def schema_changes(headers: DataFrame) -> DataFrame:
+
+def rescued_changes(missing: Sequence[dict], rescued: Sequence[dict], approved: Approved) -> list[tuple[str, str | None]]:
+    """(kind, raw name) of each change that a version's rescue column and the missing columns of its target show."""
+    out = [("type_changed", c.get("raw")) for c in rescued if c["reason"] == "uncastable"]
+    unknown = [c for c in rescued if c["reason"] == "unknown"]
+    promoted = approved.promoted([t["name"] for t in missing], [c["name"] for c in unknown])
+    out += [("renamed", unknown[i].get("raw")) for i, _ in promoted]
+    out += [("added", c.get("raw")) for i, c in enumerate(unknown) if i not in {i for i, _ in promoted}]
+    return out + [("removed", t["raw"]) for j, t in enumerate(missing) if j not in {j for _, j in promoted}]
+
+
+def schema_changes(headers: DataFrame, further: Names | None = None) -> DataFrame:
     """``feed_name``, ``feed_version``, ``change_kind``, ``column_name``: each version against the one before.
 
-    * ``renamed``: a new name that maps to the field of a name that is gone, or is a typing slip of
-      it; ``added`` and ``removed`` are the names left over; ``type_changed`` keeps its name.
+    * Each version is enforced upon the schema of the one before. ``type_changed``: rescued because
+      of its type; ``renamed``: rescued as unknown, and promoted into a missing column of the same
+      field or of which it is a typing slip; ``added`` and ``removed``: what is left of the rescued
+      and of the missing columns. ``further`` has names of fields beside the alias dictionary.
     * ``column_name`` is as stored in that version, for ``removed`` in the one before. The order of
       columns, letter case and punctuation don't matter; a null name counts as the empty one.
     * A feed's first version has no changes; null feeds or versions and an empty table give none.
@@ -158,20 +162,22 @@ def schema_changes(headers: DataFrame) -> DataFrame:
     """
     versions = checkpointed(header_versions(headers))
     order = versions.select("feed", "version").withColumn("before", F.lag("version").over(Window.partitionBy("feed").orderBy("version"))).where("before IS NOT NULL")
-    old = versions.select("feed", F.col("version").alias("before"), F.col("columns").alias("old"))
-    pairs = versions.join(order, ["feed", "version"]).join(old, ["feed", "before"]).select("feed", "version", "old", "columns")
+    old = versions.select("feed", F.col("version").alias("before"), F.col("columns").alias("target"))
+    pairs = enforced(versions.join(order, ["feed", "version"]).join(old, ["feed", "before"])).select("feed", "version", "missing", "rescued_json")
     kind = headers.schema["feed_version"].dataType.simpleString()
+    names = known_names(further)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        approved = Approved(names)
         for batch in batches:
             out: list[tuple] = []
-            for feed, version, old, new in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out += [(feed, version, *change) for change in header_changes(old, new)]
+            for feed, version, missing, rescued in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out += [(feed, version, *change) for change in rescued_changes(missing, json.loads(rescued), approved)]
             cols = list(zip(*out, strict=True)) or [()] * 4
             types = (pa.string(), batch.schema.field(1).type, pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["feed_name", "feed_version", "change_kind", "column_name"])
 
-    return pairs.mapInArrow(compare, f"feed_name string, feed_version {kind}, change_kind string, column_name string")
+    return pairs.mapInArrow(read, f"feed_name string, feed_version {kind}, change_kind string, column_name string")
 
 
 def enforce(rows: DataFrame, cells: Column, types: Mapping[str, str], rescue: str = "rescued_json") -> DataFrame:
@@ -219,12 +225,31 @@ def replay(rows: DataFrame, promoted: Mapping[str, tuple[str, str]], rescue: str
     return out.withColumn(rescue, F.to_json("_bag")).drop("_bag", "_value")
 
 
-def consistent_table(headers: DataFrame) -> DataFrame:
+def promote(rows: DataFrame, names: Mapping[str, str], types: Mapping[str, str], rescue: str = "rescued_json") -> DataFrame:
+    """Replays rescued values into the typed columns of ``types`` under approved names (bare text -> field).
+
+    A rescued value goes into its field's column where that is null, and leaves the rescue column;
+    of several for one field the first by name goes, the others stay, as does what can't be cast.
+    """
+    entry = lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"), field_of(bare(e["key"]), names).alias("f"))
+    bag = F.coalesce(F.from_json(F.col(rescue), "map<string,string>"), F.create_map().cast("map<string,string>"))
+    out = rows.withColumn("_e", F.filter(F.transform(F.array_sort(F.map_entries(bag)), entry), lambda e: e["f"].isNotNull())).withColumn("_bag", bag)
+    ready = {f: F.when(F.col(f).isNull(), F.get(F.filter("_e", lambda e: (e["f"] == f) & _cast(e["v"], t).isNotNull()), F.lit(0))) for f, t in types.items()}  # noqa: B023
+    out = out.withColumn("_ready", F.struct(*(c.alias(f) for f, c in ready.items())))
+    gone = F.array(*(F.col(f"_ready.{f}.k") for f in types))
+    out = out.withColumn("_bag", F.map_filter("_bag", lambda k, _: ~F.coalesce(F.array_contains(F.array_compact(gone), k), F.lit(False))))
+    return out.withColumns({f: F.coalesce(F.col(f), _cast(F.col(f"_ready.{f}.v"), t)) for f, t in types.items()}).withColumn(rescue, F.to_json("_bag")).drop("_e", "_bag", "_ready")
+
+
+def consistent_table(headers: DataFrame, further: Names | None = None) -> DataFrame:
     """One row for each version of each feed with the samples of its columns in the target schema.
 
     Columns: ``feed_name``, ``feed_version``, the 60 canonical fields with the types of
-    ``TARGET_TYPES`` (else string), and ``rescued_json`` with unknown or uncastable cells under
-    their raw names.
+    ``TARGET_TYPES`` (else string), and ``rescued_json``. The alias dictionary's names are
+    enforced; rescued cells are replayed under the approved names of ``further``; unknown and
+    uncastable ones stay in ``rescued_json`` under their raw names.
     """
-    rows = header_versions(headers).select(F.col("feed").alias("feed_name"), F.col("version").alias("feed_version"), F.transform("columns", lambda c: F.struct(c["field"].alias("field"), c["raw"].alias("raw"), c["sample"].alias("value"))).alias("cells"))
-    return enforce(rows, F.col("cells"), {f: TARGET_TYPES.get(f, "string") for f in CANONICAL}).drop("cells")
+    types = {f: TARGET_TYPES.get(f, "string") for f in CANONICAL}
+    known = known_names()
+    rows = header_versions(headers).select(F.col("feed").alias("feed_name"), F.col("version").alias("feed_version"), F.transform("columns", lambda c: F.struct(field_of(c["name"], known).alias("field"), c["raw"].alias("raw"), c["sample"].alias("value"))).alias("cells"))
+    return promote(enforce(rows, F.col("cells"), types).drop("cells"), known_names(further), types)

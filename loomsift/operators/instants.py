@@ -189,25 +189,37 @@ def instant(value: str | None, zone: str | None, order: str | None) -> int | Non
 def utc_instants(df: DataFrame, fields: Sequence[str], clocks: DataFrame | Mapping[str, tuple[str, str]], id_col: str = "id", by: str = "partner", zone_col: str = "input_tz", order_col: str = "date_order") -> DataFrame:
     """``id``, ``field_name``, ``utc_micros``: one row for each value of ``fields`` that states a date or an instant.
 
-    * ``clocks`` has the zone and the date order for each value of ``by`` (a small stated table:
-      at most ``MAX_CLOCKS`` rows, or an error); rows without a clock are read as UTC, day first.
+    * ``clocks`` has the zone and the date order for each value of ``by``; rows without a clock are
+      read as UTC, day first. A table of at most ``SENT`` clocks goes to the tasks, a larger one is
+      joined.
     * Nulls, blanks, impossible dates and other texts give no row; rows repeated in ``df`` give
       repeated rows; extra columns are ignored.
-    * Nothing is shuffled: values are read in Arrow batches where they are.
+    * Values are read in Arrow batches where they are; but for a join with very many clocks nothing
+      is shuffled.
     """
+    names, id_type = list(fields), df.schema[id_col].dataType.simpleString()
+    wanted = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{by}`").cast("string").alias("_by"), *(F.col(f"`{f}`").cast("string").alias(f"_v{n}") for n, f in enumerate(names)))
+    known: dict[str, tuple[str, str]] | None = None
     if isinstance(clocks, DataFrame):
-        rows = clocks.select(F.col(by).cast("string"), F.col(zone_col), F.col(order_col)).limit(MAX_CLOCKS + 1).collect()
-        if len(rows) > MAX_CLOCKS:
-            raise ValueError(f"more than {MAX_CLOCKS} clocks")
-        clocks = {r[0]: (r[1], r[2]) for r in rows if r[0] is not None}
-    known, names = dict(clocks), list(fields)
-    id_type = df.schema[id_col].dataType.simpleString()
+        table = clocks.where(F.col(by).isNotNull()).groupBy(F.col(by).cast("string").alias("_by")).agg(F.max_by(F.struct(F.col(zone_col).alias("_zone"), F.col(order_col).alias("_order")), F.struct(zone_col, order_col)).alias("_c")).select("_by", "_c.*")
+        rows = table.limit(SENT + 1).collect()
+        if len(rows) > SENT:
+            wanted = wanted.join(table, "_by", "left")
+        else:
+            known = {r[0]: (r[1], r[2]) for r in rows}
+    else:
+        known = dict(clocks)
+    wanted = wanted.select("_id", *(["_by"] if known is not None else ["_zone", "_order"]), *(f"_v{n}" for n in range(len(names))))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, whose = batch.column(0).to_pylist(), [known.get(p, (None, None)) for p in batch.column(1).to_pylist()]
+            ids = batch.column(0).to_pylist()
+            if known is not None:
+                whose, begin = [known.get(p, (None, None)) for p in batch.column(1).to_pylist()], 2
+            else:
+                whose, begin = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)), 3
             out: tuple[list, list, list] = ([], [], [])
-            for n, name in enumerate(names, 2):
+            for n, name in enumerate(names, begin):
                 seen: dict[tuple[str, tuple], int | None] = {}
                 for i, v, clock in zip(ids, batch.column(n).to_pylist(), whose, strict=True):
                     if v is None:
@@ -220,9 +232,8 @@ def utc_instants(df: DataFrame, fields: Sequence[str], clocks: DataFrame | Mappi
                         out[2].append(t)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())], [id_col, "field_name", "utc_micros"])
 
-    wanted = df.select(F.col(f"`{id_col}`"), F.col(f"`{by}`").cast("string"), *(F.col(f"`{f}`").cast("string") for f in fields))
     return wanted.mapInArrow(read, f"`{id_col}` {id_type}, field_name string, utc_micros bigint")
 
 
-#: Most rows of the table of clocks.
-MAX_CLOCKS = 100_000
+#: Clocks up to this number go to the tasks.
+SENT = 100_000

@@ -8,6 +8,7 @@ as vectors, and the cells that fail are labelled.
 from __future__ import annotations
 
 import io
+import itertools
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 from loomsift.canonical import LOOKUP, header_key
 
 DELIMITERS = ",;\t|"
-#: Stand-ins for line breaks inside a quoted cell, so that a record is one line for the reader.
-_BREAKS = str.maketrans({"\n": "\ue00a", "\r": "\ue00d"})
+#: Stand-ins for line breaks are taken from here, the first that the texts at hand don't have.
+_PRIVATE = (range(0xE000, 0xF900), range(0xF0000, 0xFFFFE), range(0x100000, 0x10FFFE))
 _PHONE = r"^[0-9 +().\-]{9,20}$"
 _WHOLE = r"^[0-9]{1,9}$"
 _DECIMAL = r"^(?:[0-9]{1,9}(?:\.[0-9]*)?|\.[0-9]+) ?%?$"
@@ -90,7 +91,11 @@ def parse_records(header: str | None, records: list[str | None]) -> list[tuple[s
             out[i] = ("quoting", "open quote at the end of the record", None)
     if not whole:
         return out
-    lines = "\n".join((records[i] or "").translate(_BREAKS) for i in whole)
+    # a record is one line for the reader: breaks inside quoted cells are written as characters that don't occur
+    there = set().union(*(set(records[i] or "") for i in whole))
+    lf, cr = itertools.islice((c for c in map(chr, itertools.chain(*_PRIVATE)) if c not in there), 2)
+    lines = "\n".join((records[i] or "").replace("\n", lf).replace("\r", cr) for i in whole)
+    breaks = "\n" in there or "\r" in there
     wrong: dict[int, int] = {}
 
     def reject(row) -> str:
@@ -113,10 +118,11 @@ def parse_records(header: str | None, records: list[str | None]) -> list[tuple[s
     for c, name in zip(cols, names, strict=True):
         if (kind := LOOKUP.get(header_key(name))) in ("age", "quiz_average", "phone_number"):
             for n in pc.indices_nonzero(_failing(kind, table[c].combine_chunks())).to_pylist():
-                labels.setdefault(n, f"{name}: {table[c][n].as_py()[:200]}")
+                labels.setdefault(n, f"{name}: {table[c][n].as_py().replace(lf, chr(10)).replace(cr, chr(13))[:200]}")
     values = zip(*(table[c].to_pylist() for c in cols), strict=True)
     for n, (i, row) in enumerate(zip(good, values, strict=True)):
-        row = [x.replace("\ue00a", "\n").replace("\ue00d", "\r") for x in row]
+        if breaks:
+            row = [x.replace(lf, "\n").replace(cr, "\r") for x in row]
         out[i] = ("value", labels[n], row) if n in labels else (None, None, row)
     return out
 

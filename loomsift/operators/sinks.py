@@ -233,14 +233,35 @@ def file_summary(windows: DataFrame, by: str = "file") -> DataFrame:
     return totals.select(by, "rows_extracted", "rows_loaded", F.when(F.col("_f"), "failed").otherwise(F.coalesce("_s", F.lit("loaded"))).alias("status"), "error_message")
 
 
+def failure_reasons(log: DataFrame) -> DataFrame:
+    """``reason`` and ``n``: how often each reason occurs among failed rows; a missing one is the empty text."""
+    return log.where("status = 'failed'").groupBy(F.coalesce("error_message", F.lit("")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+#: Characters of the reasons in the error of a run that failed as a whole.
+REASON_CHARS = 2000
+
+
 def quorum(failures: DataFrame, sources: int) -> DataFrame:
     """One degraded log row for each source that couldn't be listed; an error if all of them failed.
 
-    ``failures`` has ``source_system`` and ``reason``.
+    ``failures`` has ``source_system`` and ``reason``, one row a source.
     """
-    reasons = failures.agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list(F.concat_ws(": ", "source_system", "reason"))), " | ").alias("why"))
-    n, why = reasons.first()
-    if n >= sources:
-        raise RuntimeError(f"all {sources} sources failed: {why}")
+    if (n := failures.count()) >= sources and n:
+        rows = failures.orderBy("source_system").limit(100).collect()
+        raise RuntimeError(f"all {sources} sources failed: {' | '.join(f'{r.source_system}: {r.reason}' for r in rows)[:REASON_CHARS]}")
     return failures.select("source_system", F.lit("source_unreachable").alias("status"), F.col("reason").alias("error_message"))
 
+
+def probed(tables: Mapping[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """``probe``, ``present``: for each named table whether it has a row for which a condition holds; each reads until the first."""
+    out = None
+    for name, (df, condition) in tables.items():
+        part = df.where(condition).limit(1).agg((F.count("*") > 0).alias("present")).select(F.lit(name).alias("probe"), "present")
+        out = part if out is None else out.union(part)
+    return out
+
+
+def recordset(df: DataFrame, payload: str, schema: str) -> DataFrame:
+    """Rows of a JSON array column as typed rows; fields that an element lacks are null."""
+    return df.select(F.inline(F.from_json(payload, f"array<struct<{schema}>>")))

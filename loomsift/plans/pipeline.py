@@ -14,6 +14,7 @@ from loomsift.functions.clean import cleaned
 from loomsift.functions.rowhash import row_hash, text_hash, typed_hash_input
 from loomsift.operators.mapping import keys_in_order, mapped_cells, plan_of, unmapped_columns
 from loomsift.operators.sinks import Store, append_ingestion_log, append_unmapped_log, bumped, create_all, insert_participants, quorum, upsert_file_state
+from loomsift.session import checkpointed
 from loomsift.sources.csvwin import SPLIT_BYTES, decoded, read_strict
 from loomsift.sources.listing import descriptors, is_loadable
 from loomsift.sources.xlsx import read_xlsx
@@ -28,11 +29,10 @@ def csv_rows(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYT
     without a header.
     """
     listed = [(r.path, r.size) for r in files.select("path", "size").collect()]
-    records = read_strict(spark, listed, split_bytes)
+    records = read_strict(spark, listed, split_bytes, heads=True)
     trim = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
-    heads = records.where("row_no = 1").select("file", F.transform("raw", lambda h: trim(decoded(h))).alias("header"))
-    rows = records.where("row_no <> 1").join(heads, "file", "left").select("file", (F.col("row_no") - 1).alias("row_no"), "raw", F.transform("raw", decoded).alias("cells"), "header")
-    return rows.where("row_no < 0 OR header IS NOT NULL")
+    header = F.transform("head", lambda h: trim(decoded(h))).alias("header")
+    return records.where("row_no <> 1").select("file", F.when(F.col("row_no") < 0, F.col("row_no")).otherwise(F.col("row_no") - 1).alias("row_no"), "raw", F.transform("raw", decoded).alias("cells"), header)
 
 
 def xlsx_rows(spark: SparkSession, files: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def participants(rows: DataFrame, files: DataFrame, max_rows: int = 0, input_tz:
     return flat.select("file", "row_hash", "source_system", "drive_file_id", "source_file", "source_sheet", "source_row_number", *cleaned(input_tz=input_tz), "extra_json")
 
 
-def file_results(spark: SparkSession, rows: DataFrame, files: DataFrame, run_id: str, started: datetime, max_rows: int, loaded: Mapping[str, int]) -> DataFrame:
+def file_results(rows: DataFrame, files: DataFrame, run_id: str, started: datetime, max_rows: int, loaded: DataFrame) -> DataFrame:
     """One result for each file: status, counts and error.
 
     A read error makes a file failed, a header without any known column header_not_detected; a
@@ -80,13 +80,12 @@ def file_results(spark: SparkSession, rows: DataFrame, files: DataFrame, run_id:
         F.count_if(F.col("row_no") > 0).alias("n"), F.max(F.when(F.col("row_no") < 0, F.coalesce(F.get("raw", F.lit(0)), F.col("error") if "error" in rows.columns else F.lit(None)))).alias("why"),
         F.max(F.when(F.col("row_no") > 0, F.size(F.filter(plan, lambda f: f.isNotNull())))).alias("known"), F.max(F.when(F.col("row_no") > 0, F.size(F.filter(plan, lambda f: f.isNull())))).alias("unknown"),
     )
-    counts = spark.createDataFrame(list(loaded.items()) or [("", 0)], "drive_file_id string, rows_loaded int")
     cap = F.col("n") >= max_rows if max_rows else F.lit(False)
     lost = F.coalesce(F.col("known") == 0, F.lit(False))
     status = F.when(F.col("why").isNotNull(), "failed").when(lost, "header_not_detected").otherwise("loaded")
     note = F.when(F.col("why").isNotNull(), F.col("why")).when(lost, NOT_DETECTED).when(cap, f"Stopped at the cap of {max_rows} rows.")
     extracted = F.least("n", F.lit(max_rows)) if max_rows else F.col("n")
-    out = files.withColumn("file", F.col("path")).join(seen, "file", "left").withColumn("drive_file_id", F.col("id")).join(counts, "drive_file_id", "left")
+    out = files.withColumn("file", F.col("path")).join(seen, "file", "left").withColumn("drive_file_id", F.col("id")).join(loaded.groupBy("drive_file_id").agg(F.count("*").alias("rows_loaded")), "drive_file_id", "left")
     return out.select(
         "id", "source_system", "name", "mimeType", "parents", "modifiedTime", F.lit(run_id).alias("run_id"), "drive_file_id", F.col("name").alias("file_name"), status.alias("status"), F.coalesce(extracted, F.lit(0)).cast("int").alias("rows_extracted"),
         F.coalesce("rows_loaded", F.lit(0)).cast("int").alias("rows_loaded"), F.when(lost, 0).otherwise(F.coalesce("unknown", F.lit(0))).cast("int").alias("unmapped_column_count"), note.alias("error_message"), F.lit(started).alias("started_at"),
@@ -115,12 +114,14 @@ def run(store: Store, listings: Mapping[str, DataFrame | Exception], max_rows: i
         d = descriptors(df.where(is_loadable(F.col("name"))))
         d = d.join(df.select("id", F.col("path") if "path" in df.columns else F.col("id").alias("path")).distinct(), "id")
         files = d if files is None else files.unionByName(d)
-    files = files.dropDuplicates(["id"]).cache()
+    files = checkpointed(files.dropDuplicates(["id"]))
+    # parsed once, for the load, the counts and the log of unmapped columns
     rows = csv_rows(spark, files.where("ext = 'csv'"), split_bytes).unionByName(xlsx_rows(spark, files.where("ext = 'xlsx'")), allowMissingColumns=True)
+    rows = checkpointed(rows)
     start = store.next_id("participants")
     insert_participants(store, participants(rows, files, max_rows, input_tz).drop("file"), "source_file", "drive_file_id", "source_row_number")
-    loaded = {r[0]: r[1] for r in store.read("participants").where(F.col("id") >= start).groupBy("drive_file_id").count().collect()}
-    results = file_results(spark, rows, files, run_id, started, max_rows, loaded).cache()
+    loaded = store.read("participants").where(F.col("id") >= start)
+    results = checkpointed(file_results(rows, files, run_id, started, max_rows, loaded))
     log = unmapped_columns(rows.where("row_no > 0"), "file").join(files.select(F.col("path").alias("file"), F.col("id").alias("drive_file_id"), F.col("name").alias("file_name")), "file")
     append_unmapped_log(store, log)
     upsert_file_state(store, results)

@@ -12,14 +12,47 @@ from loomsift.operators.rejects import loaded_records, split_records
 from loomsift.session import table
 
 
+#: What fields are called in English and Swahili, beside the alias dictionary.
+FURTHER_NAMES: dict[str, tuple[str, ...]] = {
+    "full_name": ("jina", "jina kamili", "names", "learner name", "student name"),
+    "gender": ("jinsia", "m or f"),
+    "email": ("mail", "e mail", "barua pepe"),
+    "phone_number": ("tel", "tel no", "phone no", "mobile no", "cell", "cell no", "cell phone", "simu", "namba ya simu"),
+    "national_id": ("kitambulisho", "id", "id card no", "natl id"),
+    "age": ("umri", "age in years", "age yrs"),
+    "county": ("kaunti", "home county"),
+    "sub_county": ("constituency", "sub cty"),
+    "ward": ("wadi", "ward name"),
+    "village": ("kijiji", "home village"),
+    "organization": ("org", "employer"),
+    "role": ("cheo", "job title"),
+    "disability": ("ulemavu", "disabled", "disability yn"),
+    "education_level": ("elimu", "edu level", "highest education"),
+    "internet_access": ("internet", "net access"),
+    "trainer_name": ("mkufunzi", "facilitator"),
+    "remarks": ("maoni", "observations"),
+    "completion_date": ("completed on", "date complete"),
+    "registration_date": ("registered on", "reg dt"),
+    "training_time": ("duration", "hours spent"),
+    "quiz_average": ("quiz avg", "mean quiz score"),
+    "percent_complete": ("progress", "pct done"),
+    "serial_no": ("nambari", "row no"),
+    "monthly_income": ("income per month", "income ksh"),
+    "course_taken": ("kozi", "course", "course name"),
+    "date_trained": ("training date", "trained on"),
+    "has_device": ("owns device", "device owner"),
+    "partner": ("mshirika", "partner org"),
+}
+
+
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
     """Changes of each feed's header from version to version."""
-    return schema_changes(table(spark, root, "file_headers"))
+    return schema_changes(table(spark, root, "file_headers"), FURTHER_NAMES)
 
 
 def p2_table(spark: SparkSession, root: str) -> DataFrame:
     """The samples of all versions in one consistent table."""
-    return consistent_table(table(spark, root, "file_headers"))
+    return consistent_table(table(spark, root, "file_headers"), FURTHER_NAMES)
 
 
 def p4_found(spark: SparkSession, root: str) -> DataFrame:

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from loomsift.canonical import CANONICAL, DATE
 from loomsift.functions import clean
-from loomsift.functions.rowhash import hash_input, row_hash
+from loomsift.functions.rowhash import hash_input, order_of, row_hash
 from loomsift.functions.text import null_like, squeeze
 from loomsift.operators import dedup, mapping, sinks
 from loomsift.operators.rejects import loaded_records, split_records
+from loomsift.plans import pipeline
 from loomsift.plans.pipeline import request_ranges
-from loomsift.session import table
-from loomsift.sources.csvwin import decoded
-from loomsift.sources.listing import first_file, first_parent, is_loadable, tag_drive_a, tag_drive_b, union_sources
+from loomsift.session import checkpointed, removed_at_exit, shared_folder, table
+from loomsift.sources.csvwin import decoded, read_strict
+from loomsift.sources.listing import first_file, first_parent, is_loadable, list_files, tag_drive_a, tag_drive_b, union_sources
+from loomsift.sources.xlsx import write_books
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -83,9 +87,8 @@ def byte_ranges(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def byte_frontier(spark: SparkSession, root: str) -> DataFrame:
-    w = Window.partitionBy("source").orderBy("seq_no", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    docs = table(spark, root, "documents")
-    return docs.select("doc_id", F.coalesce(F.sum(F.coalesce("n_chars", F.lit(0))).over(w), F.lit(0)).alias("next_offset"))
+    docs = table(spark, root, "documents").select("doc_id", "source", "seq_no", F.coalesce("n_chars", F.lit(0)).alias("n_chars"))
+    return dedup.running_total(docs, ["source"], ["seq_no", "doc_id"], F.col("n_chars"), "next_offset").select("doc_id", "next_offset")
 
 
 @query
@@ -203,8 +206,8 @@ def unmapped_names(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def header_order(spark: SparkSession, root: str) -> DataFrame:
-    heads = table(spark, root, "file_headers").groupBy("drive_file_id").agg(F.array_sort(F.collect_list(F.struct(F.concat("raw_column_name", F.lit(",")).alias("k"), "col_no", "raw_column_name"))).alias("h"))
-    return heads.select("drive_file_id", F.array_join("h.raw_column_name", "|").alias("ordered"))
+    heads = table(spark, root, "file_headers").groupBy("drive_file_id").agg(F.array_sort(F.collect_list(F.struct("col_no", "raw_column_name"))).alias("h")).select("drive_file_id", F.col("h.raw_column_name").alias("h"))
+    return heads.select("drive_file_id", F.array_join(F.transform(order_of(F.col("h")), lambda i: F.get("h", i)), "|").alias("ordered"))
 
 
 @query
@@ -213,12 +216,6 @@ def key_union(spark: SparkSession, root: str) -> DataFrame:
     return mapping.keys_in_order(rows).select("file", "key", "place")
 
 
-@query
-def sample_value(spark: SparkSession, root: str) -> DataFrame:
-    rows = _people(spark, root).where(F.col("source_row_number") <= mapping.SAMPLE_ROWS).select("drive_file_id", "source_row_number", null_like(F.col("remarks")).alias("v"))
-    return rows.where("v IS NOT NULL").groupBy("drive_file_id").agg(F.left(F.min_by("v", "source_row_number"), F.lit(mapping.SAMPLE_CHARS)).alias("sample"))
-
-
 @query
 def last_non_null(spark: SparkSession, root: str) -> DataFrame:
     names = ("phone_number", "cdc_phone", "trainer_phone")
@@ -309,7 +306,7 @@ def upsert_latest(spark: SparkSession, root: str) -> DataFrame:
 def recordset_scan(spark: SparkSession, root: str) -> DataFrame:
     log = table(spark, root, "ingestion_log").select("id", "run_id", "status", "rows_extracted", "error_message")
     packed = log.withColumn("b", F.floor(F.col("id") / 50)).groupBy("b").agg(F.to_json(F.collect_list(F.struct("id", "run_id", "status", "rows_extracted", "error_message"))).alias("payload"))
-    return packed.select(F.inline(F.from_json("payload", "array<struct<id:bigint,run_id:string,status:string,rows_extracted:string,error_message:string,absent:string>>")))
+    return sinks.recordset(packed, "payload", "id:bigint,run_id:string,status:string,rows_extracted:string,error_message:string,absent:string")
 
 
 @query
@@ -369,8 +366,8 @@ def conditional_counts(spark: SparkSession, root: str) -> DataFrame:
 @query
 def file_running_totals(spark: SparkSession, root: str) -> DataFrame:
     windows = _people(spark, root).withColumn("seq", F.floor((F.col("source_row_number") - 1) / 10)).groupBy("drive_file_id", "seq").agg(F.count("*").alias("rows_read"))
-    w = Window.partitionBy("drive_file_id").orderBy("seq")
-    return windows.select("drive_file_id", "seq", F.sum("rows_read").over(w).alias("rows_extracted"))
+    before = dedup.running_total(windows, ["drive_file_id"], ["seq"], F.col("rows_read"), "before")
+    return before.select("drive_file_id", "seq", (F.col("before") + F.col("rows_read")).alias("rows_extracted"))
 
 
 @query
@@ -382,30 +379,124 @@ def file_log_summary(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def failure_reasons(spark: SparkSession, root: str) -> DataFrame:
-    log = table(spark, root, "ingestion_log").where("status = 'failed'")
-    return log.groupBy("status").agg(F.array_join(F.sort_array(F.collect_set("error_message")), " | ").alias("reasons"), F.count("*").alias("n"))
+    return sinks.failure_reasons(table(spark, root, "ingestion_log"))
+
+
+@query
+def degraded_sources(spark: SparkSession, root: str) -> DataFrame:
+    """Sources that have a failed file, with the first reason, as if they could not be listed; one more source could."""
+    failed = table(spark, root, "ingestion_log").where("status = 'failed' AND error_message IS NOT NULL").select("drive_file_id", "id", "error_message")
+    named = failed.join(table(spark, root, "drive_file_state").where("source_system IS NOT NULL").select("drive_file_id", "source_system"), "drive_file_id")
+    reasons = named.groupBy("source_system").agg(F.min_by("error_message", "id").alias("reason"))
+    return sinks.quorum(reasons, reasons.count() + 1)
 
 
 @query
 def version_bump(spark: SparkSession, root: str) -> DataFrame:
-    log = table(spark, root, "ingestion_log")
-    return log.agg((F.lit(1).cast("bigint") + F.count_if(F.col("rows_loaded") > 0)).alias("source_version"))
+    loaded = table(spark, root, "ingestion_log").where("rows_loaded > 0").count()
+    state = spark.createDataFrame([(True, 1)], "singleton boolean, source_version bigint").withColumn("dirty_at", F.lit(None).cast("timestamp"))
+    return sinks.bumped(state, loaded).select("source_version", F.col("dirty_at").isNotNull().alias("dirty"))
 
 
 @query
 def exists_union_probe(spark: SparkSession, root: str) -> DataFrame:
-    out = None
-    for name, condition in (("participants", "partner IS NULL"), ("ingestion_log", "status = 'failed'"), ("drive_file_state", "last_status = 'header_not_detected'")):
-        part = table(spark, root, name).where(condition).limit(1).agg((F.count("*") > 0).alias("present")).select(F.lit(name).alias("probe"), "present")
-        out = part if out is None else out.union(part)
-    return out
+    wanted = {"participants": "partner IS NULL", "ingestion_log": "status = 'failed'", "drive_file_state": "last_status = 'header_not_detected'"}
+    return sinks.probed({name: (table(spark, root, name), F.expr(condition)) for name, condition in wanted.items()})
+
+
+# whole loads
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the process ends."""
+    path = f"{shared_folder(spark)}/loomsift-{name}-{uuid.uuid4().hex}"
+    removed_at_exit(spark, path)
+    return path
+
+
+def _records(spark: SparkSession, root: str) -> DataFrame:
+    """The valid records of all CSV texts as the strict reader gives them: ``file``, ``row_no``, ``raw``, ``cells``, ``header``."""
+    parsed = split_records(table(spark, root, "raw_records")).where("reason IS NULL")
+    trim = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+    return parsed.select(F.col("drive_file_id").alias("file"), F.col("source_row_number").cast("bigint").alias("row_no"), F.col("cells").alias("raw"), "cells", F.transform("header", trim).alias("header"))
+
+
+def _load(spark: SparkSession, root: str) -> sinks.Store:
+    """A load of all CSV texts into empty tables: parse, map, clean, hash, insert what is absent, log."""
+    store = sinks.Store(spark, _scratch(spark, "load"))
+    sinks.create_all(store)
+    rows = checkpointed(_records(spark, root))
+    state = table(spark, root, "drive_file_state")
+    files = state.join(rows.select(F.col("file").alias("drive_file_id")).distinct(), "drive_file_id", "left_semi").select(
+        F.col("drive_file_id").alias("path"), F.col("drive_file_id").alias("id"), F.coalesce("file_name", F.lit("")).alias("name"), F.coalesce("source_system", F.lit("")).alias("source_system"), F.col("mime_type").alias("mimeType"), F.array("parent_folder_id").alias("parents"), F.col("last_modified_time").alias("modifiedTime")
+    )
+    files = checkpointed(files)
+    sinks.insert_participants(store, pipeline.participants(rows, files).drop("file"), "source_file", "drive_file_id", "source_row_number")
+    results = checkpointed(pipeline.file_results(rows, files, str(uuid.uuid4()), datetime.now(UTC), 0, store.read("participants")))
+    log = mapping.unmapped_columns(rows, "file").join(files.select(F.col("path").alias("file"), F.col("id").alias("drive_file_id"), F.col("name").alias("file_name")), "file")
+    sinks.append_unmapped_log(store, log)
+    sinks.upsert_file_state(store, results)
+    sinks.append_ingestion_log(store, results)
+    return store
+
+
+#: Fields whose cleaned form the load's query shows; the two dates are cleaned too, and have a query of their own.
+SHOWN = tuple(f for f in CANONICAL if f not in DATE)
 
 
 @query
 def e2e_ingest(spark: SparkSession, root: str) -> DataFrame:
-    """Parse, map, clean, keep first occurrences, count by county."""
-    rows = loaded_records(split_records(table(spark, root, "raw_records")))
-    fields = ("full_name", "phone_number", "national_id", "county", "age", "quiz_average")
-    cleaned = rows.select("drive_file_id", "source_row_number", *clean.cleaned(fields))
-    first = dedup.first_by(cleaned, ["full_name", "phone_number", "national_id"], "drive_file_id", "source_row_number")
-    return first.groupBy("county").agg(F.count("*").alias("n"), F.count("phone_number").alias("phones"), F.sum(F.col("age").try_cast("int")).alias("ages"))
+    """The rows that a whole load put into the participants table."""
+    rows = _load(spark, root).read("participants")
+    return rows.select("drive_file_id", "source_row_number", *SHOWN, F.size("extra_json").alias("unmapped"), F.length("row_hash").between(2, 15).alias("hashed"))
+
+
+@query
+def load_log(spark: SparkSession, root: str) -> DataFrame:
+    """What a load logged for each file."""
+    return _load(spark, root).read("ingestion_log").select("drive_file_id", "status", "rows_extracted", "rows_loaded")
+
+
+@query
+def load_state(spark: SparkSession, root: str) -> DataFrame:
+    """The state of each file after a load."""
+    return _load(spark, root).read("drive_file_state").select("drive_file_id", "source_system", "last_status")
+
+
+@query
+def load_unmapped(spark: SparkSession, root: str) -> DataFrame:
+    """The unmapped columns that a load logged, with the first sample of each that has one."""
+    log = _load(spark, root).read("unmapped_columns_log").where("sample_value IS NOT NULL")
+    return log.select("drive_file_id", "raw_column_name", "sample_value", "resolved")
+
+
+@query
+def csv_strict(spark: SparkSession, root: str) -> DataFrame:
+    """All documents written as CSV files with quotes, and read again by the strict reader in splits of one MB."""
+    folder = _scratch(spark, "csv")
+    docs = table(spark, root, "documents").select(F.col("doc_id").cast("string").alias("Doc Id"), F.coalesce("text", F.lit("")).alias("Text"), F.coalesce("lang", F.lit("")).alias("Lang"))
+    docs.write.options(header=True, quoteAll=True, escape='"', emptyValue="", nullValue="").csv(folder)
+    files = list_files(spark, [folder]).where(is_loadable(F.col("name"))).select(F.col("id").alias("path"), "size")
+    rows = pipeline.csv_rows(spark, files, 1 << 20)
+    cell = lambda name: F.get("cells", F.array_position("header", F.lit(name)).cast("int") - 1)
+    return rows.select(cell("Doc Id").cast("bigint").alias("doc_id"), cell("Text").alias("text"), cell("Lang").alias("lang"))
+
+
+@query
+def csv_row_numbers(spark: SparkSession, root: str) -> DataFrame:
+    """Whether the row numbers of files read in splits are dense: rows, smallest and largest number over all files."""
+    folder = _scratch(spark, "csv")
+    table(spark, root, "orders").select("o_orderkey", "o_comment" if "o_comment" in table(spark, root, "orders").columns else "o_orderstatus").coalesce(1).write.options(header=True, quoteAll=True, escape='"').csv(folder)
+    files = [(r.id, r.size) for r in list_files(spark, [folder]).where(is_loadable(F.col("name"))).collect()]
+    return read_strict(spark, files, 1 << 18).agg(F.count("*").alias("records"), F.countDistinct("row_no").alias("numbers"), F.min("row_no").alias("first"), F.max("row_no").alias("last"))
+
+
+@query
+def workbook_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Nations written as one workbook a region, and read again."""
+    folder = _scratch(spark, "books")
+    nations = table(spark, root, "nation").select(F.col("n_regionkey").cast("int").alias("r"), F.struct(F.col("n_nationkey").cast("int").alias("k"), F.col("n_name").alias("n")).alias("c"))
+    books = nations.groupBy("r").agg(F.array_sort(F.collect_list("c")).alias("rows"))
+    written = write_books(books.select(F.concat(F.lit(folder), F.lit("/region"), F.col("r"), F.lit(".xlsx")).alias("path"), F.array(F.lit("Key"), F.lit("Nation")).alias("header"), F.transform("rows", lambda c: F.array(c["k"].cast("string"), c["n"])).alias("rows")))
+    rows = pipeline.xlsx_rows(spark, spark.createDataFrame([(r.path,) for r in written.collect()], "path string"))
+    return rows.select(F.get("cells", F.lit(0)).cast("int").alias("key"), F.get("cells", F.lit(1)).alias("nation"), F.array_join("header", "|").alias("header"), F.size("entries").alias("entries"))

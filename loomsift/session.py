@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,13 +20,15 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: the session's ``spark.checkpoint.dir``.
 
-    Only where neither that setting nor a checkpoint folder of the context exists, as in tests on
-    one machine, a temporary one is made.
+    Where neither that setting nor a checkpoint folder of the context exists, a session on one
+    machine (``local``), as in tests, makes a temporary one; on a cluster that is an error.
     """
     context = spark.sparkContext
     if folder := spark.conf.get("spark.checkpoint.dir", None):
         return folder.rstrip("/")
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if re.fullmatch(r"local(\[.*\])?", context.master) is None:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="loomsift-"))
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -39,10 +42,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/loomsift-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
+    removed_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed_at_exit(spark: SparkSession, path: str) -> None:
+    """Has a path removed when the session's process ends."""
+    atexit.register(_remove, spark, path)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     with contextlib.suppress(Exception):
         where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -32,6 +32,10 @@ SPLIT_BYTES = 64 << 20
 RECORD, AFTER_CR, FIELD, OPEN, QUOTED, CLOSING = range(6)
 #: Characters beyond a split that are needed to see whether its last record is a blank one.
 LOOK_AHEAD = 4
+#: Bytes that are read at a time to find a file's first record.
+HEAD_BYTES = 1 << 16
+#: Splits are dealt to at most so many tasks.
+MOST_TASKS = 20_000
 _BLANK = re.compile(r'(?:"")?(?:[\r\n]|\Z)')
 _PLAIN_END = re.compile(r"[,\r\n]")
 _FIELD = re.compile(r'"((?:[^"]|"")*+)"([^,\r\n]*)|(?!")([^,\r\n]*)')
@@ -146,12 +150,13 @@ def records_from(split: Split, begin: int, chunk: int = 8 << 20) -> Iterator[tup
         text, at = text[used:], at + used
 
 
-def read_strict(spark: SparkSession, files: Sequence[tuple[str, int]], split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def read_strict(spark: SparkSession, files: Sequence[tuple[str, int]], split_bytes: int = SPLIT_BYTES, heads: bool = False) -> DataFrame:
     """``file``, ``byte_offset``, ``row_no`` (1 is the first record of the file, which is its header) and ``raw``.
 
     ``raw`` holds the fields as bytes written as characters (see ``decoded``). ``files`` are
     (path, size). Files are read in splits; one that fits a split needs no first pass. A file that
-    can't be read gives a row with the numbers -1 and the reason.
+    can't be read gives a row with the numbers -1 and the reason. With ``heads`` each row has its
+    file's first record as ``head``: a split reads it from the beginning of its file, without a join.
     """
     splits = [Split(p, o, n, size) for p, size in files for o, n in ranges(size, split_bytes)]
     wanted = "path string, offset bigint, length bigint, size bigint"
@@ -167,7 +172,7 @@ def read_strict(spark: SparkSession, files: Sequence[tuple[str, int]], split_byt
                     rows = [scan(text[skip:], s, length - skip) for s in range(6)]
                     yield pa.RecordBatch.from_pylist([{"path": path, "offset": offset, "ends": [r[0] for r in rows], "firsts": [r[1] + skip if r[1] >= 0 else -1 for r in rows], "counts": [r[2] for r in rows]}])
 
-        passed = spark.createDataFrame(several, wanted).repartition(len(several)).mapInArrow(tables, "path string, offset bigint, ends array<bigint>, firsts array<bigint>, counts array<bigint>")
+        passed = spark.createDataFrame(several, wanted).repartition(min(len(several), MOST_TASKS)).mapInArrow(tables, "path string, offset bigint, ends array<bigint>, firsts array<bigint>, counts array<bigint>")
         state, row, last = RECORD, 0, None
         for path, offset, ends, firsts, counts in sorted(passed.collect()):  # one small row a split
             if path != last:
@@ -181,29 +186,36 @@ def read_strict(spark: SparkSession, files: Sequence[tuple[str, int]], split_byt
         for batch in batches:
             for path, offset, length, size, begin, row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 block: list[tuple[int, int, list[str]]] = []
+                head: list[str] | None = None
                 try:
-                    if offset == 0 and read_range(path, 0, 3).decode("latin-1") == BOM:
-                        begin = 3
+                    skip = 3 if (offset == 0 or heads) and read_range(path, 0, min(3, size)).decode("latin-1") == BOM else 0
+                    begin = max(begin, skip) if offset == 0 else begin
+                    if heads:
+                        head = next((f for _, f in records_from(Split(path, 0, size, size), skip, HEAD_BYTES)), None)
                     for at, fields in records_from(Split(path, offset, length, size), begin):
                         row += 1
                         block.append((at, row, fields))
                         if len(block) == 10_000:
-                            yield _block(path, block)
+                            yield _block(path, block, head, heads)
                             block = []
                 except OSError as e:
                     block.append((-1, -1, [f"Could not read {path}: {e}"]))
                 if block:
-                    yield _block(path, block)
+                    yield _block(path, block, head, heads)
 
+    schema = "file string, byte_offset bigint, row_no bigint, raw array<string>" + (", head array<string>" if heads else "")
     if not rows:
-        return spark.createDataFrame([], "file string, byte_offset bigint, row_no bigint, raw array<string>")
-    return spark.createDataFrame(rows, wanted + ", begin bigint, row bigint").repartition(max(1, len(rows))).mapInArrow(read, "file string, byte_offset bigint, row_no bigint, raw array<string>")
+        return spark.createDataFrame([], schema)
+    # several splits make a task where there are very many
+    return spark.createDataFrame(rows, wanted + ", begin bigint, row bigint").repartition(min(len(rows), MOST_TASKS)).mapInArrow(read, schema)
 
 
-def _block(path: str, block: list[tuple[int, int, list[str]]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([path] * len(block), pa.string()), pa.array([b[0] for b in block], pa.int64()), pa.array([b[1] for b in block], pa.int64()), pa.array([b[2] for b in block], pa.list_(pa.string()))], ["file", "byte_offset", "row_no", "raw"]
-    )
+def _block(path: str, block: list[tuple[int, int, list[str]]], head: list[str] | None, heads: bool) -> pa.RecordBatch:
+    n, lists = len(block), pa.list_(pa.string())
+    columns = [pa.array([path] * n, pa.string()), pa.array([b[0] for b in block], pa.int64()), pa.array([b[1] for b in block], pa.int64()), pa.array([b[2] for b in block], lists)]
+    if heads:
+        columns.append(pa.array([head] * n, lists))
+    return pa.RecordBatch.from_arrays(columns, ["file", "byte_offset", "row_no", "raw", *(["head"] if heads else [])])
 
 
 def decoded(raw: Column) -> Column:

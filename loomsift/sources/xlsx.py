@@ -7,8 +7,10 @@ import re
 import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
+from xml.sax.saxutils import escape
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -96,5 +98,37 @@ def read_xlsx(spark: SparkSession, paths: list[str]) -> DataFrame:
     return files.mapInArrow(read, "file string, row_no bigint, cells array<struct<key:string,kind:string,text:string>>, error string")
 
 
+def book_bytes(header: list[str], rows: list[list[str | None]]) -> bytes:
+    """A workbook of one sheet; texts that are whole numbers become numbers."""
+
+    def cell(value: str | None) -> str:
+        if value is None:
+            return "<c/>"
+        return f"<c><v>{value}</v></c>" if re.fullmatch(r"-?\d{1,15}", value) else f'<c t="inlineStr"><is><t xml:space="preserve">{escape(value)}</t></is></c>'
+
+    lines = "".join(f'<row r="{n}">{"".join(map(cell, r))}</row>' for n, r in enumerate((header, *rows), 1))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{_MAIN[1:-1]}" xmlns:r="{_REL[1:-1]}"><sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
+        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{_MAIN[1:-1]}"><sheetData>{lines}</sheetData></worksheet>')
+    return out.getvalue()
+
+
+def write_books(books: DataFrame) -> DataFrame:
+    """Writes one workbook a row (``path``, ``header``, ``rows``: arrays of texts) and gives the paths."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, header, rows in zip(*(batch.column(c).to_pylist() for c in ("path", "header", "rows")), strict=True):
+                fs, name = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+                fs.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                with fs.open_output_stream(name) as f:
+                    f.write(book_bytes(header, rows))
+            yield batch.select(["path"])
+
+    return books.mapInArrow(write, "path string")
+
+
 _SCHEMA = pa.schema([("file", pa.string()), ("row_no", pa.int64()), ("cells", pa.list_(pa.struct([("key", pa.string()), ("kind", pa.string()), ("text", pa.string())]))), ("error", pa.string())])
 
