@@ -11,12 +11,14 @@ from __future__ import annotations
 import itertools
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomsift.functions.text import WS_CHARS, bare, blank_like
@@ -359,7 +361,7 @@ def _contradicting(known: DataFrame, key: str) -> DataFrame:
 
 
 def unambiguous(edges: DataFrame) -> DataFrame:
-    """Links without those that would join persons whose identifiers differ.
+    """``node`` and ``component`` of links, without those that would join persons whose identifiers differ.
 
     A person that is linked to several others who differ among themselves can't be told to be one
     of them: it loses its links. What then still joins differing persons over several links does so
@@ -367,13 +369,10 @@ def unambiguous(edges: DataFrame) -> DataFrame:
     """
     ends = edges.select(F.col("a").alias("n"), *(F.col(f"{c}_b").alias(c) for c in IDENTIFIERS)).unionByName(edges.select(F.col("b").alias("n"), *(F.col(f"{c}_a").alias(c) for c in IDENTIFIERS)))
     torn = _contradicting(ends, "n")
-    left = edges.join(torn, edges.a == torn.n, "left_anti").join(torn, edges.b == torn.n, "left_anti")
-    left = checkpointed(left)
+    left = checkpointed(edges.join(torn, edges.a == torn.n, "left_anti").join(torn, edges.b == torn.n, "left_anti"))
     groups = checkpointed(components(left))
     own = left.select(F.col("a").alias("node"), *(F.col(f"{c}_a").alias(c) for c in IDENTIFIERS)).unionByName(left.select(F.col("b").alias("node"), *(F.col(f"{c}_b").alias(c) for c in IDENTIFIERS)))
-    mixed = _contradicting(own.join(groups, "node"), "component")
-    dropped = groups.join(mixed, "component", "left_semi").select("node")
-    return left.join(dropped, left.a == dropped.node, "left_anti").select("a", "b")
+    return groups.join(_contradicting(own.join(groups, "node"), "component"), "component", "left_anti").select("node", "component")
 
 
 def digits_key(c: Column, least: int = 6) -> Column:
@@ -516,7 +515,7 @@ def _one_spot(a: dict, b: dict) -> bool:
 
 def _same_place(a: dict, b: dict) -> bool:
     """Names alike at one spot; where neither village nor ward says so, the very words of the names must agree."""
-    if not (a["met"] or b["met"]) or not _one_spot(a, b):
+    if not _one_spot(a, b):
         return False
     if not (a["village"] and b["village"]) and not (a["ward"] and b["ward"]) and (len(a["words"]) < 2 or sorted(map(sound, a["words"])) != sorted(map(sound, b["words"]))):
         return False
@@ -524,7 +523,21 @@ def _same_place(a: dict, b: dict) -> bool:
 
 
 def _join_place(members: Sequence[dict]) -> Iterator[tuple[dict, dict]]:
-    return (p for p in _meeting(members) if _same_place(*p))
+    for a, b in _meeting(members):
+        # what contradicts most often is asked first
+        if a["node"] == b["node"] or not (a["met"] or b["met"]):
+            continue
+        p, q = a["phone"], b["phone"]
+        if p is not None and q is not None and p != q:
+            continue
+        p, q = a["mail"], b["mail"]
+        if p is not None and q is not None and p != q:
+            continue
+        p, q = a["age"], b["age"]
+        if p is not None and q is not None and not -2 < p - q < 2:
+            continue
+        if _same_place(a, b):
+            yield a, b
 
 
 def evidence_groups(keys: DataFrame) -> DataFrame:
@@ -569,9 +582,9 @@ def _parsed(raw: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """The distinct words of some text columns and lists of texts, with the keys that the trie join gives them."""
+    """The distinct words of some columns of texts and of lists of texts, with the keys that the trie join gives them."""
 
-    def __init__(self, df: DataFrame, texts: Sequence[str] = (), lists: Sequence[str] = ()) -> None:
+    def __init__(self, *tables: DataFrame) -> None:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for c in range(batch.num_columns):
@@ -579,12 +592,15 @@ class Vocabulary:
                     counted = pc.value_counts(words.flatten() if pa.types.is_list(words.type) else words)
                     yield pa.RecordBatch.from_arrays([counted.field(0).cast(pa.string()), counted.field(1)], ["word", "n"])
 
-        counted = df.select(*lists, *texts).mapInArrow(count, "word string, n bigint")
+        counted = None
+        for df in tables:
+            part = df.mapInArrow(count, "word string, n bigint")
+            counted = part if counted is None else counted.unionByName(part)
         counts = checkpointed(counted.where("word <> ''").groupBy("word").agg(F.sum("n").alias("n")))
         number = counts.count()
         #: ``word``, ``n`` and the hashes of its ``keys``.
         self.table = checkpointed(keyed(counts, number).select("word", "n", F.transform("keys", lambda k: F.xxhash64(k)).alias("keys")))
-        self.sent = df.sparkSession.sparkContext.broadcast({w: (n, k) for w, n, k in self.table.collect()}) if number <= SENT else None
+        self.sent = counts.sparkSession.sparkContext.broadcast({w: (n, k) for w, n, k in self.table.collect()}) if number <= SENT else None
 
 
 def _split_keys(found: Sequence[tuple[int, Sequence[int]]], initial: bool, names: int) -> tuple[set[int], set[int]]:
@@ -748,10 +764,23 @@ def _by_place(base: DataFrame, vocabulary: Vocabulary, names: int, member: DataF
     near = checkpointed(_met_at(one, vocabulary, names, several).select("k", "profile", "met").join(several, "k"))
     texts = sieved(one.select("profile", "node", "words", "age", "village", "ward", "sub", *IDENTIFIERS), F.col("profile"), near, "profile")
     shards = bounded_shards(near.join(texts, "profile"), "k", F.xxhash64("profile"), size="n")
-    return components(unambiguous(checkpointed(_edges(shards, _join_place, IDENTIFIERS).distinct())))
+    return unambiguous(checkpointed(_edges(shards, _join_place, IDENTIFIERS).distinct()))
+
+
+def person_rows(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_col: str = "national_id", mail_col: str = "email", user_col: str = "username", phone_col: str = "phone_number", age_col: str = "age", village_col: str = "village", ward_col: str = "ward", sub_col: str = "sub_county") -> DataFrame:
+    """Each row's identifiers as numbers, its name's words and its places as they sound, written once for ``linked_persons``."""
+    c = lambda n: F.col(f"`{n}`").cast("string")
+    # each step is a projection of its own: what a later one uses twice is worked out once
+    raw = df.where(F.col(f"`{id_col}`").isNotNull()).select(
+        F.col(f"`{id_col}`").cast("bigint").alias("id"), c(name_col).alias("name"), digits_key(c(nid_col)).cast("bigint").alias("nid"), mail_key(c(mail_col), c(user_col)).alias("mail"), phone9(c(phone_col)).cast("bigint").alias("phone"),
+        whole_years(c(age_col)).alias("age"), c(village_col).alias("village"), c(ward_col).alias("ward"), c(sub_col).alias("sub"),
+    )
+    raw = raw.withColumn("mail", F.when(F.col("mail").isNotNull(), F.xxhash64("mail")))
+    texts = [F.coalesce(c, F.lit("")) for c in ("village", "ward", "sub")]
+    return checkpointed(_parsed(raw).withColumn("look", F.xxhash64("bare", F.coalesce("age", F.lit(-1)), *texts)))
 
 
-def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_col: str = "national_id", mail_col: str = "email", user_col: str = "username", phone_col: str = "phone_number", age_col: str = "age", village_col: str = "village", ward_col: str = "ward", sub_col: str = "sub_county") -> DataFrame:
+def persons(df: DataFrame, **columns: str) -> DataFrame:
     """``id``, ``bare`` (a hash of the bare text) and ``person`` (the smallest id of its rows) of each row with a name.
 
     The distinct words of all names and places go through the trie join. Rows are candidates for
@@ -765,22 +794,35 @@ def persons(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_
     * Groups of candidates of any size are settled by the same rule: small ones in one go, large ones
       in shards by one key each, cut into blocks each two of which meet (see ``bounded_shards``).
     """
-    c = lambda n: F.col(f"`{n}`").cast("string")
-    # each step is a projection of its own: what a later one uses twice is worked out once
-    raw = df.where(F.col(f"`{id_col}`").isNotNull()).select(
-        F.col(f"`{id_col}`").cast("bigint").alias("id"), c(name_col).alias("name"), digits_key(c(nid_col)).cast("bigint").alias("nid"), mail_key(c(mail_col), c(user_col)).alias("mail"), phone9(c(phone_col)).cast("bigint").alias("phone"),
-        whole_years(c(age_col)).alias("age"), c(village_col).alias("village"), c(ward_col).alias("ward"), c(sub_col).alias("sub"),
-    )
-    raw = raw.withColumn("mail", F.when(F.col("mail").isNotNull(), F.xxhash64("mail")))
-    texts = [F.coalesce(c, F.lit("")) for c in ("village", "ward", "sub")]
-    base = checkpointed(_parsed(raw).withColumn("look", F.xxhash64("bare", F.coalesce("age", F.lit(-1)), *texts)))
-    vocabulary = Vocabulary(base, ("village", "ward", "sub"), ("heard",))
+    base = person_rows(df, **columns)
+    return linked_persons(base, Vocabulary(base.select(*WORDS)))
+
+
+#: The columns of ``person_rows`` whose words are joined.
+WORDS = ("heard", "village", "ward", "sub")
+
+
+def linked_persons(base: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The result of ``persons``."""
     names = base.where("bare IS NOT NULL").count()
     member = _by_identifiers(base, vocabulary, names)
     merged = _by_place(base, vocabulary, names, member).withColumnRenamed("node", "person").withColumnRenamed("component", "whole")
     return member.where("bare IS NOT NULL").select("id", "bare", "person").join(merged, "person", "left").select("id", "bare", F.coalesce("whole", "person").alias("person"))
 
 
+def variants(df: DataFrame, organisations: Sequence[str], people: Mapping[str, str], id_col: str = "id") -> tuple[DataFrame, DataFrame]:
+    """The results of ``persons`` and of ``spellings``, with one trie join of all their words; the two are worked out side by side."""
+    base, spelt = _side_by_side(df.sparkSession, lambda: person_rows(df, id_col), lambda: Spellings(df, organisations, people, id_col))
+    vocabulary = Vocabulary(base.select(*WORDS), spelt.cuts.select("heard"))
+    return tuple(_side_by_side(df.sparkSession, lambda: linked_persons(base, vocabulary), lambda: linked_spellings(spelt, vocabulary)))
+
+
+def _side_by_side(spark: SparkSession, *work: Callable) -> list:
+    """The results of some functions whose jobs don't depend on one another."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(w)) for w in work]]
+
+
 def different_pairs(df: DataFrame, group: str, *keep: str) -> DataFrame:
     """``id_a`` < ``id_b`` of one ``group`` whose ``bare`` differ, with columns that all of a group have in common."""
     mixed = df.groupBy(group).agg(F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select(group)
@@ -793,6 +835,32 @@ def different_pairs(df: DataFrame, group: str, *keep: str) -> DataFrame:
 _SPELLING = pa.schema([("node", pa.int64()), ("field", pa.int32()), ("words", pa.list_(pa.string())), ("kinds", pa.list_(pa.string())), ("heard", pa.list_(pa.string())), ("letters", pa.list_(pa.string())), ("initial", pa.bool_())])
 
 
+class Spellings:
+    """The distinct spellings of some columns, taken apart; see ``spellings``."""
+
+    def __init__(self, df: DataFrame, organisations: Sequence[str], people: Mapping[str, str], id_col: str) -> None:
+        self.columns, self.persons_from = columns, persons_from = [*organisations, *people], len(organisations)
+        each_of = [F.struct(F.lit(i).alias("field"), F.col(f"`{c}`").cast("string").alias("v"), (F.col(f"`{people[c]}`").cast("string") if c in people else F.lit(None).cast("string")).alias("p")) for i, c in enumerate(columns)]
+        typed = df.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.explode(F.array(*each_of)).alias("t")).select("id", "t.*")
+        typed = typed.where("v IS NOT NULL").groupBy("field", "v", "p").agg(F.min("id").alias("id")).where(~blank_like(F.col("v")))
+        rows = typed.select("field", "id", F.trim("v").alias("name"), bare(F.col("v")).alias("bare"), phone9(F.col("p")).alias("phone"))
+        self.rows = checkpointed(rows.where("bare <> ''").groupBy("field", "bare", "phone").agg(F.min("id").alias("id"), F.min("name").alias("name")))
+        each = self.rows.groupBy("field", "bare").agg(F.min("id").alias("id"), F.min("name").alias("name"), F.min("phone").alias("lo"), F.max("phone").alias("hi"))
+        self.each = checkpointed(each.withColumn("node", F.col("id") * len(columns) + F.col("field")))
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parser = Parser()
+            for batch in batches:
+                out: list[dict] = []
+                for node, field, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    own, kinds = (parser.person(name), ()) if field >= persons_from else organisation(parser, name)
+                    out.append({"node": node, "field": field, "words": list(own), "kinds": sorted(kinds), "heard": parser.heard(own or parser.split(name)), "letters": sorted({sound(w)[0] for w in own}), "initial": any(len(w) == 1 for w in own)})
+                yield pa.RecordBatch.from_pylist(out, schema=_SPELLING)
+
+        cuts = self.each.select("node", "field", "name").repartition(partitions(df.sparkSession)).mapInArrow(cut, "node bigint, field int, words array<string>, kinds array<string>, heard array<string>, letters array<string>, initial boolean")
+        self.cuts = checkpointed(cuts)
+
+
 def spellings(df: DataFrame, *organisations: str, people: Mapping[str, str] | None = None, id_col: str = "id") -> DataFrame:
     """``field_name``, ``id`` (the smallest that holds it), ``bare`` and ``entity`` of each spelling of some columns.
 
@@ -808,29 +876,14 @@ def spellings(df: DataFrame, *organisations: str, people: Mapping[str, str] | No
     Only distinct spellings go further. Their distinct words go through the trie join; spellings
     with a key in common (persons: keys of two words, or of a word and an initial) are candidates.
     """
-    people = people or {}
-    columns = [*organisations, *people]
-    each_of = [F.struct(F.lit(i).alias("field"), F.col(f"`{c}`").cast("string").alias("v"), (F.col(f"`{people[c]}`").cast("string") if c in people else F.lit(None).cast("string")).alias("p")) for i, c in enumerate(columns)]
-    typed = df.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.explode(F.array(*each_of)).alias("t")).select("id", "t.*")
-    typed = typed.where("v IS NOT NULL").groupBy("field", "v", "p").agg(F.min("id").alias("id")).where(~blank_like(F.col("v")))
-    rows = typed.select("field", "id", F.trim("v").alias("name"), bare(F.col("v")).alias("bare"), phone9(F.col("p")).alias("phone"))
-    rows = checkpointed(rows.where("bare <> ''").groupBy("field", "bare", "phone").agg(F.min("id").alias("id"), F.min("name").alias("name")))
-    each = rows.groupBy("field", "bare").agg(F.min("id").alias("id"), F.min("name").alias("name"), F.min("phone").alias("lo"), F.max("phone").alias("hi"))
-    each = checkpointed(each.withColumn("node", F.col("id") * len(columns) + F.col("field")))
-    persons_from = len(organisations)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = Parser()
-        for batch in batches:
-            out: list[dict] = []
-            for node, field, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own, kinds = (parser.person(name), ()) if field >= persons_from else organisation(parser, name)
-                out.append({"node": node, "field": field, "words": list(own), "kinds": sorted(kinds), "heard": parser.heard(own or parser.split(name)), "letters": sorted({sound(w)[0] for w in own}), "initial": any(len(w) == 1 for w in own)})
-            yield pa.RecordBatch.from_pylist(out, schema=_SPELLING)
-
-    cuts = each.select("node", "field", "name").repartition(partitions(df.sparkSession)).mapInArrow(cut, "node bigint, field int, words array<string>, kinds array<string>, heard array<string>, letters array<string>, initial boolean")
-    cuts = checkpointed(cuts)
-    tokens = cuts.select("node", F.explode("heard").alias("word")).join(Vocabulary(cuts, lists=("heard",)).table, "word")
+    spelt = Spellings(df, organisations, people or {}, id_col)
+    return linked_spellings(spelt, Vocabulary(spelt.cuts.select("heard")))
+
+
+def linked_spellings(spelt: Spellings, vocabulary: Vocabulary) -> DataFrame:
+    """The result of ``spellings``."""
+    rows, each, cuts, columns, persons_from = spelt.rows, spelt.each, spelt.cuts, spelt.columns, spelt.persons_from
+    tokens = cuts.select("node", F.explode("heard").alias("word")).join(vocabulary.table, "word")
     listed = tokens.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("word", "keys"))).alias("t"))
     sure = lambda c: F.transform(c, lambda k: F.struct(k.alias("k"), F.lit(True).alias("met")))
     none = F.array().cast("array<struct<k:bigint,met:boolean>>")
@@ -861,7 +914,6 @@ def spellings(df: DataFrame, *organisations: str, people: Mapping[str, str] | No
         return (shared or not (a["numbered"] and b["numbered"])) and person_match(a["words"], b["words"], shared)
 
     edges = _edges(shards, lambda members: (p for p in _meeting(members) if same(*p)), ("phone",)).distinct()
-    edges = unambiguous(checkpointed(edges.withColumns({f"{n}_{s}": F.lit(None).cast("bigint") for n in ("nid", "mail") for s in "ab"})))
-    links = components(edges)
+    links = unambiguous(checkpointed(edges.withColumns({f"{n}_{s}": F.lit(None).cast("bigint") for n in ("nid", "mail") for s in "ab"})))
     named = F.element_at(F.array(*map(F.lit, columns)), F.col("field") + 1).alias("field_name")
     return each.join(links, "node", "left").select(named, "id", "bare", F.coalesce("component", "node").alias("entity"))

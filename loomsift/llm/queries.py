@@ -13,7 +13,7 @@ from loomsift.llm.canon import map_values
 from loomsift.llm.copies import collapse_copies
 from loomsift.llm.leaks import leaks
 from loomsift.llm.mojibake import repaired
-from loomsift.llm.names import different_pairs, persons, spellings
+from loomsift.llm.names import different_pairs, variants
 from loomsift.llm.unify import look_alike_classes, look_alikes
 from loomsift.session import table
 
@@ -43,9 +43,9 @@ ALIASES: dict[str, dict[str, tuple[str, ...]]] = {
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
     """Pairs of rows of one person, and of spellings of one organisation or trainer, that differ in bare text."""
     rows = table(spark, root, "participants")
-    people = different_pairs(persons(rows), "person").withColumn("field_name", F.lit("full_name"))
-    others = different_pairs(spellings(rows, "organization", people={"trainer_name": "trainer_phone"}), "entity", "field_name")
-    return people.unionByName(others).select("field_name", "id_a", "id_b")
+    people, spelt = variants(rows, ("organization",), {"trainer_name": "trainer_phone"})
+    pairs = different_pairs(people, "person").withColumn("field_name", F.lit("full_name"))
+    return pairs.unionByName(different_pairs(spelt, "entity", "field_name")).select("field_name", "id_a", "id_b")
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:

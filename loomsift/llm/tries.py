@@ -171,48 +171,52 @@ def shard_pairs(shard: str, stands: Sequence[str], asks: Sequence[str], begins:
             yield a, b
 
 
-def neighbours(words: DataFrame, number: int) -> DataFrame:
-    """``a``, ``b``: the words that the trie join finds for each ``word`` of a table of so many distinct words.
+def heads(words: DataFrame, number: int) -> DataFrame:
+    """``word``, ``head``: of each two of so many distinct words that the trie join finds to be spellings of one another, the more frequent is the head.
 
-    ``b`` is within ``bound(len(a))`` edits of ``a``, or begins with ``a`` and goes on. Null and
-    empty words, and those of more than ``LONGEST`` letters, find nothing. A shard that very many
-    words ask is asked by several tasks, each with the shard's trie.
+    Two words are, if one is within ``bound`` (of either's length) of the other, or begins with it and
+    goes on. ``words`` has each ``word`` and its number ``n``. Null and empty words, and those of
+    more than ``LONGEST`` letters, have none. A shard that very many words ask is asked by several
+    tasks, each with the shard's trie.
     """
     spark = words.sparkSession
     copies = max(1, -(-number // ASKING))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for word in batch.column(0).to_pylist():
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for shard, role in _shards(word) if word and len(word) <= LONGEST else ():
                     for copy in range(copies) if not role else (_number(word) % copies,):
-                        for col, v in zip(out, (shard, copy, role, word), strict=True):
+                        for col, v in zip(out, (shard, copy, role, word, n), strict=True):
                             col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.string())], ["shard", "copy", "role", "word"])
+            types = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["shard", "copy", "role", "word", "n"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, ([], [], [])
+        now, held, count = None, ([], [], []), {}
 
         def found() -> Iterator[pa.RecordBatch]:
             pairs = set(shard_pairs(now[0], *held)) if now and held[0] and (held[1] or held[2]) else ()
-            if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*pairs, strict=True)], ["a", "b"])
+            ranked = {(b, a) if (count[a], a) > (count[b], b) else (a, b) for a, b in pairs}
+            if ranked:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*ranked, strict=True)], ["word", "head"])
 
         for batch in batches:
-            for shard, copy, role, word in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for shard, copy, role, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (shard, copy) != now:
                     yield from found()
-                    now, held = (shard, copy), ([], [], [])
+                    now, held, count = (shard, copy), ([], [], []), {}
                 held[role].append(word)
+                count[word] = n
                 if len(held[1]) >= ASKING:  # what asks comes after what stands
                     yield from found()
                     held[1].clear()
         yield from found()
 
-    dealt = words.select("word").mapInArrow(deal, "shard string, copy int, role int, word string")
+    dealt = words.select("word", "n").mapInArrow(deal, "shard string, copy int, role int, word string, n bigint")
     ordered = dealt.repartition(max(partitions(spark), copies * 8), "shard", "copy").sortWithinPartitions("shard", "copy", "role")
-    return ordered.mapInArrow(ask, "a string, b string").distinct()
+    return ordered.mapInArrow(ask, "word string, head string").distinct()
 
 
 def _number(word: str) -> int:
@@ -226,22 +230,17 @@ def _number(word: str) -> int:
 def keyed(words: DataFrame, number: int) -> DataFrame:
     """``word``, ``n``, ``keys``: any two words that are spellings of one another have a key in common.
 
-    ``words`` has distinct words and how often each occurs (``n``). Of two neighbours the more
-    frequent word is the head. A word has as keys itself and its heads; a head that shares with the
-    word a head that has none itself is left out, as both meet there: so the many slips of one
-    frequent word have that word as a key, not each other.
+    ``words`` has distinct words and how often each occurs (``n``). A word has as keys itself and its
+    ``heads``; a head that shares with the word a head that has none itself is left out, as both meet
+    there: so the many slips of one frequent word have that word as a key, not each other.
     """
-    counts = words.select("word", "n")
-    pairs = neighbours(words, number)
-    rank = lambda n, w: F.struct(F.col(n), F.col(w))
-    up = pairs.join(counts.select(F.col("word").alias("a"), F.col("n").alias("na")), "a").join(counts.select(F.col("word").alias("b"), F.col("n").alias("nb")), "b")
-    first = rank("na", "a") > rank("nb", "b")
-    heads = checkpointed(up.select(F.when(first, F.col("b")).otherwise(F.col("a")).alias("word"), F.when(first, F.col("a")).otherwise(F.col("b")).alias("head")).distinct())
-    lower = heads.select("word").distinct()
-    top = heads.join(lower.select(F.col("word").alias("head")), "head", "left_anti").groupBy("word").agg(F.collect_set("head").alias("tops"))
-    inner = heads.join(lower.select(F.col("word").alias("head")), "head", "left_semi")
-    both = inner.join(top, "word", "left").join(top.select(F.col("word").alias("head"), F.col("tops").alias("theirs")), "head", "left")
-    kept = both.where(~F.coalesce(F.arrays_overlap("tops", "theirs"), F.lit(False))).groupBy("word").agg(F.collect_set("head").alias("more"))
+    links = checkpointed(heads(words, number))
+    lower = links.select(F.col("word").alias("head")).distinct().withColumn("inner", F.lit(True))
+    ranked = links.join(lower, "head", "left")
+    of = ranked.groupBy("word").agg(F.collect_set(F.when(F.col("inner").isNull(), F.col("head"))).alias("tops"), F.collect_set(F.when(F.col("inner"), F.col("head"))).alias("more"))
+    of = checkpointed(of)
+    both = of.select("word", "tops", F.explode("more").alias("head")).join(of.select(F.col("word").alias("head"), F.col("tops").alias("theirs")), "head")
+    kept = both.where(~F.arrays_overlap("tops", "theirs")).groupBy("word").agg(F.collect_set("head").alias("kept"))
     none = F.array().cast("array<string>")
-    joined = counts.join(top, "word", "left").join(kept, "word", "left")
-    return joined.select("word", "n", F.concat(F.array("word"), F.coalesce("tops", none), F.coalesce("more", none)).alias("keys"))
+    joined = words.select("word", "n").join(of.select("word", "tops"), "word", "left").join(kept, "word", "left")
+    return joined.select("word", "n", F.concat(F.array("word"), F.coalesce("tops", none), F.coalesce("kept", none)).alias("keys"))
