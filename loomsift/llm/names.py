@@ -12,6 +12,7 @@ import itertools
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -372,7 +373,7 @@ def unambiguous(edges: DataFrame) -> DataFrame:
     left = checkpointed(edges.join(torn, edges.a == torn.n, "left_anti").join(torn, edges.b == torn.n, "left_anti"))
     groups = checkpointed(components(left))
     own = left.select(F.col("a").alias("node"), *(F.col(f"{c}_a").alias(c) for c in IDENTIFIERS)).unionByName(left.select(F.col("b").alias("node"), *(F.col(f"{c}_b").alias(c) for c in IDENTIFIERS)))
-    return groups.join(_contradicting(own.join(groups, "node"), "component"), "component", "left_anti").select("node", "component")
+    return checkpointed(groups.join(_contradicting(own.join(groups, "node"), "component"), "component", "left_anti").select("node", "component"))
 
 
 def digits_key(c: Column, least: int = 6) -> Column:
@@ -600,19 +601,35 @@ class Vocabulary:
         number = counts.count()
         #: ``word``, ``n`` and the hashes of its ``keys``.
         self.table = checkpointed(keyed(counts, number).select("word", "n", F.transform("keys", lambda k: F.xxhash64(k)).alias("keys")))
-        self.sent = counts.sparkSession.sparkContext.broadcast({w: (n, k) for w, n, k in self.table.collect()}) if number <= SENT else None
+        self.sent = counts.sparkSession.sparkContext.broadcast(tuple(KeyTable.of(self.table.toArrow()))) if number <= SENT else None  # plain arrays, as workers have no package
 
 
-def _split_keys(found: Sequence[tuple[int, Sequence[int]]], initial: bool, names: int) -> tuple[set[int], set[int]]:
-    """Keys that must be met, and weak ones, of a name whose words have these numbers and keys.
+class KeyTable(NamedTuple):
+    """A vocabulary's table as arrays: the keys of a word stand side by side."""
+
+    words: pa.Array
+    n: np.ndarray
+    begin: np.ndarray
+    keys: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table) -> KeyTable:
+        words, keys = (table[c].combine_chunks() for c in ("word", "keys"))
+        lengths = pc.list_value_length(keys).to_numpy(zero_copy_only=False)
+        return cls(words, table["n"].to_numpy(), np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64), keys.flatten().to_numpy(zero_copy_only=False))
+
+    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places in ``words``, keys, numbers of the words) of all keys of some words; nulls have none."""
+        found = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        at = np.nonzero(found >= 0)[0]
+        found = found[at]
+        count = self.begin[found + 1] - self.begin[found]
+        return np.repeat(at, count), self.keys[_runs(self.begin[found], count)], np.repeat(self.n[found], count)
 
-    Keys of frequent words are weak in a name without initials that also has a word that isn't
-    frequent: two such names that are variants share another key too, so two weak ones need not
-    be compared.
-    """
-    rare = {k for n, keys in found if n * FREQUENT < names for k in keys}
-    often = {k for n, keys in found if n * FREQUENT >= names for k in keys} - rare
-    return (rare, often) if rare and not initial else (rare | often, set())
+
+def _runs(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... for each of some runs, one after another."""
+    return np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
 
 
 def with_keys(df: DataFrame, vocabulary: Vocabulary, names: int) -> DataFrame:
@@ -637,15 +654,54 @@ def with_keys(df: DataFrame, vocabulary: Vocabulary, names: int) -> DataFrame:
     return out.select(*df.columns, full("must").alias("must"), full("weak").alias("weak"), F.concat(full("_village"), full("_ward")).alias("spots"), full("_sub").alias("wide"))
 
 
-def keys_of(batch: pa.RecordBatch, known: Mapping[str, tuple[int, Sequence[int]]] | None, names: int) -> Iterator[tuple[Sequence[int], Sequence[int], Sequence[int], Sequence[int]]]:
-    """``must``, ``weak``, ``spots`` and ``wide`` of each row of a batch of ``with_keys``."""
+class Keys(NamedTuple):
+    """The keys of a batch's rows, flat and in the order of the rows: of names, of their spots, and of the wider places."""
+
+    row: np.ndarray
+    key: np.ndarray
+    met: np.ndarray
+    spot_row: np.ndarray
+    spot: np.ndarray
+    wide_row: np.ndarray
+    wide: np.ndarray
+
+    def lists(self, rows: int) -> list[list[int]]:
+        """The keys of the names, row by row, each once."""
+        ends = np.searchsorted(self.row, np.arange(rows + 1))
+        keys = self.key.tolist()
+        return [sorted(set(keys[a:b])) for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def keys_of(batch: pa.RecordBatch, known: KeyTable | None, names: int) -> Keys:
+    """The keys of a batch of ``with_keys``.
+
+    Keys of frequent words are weak (not ``met``) in a name without initials that also has a word
+    that isn't frequent: two such names that are variants share another key too, so two weak ones
+    need not be compared.
+    """
     if known is None:
-        yield from zip(*(batch.column(c).to_pylist() for c in KEYS), strict=True)
-        return
-    for heard, initial, village, ward, sub in zip(*(batch.column(c).to_pylist() for c in ("heard", "initial", "village", "ward", "sub")), strict=True):
-        must, weak = _split_keys([known[w] for w in heard], initial, names)
-        spots = _tagged(known[village][1], "village") if village else []
-        yield must, weak, spots + _tagged(known[ward][1], "ward") if ward else spots, _tagged(known[sub][1], "sub") if sub else ()
+        flat = {c: _flat(batch.column(c)) for c in KEYS}
+        row, key = (np.concatenate([flat["must"][i], flat["weak"][i]]) for i in (0, 1))
+        met = np.concatenate([np.ones(len(flat["must"][0]), bool), np.zeros(len(flat["weak"][0]), bool)])
+        order = np.argsort(row, kind="stable")
+        return Keys(row[order], key[order], met[order], *flat["spots"], *flat["wide"])
+    whose, heard = _flat(batch.column("heard"))
+    at, key, n = known.of_words(heard)
+    row, often = whose[at], n * FREQUENT >= names
+    divided = np.zeros(batch.num_rows, bool)
+    divided[row[~often]] = True
+    divided &= ~np.asarray(batch.column("initial").to_numpy(zero_copy_only=False), bool)
+    places = {c: known.of_words(batch.column(c))[:2] for c in TAGS}
+    spot_row, spot = (np.concatenate([places[c][0] for c in ("village", "ward")]), np.concatenate([places[c][1] ^ TAGS[c] for c in ("village", "ward")]))
+    order = np.argsort(spot_row, kind="stable")
+    return Keys(row, key, ~(often & divided[row]), spot_row[order], spot[order], places["sub"][0], places["sub"][1] ^ TAGS["sub"])
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, pa.Array | np.ndarray]:
+    """(row, value) of all values of a list column, numbers as an array."""
+    row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    values = lists.flatten()
+    return row, values.to_numpy(zero_copy_only=False) if pa.types.is_integer(values.type) else values
 
 
 #: The columns of keys that ``with_keys`` adds.
@@ -654,11 +710,6 @@ KEYS = ("must", "weak", "spots", "wide")
 TAGS = {"village": 0x5851F42D4C957F2D, "ward": 0x14057B7EF767814F, "sub": 0x2545F4914F6CDD1D}
 
 
-def _tagged(keys: Sequence[int], column: str) -> list[int]:
-    tag = TAGS[column]
-    return [k ^ tag for k in keys]
-
-
 def _by_identifiers(base: DataFrame, vocabulary: Vocabulary, names: int) -> DataFrame:
     """``base``'s numbers with ``person``: rows that share identifiers and whose names are variants."""
     groups = checkpointed(evidence_groups(base.select("id", "bare", "look", "nid", "mail", "phone")))
@@ -676,8 +727,8 @@ def _by_identifiers(base: DataFrame, vocabulary: Vocabulary, names: int) -> Data
             flat, person, at = batch.column(0).flatten(), {}, 0
             flat = pa.RecordBatch.from_arrays([flat.field(c) for c in fields], fields)
             rows = _members(flat, ("node", "bare", "nid", "mail", "phone", "age", "words"))
-            for m, (must, weak, _, _) in zip(rows, keys_of(flat, known and known.value, names), strict=True):
-                m["keys"] = sorted({*must, *weak})
+            for m, keys in zip(rows, keys_of(flat, known and KeyTable(*known.value), names).lists(len(rows)), strict=True):
+                m["keys"] = keys
             for size in pc.list_value_length(batch.column(0)).to_pylist():
                 person |= _roots(rows[at : at + size])
                 at += size
@@ -690,7 +741,7 @@ def _by_identifiers(base: DataFrame, vocabulary: Vocabulary, names: int) -> Data
 
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = [sorted({*must, *weak}) for must, weak, _, _ in keys_of(batch, known and known.value, names)]
+                found = keys_of(batch, known and KeyTable(*known.value), names).lists(batch.num_rows)
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", *same, "words", "age")), pa.array(found, pa.list_(pa.int64()))], ["node", *same, "words", "age", "keys"])
 
         first = full.where(F.col("n") > SHARD).mapInArrow(spread, "node bigint, " + ", ".join(f"{c} bigint" for c in same) + f", words array<string>, age int, keys {_NONE}")
@@ -717,27 +768,24 @@ def _met_at(one: DataFrame, vocabulary: Vocabulary, names: int, wanted: DataFram
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [])
-            rows = zip(keys_of(batch, known and known.value, names), batch.column("hh").to_pylist(), batch.column("mask").to_pylist(), strict=True)
-            for row, ((must, weak, spots, wide), hh, mask) in enumerate(rows):
-                low, before = mask & 3, len(out[0])
-                if spots:
-                    places = [s * 0x61C8864680B583EB for s in spots]
-                    for keys, met in ((must, True), (weak, False)):
-                        if keys:
-                            out[0].extend([(k * 0x2127599BF4325C37 ^ s) * 0x9E3779B97F4A7C15 >> 17 & 0x7FFFFFFFFFFFFFFF for k in keys for s in places])
-                            out[1].extend([met] * (len(keys) * len(places)))
-                out[2].extend([low] * (len(out[0]) - before))
-                if hh is not None and wide:
-                    out[0].extend([(hh * 0x2127599BF4325C37 ^ s * 0x61C8864680B583EB) * 0x9E3779B97F4A7C15 >> 17 & 0x7FFFFFFFFFFFFFFF for s in wide])
-                    out[1].extend([True] * len(wide))
-                    out[2].extend([mask] * len(wide))
-                out[3].extend([row] * (len(out[0]) - before))
-            at, cols = np.array(out[3], np.int64), [np.array(out[0], np.int64), np.array(out[1], bool), np.array(out[2], np.int32)]
+            keys = keys_of(batch, known and KeyTable(*known.value), names)
+            mask, hh = batch.column("mask").to_numpy(zero_copy_only=False), batch.column("hh")
+            # each key of a name with each spot of its row
+            count = np.bincount(keys.spot_row, minlength=batch.num_rows)
+            begin, each = np.cumsum(count) - count, count[keys.row]
+            at = np.repeat(np.arange(len(keys.row)), each)
+            row, met = keys.row[at], keys.met[at]
+            k = _mixed(keys.key[at], keys.spot[_runs(begin[keys.row], each)])
+            # and the very words with each wider place
+            very = pc.is_valid(hh).to_numpy(zero_copy_only=False)[keys.wide_row]
+            wide_row = keys.wide_row[very]
+            wide = _mixed(pc.fill_null(hh, 0).to_numpy(zero_copy_only=False)[wide_row], keys.wide[very])
+            row, k, met, mask = np.concatenate([row, wide_row]), np.concatenate([k, wide]), np.concatenate([met, np.ones(len(wide), bool)]), np.concatenate([mask[row] & 3, mask[wide_row]])
             if bits is not None:
-                kept = np.nonzero(passing(bits.value, cols[0]))[0]
-                at, cols = at[kept], [c[kept] for c in cols]
-            yield pa.RecordBatch.from_arrays([batch.column("profile").take(pa.array(at)), batch.column("node").take(pa.array(at)), *map(pa.array, cols)], ["profile", "node", "k", "met", "mask"])
+                kept = np.nonzero(passing(bits.value, k))[0]
+                row, k, met, mask = row[kept], k[kept], met[kept], mask[kept]
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column("profile").take(at), batch.column("node").take(at), pa.array(k), pa.array(met), pa.array(mask, pa.int32())], ["profile", "node", "k", "met", "mask"])
 
     has = lambda c, bit: F.when(F.col(c).isNotNull(), bit).otherwise(0)
     # by the sub-county alone only the very words of a name count, and both ages are needed
@@ -746,6 +794,14 @@ def _met_at(one: DataFrame, vocabulary: Vocabulary, names: int, wanted: DataFram
     return one.select("profile", "node", "heard", "initial", "village", "ward", "sub", *(c for c in KEYS if c in one.columns), very, mask).mapInArrow(spread, "profile bigint, node bigint, k bigint, met boolean, mask int")
 
 
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 63-bit number of each two."""
+    with np.errstate(over="ignore"):
+        x = (a.view(np.uint64) * np.uint64(0x2127599BF4325C37)) ^ (b.view(np.uint64) * np.uint64(0x61C8864680B583EB))
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return (x >> np.uint64(1)).view(np.int64)
+
+
 def _by_place(base: DataFrame, vocabulary: Vocabulary, names: int, member: DataFrame) -> DataFrame:
     """``node`` and ``component`` of persons without a common identifier that are one by name, place and age.
 
@@ -807,7 +863,7 @@ def linked_persons(base: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     names = base.where("bare IS NOT NULL").count()
     member = _by_identifiers(base, vocabulary, names)
     merged = _by_place(base, vocabulary, names, member).withColumnRenamed("node", "person").withColumnRenamed("component", "whole")
-    return member.where("bare IS NOT NULL").select("id", "bare", "person").join(merged, "person", "left").select("id", "bare", F.coalesce("whole", "person").alias("person"))
+    return checkpointed(member.where("bare IS NOT NULL").select("id", "bare", "person").join(merged, "person", "left").select("id", "bare", F.coalesce("whole", "person").alias("person")))
 
 
 def variants(df: DataFrame, organisations: Sequence[str], people: Mapping[str, str], id_col: str = "id") -> tuple[DataFrame, DataFrame]:
@@ -916,4 +972,4 @@ def linked_spellings(spelt: Spellings, vocabulary: Vocabulary) -> DataFrame:
     edges = _edges(shards, lambda members: (p for p in _meeting(members) if same(*p)), ("phone",)).distinct()
     links = unambiguous(checkpointed(edges.withColumns({f"{n}_{s}": F.lit(None).cast("bigint") for n in ("nid", "mail") for s in "ab"})))
     named = F.element_at(F.array(*map(F.lit, columns)), F.col("field") + 1).alias("field_name")
-    return each.join(links, "node", "left").select(named, "id", "bare", F.coalesce("component", "node").alias("entity"))
+    return checkpointed(each.join(links, "node", "left").select(named, "id", "bare", F.coalesce("component", "node").alias("entity")))

@@ -38,29 +38,29 @@ class Trie:
 
     def __init__(self, words: Sequence[str]) -> None:
         self.words = sorted(set(words))
-        letters = sorted({ch for w in self.words for ch in w})
-        self.letter = {ch: i for i, ch in enumerate(letters)}
-        first, letter, word, begin = [0], [0], [-1], [(0, len(self.words), 0)]
-        at = 0
-        while at < len(begin):  # nodes in the order of levels; each is a range of the sorted words
-            lo, hi, depth = begin[at]
-            if lo < hi and len(self.words[lo]) == depth:
-                word[at] = lo
-                lo += 1
-            first[at] = len(begin)
-            while lo < hi:
-                ch, end = self.words[lo][depth], lo + 1
-                while end < hi and self.words[end][depth] == ch:
-                    end += 1
-                begin.append((lo, end, depth + 1))
-                first.append(0)
-                letter.append(self.letter[ch])
-                word.append(-1)
-                lo = end
-            at += 1
-        self.ranges = begin
-        self.first = np.array([*first, len(begin)], np.int64)
-        self.letters, self.word = np.array(letter, np.int64), np.array(word, np.int64)
+        number = len(self.words)
+        text, length = _letters(self.words)
+        self.codes = np.unique(text[text > 0]) if number else np.empty(0, np.uint32)
+        shared = np.full(number + 1, -1, np.int64)  # letters that a word has in common with the one before
+        if number > 1:
+            differ = text[1:] != text[:-1]
+            shared[1:number] = np.where(differ.any(axis=1), differ.argmax(axis=1), text.shape[1])
+        # a node is a beginning of words: at each level, the sorted words at which a new one starts
+        starts = [np.zeros(1, np.int64)]
+        for depth in range(1, text.shape[1] + 1):
+            starts.append(np.nonzero((length >= depth) & (shared[:number] < depth))[0])
+        offset = np.cumsum([0, *map(len, starts)])
+        first, letter, word, ends = [], [], [], []
+        for depth, rows in enumerate(starts):
+            below = starts[depth + 1] if depth + 1 < len(starts) else np.empty(0, np.int64)
+            first.append(offset[depth + 1] + np.searchsorted(below, rows))
+            letter.append(np.searchsorted(self.codes, text[rows, depth - 1]) if depth else np.zeros(1, np.int64))
+            word.append(np.where(length[rows] == depth, rows, -1) if number else np.full(len(rows), -1))
+            breaks = np.append(np.nonzero(shared[1:number] < depth)[0] + 1, number) if depth else np.array([number])
+            ends.append(breaks[np.searchsorted(breaks, rows, "right")] if depth else breaks)
+        self.first = np.concatenate([*first, offset[-1:]])
+        self.letters, self.word = np.concatenate(letter).astype(np.int64), np.concatenate(word)
+        self.begin, self.end = np.concatenate(starts), np.concatenate(ends)
 
     def near(self, asked: Sequence[str], most: Sequence[int], half: Sequence[int] = (), first: Sequence[int] = (), edited: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """(places in ``asked``, places in ``words``) of the words within so many edits, a swap of neighbours being one.
@@ -72,63 +72,92 @@ class Trie:
         those that need none at the first letter.
         """
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        for at in range(0, len(asked), TOGETHER):
-            part = slice(at, at + TOGETHER)
-            found += [(q + at, w) for q, w in self._down(asked[part], most[part], half[part] or [0] * len(asked[part]), first[part] or [3] * len(asked[part]), edited)]
+        half, first = half or [0] * len(asked), first or [3] * len(asked)
+        by: dict[tuple[int, bool], list[int]] = {}
+        for i, k in enumerate(most):
+            by.setdefault((k, len(asked[i]) > 29), []).append(i)
+        for (k, long), places in by.items():
+            for at in range(0, len(places), TOGETHER):
+                some = places[at : at + TOGETHER]
+                whose = np.array(some, np.int64)
+                found += [(whose[q], w) for q, w in self._down([asked[i] for i in some], k, [half[i] for i in some], [first[i] for i in some], edited, np.int64 if long else np.int32)]
         empty = np.empty(0, np.int64)
         return (np.concatenate([q for q, _ in found]), np.concatenate([w for _, w in found])) if found else (empty, empty)
 
-    def _down(self, asked: Sequence[str], most: Sequence[int], half: Sequence[int], first: Sequence[int], edited: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        n = np.array([len(w) for w in asked], np.int64)
-        one = np.int64(1)
-        full = (one << (n + 1)) - 1
-        fits = np.zeros((len(asked), len(self.letter) + 1), np.int64)
-        for i, w in enumerate(asked):
-            for j, ch in enumerate(w):
-                if ch == LOST:
-                    fits[i] |= 1 << j
-                elif ch in self.letter:
-                    fits[i, self.letter[ch]] |= 1 << j
-        if LOST in self.letter:
-            fits[:, self.letter[LOST]] = full
-        limit, late = np.array(first, np.int64), full & ~((one << np.array(half, np.int64)) - 1)
-        allowed = [np.where(np.array(most) < d, 0, np.where(d <= limit, full, late)) for d in (1, 2, 3)]
-        alone = np.zeros_like(full) if edited else full
-        end = one << n
-        q, node = np.arange(len(asked)), np.zeros(len(asked), np.int64)
-        state = [np.full(len(asked), (2 << d) - 1, np.int64) & (allowed[d - 1] if d else full) for d in range(4)]
-        before, last = [np.zeros(len(asked), np.int64)] * 3, np.zeros(len(asked), np.int64)
+    def _down(self, asked: Sequence[str], most: int, half: Sequence[int], first: Sequence[int], edited: bool, kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        n = np.array([len(w) for w in asked], kind)
+        one = kind(1)
+        full = (one << (n + one)) - one
+        fits = np.zeros((len(asked), len(self.codes) + 1), kind)
+        text, _ = _letters(asked)
+        at = np.searchsorted(self.codes, text)
+        known = at < len(self.codes)
+        known[known] = self.codes[at[known]] == text[known]
+        for j in range(text.shape[1]):
+            rows = np.nonzero(known[:, j])[0]
+            fits[rows, at[rows, j]] |= one << kind(j)
+            lost = np.nonzero(text[:, j] == ord(LOST))[0]
+            fits[lost] |= one << kind(j)
+        if len(lost := np.nonzero(self.codes == ord(LOST))[0]):
+            fits[:, lost[0]] = full
+        limit, late = np.array(first, kind), full & ~((one << np.array(half, kind)) - one)
+        levels = range(1, most + 1)
+        allowed = [np.zeros_like(full) if edited else full, *(np.where(d <= limit, full, late) for d in levels)]
+        end, letters = one << n, self.letters
+        q, node = np.arange(len(asked), dtype=np.int32), np.zeros(len(asked), np.int64)
+        # rows: states for no edit up to so many; those before the last letter, from which a swap goes on; what the last letter fits
+        held = np.zeros((2 * most + 2, len(asked)), kind)
+        held[0] = 1
+        for d in levels:
+            held[d] = kind((2 << d) - 1) & allowed[d]
         while len(q):
             count = self.first[node + 1] - self.first[node]
             up = np.repeat(np.arange(len(q)), count)
-            child = np.arange(len(up)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.first[node], count)
-            who = q[up]
-            m = fits[who, self.letters[child]]
-            swap = m & (last[up] >> 1)
-            o = [x[up] for x in state]
-            new = [((o[0] & m) << 1) & alone[who]]
-            for d in (1, 2, 3):
-                new.append((((o[d] & m) << 1) | o[d - 1] | (o[d - 1] << 1) | (new[d - 1] << 1) | ((before[d - 1][up] & swap) << 2)) & allowed[d - 1][who])
-            alive = new[0] | new[1] | new[2] | new[3]
+            child = np.arange(len(up)) + np.repeat(self.first[node] - (np.cumsum(count) - count), count)
+            who, o = q[up], held.take(up, axis=1)
+            m = fits[who, letters[child]]
+            swap = m & (o[-1] >> one)
+            new = np.empty((2 * most + 2, len(up)), kind)
+            new[0] = (o[0] & m) << one
+            new[0] &= allowed[0][who]
+            alive = new[0].copy()
+            for d in levels:
+                x = (o[d] & m) | o[d - 1] | new[d - 1]
+                x <<= one
+                x |= o[d - 1]
+                x |= (o[most + d] & swap) << kind(2)
+                x &= allowed[d][who]
+                new[d] = x
+                alive |= x
             hit = np.nonzero((self.word[child] >= 0) & ((alive & end[who]) != 0))[0]
             if len(hit):
                 yield who[hit], self.word[child[hit]]
             go = np.nonzero(alive)[0]
-            q, node, last = who[go], child[go], m[go]
-            state, before = [x[go] for x in new], [x[go] for x in o[:3]]
+            q, node = who[go], child[go]
+            new[most + 1 : -1] = o[:most]
+            new[-1] = m
+            held = new.take(go, axis=1)
 
     def continued(self, word: str) -> Sequence[str]:
         """The words that begin with ``word`` and go on."""
         node = 0
         for ch in word:
-            code = self.letter.get(ch, -1)
             lo, hi = self.first[node], self.first[node + 1]
+            code = np.searchsorted(self.codes, ord(ch))
             at = lo + np.searchsorted(self.letters[lo:hi], code)
-            if at == hi or self.letters[at] != code:
+            if code == len(self.codes) or self.codes[code] != ord(ch) or at == hi or self.letters[at] != code:
                 return ()
             node = int(at)
-        lo, hi, _ = self.ranges[node]
-        return self.words[lo + (self.word[node] >= 0) : hi]
+        return self.words[self.begin[node] + (self.word[node] >= 0) : self.end[node]]
+
+
+def _letters(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The letters of words as a matrix of code points, filled up with zeros, and the words' lengths."""
+    length = np.array([len(w) for w in words], np.int64)
+    wide = int(length.max(initial=0))
+    if not wide:
+        return np.zeros((len(words), 0), np.uint32), length
+    return np.array(words, f"<U{wide}").view(np.uint32).reshape(len(words), wide), length
 
 
 def _shards(word: str) -> Iterator[tuple[str, int]]:
