@@ -7,6 +7,7 @@ reader finds the newest version that was finished.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -238,6 +239,15 @@ def failure_reasons(log: DataFrame) -> DataFrame:
     return log.where("status = 'failed'").groupBy(F.coalesce("error_message", F.lit("")).alias("reason")).agg(F.count("*").alias("n"))
 
 
+def failure_text(failure: object) -> str:
+    """What a source's failure says: the message of its error, its error, its own message, or all of it as JSON."""
+    if isinstance(failure, Mapping):
+        error = failure.get("error")
+        said = (error.get("message") if isinstance(error, Mapping) else error) or failure.get("message")
+        return str(said) if said else json.dumps(failure, default=str)
+    return str(failure) or type(failure).__name__
+
+
 #: Characters of the reasons in the error of a run that failed as a whole.
 REASON_CHARS = 2000
 

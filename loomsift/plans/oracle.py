@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from loomsift.canonical import CANONICAL, LOOKUP, header_key
-from loomsift.plans.queries import BACKFILL, PIVOT
+from loomsift.canonical import CANONICAL, LOOKUP, PERCENT, PHONE, TITLE, YES_NO, header_key
+from loomsift.plans.queries import BACKFILL, PIVOT, SHOWN
 
 _WS = r"[\t\n\x0B\f\r \x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]+"
 
@@ -80,12 +80,53 @@ x as (select c_custkey, a2, xor({mul("xor(b, b >> 16)", 2246822507)}, {mul("xor(
 select c_custkey, 'r' || lower(to_hex(((b2 & 2097151::ubigint)::hugeint * 4294967296 + a2)::ubigint)) as row_hash from x"""
 
 
+def _clean_sql(field: str) -> str:
+    """The cleaned form of a field; null-like texts become null first."""
+    if field in TITLE:
+        shown = _title(field)
+    elif field in YES_NO:
+        shown = _yes_no(field)
+    elif field in PHONE:
+        shown = _phone(field)
+    elif field in PERCENT:
+        shown = _percent(field)
+    elif field == "gender":
+        shown = _coded("gender", {"Male": "'m','male','man'", "Female": "'f','female','woman'"})
+    elif field == "email":
+        shown = f"lower({_squeeze('email')})"
+    else:
+        shown = _digits(field) if field == "national_id" else _squeeze(field)
+    return f"case when {_null_like(field)} is null then null else {shown} end"
+
+
+#: Rows that a load inserts: of equal ones of one file name the first.
+_INSERTED = f"(select * from (select t.*, row_number() over (partition by coalesce(s.source_system, ''), coalesce(s.file_name, ''), {', '.join(f't.{c}' for c in CANONICAL)}, t.extra_json order by coalesce(s.file_name, ''), t.drive_file_id, t.source_row_number) as rn from {_VALID} t join drive_file_state s using (drive_file_id)) where rn = 1)"
+
+
+def loaded_sql() -> str:
+    """The rows of participants that the valid records make, blank-like cells null."""
+    return "select drive_file_id, source_row_number, " + ", ".join(f"{_null_like(c)} as {c}" for c in CANONICAL) + f" from {_VALID} t"
+
+
+def _ragged_sql() -> str:
+    """Cells counted by taking quoted cells out: a quote counts only as the first character of a cell."""
+    delimiters = (",", ";", chr(9), "|")
+    bare = lambda t, d: f"""regexp_replace({t}, '(^|[{d}])"(?:[^"]|"")*"[^{d}]*', '\\1', 'g')"""
+    open_ = lambda t, d: f"""regexp_matches({bare(t, d)}, '(^|[{d}])"')"""
+    count = lambda t, d: f"(length({bare(t, d)}) - length(replace({bare(t, d)}, '{d}', '')) + 1)"
+    seen = ", ".join(f"case when {open_('t', d)} then 0 else {count('t', d)} end as n{i}" for i, d in enumerate(delimiters))
+    which = "case " + " ".join(f"when n{i} = greatest(n0, n1, n2, n3) then {i}" for i in range(4)) + " end as k"
+    by = lambda f: "case k " + " ".join(f"when {i} then {f('r.t', d)}" for i, d in enumerate(delimiters)) + " end"
+    return f"""with h as (select drive_file_id, case when left(min(raw_text), 1) = chr(65279) then substr(min(raw_text), 2) else min(raw_text) end as t from raw_records where source_row_number = 0 group by 1),
+c as (select drive_file_id, {seen} from h), w as (select drive_file_id, greatest(n0, n1, n2, n3) as n, {which} from c),
+r as (select drive_file_id, coalesce(raw_text, '') as t from raw_records where source_row_number <> 0)
+select r.drive_file_id, count(*) filter (where w.n is null or (not {by(open_)} and {by(count)} <> w.n)) as ragged, count(*) as records from r left join w using (drive_file_id) group by 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     keys = ", ".join(f"'{k}'" for k in BACKFILL)
     has = f"len(list_filter(map_keys(bag), lambda k: k in ({keys}))) > 0"
     trimmed = lambda c: f"{_squeeze(_null_like(c))} as {c}"
-    e2e = {"full_name": _title("full_name"), "phone_number": _phone("phone_number"), "national_id": _digits("national_id"), "county": _title("county"), "age": _squeeze("age")}
-    picked = ", ".join(f"case when {_null_like(c)} is null then null else {e} end as {c}" for c, e in e2e.items())
     return {
         "ext_filter": "select drive_file_id, lower(string_split(file_name, '.')[-1]) as ext from drive_file_state where lower(string_split(file_name, '.')[-1]) in ('csv', 'xlsx')",
         "first_parents": "select drive_file_id, nullif(parent_folder_id, '') as parent from drive_file_state",
@@ -114,7 +155,6 @@ def oracle_sql() -> dict[str, str]:
         "header_counts": f"select drive_file_id, count(field) as mapped, (count(*) - count(field)) as unmapped from (select drive_file_id, {_norm('raw_column_name')} as n from file_headers) h left join {_ALIAS} on a.norm = h.n group by 1",
         "unmapped_names": f"select {_norm('raw_column_name')} as norm from file_headers except select norm from {_ALIAS}",
         "header_order": "select drive_file_id, string_agg(raw_column_name, '|' order by raw_column_name || ',', col_no) as ordered from file_headers group by 1",
-        "sample_value": f"select drive_file_id, left(arg_min(v, source_row_number), 200) as sample from (select drive_file_id, source_row_number, {_null_like('remarks')} as v from participants where source_row_number <= 500) t where v is not null group by 1",
         "last_non_null": f"select id, coalesce({_null_like('trainer_phone')}, {_null_like('cdc_phone')}, {_null_like('phone_number')}) as phone from participants",
         "extra_bag": f"select id, e.key as name, e.value as value from (select id, unnest(map_entries({_BAG})) as e from participants) t",
         "backfill_update": f"with b as (select id, {_BAG} as bag from participants) select id, " + ", ".join(f"case when {has} then {_squeeze(f'bag[{chr(39)}{k}{chr(39)}]')} end as {k.lower().replace(' ', '_')}" for k in BACKFILL) + f", (cardinality(bag) - len(list_filter(map_keys(bag), lambda k: k in ({keys}))))::int as left_over from b",
@@ -139,8 +179,16 @@ def oracle_sql() -> dict[str, str]:
         "conditional_counts": f"select count(*) as n, count(*) filter (where len(list_filter(map_keys({_BAG}), lambda k: k in ({keys}))) > 0) as to_backfill, count(email) as emails from participants",
         "file_running_totals": "with w as (select drive_file_id, ((source_row_number - 1) // 10)::bigint as seq, count(*) as n from participants group by 1, 2) select drive_file_id, seq, sum(n) over (partition by drive_file_id order by seq)::bigint as rows_extracted from w",
         "file_log_summary": "select drive_file_id as file, sum(rows_extracted)::bigint as rows_extracted, sum(coalesce(rows_loaded, 0))::bigint as rows_loaded, case when bool_or(status = 'failed') then 'failed' else 'loaded' end as status, arg_min(error_message, id) filter (where status = 'failed' and error_message is not null) as error_message from ingestion_log where drive_file_id is not null group by 1",
-        "failure_reasons": "select status, string_agg(distinct error_message, ' | ' order by error_message) as reasons, (select count(*) from ingestion_log where status = 'failed') as n from ingestion_log where status = 'failed' group by 1",
-        "version_bump": "select 1 + count(*) filter (where rows_loaded > 0) as source_version from ingestion_log",
         "exists_union_probe": "select 'participants' as probe, exists (select 1 from participants where partner is null) as present union all select 'ingestion_log', exists (select 1 from ingestion_log where status = 'failed') union all select 'drive_file_state', exists (select 1 from drive_file_state where last_status = 'header_not_detected')",
-        "e2e_ingest": f"with c as (select drive_file_id, source_row_number, {picked} from {_VALID} t), f as (select *, row_number() over (partition by full_name, phone_number, national_id order by drive_file_id, source_row_number) as rn from c) select county, count(*) as n, count(phone_number) as phones, sum(try_cast(age as int))::bigint as ages from f where rn = 1 group by 1",
+        "failure_reasons": "select coalesce(error_message, '') as reason, count(*) as n from ingestion_log where status = 'failed' group by 1",
+        "degraded_sources": "select s.source_system, 'source_unreachable' as status, arg_min(l.error_message, l.id) as error_message from ingestion_log l join drive_file_state s using (drive_file_id) where l.status = 'failed' and l.error_message is not null and s.source_system is not null group by 1",
+        "version_bump": "select 1 + count(*) filter (where rows_loaded > 0) as source_version, count(*) filter (where rows_loaded > 0) > 0 as dirty from ingestion_log",
+        "ragged_count": _ragged_sql(),
+        "e2e_ingest": f"select drive_file_id, source_row_number, {', '.join(f'{_clean_sql(c)} as {c}' for c in SHOWN)}, cardinality({_BAG})::int as unmapped, true as hashed from {_INSERTED}",
+        "load_log": f"with e as (select drive_file_id, count(*)::int as n from {_VALID} t group by 1), l as (select drive_file_id, count(*)::int as n from {_INSERTED} t group by 1) select e.drive_file_id, 'loaded' as status, e.n as rows_extracted, coalesce(l.n, 0) as rows_loaded from e left join l using (drive_file_id)",
+        "load_state": f"select drive_file_id, coalesce(source_system, '') as source_system, 'loaded' as last_status from drive_file_state where drive_file_id in (select drive_file_id from {_VALID} t)",
+        "load_unmapped": f"with b as (select drive_file_id, source_row_number, unnest(map_entries({_BAG})) as e from {_VALID} t where source_row_number <= 500) select drive_file_id, e.key as raw_column_name, left(arg_min(e.value, source_row_number), 200) as sample_value, false as resolved from b group by 1, 2",
+        "csv_strict": "select doc_id, coalesce(text, '') as text, coalesce(lang, '') as lang from documents",
+        "csv_row_numbers": "select count(*) + 1 as records, count(*) + 1 as numbers, 1 as first, count(*) + 1 as last from orders",
+        "workbook_rows": "select n_nationkey::int as key, n_name as nation, 'Key|Nation' as header, 2 as entries from nation",
     }

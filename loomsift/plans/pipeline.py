@@ -13,10 +13,10 @@ from loomsift.canonical import CANONICAL
 from loomsift.functions.clean import cleaned
 from loomsift.functions.rowhash import row_hash, text_hash, typed_hash_input
 from loomsift.operators.mapping import keys_in_order, mapped_cells, plan_of, unmapped_columns
-from loomsift.operators.sinks import Store, append_ingestion_log, append_unmapped_log, bumped, create_all, insert_participants, quorum, upsert_file_state
+from loomsift.operators.sinks import Store, append_ingestion_log, append_unmapped_log, bumped, create_all, failure_text, insert_participants, quorum, upsert_file_state
 from loomsift.session import checkpointed
 from loomsift.sources.csvwin import SPLIT_BYTES, decoded, read_strict
-from loomsift.sources.listing import descriptors, is_loadable
+from loomsift.sources.listing import TAGGERS, descriptors, is_loadable
 from loomsift.sources.xlsx import read_xlsx
 
 NOT_DETECTED = "No column matched a known field: the header may be blank or merged. Nothing was loaded; the file needs a look."
@@ -95,20 +95,21 @@ def file_results(rows: DataFrame, files: DataFrame, run_id: str, started: dateti
 def run(store: Store, listings: Mapping[str, DataFrame | Exception], max_rows: int = 0, input_tz: str = "UTC", split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """A whole run; gives the results of its files.
 
-    ``listings`` has each source's files, already tagged (``id`` is a path unless there is a
-    ``path``), or the error with which listing failed. One failed source is logged and the run
+    ``listings`` has each source's files, tagged or as the source lists them (``id`` is a path unless
+    there is a ``path``), or the error with which listing failed. One failed source is logged and the run
     goes on; if all failed, so does the run. All files are read in parallel and inserted in one
     job; of equal rows the first, by file and row number, is kept.
     """
     spark = store.spark
     run_id, started = str(uuid.uuid4()), datetime.now(UTC)
     create_all(store)
-    failed = [(name, str(e)) for name, e in listings.items() if isinstance(e, Exception)]
+    failed = [(name, failure_text(e)) for name, e in listings.items() if isinstance(e, Exception)]
     if failed:
         degraded = quorum(spark.createDataFrame(failed, "source_system string, reason string"), len(listings))
         logged = degraded.select(F.lit(run_id).alias("run_id"), F.lit(None).cast("string").alias("drive_file_id"), F.concat(F.lit("("), "source_system", F.lit(")")).alias("file_name"), "status", *(F.lit(0).alias(c) for c in ("rows_extracted", "rows_loaded", "unmapped_column_count")), "error_message", F.lit(started).alias("started_at"))
         append_ingestion_log(store, logged)
-    good = [df for df in listings.values() if isinstance(df, DataFrame)]
+    # each source's own function tags what isn't tagged yet; source names are told apart without regard to case
+    good = [df if "source_system" in df.columns else TAGGERS[name.lower()](df) for name, df in listings.items() if isinstance(df, DataFrame)]
     files = None
     for df in good:
         d = descriptors(df.where(is_loadable(F.col("name"))))

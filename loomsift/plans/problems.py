@@ -76,4 +76,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from loomsift.plans.oracle import loaded_sql
+
+    return {"p4_loaded": loaded_sql()}

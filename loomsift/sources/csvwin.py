@@ -12,7 +12,10 @@ small tables in order gives the truth for each split, and with it dense row numb
 
 from __future__ import annotations
 
+import http.client
 import re
+import time
+import urllib.request
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -110,15 +113,39 @@ def scan(text: str, state: int, n: int) -> tuple[int, int, int]:
 
 
 def read_range(path: str, offset: int, length: int) -> bytes:
-    """Bytes of a file on any file system that pyarrow knows; a bare path is local."""
-    fs, name = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
-    with fs.open_input_file(name) as f:
-        data = f.read_at(length, offset)
-    if len(data) > length:  # a source that ignores the range can't be read in splits
+    """Bytes of a file on any file system that pyarrow knows, or of a web address; a bare path is local.
+
+    A source that ignores the range can't be read in splits and is an error.
+    """
+    if path.startswith(("http://", "https://")):
+        data = _fetched(path, offset, length)
+    else:
+        fs, name = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+        with fs.open_input_file(name) as f:
+            data = f.read_at(length, offset)
+    if len(data) > length:
         raise OSError(f"asked for {length} bytes at {offset} of {path} but got {len(data)}")
     return data
 
 
+#: Seconds until a request is given up, how often it is tried, and seconds between tries.
+REQUEST_SECONDS, REQUEST_TRIES, REQUEST_PAUSE = 300, 3, 3
+
+
+def _fetched(address: str, offset: int, length: int) -> bytes:
+    """A range of a web address; a request that fails is tried again after a pause."""
+    request = urllib.request.Request(address, headers={"Range": f"bytes={offset}-{offset + length - 1}"})
+    for left in range(REQUEST_TRIES - 1, -1, -1):
+        try:
+            with urllib.request.urlopen(request, timeout=REQUEST_SECONDS) as answer:
+                return answer.read(length + 1)
+        except (OSError, http.client.HTTPException) as e:
+            if not left:
+                raise OSError(f"{address}: {e}") from e
+            time.sleep(REQUEST_PAUSE)
+    return b""
+
+
 def ranges(size: int, length: int) -> list[tuple[int, int]]:
     """(first byte, bytes) of the windows of a file."""
     return [(at, min(length, size - at)) for at in range(0, size, length)]

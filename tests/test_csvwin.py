@@ -96,3 +96,46 @@ def test_decoding(spark):
 
 def test_ranges():
     assert ranges(10, 4) == [(0, 4), (4, 4), (8, 2)]
+
+
+def test_ranges_over_http(monkeypatch):
+    import http.server
+    import threading
+
+    from loomsift.sources import csvwin
+
+    data, asked = bytes(range(200)), []
+
+    class Source(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):  # noqa: N802
+            asked.append(self.headers["Range"])
+            if len(asked) == 1:
+                self.send_error(503)
+                return
+            a, b = map(int, self.headers["Range"][6:].split("-"))
+            body = data if self.path == "/whole" else data[a : b + 1]
+            self.send_response(206)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Source)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    monkeypatch.setattr(csvwin, "REQUEST_PAUSE", 0)
+    address = f"http://127.0.0.1:{server.server_port}"
+    assert csvwin.read_range(f"{address}/x", 10, 5) == data[10:15] and asked == ["bytes=10-14"] * 2
+    with pytest.raises(OSError, match="asked for 5 bytes"):
+        csvwin.read_range(f"{address}/whole", 10, 5)
+    server.shutdown()
+
+
+def test_rows_have_their_files_head(spark, tmp_path):
+    from loomsift.sources.csvwin import read_strict
+
+    path = tmp_path / "a.csv"
+    path.write_bytes(b"\xef\xbb\xbfName,\"A\nge\"\n" + b"".join(b'"x%d\ny",%d\n' % (i, i) for i in range(300)))
+    rows = read_strict(spark, [(str(path), path.stat().st_size)], 500, heads=True).collect()
+    assert len(rows) == 301 and {tuple(r["head"]) for r in rows} == {("Name", "A\nge")} and sorted(r.row_no for r in rows) == list(range(1, 302))

@@ -133,3 +133,35 @@ def test_settings_as_text():
     from loomsift.sources.listing import switched_on
 
     assert [switched_on(v) for v in ("1", " TRUE ", "yes", "0", "", None)] == [True, True, True, False, False, False]
+
+
+def test_running_totals_of_a_hot_group(spark):
+    rows = [("hot" if i % 3 == 0 else None if i % 7 == 0 else f"k{i % 5}", (i * 37) % 101, i % 4) for i in range(120)]
+    df = spark.createDataFrame(rows, "g string, o int, v int").withColumn("_p", F.lit("kept")).drop("_p")
+    got = sorted((r.g or "", r.o, r.v, r.t) for r in dedup.running_total(df, ["g"], ["o", "v"], F.col("v"), "t").collect())
+    expected = []
+    for g in {r[0] for r in rows}:
+        total = 0
+        for _, o, v in sorted((r for r in rows if r[0] == g), key=lambda r: r[1:]):
+            expected.append((g or "", o, v, total))
+            total += v
+    assert got == sorted(expected)
+    numbered = dedup.sequence(df.select("g", "o", "v"), "g", "o", "v")
+    assert sorted(r.seq for r in numbered.where("g = 'hot'").collect()) == list(range(1, 41))
+    batched = dedup.batches(df.select("o", "v"), None, "o", "v", size=50).groupBy("batch").count().collect()
+    assert {r.batch: r["count"] for r in batched} == {0: 50, 1: 50, 2: 20}
+    assert dedup.running_total(df.limit(0), ["g"], ["o"], F.col("v"), "t").count() == 0
+
+
+def test_failures(spark):
+    log = spark.createDataFrame([("failed", "x"), ("failed", "x"), ("failed", None), ("loaded", "x")], "status string, error_message string")
+    assert {r.reason: r.n for r in sinks.failure_reasons(log).collect()} == {"x": 2, "": 1}
+    assert [sinks.failure_text(f) for f in ({"error": {"message": "a"}}, {"error": "b"}, {"message": "c"}, {"code": 5}, ValueError("d"), ValueError())] == ["a", "b", "c", '{"code": 5}', "d", "ValueError"]
+    with pytest.raises(RuntimeError, match="all 1 sources failed: s: why"):
+        sinks.quorum(spark.createDataFrame([("s", "why")], "source_system string, reason string"), 1)
+
+
+def test_probes_and_recordsets(spark):
+    df = spark.createDataFrame([(1, '[{"id":1,"x":"a"},{"id":2}]')], "n int, p string")
+    assert [tuple(r) for r in sinks.recordset(df, "p", "id:int,x:string,y:string").collect()] == [(1, "a", None), (2, None, None)]
+    assert {r.probe: r.present for r in sinks.probed({"a": (df, F.expr("n = 1")), "b": (df, F.expr("n > 1"))}).collect()} == {"a": True, "b": False}

@@ -7,7 +7,7 @@ from zoneinfo import ZoneInfo
 import pytest
 from pyspark.sql import functions as F
 
-from loomsift.operators.drift import cell_type_of, consistent_table, enforce, header_changes, is_slip, replay, schema_changes
+from loomsift.operators.drift import Approved, cell_type_of, consistent_table, enforce, is_slip, known_names, promote, replay, schema_changes
 from loomsift.operators.instants import instant, local_to_utc, utc_instants, zone_changes
 from loomsift.operators.rejects import cells, header_of, loaded_records, parse_records, split_records
 
@@ -26,21 +26,40 @@ def test_schema_changes(spark):
         ("g", 5, 1, "only one version", "string", "x"), (None, 1, 1, "x", "string", "x"),
     ]
     df = headers(spark, rows)
-    got = sorted(tuple(r) for r in schema_changes(df.unionAll(df.where("feed_version = 2"))).collect())
+    further = {"ward": ("wadi",)}
+    got = sorted(tuple(r) for r in schema_changes(df.unionAll(df.where("feed_version = 2")), further).collect())
     expected = [("added", "Attendance Day 2"), ("added", "Next Of Kin"), ("removed", "Attendance Day 1"), ("removed", "Trainer Contact"), ("renamed", "Referrd By"), ("renamed", "Wadi"), ("type_changed", "age")]
     assert got == sorted(("f", 2, *e) for e in expected)
     assert schema_changes(df.limit(0)).count() == 0
     extra = df.withColumn("feed", F.lit("clash")).withColumn("version", F.lit(9)).withColumn("columns", F.lit("x"))
-    assert sorted(tuple(r) for r in schema_changes(extra).collect()) == got
+    assert sorted(tuple(r) for r in schema_changes(extra, further).collect()) == got
 
 
-def test_names_that_occur_twice():
-    column = lambda name, kind="string": {"name": name, "raw": name, "type": kind, "field": None}
-    assert header_changes([column("a"), column("a", "date")], [column("a"), column("a", "date")]) == []
-    assert header_changes([column("a")], [column("a"), column("a")]) == [("added", "a")]
+def test_names_that_occur_twice(spark):
+    twice = [("f", 1, 1, "a", "string", "x"), ("f", 1, 2, "a", "date", "2024-01-01"), ("f", 2, 1, "a", "string", "x"), ("f", 2, 2, "A", "date", "2024-01-01"), ("g", 1, 1, "a", None, None), ("g", 2, 1, "a", None, None), ("g", 2, 2, "a", None, None)]
+    assert [tuple(r) for r in schema_changes(headers(spark, twice)).collect()] == [("g", 2, "added", "a")]
     assert is_slip("shift", "shfit") and not is_slip("day1", "day2") and not is_slip("", "a")
 
 
+def test_approved_names():
+    approved = Approved(known_names({"gender": ("jinsia",)}))
+    assert [approved.field(n) for n in ("jinsia", "jinsa", "gendr", "phonenumbr", "shirt", "ag")] == ["gender", "gender", "gender", "phone_number", None, None]
+    assert approved.promoted(["sex", "shift"], ["shfit", "jinsia"]) == [(1, 0), (0, 1)]
+    assert approved.promoted([], ["x"]) == approved.promoted(["x"], []) == []
+
+
+def test_rescued_values_are_promoted(spark):
+    rows = spark.createDataFrame([(1, None, "x", '{"Umri":"7","Umri 2":"8","Shirt":"L"}'), (2, 5, None, '{"Umri":"9"}'), (3, None, None, '{"Umri":"many"}'), (4, None, None, None)], "id int, age int, ward string, rescued_json string")
+    got = [tuple(r) for r in promote(rows, {"umri": "age", "umri2": "age"}, {"age": "int", "ward": "string"}).orderBy("id").collect()]
+    assert got == [(1, 7, "x", '{"Umri 2":"8","Shirt":"L"}'), (2, 5, None, '{"Umri":"9"}'), (3, None, None, '{"Umri":"many"}'), (4, None, None, "{}")]
+
+
+def test_cells_with_private_characters(spark):
+    header, lf, cr = "Full Name,Ward", chr(0xE000), chr(0xE00D)
+    rows = parse_records(header, [f'"a{lf}b","x\ny"', f"q{cr},\ue00ax", '"1\r\n2",z'])
+    assert [r[2] for r in rows] == [[f"a{lf}b", "x\ny"], [f"q{cr}", "\ue00ax"], ["1\r\n2", "z"]]
+
+
 def test_cell_types(spark):
     values = [("Number", "x"), (None, "1.5"), (None, "TRUE"), (None, "2024-01-01"), (None, "1 Jan"), (None, " null "), (None, None)]
     df = spark.createDataFrame(values, "t string, s string").select(cell_type_of(F.col("t"), F.col("s")).alias("k"))
