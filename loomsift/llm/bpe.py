@@ -12,7 +12,7 @@ import heapq
 import json
 from pathlib import Path
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,9 +99,9 @@ def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 def _long_words(ranks: dict[str, int]):
     by_bytes = {k.encode("latin-1"): v for k, v in ranks.items()}
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode(s: pd.Series) -> pd.Series:
-        return s.map(lambda w: heap_merge(w.encode("utf-8"), by_bytes))
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encode(words: pa.Array) -> pa.Array:
+        return pa.array([heap_merge(w.encode("utf-8"), by_bytes) for w in words.to_pylist()], pa.list_(pa.int32()))
 
     return encode
 

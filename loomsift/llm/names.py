@@ -376,24 +376,30 @@ def unambiguous(edges: DataFrame) -> DataFrame:
     return checkpointed(groups.join(_contradicting(own.join(groups, "node"), "component"), "component", "left_anti").select("node", "component"))
 
 
-def digits_key(c: Column, least: int = 6) -> Column:
+def only_digits(c: Column) -> Column:
+    return F.regexp_replace(c, "[^0-9]+", "")
+
+
+def digits_key(digits: Column, least: int = 6) -> Column:
     """An identity number's digits, or null if there are fewer than ``least``."""
-    digits = F.regexp_replace(c, "[^0-9]+", "")
     return F.when(F.length(digits).between(least, 18), digits)
 
 
-def phone9(c: Column) -> Column:
-    """The last nine digits of a telephone number, or null if it lost some (powers of ten, fewer digits)."""
-    digits = F.regexp_replace(F.when(~F.contains(c, F.lit("E+")) & ~F.contains(c, F.lit("e+")), c), "[^0-9]+", "")
-    return F.when(F.length(digits) >= 9, F.right(digits, F.lit(9)))
+def lost_digits(c: Column) -> Column:
+    """Whether a telephone number lost digits to a power of ten."""
+    return F.contains(c, F.lit("E+")) | F.contains(c, F.lit("e+"))
+
+
+def phone9(digits: Column, lost: Column) -> Column:
+    """The last nine of a telephone number's digits, or null if it lost some."""
+    return F.when(~lost & (F.length(digits) >= 9), F.right(digits, F.lit(9)))
 
 
-def mail_key(mail: Column, user: Column) -> Column:
-    """The part of an address before the @, or else the user name, without separators; null below six characters."""
+def bare_mail(mail: Column, user: Column) -> Column:
+    """The part of an address before the @, or else the user name, without separators; below six characters it tells nothing."""
     from_mail = F.when(F.contains(mail, F.lit("@")), F.substring_index(mail, "@", 1))
     other = F.when(~F.lower(F.btrim(user, F.lit(WS_CHARS))).isin("", "null"), user)
-    bare_mail = F.regexp_replace(F.lower(F.coalesce(from_mail, other)), "[^a-z0-9]+", "")
-    return F.when(F.length(bare_mail) >= 6, bare_mail)
+    return F.regexp_replace(F.lower(F.coalesce(from_mail, other)), "[^a-z0-9]+", "")
 
 
 def whole_years(c: Column) -> Column:
@@ -828,10 +834,10 @@ def person_rows(df: DataFrame, id_col: str = "id", name_col: str = "full_name",
     c = lambda n: F.col(f"`{n}`").cast("string")
     # each step is a projection of its own: what a later one uses twice is worked out once
     raw = df.where(F.col(f"`{id_col}`").isNotNull()).select(
-        F.col(f"`{id_col}`").cast("bigint").alias("id"), c(name_col).alias("name"), digits_key(c(nid_col)).cast("bigint").alias("nid"), mail_key(c(mail_col), c(user_col)).alias("mail"), phone9(c(phone_col)).cast("bigint").alias("phone"),
+        F.col(f"`{id_col}`").cast("bigint").alias("id"), c(name_col).alias("name"), only_digits(c(nid_col)).alias("nid"), bare_mail(c(mail_col), c(user_col)).alias("mail"), only_digits(c(phone_col)).alias("digits"), lost_digits(c(phone_col)).alias("lost"),
         whole_years(c(age_col)).alias("age"), c(village_col).alias("village"), c(ward_col).alias("ward"), c(sub_col).alias("sub"),
     )
-    raw = raw.withColumn("mail", F.when(F.col("mail").isNotNull(), F.xxhash64("mail")))
+    raw = raw.select("id", "name", digits_key(F.col("nid")).cast("bigint").alias("nid"), F.when(F.length("mail") >= 6, F.xxhash64("mail")).alias("mail"), phone9(F.col("digits"), F.col("lost")).cast("bigint").alias("phone"), "age", "village", "ward", "sub")
     texts = [F.coalesce(c, F.lit("")) for c in ("village", "ward", "sub")]
     return checkpointed(_parsed(raw).withColumn("look", F.xxhash64("bare", F.coalesce("age", F.lit(-1)), *texts)))
 
@@ -899,7 +905,7 @@ class Spellings:
         each_of = [F.struct(F.lit(i).alias("field"), F.col(f"`{c}`").cast("string").alias("v"), (F.col(f"`{people[c]}`").cast("string") if c in people else F.lit(None).cast("string")).alias("p")) for i, c in enumerate(columns)]
         typed = df.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.explode(F.array(*each_of)).alias("t")).select("id", "t.*")
         typed = typed.where("v IS NOT NULL").groupBy("field", "v", "p").agg(F.min("id").alias("id")).where(~blank_like(F.col("v")))
-        rows = typed.select("field", "id", F.trim("v").alias("name"), bare(F.col("v")).alias("bare"), phone9(F.col("p")).alias("phone"))
+        rows = typed.select("field", "id", F.trim("v").alias("name"), bare(F.col("v")).alias("bare"), phone9(only_digits(F.col("p")), lost_digits(F.col("p"))).alias("phone"))
         self.rows = checkpointed(rows.where("bare <> ''").groupBy("field", "bare", "phone").agg(F.min("id").alias("id"), F.min("name").alias("name")))
         each = self.rows.groupBy("field", "bare").agg(F.min("id").alias("id"), F.min("name").alias("name"), F.min("phone").alias("lo"), F.max("phone").alias("hi"))
         self.each = checkpointed(each.withColumn("node", F.col("id") * len(columns) + F.col("field")))

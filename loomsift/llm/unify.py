@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 import unicodedata
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -70,14 +69,14 @@ def one_forms(texts: pa.Array, fold: bool = True) -> pa.Array:
     return pc.replace_with_mask(easy, pc.invert(plain), pa.array(hard, easy.type)).take(coded.indices)
 
 
-@F.pandas_udf(T.StringType())
-def _folded(s: pd.Series) -> pd.Series:
-    return one_forms(pa.array(s, pa.string(), from_pandas=True)).to_pandas()
+@F.arrow_udf(T.StringType())
+def _folded(texts: pa.Array) -> pa.Array:
+    return one_forms(texts)
 
 
-@F.pandas_udf(T.StringType())
-def _cased(s: pd.Series) -> pd.Series:
-    return one_forms(pa.array(s, pa.string(), from_pandas=True), False).to_pandas()
+@F.arrow_udf(T.StringType())
+def _cased(texts: pa.Array) -> pa.Array:
+    return one_forms(texts, False)
 
 
 def consistent(c: Column, fold: bool = True) -> Column:
