@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,9 +50,9 @@ def hash_texts(texts: Sequence[str | None]) -> list[str | None]:
     return out
 
 
-@F.pandas_udf(T.StringType())
-def _hashed(s: pd.Series) -> pd.Series:
-    return pd.Series(hash_texts(s.where(s.notna(), None).tolist()), dtype=object)
+@F.arrow_udf(T.StringType())
+def _hashed(texts: pa.Array) -> pa.Array:
+    return pa.array(hash_texts(texts.to_pylist()), pa.string())
 
 
 def text_hash(c: Column) -> Column:

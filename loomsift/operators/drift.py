@@ -104,14 +104,15 @@ class Approved:
         self.fields: dict[str, str | None] = {}
 
     def field(self, name: str) -> str | None:
-        """The field of a bare name or of the one known name that it is a slip of."""
+        """The field of a bare name or of the known name that it is the smallest slip of, if that is one field."""
         if name not in self.fields:
             if len(self.fields) > 100_000:
                 self.fields.clear()
             found = self.names.get(name)
             if found is None and len(name) > 3:
-                near = {f for n, f in self.names.items() if len(n) > 3 and is_slip(name, n)}
-                found = near.pop() if len(near) == 1 else None
+                near = [(edits(name, n, 2), f) for n, f in self.names.items() if len(n) > 3 and is_slip(name, n)]
+                least = {f for d, f in near if d == min(near)[0]}
+                found = least.pop() if len(least) == 1 else None
             self.fields[name] = found
         return self.fields[name]
 
