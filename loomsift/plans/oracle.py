@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from loomsift.canonical import CANONICAL, LOOKUP, PERCENT, PHONE, TITLE, YES_NO, header_key
-from loomsift.plans.queries import BACKFILL, PIVOT, SHOWN
+from loomsift.plans.queries import BACKFILL, PARSED, PIVOT, SHOWN
 
 _WS = r"[\t\n\x0B\f\r \x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]+"
 
@@ -99,28 +99,48 @@ def _clean_sql(field: str) -> str:
     return f"case when {_null_like(field)} is null then null else {shown} end"
 
 
-#: Rows that a load inserts: of equal ones of one file name the first.
-_INSERTED = f"(select * from (select t.*, row_number() over (partition by coalesce(s.source_system, ''), coalesce(s.file_name, ''), {', '.join(f't.{c}' for c in CANONICAL)}, t.extra_json order by coalesce(s.file_name, ''), t.drive_file_id, t.source_row_number) as rn from {_VALID} t join drive_file_state s using (drive_file_id)) where rn = 1)"
+_DELIMITERS = (",", ";", chr(9), "|")
 
 
-def loaded_sql() -> str:
-    """The rows of participants that the valid records make, blank-like cells null."""
-    return "select drive_file_id, source_row_number, " + ", ".join(f"{_null_like(c)} as {c}" for c in CANONICAL) + f" from {_VALID} t"
+def _bare(t: str, d: str) -> str:
+    """A record without its quoted cells: a quote counts only as the first character of a cell."""
+    return f"""regexp_replace({t}, '(^|[{d}])"(?:[^"]|"")*"[^{d}]*', '\\1', 'g')"""
 
 
-def _ragged_sql() -> str:
-    """Cells counted by taking quoted cells out: a quote counts only as the first character of a cell."""
-    delimiters = (",", ";", chr(9), "|")
-    bare = lambda t, d: f"""regexp_replace({t}, '(^|[{d}])"(?:[^"]|"")*"[^{d}]*', '\\1', 'g')"""
-    open_ = lambda t, d: f"""regexp_matches({bare(t, d)}, '(^|[{d}])"')"""
-    count = lambda t, d: f"(length({bare(t, d)}) - length(replace({bare(t, d)}, '{d}', '')) + 1)"
-    seen = ", ".join(f"case when {open_('t', d)} then 0 else {count('t', d)} end as n{i}" for i, d in enumerate(delimiters))
+def _open(t: str, d: str) -> str:
+    return f"""regexp_matches({_bare(t, d)}, '(^|[{d}])"')"""
+
+
+def _count(t: str, d: str) -> str:
+    return f"(length({_bare(t, d)}) - length(replace({_bare(t, d)}, '{d}', '')) + 1)"
+
+
+def _heads() -> str:
+    """``drive_file_id``, ``t``, cells ``n`` and delimiter ``k`` of each header record."""
+    seen = ", ".join(f"case when {_open('t', d)} then 0 else {_count('t', d)} end as n{i}" for i, d in enumerate(_DELIMITERS))
     which = "case " + " ".join(f"when n{i} = greatest(n0, n1, n2, n3) then {i}" for i in range(4)) + " end as k"
-    by = lambda f: "case k " + " ".join(f"when {i} then {f('r.t', d)}" for i, d in enumerate(delimiters)) + " end"
-    return f"""with h as (select drive_file_id, case when left(min(raw_text), 1) = chr(65279) then substr(min(raw_text), 2) else min(raw_text) end as t from raw_records where source_row_number = 0 group by 1),
-c as (select drive_file_id, {seen} from h), w as (select drive_file_id, greatest(n0, n1, n2, n3) as n, {which} from c),
-r as (select drive_file_id, coalesce(raw_text, '') as t from raw_records where source_row_number <> 0)
-select r.drive_file_id, count(*) filter (where w.n is null or (not {by(open_)} and {by(count)} <> w.n)) as ragged, count(*) as records from r left join w using (drive_file_id) group by 1"""
+    texts = "select drive_file_id, case when left(min(raw_text), 1) = chr(65279) then substr(min(raw_text), 2) else min(raw_text) end as t from raw_records where source_row_number = 0 group by 1"
+    return f"(select drive_file_id, t, greatest(n0, n1, n2, n3) as n, {which} from (select drive_file_id, t, {seen} from ({texts}) h) c)"
+
+
+def _seen() -> str:
+    """Rows of participants that the valid records make, with the fields that their file's header names."""
+    cells = "string_split(t, case k " + " ".join(f"when {i} then '{d}'" for i, d in enumerate(_DELIMITERS)) + " end)"
+    fields = f"select drive_file_id, list(field) as fields from (select drive_file_id, unnest({cells}) as cell from {_heads()} w) u join {_ALIAS} on a.norm = {_norm('cell')} group by 1"
+    shown = ", ".join(f"case when list_contains(fields, '{c}') then t.{c} end as {c}" for c in CANONICAL)
+    return f"(select t.drive_file_id, t.source_row_number, {shown} from {_VALID} t join ({fields}) f using (drive_file_id))"
+
+
+def _inserted() -> str:
+    """Rows that a load inserts: of equal ones of one file name the first."""
+    numbered = f"row_number() over (partition by coalesce(s.source_system, ''), coalesce(s.file_name, ''), {', '.join(f't.{c}' for c in CANONICAL)} order by coalesce(s.file_name, ''), t.drive_file_id, t.source_row_number) as rn"
+    return f"(select * from (select t.*, {numbered} from {_seen()} t join drive_file_state s using (drive_file_id)) where rn = 1)"
+
+
+def _ragged_sql() -> str:
+    by = lambda f: "case k " + " ".join(f"when {i} then {f('r.t', d)}" for i, d in enumerate(_DELIMITERS)) + " end"
+    rows = "select drive_file_id, coalesce(raw_text, '') as t from raw_records where source_row_number <> 0"
+    return f"select r.drive_file_id, count(*) filter (where w.n is null or (not {by(_open)} and {by(_count)} <> w.n)) as ragged, count(*) as records from ({rows}) r left join {_heads()} w using (drive_file_id) group by 1"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -159,7 +179,7 @@ def oracle_sql() -> dict[str, str]:
         "extra_bag": f"select id, e.key as name, e.value as value from (select id, unnest(map_entries({_BAG})) as e from participants) t",
         "backfill_update": f"with b as (select id, {_BAG} as bag from participants) select id, " + ", ".join(f"case when {has} then {_squeeze(f'bag[{chr(39)}{k}{chr(39)}]')} end as {k.lower().replace(' ', '_')}" for k in BACKFILL) + f", (cardinality(bag) - len(list_filter(map_keys(bag), lambda k: k in ({keys}))))::int as left_over from b",
         "schema_migration": "select s_suppkey, s_name as supplier_name, s_nationkey::varchar as s_nationkey, null::varchar as source_system from supplier",
-        "csv_roundtrip": "select drive_file_id, source_row_number, " + ", ".join(trimmed(c) for c in ("full_name", "email", "phone_number", "national_id", "county", "village", "organization", "age", "quiz_average", "registration_date", "serial_no")) + f" from {_VALID} t",
+        "csv_roundtrip": "select drive_file_id, source_row_number, " + ", ".join(trimmed(c) for c in PARSED) + f" from {_seen()} t",
         "row_hashes": _hash_sql(),
         "hash_inputs": """select c_custkey, 's|f|[["a","' || c_mktsegment || '"],["b","' || c_name || '"]]' as text from customer""",
         "dedup_first": "select row_hash, id, drive_file_id, source_row_number from (select *, row_number() over (partition by row_hash order by drive_file_id, source_row_number) as rn from participants) t where rn = 1",
@@ -184,10 +204,10 @@ def oracle_sql() -> dict[str, str]:
         "degraded_sources": "select s.source_system, 'source_unreachable' as status, arg_min(l.error_message, l.id) as error_message from ingestion_log l join drive_file_state s using (drive_file_id) where l.status = 'failed' and l.error_message is not null and s.source_system is not null group by 1",
         "version_bump": "select 1 + count(*) filter (where rows_loaded > 0) as source_version, count(*) filter (where rows_loaded > 0) > 0 as dirty from ingestion_log",
         "ragged_count": _ragged_sql(),
-        "e2e_ingest": f"select drive_file_id, source_row_number, {', '.join(f'{_clean_sql(c)} as {c}' for c in SHOWN)}, cardinality({_BAG})::int as unmapped, true as hashed from {_INSERTED}",
-        "load_log": f"with e as (select drive_file_id, count(*)::int as n from {_VALID} t group by 1), l as (select drive_file_id, count(*)::int as n from {_INSERTED} t group by 1) select e.drive_file_id, 'loaded' as status, e.n as rows_extracted, coalesce(l.n, 0) as rows_loaded from e left join l using (drive_file_id)",
+        "e2e_ingest": f"select drive_file_id, source_row_number, {', '.join(f'{_clean_sql(c)} as {c}' for c in SHOWN)}, true as hashed from {_inserted()} t",
+        "load_log": f"with e as (select drive_file_id, count(*)::int as n from {_VALID} t group by 1), l as (select drive_file_id, count(*)::int as n from {_inserted()} t group by 1) select e.drive_file_id, 'loaded' as status, e.n as rows_extracted, coalesce(l.n, 0) as rows_loaded from e left join l using (drive_file_id)",
         "load_state": f"select drive_file_id, coalesce(source_system, '') as source_system, 'loaded' as last_status from drive_file_state where drive_file_id in (select drive_file_id from {_VALID} t)",
-        "load_unmapped": f"with b as (select drive_file_id, source_row_number, unnest(map_entries({_BAG})) as e from {_VALID} t where source_row_number <= 500) select drive_file_id, e.key as raw_column_name, left(arg_min(e.value, source_row_number), 200) as sample_value, false as resolved from b group by 1, 2",
+        "unmapped_samples": f"with b as (select drive_file_id as file, source_row_number, unnest(map_entries({_BAG})) as e from participants where source_row_number <= 500), v as (select file, source_row_number, e.key as key, {_null_like('e.value')} as v from b) select file, key as raw_column_name, {_norm('key')} as normalized_column_name, left(arg_min(v, source_row_number), 200) as sample_value from v where v is not null group by 1, 2, 3",
         "csv_strict": "select doc_id, coalesce(text, '') as text, coalesce(lang, '') as lang from documents",
         "csv_row_numbers": "select count(*) + 1 as records, count(*) + 1 as numbers, 1 as first, count(*) + 1 as last from orders",
         "workbook_rows": "select n_nationkey::int as key, n_name as nation, 'Key|Nation' as header, 2 as entries from nation",

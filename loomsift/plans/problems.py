@@ -76,6 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from loomsift.plans.oracle import loaded_sql
-
-    return {"p4_loaded": loaded_sql()}
+    return {}

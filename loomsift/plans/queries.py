@@ -22,6 +22,10 @@ from loomsift.sources.csvwin import decoded, read_strict
 from loomsift.sources.listing import first_file, first_parent, is_loadable, list_files, tag_drive_a, tag_drive_b, union_sources
 from loomsift.sources.xlsx import write_books
 
+#: Fields that the queries over parsed records show: the remarks of the CSV texts hold quotes that the delivered rows lack.
+PARSED = tuple(f for f in CANONICAL if f != "remarks")
+#: Fields whose cleaned form a load's query shows; the two dates are cleaned too, and have a query of their own.
+SHOWN = tuple(f for f in PARSED if f not in DATE)
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 #: Rows ingested before this moment count as loaded already.
@@ -251,7 +255,7 @@ def ragged_count(spark: SparkSession, root: str) -> DataFrame:
 @query
 def csv_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     rows = loaded_records(split_records(table(spark, root, "raw_records")))
-    return rows.select("drive_file_id", "source_row_number", *(squeeze(F.col(f)).alias(f) for f in ("full_name", "email", "phone_number", "national_id", "county", "village", "organization", "age", "quiz_average", "registration_date", "serial_no")))
+    return rows.select("drive_file_id", "source_row_number", *(squeeze(F.col(f)).alias(f) for f in PARSED))
 
 
 # hash, deduplication, sequences
@@ -440,15 +444,13 @@ def _load(spark: SparkSession, root: str) -> sinks.Store:
     return store
 
 
-#: Fields whose cleaned form the load's query shows; the two dates are cleaned too, and have a query of their own.
-SHOWN = tuple(f for f in CANONICAL if f not in DATE)
 
 
 @query
 def e2e_ingest(spark: SparkSession, root: str) -> DataFrame:
     """The rows that a whole load put into the participants table."""
     rows = _load(spark, root).read("participants")
-    return rows.select("drive_file_id", "source_row_number", *SHOWN, F.size("extra_json").alias("unmapped"), F.length("row_hash").between(2, 15).alias("hashed"))
+    return rows.select("drive_file_id", "source_row_number", *SHOWN, F.length("row_hash").between(2, 15).alias("hashed"))
 
 
 @query
@@ -464,10 +466,15 @@ def load_state(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query
-def load_unmapped(spark: SparkSession, root: str) -> DataFrame:
-    """The unmapped columns that a load logged, with the first sample of each that has one."""
-    log = _load(spark, root).read("unmapped_columns_log").where("sample_value IS NOT NULL")
-    return log.select("drive_file_id", "raw_column_name", "sample_value", "resolved")
+def unmapped_samples(spark: SparkSession, root: str) -> DataFrame:
+    """The unmapped columns of each file, made of the keys of its rows' bags, with the first sample of each that has one."""
+    bag = F.from_json("extra_json", "map<string,string>")
+    rows = _people(spark, root).select(F.col("drive_file_id").alias("file"), F.col("source_row_number").alias("row_no"), "full_name", bag.alias("bag")).where("file IS NOT NULL")
+    keys = mapping.keys_in_order(rows.select("file", "row_no", F.array_sort(F.map_keys("bag")).alias("keys"))).groupBy("file").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "key"))), lambda p: p["key"]).alias("keys"))
+    cells = F.concat(F.array("full_name"), F.transform("keys", lambda k: F.try_element_at("bag", k)))
+    records = rows.join(keys, "file").select("file", "row_no", F.concat(F.array(F.lit("Full Name")), F.col("keys")).alias("header"), cells.alias("cells"))
+    found = mapping.unmapped_columns(records).where("sample_value IS NOT NULL")
+    return found.select("file", "raw_column_name", "normalized_column_name", "sample_value")
 
 
 @query
@@ -475,7 +482,7 @@ def csv_strict(spark: SparkSession, root: str) -> DataFrame:
     """All documents written as CSV files with quotes, and read again by the strict reader in splits of one MB."""
     folder = _scratch(spark, "csv")
     docs = table(spark, root, "documents").select(F.col("doc_id").cast("string").alias("Doc Id"), F.coalesce("text", F.lit("")).alias("Text"), F.coalesce("lang", F.lit("")).alias("Lang"))
-    docs.write.options(header=True, quoteAll=True, escape='"', emptyValue="", nullValue="").csv(folder)
+    docs.write.options(header=True, quoteAll=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
     files = list_files(spark, [folder]).where(is_loadable(F.col("name"))).select(F.col("id").alias("path"), "size")
     rows = pipeline.csv_rows(spark, files, 1 << 20)
     cell = lambda name: F.get("cells", F.array_position("header", F.lit(name)).cast("int") - 1)
