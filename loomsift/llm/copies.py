@@ -16,8 +16,10 @@ from loomsift.functions.text import bare
 from loomsift.llm.sieve import sieved
 from loomsift.session import checkpointed
 
-#: Bits cut from each 64-bit hash, so that 256 of them can be added without overflow.
-SPARE_BITS = 8
+#: Bits cut from each 64-bit hash, so that 65,536 of them can be added without overflow.
+SPARE_BITS = 16
+#: Stands for a field's name in the hash of a bag's entry.
+BAG = "\x1d"
 
 SEPARATOR = "\x1f"
 
@@ -41,29 +43,30 @@ def _values(df: DataFrame, fields: Sequence[str]) -> Column:
     """
     raw = [F.coalesce(F.col(f"`{f}`").cast("string"), F.lit("")) for f in fields]
     joined = F.split(F.lower(F.regexp_replace(F.concat_ws(SEPARATOR, *raw), rf"[^\p{{L}}\p{{N}}{SEPARATOR}]+", "")), SEPARATOR, -1)
-    return F.when(~F.concat(*raw).contains(SEPARATOR), joined).otherwise(F.array(*[bare(c) for c in raw]))
+    return F.when(~F.concat(*raw).contains(SEPARATOR), joined).otherwise(F.transform(F.array(*raw), bare))
 
 
 def fingerprinted(df: DataFrame, fields: Sequence[str], id_col: str, bag: str | None = None, phones: Sequence[str] = ()) -> DataFrame:
     """``rid``, the normalised values, and the fingerprint ``fp_a``, ``fp_b`` of each record.
 
-    A fingerprint is the sum of the hashes of all (field name, value) pairs, taken with two
-    seeds. ``phones`` are compared as phone numbers; ``bag`` names a JSON object column whose
+    A fingerprint is the sum of the hashes of all (field name, value) pairs, and of the hashes of
+    those hashes. ``phones`` are compared as phone numbers; ``bag`` names a JSON object column whose
     entries count as a set of exact keys and values.
     """
     cols = {"rid": F.col(f"`{id_col}`"), "vals": _values(df, fields), "raw": F.col(f"`{bag}`").cast("string") if bag else F.lit(None).cast("string")}
     at = df.select(*(c.alias(n) for n, c in cols.items())).withColumn("bag", _entries(F.col("raw")))
-    part = [F.get("vals", F.lit(i)) for i in range(len(fields))]
-    part = [phone_key(c) if f in phones else c for f, c in zip(fields, part, strict=True)]
-    out = {}
-    for name, seed in (("fp_a", 11), ("fp_b", 1_000_003)):
-        total = F.lit(0).cast("bigint")
-        for f, c in zip(fields, part, strict=True):
-            total += F.shiftright(F.xxhash64(F.lit(seed), F.lit(f), c), SPARE_BITS)
-        if bag:
-            total += F.coalesce(F.aggregate(F.map_entries("bag"), F.lit(0).cast("bigint"), lambda s, e: s + F.shiftright(F.xxhash64(F.lit(seed + 1), e["key"], e["value"]), 2 * SPARE_BITS)), F.lit(0))
-        out[name] = total
-    return at.select("rid", F.array(*part).alias("vals"), "raw", *(c.alias(n) for n, c in out.items()))
+    # lambdas over arrays, not an expression for each field: with many fields that would be more code than can be compiled
+    places = [i for i, f in enumerate(fields) if f in phones]
+    if places:
+        at = at.withColumn("vals", F.transform("vals", lambda v, i: F.when(i.isin(*places), phone_key(v)).otherwise(v)))
+    names = F.array(*map(F.lit, fields))
+    pairs = F.transform("vals", lambda v, i: F.xxhash64(F.get(names, i), v))
+    if bag:
+        pairs = F.concat(pairs, F.transform(F.coalesce(F.map_entries("bag"), F.array().cast("array<struct<key:string,value:string>>")), lambda e: F.xxhash64(F.lit(BAG), e["key"], e["value"])))
+    hashed = at.withColumn("h", pairs)
+    cut = lambda h: F.shiftright(h, SPARE_BITS)
+    total = lambda of: F.aggregate("h", F.lit(0).cast("bigint"), lambda s, h: s + cut(of(h)))
+    return hashed.select("rid", "vals", "raw", "bag", total(lambda h: h).alias("fp_a"), total(lambda h: F.xxhash64(h)).alias("fp_b"))
 
 
 def collapse_copies(df: DataFrame, fields: Sequence[str], id_col: str = "id", bag: str | None = None, phones: Sequence[str] = ()) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from loomsift.functions.text import WS_CHARS, bare, blank_like
 from loomsift.llm.mojibake import ALPHABET, CLEAN, Sequences
-from loomsift.llm.sieve import passing, sent_bits, sieved
+from loomsift.llm.sieve import maybe_wanted, passing, sent_bits, sieved
 from loomsift.llm.spelling import edits, plain, sound
 from loomsift.llm.tries import bound, keyed
 from loomsift.operators.components import components
@@ -66,6 +66,9 @@ _JOINED = re.compile("(?<=[a-z]{3})(?=[A-Z][a-z])")
 _SIMPLE = re.compile("[A-Za-z0-9 ,_-]*")
 _ASCII = re.compile("[a-z0-9]+")
 _BARE = re.compile(r"[\W_]+")
+_JOINED_NAME = "[a-z]{3}[A-Z][a-z]"
+#: Letters, accented Latin ones included, whose lower case is one letter, and separators.
+_PLAIN_NAME = "^[A-Za-z0-9 ,_\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e-]*$"
 _LOST = re.compile("\ufffd+")
 _COOP = re.compile("(?i)\\bco-op\\b")
 #: A letter that was lost stays in its word and fits any letter.
@@ -567,6 +570,53 @@ _NONE = "array<bigint>"
 SENT = 300_000
 
 
+def parsed_names(names: pa.Array, parser: Parser) -> list[pa.Array]:
+    """Hashes of the ``bare`` texts, ``words``, ``heard`` words and ``initial`` of names.
+
+    Names of plain letters are split by vector operations, and each of their distinct words is heard
+    once; the others are taken one by one.
+    """
+    plain_ones = pc.and_(pc.match_substring_regex(names, _PLAIN_NAME), pc.invert(pc.match_substring_regex(names, _JOINED_NAME)))
+    easy = pc.fill_null(plain_ones, False).to_numpy(zero_copy_only=False)
+    rest = names.filter(pa.array(~easy)).to_pylist()
+    bares = [_BARE.sub("", n).lower() if n else "" for n in rest]
+    words = [parser.person(n) if b not in ("", "null") else () for n, b in zip(rest, bares, strict=True)]
+    slow = [pa.array(map(_hashed_bare, bares), pa.int64()), pa.array(words, pa.list_(pa.string())), pa.array(map(parser.heard, words), pa.list_(pa.string())), pa.array([any(len(w) == 1 for w in ws) for ws in words], pa.bool_())]
+    back = np.empty(len(easy), np.int64)
+    back[np.concatenate([np.nonzero(easy)[0], np.nonzero(~easy)[0]])] = np.arange(len(easy))
+    return [pa.concat_arrays([a, b]).take(pa.array(back)) for a, b in zip(_plain_names(names.filter(pa.array(easy)), parser), slow, strict=True)]
+
+
+def _hashed_bare(text: str) -> int | None:
+    return xxhash.xxh64_intdigest(text) - (1 << 63) if text not in ("", "null") else None
+
+
+def _plain_names(names: pa.Array, parser: Parser) -> list[pa.Array]:
+    """The same for names of plain letters, digits and separators."""
+    number, others = len(names), r"[^\p{L}\p{N}]+"
+    hashes = pa.array(map(_hashed_bare, pc.replace_substring_regex(pc.utf8_lower(names), others, "").to_pylist()), pa.int64())
+    flat = pc.replace_substring_regex(pc.utf8_normalize(names, "NFKD"), "[\u0300-\u036f]+", "")
+    split = pc.split_pattern_regex(pc.utf8_lower(flat), others)
+    row = np.repeat(np.arange(number), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    coded = split.flatten().dictionary_encode()
+    known, at = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+    texts = known.to_pylist()
+    some = np.array([bool(t) for t in texts], bool)[at] & pc.is_valid(hashes).to_numpy(zero_copy_only=False)[row]
+    own = some & ~np.array([t in TITLES for t in texts], bool)[at]
+    kept = own | (some & (np.bincount(row[own], minlength=number) == 0)[row])
+    row, at = row[kept], at[kept]
+    lists = lambda rows, values: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=number))]), pa.int32()), values)
+    initial = np.zeros(number, bool)
+    initial[row[np.array([len(t) == 1 for t in texts], bool)[at]]] = True
+    heard = [parser.heard((t,)) if t else [] for t in texts]
+    stock = sorted(set().union(*heard)) if heard else []
+    place = {h: i for i, h in enumerate(stock)}
+    count = np.array([len(h) for h in heard], np.int64)
+    codes = np.array([place[h] for hs in heard for h in hs], np.int64)
+    sounds = np.unique(np.repeat(row, count[at]) * max(len(stock), 1) + codes[_runs((np.cumsum(count) - count)[at], count[at])])
+    return [hashes, lists(row, known.take(pa.array(at))), lists(sounds // max(len(stock), 1), pa.array(stock, pa.string()).take(pa.array(sounds % max(len(stock), 1)))), pa.array(initial)]
+
+
 def _parsed(raw: DataFrame) -> DataFrame:
     """``raw`` with a hash of its name's ``bare`` text, its ``words``, ``heard`` words and whether one is an ``initial``, and its places as they sound.
 
@@ -578,12 +628,8 @@ def _parsed(raw: DataFrame) -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser()
         for batch in batches:
-            bares = [_BARE.sub("", n).lower() if n else "" for n in batch.column("name").to_pylist()]
-            words = [parser.person(n) if b and b != "null" else () for n, b in zip(batch.column("name").to_pylist(), bares, strict=True)]
-            hashes = [xxhash.xxh64_intdigest(b) - (1 << 63) if b and b != "null" else None for b in bares]
             places = [pa.array(map(parser.place, batch.column(c).to_pylist()), pa.string()) for c in ("village", "ward", "sub")]
-            lists = [pa.array(x, pa.list_(pa.string())) for x in (words, map(parser.heard, words))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(hashes, pa.int64()), *lists, pa.array([any(len(w) == 1 for w in ws) for ws in words], pa.bool_()), *places], [*kept, "bare", "words", "heard", "initial", "village", "ward", "sub"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *parsed_names(batch.column("name"), parser), *places], [*kept, "bare", "words", "heard", "initial", "village", "ward", "sub"])
 
     return raw.mapInArrow(parse, schema)
 
@@ -717,11 +763,12 @@ TAGS = {"village": 0x5851F42D4C957F2D, "ward": 0x14057B7EF767814F, "sub": 0x2545
 
 
 def _by_identifiers(base: DataFrame, vocabulary: Vocabulary, names: int) -> DataFrame:
-    """``base``'s numbers with ``person``: rows that share identifiers and whose names are variants."""
+    """The numbers of ``base``'s rows that share identifiers with others, with ``person``: the same for those whose names are variants."""
     groups = checkpointed(evidence_groups(base.select("id", "bare", "look", "nid", "mail", "phone")))
+    several = checkpointed(groups.groupBy("grp").agg(F.count("*").alias("n"), F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("n > 1").select("grp", "n", F.coalesce(F.col("lo") != F.col("hi"), F.lit(False)).alias("mixed")))
+    together = checkpointed(sieved(groups, F.col("grp"), several, "grp").join(several, "grp"))
     # a group of one name, or of rows without names, is one person
-    mixed = groups.groupBy("grp").agg(F.count("*").alias("n"), F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select("grp", "n")
-    rows = checkpointed(groups.drop("look").join(mixed, "grp"))
+    rows = together.where("mixed").drop("look", "mixed")
     texts = sieved(base.select("id", "words", "heard", "initial", "age"), F.col("id"), rows, "id").join(rows, "id")
     nowhere = [F.lit(None).cast("string").alias(c) for c in ("village", "ward", "sub")]
     known, full = vocabulary.sent, with_keys(texts.select("*", *nowhere), vocabulary, names).withColumnRenamed("id", "node")
@@ -761,16 +808,18 @@ def _by_identifiers(base: DataFrame, vocabulary: Vocabulary, names: int) -> Data
         for n in same:
             alike = alike & F.col(n).eqNullSafe(F.col(f"_{n}"))
         settled = settled.unionByName(large.join(firsts, alike).join(whole, "first", "left").select(F.col("node").alias("id"), F.coalesce("settled", "first").alias("person")))
-    return checkpointed(groups.join(settled, "id", "left").select("id", "bare", "look", "nid", "mail", "phone", F.coalesce("person", "grp").alias("person")))
+    return checkpointed(together.join(settled, "id", "left").select("id", "bare", "look", "nid", "mail", "phone", F.coalesce("person", "grp").alias("person")))
 
 
-def _met_at(one: DataFrame, vocabulary: Vocabulary, names: int, wanted: DataFrame | None = None) -> DataFrame:
+def _met_at(one: DataFrame, vocabulary: Vocabulary, names: int, wanted: DataFrame | None = None, lacking: DataFrame | None = None) -> DataFrame:
     """``k``, ``met``, ``mask`` of each ``profile`` of a person ``node``: the keys by which it meets others at a place.
 
     ``mask`` says what it has: a link needs two profiles of which not both have it. With
-    ``wanted``, a table of keys, most others are left out by a sieve of bounded size.
+    ``wanted``, a table of keys, most others are left out by a sieve of bounded size. So are, with
+    ``lacking``, most keys of profiles that have both an address and a telephone, if none that has
+    neither has the key.
     """
-    known, bits = vocabulary.sent, sent_bits(wanted, "k") if wanted is not None else None
+    known, bits, few = vocabulary.sent, sent_bits(wanted, "k") if wanted is not None else None, sent_bits(lacking, "k") if lacking is not None else None
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -787,9 +836,10 @@ def _met_at(one: DataFrame, vocabulary: Vocabulary, names: int, wanted: DataFram
             wide_row = keys.wide_row[very]
             wide = _mixed(pc.fill_null(hh, 0).to_numpy(zero_copy_only=False)[wide_row], keys.wide[very])
             row, k, met, mask = np.concatenate([row, wide_row]), np.concatenate([k, wide]), np.concatenate([met, np.ones(len(wide), bool)]), np.concatenate([mask[row] & 3, mask[wide_row]])
-            if bits is not None:
-                kept = np.nonzero(passing(bits.value, k))[0]
-                row, k, met, mask = row[kept], k[kept], met[kept], mask[kept]
+            for sieve, full in ((bits, False), (few, True)):
+                if sieve is not None:
+                    kept = np.nonzero(passing(sieve.value, k) | (full & (mask & 3 != 3)))[0]
+                    row, k, met, mask = row[kept], k[kept], met[kept], mask[kept]
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays([batch.column("profile").take(at), batch.column("node").take(at), pa.array(k), pa.array(met), pa.array(mask, pa.int32())], ["profile", "node", "k", "met", "mask"])
 
@@ -817,11 +867,17 @@ def _by_place(base: DataFrame, vocabulary: Vocabulary, names: int, member: DataF
     one person only, all with a telephone, all with an address, or weak keys only.
     """
     known_by = member.groupBy("person").agg(*(F.max(n).alias(n) for n in IDENTIFIERS))
-    profiles = member.where("bare IS NOT NULL").groupBy("person", "look").agg(F.min("id").alias("id"))
-    placed = base.where("bare IS NOT NULL AND coalesce(village, ward, sub) IS NOT NULL").select("id", "words", "heard", "initial", "age", "village", "ward", "sub")
-    joined = placed.join(profiles.join(known_by, "person").drop("look"), "id")
+    profiles = member.where("bare IS NOT NULL").groupBy("person", "look").agg(F.min("id").alias("profile"))
+    columns = ["words", "heard", "initial", "age", "village", "ward", "sub"]
+    placed = maybe_wanted(base.where("bare IS NOT NULL AND coalesce(village, ward, sub) IS NOT NULL"), "id", member, "id")
+    # a row that shares nothing is a person by itself and stays where it is; of the others each look of a person is there once
+    met = placed.where("maybe").select("id", *columns, *(F.col(c).alias(f"_{c}") for c in IDENTIFIERS)).join(member.select("id", F.lit(True).alias("shares")), "id", "left")
+    alone = placed.where("NOT maybe").select("id", *columns, *IDENTIFIERS).unionByName(met.where("shares IS NULL").select("id", *columns, *(F.col(f"_{c}").alias(c) for c in IDENTIFIERS)))
+    shared = met.where("shares").select(F.col("id").alias("profile"), *columns).join(profiles.join(known_by, "person").drop("look"), "profile")
+    joined = alone.withColumn("person", F.col("id")).unionByName(shared.withColumnRenamed("profile", "id"))
     one = checkpointed(with_keys(joined, vocabulary, names).withColumnsRenamed({"id": "profile", "person": "node"}))
-    several = _met_at(one, vocabulary, names).groupBy("k").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_and("mask").alias("mask"), F.max("met").alias("some")).where("lo <> hi AND mask = 0 AND some").select("k", "n")
+    lacking = _met_at(one.where("mail IS NULL AND phone IS NULL"), vocabulary, names).select("k")
+    several = _met_at(one, vocabulary, names, lacking=lacking).groupBy("k").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_and("mask").alias("mask"), F.max("met").alias("some")).where("lo <> hi AND mask = 0 AND some").select("k", "n")
     several = checkpointed(several)
     near = checkpointed(_met_at(one, vocabulary, names, several).select("k", "profile", "met").join(several, "k"))
     texts = sieved(one.select("profile", "node", "words", "age", "village", "ward", "sub", *IDENTIFIERS), F.col("profile"), near, "profile")
@@ -869,7 +925,13 @@ def linked_persons(base: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     names = base.where("bare IS NOT NULL").count()
     member = _by_identifiers(base, vocabulary, names)
     merged = _by_place(base, vocabulary, names, member).withColumnRenamed("node", "person").withColumnRenamed("component", "whole")
-    return checkpointed(member.where("bare IS NOT NULL").select("id", "bare", "person").join(merged, "person", "left").select("id", "bare", F.coalesce("whole", "person").alias("person")))
+    # rows that share no identifier are persons by themselves
+    named = maybe_wanted(base.where("bare IS NOT NULL").select("id", "bare"), "id", member, "id")
+    alone = named.where("NOT maybe").select("id", "bare", F.col("id").alias("person"))
+    shared = named.where("maybe").select("id", "bare").join(member.select("id", "person"), "id", "left").select("id", "bare", F.coalesce("person", "id").alias("person"))
+    all_rows = maybe_wanted(alone.unionByName(shared), "person", merged, "person")
+    joined = all_rows.where("maybe").drop("maybe").join(merged, "person", "left").select("id", "bare", F.coalesce("whole", "person").alias("person"))
+    return checkpointed(all_rows.where("NOT maybe").drop("maybe").unionByName(joined))
 
 
 def variants(df: DataFrame, organisations: Sequence[str], people: Mapping[str, str], id_col: str = "id") -> tuple[DataFrame, DataFrame]:
@@ -887,8 +949,8 @@ def _side_by_side(spark: SparkSession, *work: Callable) -> list:
 
 def different_pairs(df: DataFrame, group: str, *keep: str) -> DataFrame:
     """``id_a`` < ``id_b`` of one ``group`` whose ``bare`` differ, with columns that all of a group have in common."""
-    mixed = df.groupBy(group).agg(F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select(group)
-    kept = df.join(mixed, group)
+    mixed = checkpointed(df.groupBy(group).agg(F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select(group))
+    kept = checkpointed(sieved(df, F.col(group), mixed, group).join(mixed, group))
     a = kept.select(group, *keep, F.col("id").alias("id_a"), F.col("bare").alias("ba"))
     b = kept.select(group, F.col("id").alias("id_b"), F.col("bare").alias("bb"))
     return a.join(b, group).where("id_a < id_b AND ba <> bb").select(*keep, "id_a", "id_b")
