@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from loomsift.functions.text import WS_CHARS, bare, blank_like
 from loomsift.llm.mojibake import ALPHABET, CLEAN, Sequences
-from loomsift.llm.sieve import maybe_wanted, passing, sent_bits, sieved
+from loomsift.llm.sieve import passing, sent_bits, sieved
 from loomsift.llm.spelling import edits, plain, sound
-from loomsift.llm.tries import bound, keyed
+from loomsift.llm.tries import MOST, bound, keyed
 from loomsift.operators.components import components
 from loomsift.session import checkpointed, partitions
 
@@ -516,11 +516,11 @@ def _one_spot(a: dict, b: dict) -> bool:
     ages = a["age"] is not None and b["age"] is not None
     if ages and abs(a["age"] - b["age"]) > 1:
         return False
-    agree = lambda n, most: bool(a[n] and b[n]) and edits(a[n], b[n], most) <= most
-    village, ward = agree("village", 3 if len(a["village"] or "") > 7 else 2), agree("ward", 1)
+    agree = lambda n: bool(a[n] and b[n]) and edits(a[n], b[n], PLACE_SLIPS) <= PLACE_SLIPS
+    village, ward = agree("village"), agree("ward")
     if village or ward:
-        return ages or village + ward + agree("sub", 2) >= 2
-    return ages and not (a["village"] and b["village"]) and not (a["ward"] and b["ward"]) and agree("sub", 2)
+        return ages or village + ward + agree("sub") >= 2
+    return ages and not (a["village"] and b["village"]) and not (a["ward"] and b["ward"]) and agree("sub")
 
 
 def _same_place(a: dict, b: dict) -> bool:
@@ -566,6 +566,8 @@ def evidence_groups(keys: DataFrame) -> DataFrame:
 
 
 _NONE = "array<bigint>"
+#: Edits within which the names of two places are one.
+PLACE_SLIPS = 1
 #: Words up to this number go to each task with their keys, some 100 bytes each; with more, rows meet their words' keys by a join.
 SENT = 300_000
 
@@ -635,21 +637,21 @@ def _parsed(raw: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """The distinct words of some columns of texts and of lists of texts, with the keys that the trie join gives them."""
+    """The distinct texts of some columns, and words of lists, with the keys that the trie join gives them; texts are places."""
 
     def __init__(self, *tables: DataFrame) -> None:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for c in range(batch.num_columns):
-                    words = batch.column(c)
-                    counted = pc.value_counts(words.flatten() if pa.types.is_list(words.type) else words)
-                    yield pa.RecordBatch.from_arrays([counted.field(0).cast(pa.string()), counted.field(1)], ["word", "n"])
+                    words, name = batch.column(c), pa.types.is_list(batch.column(c).type)
+                    counted = pc.value_counts(words.flatten() if name else words)
+                    yield pa.RecordBatch.from_arrays([counted.field(0).cast(pa.string()), counted.field(1), pa.array([MOST if name else PLACE_SLIPS] * len(counted), pa.int32())], ["word", "n", "slips"])
 
         counted = None
         for df in tables:
-            part = df.mapInArrow(count, "word string, n bigint")
+            part = df.mapInArrow(count, "word string, n bigint, slips int")
             counted = part if counted is None else counted.unionByName(part)
-        counts = checkpointed(counted.where("word <> ''").groupBy("word").agg(F.sum("n").alias("n")))
+        counts = checkpointed(counted.where("word <> ''").groupBy("word").agg(F.sum("n").alias("n"), F.max("slips").alias("slips")))
         number = counts.count()
         #: ``word``, ``n`` and the hashes of its ``keys``.
         self.table = checkpointed(keyed(counts, number).select("word", "n", F.transform("keys", lambda k: F.xxhash64(k)).alias("keys")))
@@ -763,12 +765,11 @@ TAGS = {"village": 0x5851F42D4C957F2D, "ward": 0x14057B7EF767814F, "sub": 0x2545
 
 
 def _by_identifiers(base: DataFrame, vocabulary: Vocabulary, names: int) -> DataFrame:
-    """The numbers of ``base``'s rows that share identifiers with others, with ``person``: the same for those whose names are variants."""
+    """``base``'s numbers with ``person``: rows that share identifiers and whose names are variants."""
     groups = checkpointed(evidence_groups(base.select("id", "bare", "look", "nid", "mail", "phone")))
-    several = checkpointed(groups.groupBy("grp").agg(F.count("*").alias("n"), F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("n > 1").select("grp", "n", F.coalesce(F.col("lo") != F.col("hi"), F.lit(False)).alias("mixed")))
-    together = checkpointed(sieved(groups, F.col("grp"), several, "grp").join(several, "grp"))
     # a group of one name, or of rows without names, is one person
-    rows = together.where("mixed").drop("look", "mixed")
+    mixed = groups.groupBy("grp").agg(F.count("*").alias("n"), F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select("grp", "n")
+    rows = checkpointed(groups.drop("look").join(mixed, "grp"))
     texts = sieved(base.select("id", "words", "heard", "initial", "age"), F.col("id"), rows, "id").join(rows, "id")
     nowhere = [F.lit(None).cast("string").alias(c) for c in ("village", "ward", "sub")]
     known, full = vocabulary.sent, with_keys(texts.select("*", *nowhere), vocabulary, names).withColumnRenamed("id", "node")
@@ -808,18 +809,16 @@ def _by_identifiers(base: DataFrame, vocabulary: Vocabulary, names: int) -> Data
         for n in same:
             alike = alike & F.col(n).eqNullSafe(F.col(f"_{n}"))
         settled = settled.unionByName(large.join(firsts, alike).join(whole, "first", "left").select(F.col("node").alias("id"), F.coalesce("settled", "first").alias("person")))
-    return checkpointed(together.join(settled, "id", "left").select("id", "bare", "look", "nid", "mail", "phone", F.coalesce("person", "grp").alias("person")))
+    return checkpointed(groups.join(settled, "id", "left").select("id", "bare", "look", "nid", "mail", "phone", F.coalesce("person", "grp").alias("person")))
 
 
-def _met_at(one: DataFrame, vocabulary: Vocabulary, names: int, wanted: DataFrame | None = None, lacking: DataFrame | None = None) -> DataFrame:
+def _met_at(one: DataFrame, vocabulary: Vocabulary, names: int, wanted: DataFrame | None = None) -> DataFrame:
     """``k``, ``met``, ``mask`` of each ``profile`` of a person ``node``: the keys by which it meets others at a place.
 
     ``mask`` says what it has: a link needs two profiles of which not both have it. With
-    ``wanted``, a table of keys, most others are left out by a sieve of bounded size. So are, with
-    ``lacking``, most keys of profiles that have both an address and a telephone, if none that has
-    neither has the key.
+    ``wanted``, a table of keys, most others are left out by a sieve of bounded size.
     """
-    known, bits, few = vocabulary.sent, sent_bits(wanted, "k") if wanted is not None else None, sent_bits(lacking, "k") if lacking is not None else None
+    known, bits = vocabulary.sent, sent_bits(wanted, "k") if wanted is not None else None
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -836,10 +835,9 @@ def _met_at(one: DataFrame, vocabulary: Vocabulary, names: int, wanted: DataFram
             wide_row = keys.wide_row[very]
             wide = _mixed(pc.fill_null(hh, 0).to_numpy(zero_copy_only=False)[wide_row], keys.wide[very])
             row, k, met, mask = np.concatenate([row, wide_row]), np.concatenate([k, wide]), np.concatenate([met, np.ones(len(wide), bool)]), np.concatenate([mask[row] & 3, mask[wide_row]])
-            for sieve, full in ((bits, False), (few, True)):
-                if sieve is not None:
-                    kept = np.nonzero(passing(sieve.value, k) | (full & (mask & 3 != 3)))[0]
-                    row, k, met, mask = row[kept], k[kept], met[kept], mask[kept]
+            if bits is not None:
+                kept = np.nonzero(passing(bits.value, k))[0]
+                row, k, met, mask = row[kept], k[kept], met[kept], mask[kept]
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays([batch.column("profile").take(at), batch.column("node").take(at), pa.array(k), pa.array(met), pa.array(mask, pa.int32())], ["profile", "node", "k", "met", "mask"])
 
@@ -867,17 +865,11 @@ def _by_place(base: DataFrame, vocabulary: Vocabulary, names: int, member: DataF
     one person only, all with a telephone, all with an address, or weak keys only.
     """
     known_by = member.groupBy("person").agg(*(F.max(n).alias(n) for n in IDENTIFIERS))
-    profiles = member.where("bare IS NOT NULL").groupBy("person", "look").agg(F.min("id").alias("profile"))
-    columns = ["words", "heard", "initial", "age", "village", "ward", "sub"]
-    placed = maybe_wanted(base.where("bare IS NOT NULL AND coalesce(village, ward, sub) IS NOT NULL"), "id", member, "id")
-    # a row that shares nothing is a person by itself and stays where it is; of the others each look of a person is there once
-    met = placed.where("maybe").select("id", *columns, *(F.col(c).alias(f"_{c}") for c in IDENTIFIERS)).join(member.select("id", F.lit(True).alias("shares")), "id", "left")
-    alone = placed.where("NOT maybe").select("id", *columns, *IDENTIFIERS).unionByName(met.where("shares IS NULL").select("id", *columns, *(F.col(f"_{c}").alias(c) for c in IDENTIFIERS)))
-    shared = met.where("shares").select(F.col("id").alias("profile"), *columns).join(profiles.join(known_by, "person").drop("look"), "profile")
-    joined = alone.withColumn("person", F.col("id")).unionByName(shared.withColumnRenamed("profile", "id"))
+    profiles = member.where("bare IS NOT NULL").groupBy("person", "look").agg(F.min("id").alias("id"))
+    placed = base.where("bare IS NOT NULL AND coalesce(village, ward, sub) IS NOT NULL").select("id", "words", "heard", "initial", "age", "village", "ward", "sub")
+    joined = placed.join(profiles.join(known_by, "person").drop("look"), "id")
     one = checkpointed(with_keys(joined, vocabulary, names).withColumnsRenamed({"id": "profile", "person": "node"}))
-    lacking = _met_at(one.where("mail IS NULL AND phone IS NULL"), vocabulary, names).select("k")
-    several = _met_at(one, vocabulary, names, lacking=lacking).groupBy("k").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_and("mask").alias("mask"), F.max("met").alias("some")).where("lo <> hi AND mask = 0 AND some").select("k", "n")
+    several = _met_at(one, vocabulary, names).groupBy("k").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_and("mask").alias("mask"), F.max("met").alias("some")).where("lo <> hi AND mask = 0 AND some").select("k", "n")
     several = checkpointed(several)
     near = checkpointed(_met_at(one, vocabulary, names, several).select("k", "profile", "met").join(several, "k"))
     texts = sieved(one.select("profile", "node", "words", "age", "village", "ward", "sub", *IDENTIFIERS), F.col("profile"), near, "profile")
@@ -925,13 +917,7 @@ def linked_persons(base: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     names = base.where("bare IS NOT NULL").count()
     member = _by_identifiers(base, vocabulary, names)
     merged = _by_place(base, vocabulary, names, member).withColumnRenamed("node", "person").withColumnRenamed("component", "whole")
-    # rows that share no identifier are persons by themselves
-    named = maybe_wanted(base.where("bare IS NOT NULL").select("id", "bare"), "id", member, "id")
-    alone = named.where("NOT maybe").select("id", "bare", F.col("id").alias("person"))
-    shared = named.where("maybe").select("id", "bare").join(member.select("id", "person"), "id", "left").select("id", "bare", F.coalesce("person", "id").alias("person"))
-    all_rows = maybe_wanted(alone.unionByName(shared), "person", merged, "person")
-    joined = all_rows.where("maybe").drop("maybe").join(merged, "person", "left").select("id", "bare", F.coalesce("whole", "person").alias("person"))
-    return checkpointed(all_rows.where("NOT maybe").drop("maybe").unionByName(joined))
+    return checkpointed(member.where("bare IS NOT NULL").select("id", "bare", "person").join(merged, "person", "left").select("id", "bare", F.coalesce("whole", "person").alias("person")))
 
 
 def variants(df: DataFrame, organisations: Sequence[str], people: Mapping[str, str], id_col: str = "id") -> tuple[DataFrame, DataFrame]:
@@ -949,8 +935,8 @@ def _side_by_side(spark: SparkSession, *work: Callable) -> list:
 
 def different_pairs(df: DataFrame, group: str, *keep: str) -> DataFrame:
     """``id_a`` < ``id_b`` of one ``group`` whose ``bare`` differ, with columns that all of a group have in common."""
-    mixed = checkpointed(df.groupBy(group).agg(F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select(group))
-    kept = checkpointed(sieved(df, F.col(group), mixed, group).join(mixed, group))
+    mixed = df.groupBy(group).agg(F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo <> hi").select(group)
+    kept = checkpointed(df.join(mixed, group))
     a = kept.select(group, *keep, F.col("id").alias("id_a"), F.col("bare").alias("ba"))
     b = kept.select(group, F.col("id").alias("id_b"), F.col("bare").alias("bb"))
     return a.join(b, group).where("id_a < id_b AND ba <> bb").select(*keep, "id_a", "id_b")

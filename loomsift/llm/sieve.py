@@ -29,14 +29,6 @@ def sieved(df: DataFrame, by: Column, wanted: DataFrame, key: str, words: int =
     return hit.where(F.expr("shiftrightunsigned(_bits, CAST(pmod(_at, 64L) AS INT)) & 1L") == 1).select(*df.columns)
 
 
-def maybe_wanted(df: DataFrame, by: str, wanted: DataFrame, key: str, words: int = WORDS) -> DataFrame:
-    """``df`` with ``maybe``: false where the value of ``by`` is surely not among the ``key`` of ``wanted``."""
-    at = F.pmod(F.xxhash64(by), F.lit(words * 64))
-    placed = df.withColumn("_at", at).withColumn("_w", F.floor(F.col("_at") / 64).cast("int"))
-    hit = placed.join(F.broadcast(sieve_bits(wanted, key, words)), "_w", "left")
-    return hit.select(*df.columns, F.coalesce(F.expr("shiftrightunsigned(_bits, CAST(pmod(_at, 64L) AS INT)) & 1L") == 1, F.lit(False)).alias("maybe"))
-
-
 def sent_bits(wanted: DataFrame, key: str, words: int = WORDS):  # noqa: ANN201
     """The same bits over the low bits of bigint keys as they are, as a broadcast array of bytes for ``passing``."""
     at = F.col(key).bitwiseAND(F.lit(words * 64 - 1))

@@ -7,7 +7,7 @@ together, a level at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +28,13 @@ PREFIX = 4
 LONGEST = 60
 
 
-def bound(n: int) -> int:
+#: Most edits of all.
+MOST = 3
+
+
+def bound(n: int, most: int = MOST) -> int:
     """Edits allowed in a word of ``n`` letters."""
-    return 0 if n < 3 else 1 if n < 6 else 2 if n < 11 else 3
+    return min(most, 0 if n < 3 else 1 if n < 6 else 2 if n < 11 else 3)
 
 
 class Trie:
@@ -160,13 +164,13 @@ def _letters(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(words, f"<U{wide}").view(np.uint32).reshape(len(words), wide), length
 
 
-def _shards(word: str) -> Iterator[tuple[str, int]]:
+def _shards(word: str, most: int = MOST) -> Iterator[tuple[str, int]]:
     """(shard, role) of a word: role 0 stands in the shard's trie, 1 asks it, 2 asks for continuations.
 
     A word of at least six letters may have up to three edits; of its two ends (a free letter
     between them takes a swap), one has at most one edit. That end's outer letter is whole in its
-    place, or else the next letter is whole and at most one place further. A shorter word has one
-    edit, and one end without any.
+    place, or else the next letter is whole and at most one place further. A shorter word, or one
+    of at most one edit, has one end without any.
     """
     n = len(word)
     for side, w in (("f", word), ("b", word[::-1])):
@@ -177,20 +181,21 @@ def _shards(word: str) -> Iterator[tuple[str, int]]:
             yield f"{side}s{w[0]}", 0
         if n > 5:
             yield f"{side}0{w[0]}", 1
-            yield f"{side}1{w[1]}", 1
+            if bound(n, most) > 1:
+                yield f"{side}1{w[1]}", 1
         elif n > 2:
             yield f"{side}s{w[0]}", 1
-    if n >= PREFIX:
+    if n >= PREFIX and most > 1:
         yield f"f0{word[0]}", 2
 
 
-def shard_pairs(shard: str, stands: Sequence[str], asks: Sequence[str], begins: Sequence[str]) -> Iterator[tuple[str, str]]:
-    """(word, its neighbour) within one shard."""
+def shard_pairs(shard: str, stands: Sequence[str], asks: Sequence[str], begins: Sequence[str], slips: Mapping[str, int] | None = None) -> Iterator[tuple[str, str]]:
+    """(word, its neighbour) within one shard; ``slips`` has the most edits of words, if they have less than others."""
     back = shard[0] == "b"
     turn = (lambda w: w[::-1]) if back else (lambda w: w)
     trie = Trie([turn(w) for w in stands])
-    n = [len(w) for w in asks]
-    q, w = trie.near([turn(a) for a in asks], [bound(x) for x in n], [(x - 1) // 2 for x in n], [bound(x) // 2 for x in n], shard[1] == "1")
+    most = [bound(len(w), slips.get(w, MOST) if slips else MOST) for w in asks]
+    q, w = trie.near([turn(a) for a in asks], most, [(len(w) - 1) // 2 for w in asks], [k // 2 for k in most], shard[1] == "1")
     for i, j in zip(q.tolist(), w.tolist(), strict=True):
         b = turn(trie.words[j])
         if b != asks[i]:
@@ -204,7 +209,8 @@ def heads(words: DataFrame, number: int) -> DataFrame:
     """``word``, ``head``: of each two of so many distinct words that the trie join finds to be spellings of one another, the more frequent is the head.
 
     Two words are, if one is within ``bound`` (of either's length) of the other, or begins with it and
-    goes on. ``words`` has each ``word`` and its number ``n``. Null and empty words, and those of
+    goes on. ``words`` has each ``word``, its number ``n``, and perhaps
+    ``slips``, the most edits of this one. Null and empty words, and those of
     more than ``LONGEST`` letters, have none. A shard that very many words ask is asked by several
     tasks, each with the shard's trie.
     """
@@ -213,37 +219,38 @@ def heads(words: DataFrame, number: int) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for shard, role in _shards(word) if word and len(word) <= LONGEST else ():
+            out: tuple[list, ...] = ([], [], [], [], [], [])
+            for word, n, slips in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for shard, role in _shards(word, slips) if word and len(word) <= LONGEST else ():
                     for copy in range(copies) if not role else (_number(word) % copies,):
-                        for col, v in zip(out, (shard, copy, role, word, n), strict=True):
+                        for col, v in zip(out, (shard, copy, role, word, n, slips), strict=True):
                             col.append(v)
-            types = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["shard", "copy", "role", "word", "n"])
+            types = (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["shard", "copy", "role", "word", "n", "slips"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, count = None, ([], [], []), {}
+        now, held, count, few = None, ([], [], []), {}, {}
 
         def found() -> Iterator[pa.RecordBatch]:
-            pairs = set(shard_pairs(now[0], *held)) if now and held[0] and (held[1] or held[2]) else ()
+            pairs = set(shard_pairs(now[0], *held, few)) if now and held[0] and (held[1] or held[2]) else ()
             ranked = {(b, a) if (count[a], a) > (count[b], b) else (a, b) for a, b in pairs}
             if ranked:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*ranked, strict=True)], ["word", "head"])
 
         for batch in batches:
-            for shard, copy, role, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for shard, copy, role, word, n, slips in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (shard, copy) != now:
                     yield from found()
-                    now, held, count = (shard, copy), ([], [], []), {}
+                    now, held, count, few = (shard, copy), ([], [], []), {}, {}
                 held[role].append(word)
-                count[word] = n
+                count[word], few[word] = n, slips
                 if len(held[1]) >= ASKING:  # what asks comes after what stands
                     yield from found()
                     held[1].clear()
         yield from found()
 
-    dealt = words.select("word", "n").mapInArrow(deal, "shard string, copy int, role int, word string, n bigint")
+    slips = F.col("slips") if "slips" in words.columns else F.lit(MOST)
+    dealt = words.select("word", "n", slips.cast("int").alias("slips")).mapInArrow(deal, "shard string, copy int, role int, word string, n bigint, slips int")
     ordered = dealt.repartition(max(partitions(spark), copies * 8), "shard", "copy").sortWithinPartitions("shard", "copy", "role")
     return ordered.mapInArrow(ask, "word string, head string").distinct()
 
