@@ -52,17 +52,20 @@ def one_form(text: str | None, fold: bool = True) -> str | None:
     return unicodedata.normalize("NFKC", text.casefold()) if fold else text
 
 
+#: Texts of these characters need white space and case only, and those are vector operations: composed Latin letters and marks that nothing is mapped to or from.
+_EASY = "^[ -~\u00c0-\u00d6\u00d8-\u00de\u00e0-\u00f6\u00f8-\u012f\u0134-\u013e\u0141-\u0148\u014a-\u017e\u2018\u2019\u201c\u201d\u00ab\u00bb\u2014\t]*$"
+
+
 def one_forms(texts: pa.Array, fold: bool = True) -> pa.Array:
     """The consistent form of each text of an array, worked out once for each distinct value.
 
-    Values of printable ASCII only need white space and case, which are vector operations; the
-    others are taken one by one.
+    Values of ASCII and accented Latin letters are taken together; the others one by one.
     """
     coded = (texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts).dictionary_encode()
     values = coded.dictionary
-    plain = pc.fill_null(pc.match_substring_regex(values, r"^[ -~]*$"), False)
-    easy = pc.utf8_trim(pc.replace_substring_regex(values, " +", " "), " ")
-    easy = pc.ascii_lower(easy) if fold else easy
+    plain = pc.fill_null(pc.match_substring_regex(values, _EASY), False)
+    easy = pc.utf8_trim(pc.replace_substring_regex(values, "[ \t]+", " "), " ")
+    easy = pc.utf8_lower(easy) if fold else easy
     if pc.all(plain).as_py() is not False:
         return easy.take(coded.indices)
     hard = [one_form(t, fold) for t in values.filter(pc.invert(plain)).to_pylist()]
