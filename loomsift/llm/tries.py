@@ -24,7 +24,7 @@ ASKING = 50_000
 TOGETHER = 2_000
 #: Shortest word whose continuations count as its spellings.
 PREFIX = 4
-#: Letters of a word that fit the automaton's bit vectors; longer words are spelt one way only.
+#: Longer words have shards by length, as the tries of a shard are as wide as its longest word.
 LONGEST = 60
 
 
@@ -77,20 +77,21 @@ class Trie:
         """
         found: list[tuple[np.ndarray, np.ndarray]] = []
         half, first = half or [0] * len(asked), first or [3] * len(asked)
-        by: dict[tuple[int, bool], list[int]] = {}
+        by: dict[tuple[int, int], list[int]] = {}
         for i, k in enumerate(most):
-            by.setdefault((k, len(asked[i]) > 29), []).append(i)
-        for (k, long), places in by.items():
+            by.setdefault((k, (len(asked[i]) > 29) + (len(asked[i]) > 60)), []).append(i)
+        for (k, wide), places in by.items():
             for at in range(0, len(places), TOGETHER):
                 some = places[at : at + TOGETHER]
                 whose = np.array(some, np.int64)
-                found += [(whose[q], w) for q, w in self._down([asked[i] for i in some], k, [half[i] for i in some], [first[i] for i in some], edited, np.int64 if long else np.int32)]
+                found += [(whose[q], w) for q, w in self._down([asked[i] for i in some], k, [half[i] for i in some], [first[i] for i in some], edited, (np.int32, np.int64, object)[wide])]
         empty = np.empty(0, np.int64)
         return (np.concatenate([q for q, _ in found]), np.concatenate([w for _, w in found])) if found else (empty, empty)
 
     def _down(self, asked: Sequence[str], most: int, half: Sequence[int], first: Sequence[int], edited: bool, kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        as_bits = int if kind is object else kind  # very long words have vectors of Python's numbers
         n = np.array([len(w) for w in asked], kind)
-        one = kind(1)
+        one = as_bits(1)
         full = (one << (n + one)) - one
         fits = np.zeros((len(asked), len(self.codes) + 1), kind)
         text, _ = _letters(asked)
@@ -99,9 +100,9 @@ class Trie:
         known[known] = self.codes[at[known]] == text[known]
         for j in range(text.shape[1]):
             rows = np.nonzero(known[:, j])[0]
-            fits[rows, at[rows, j]] |= one << kind(j)
+            fits[rows, at[rows, j]] |= one << as_bits(j)
             lost = np.nonzero(text[:, j] == ord(LOST))[0]
-            fits[lost] |= one << kind(j)
+            fits[lost] |= one << as_bits(j)
         if len(lost := np.nonzero(self.codes == ord(LOST))[0]):
             fits[:, lost[0]] = full
         limit, late = np.array(first, kind), full & ~((one << np.array(half, kind)) - one)
@@ -113,7 +114,7 @@ class Trie:
         held = np.zeros((2 * most + 2, len(asked)), kind)
         held[0] = 1
         for d in levels:
-            held[d] = kind((2 << d) - 1) & allowed[d]
+            held[d] = as_bits((2 << d) - 1) & allowed[d]
         while len(q):
             count = self.first[node + 1] - self.first[node]
             up = np.repeat(np.arange(len(q)), count)
@@ -129,7 +130,7 @@ class Trie:
                 x = (o[d] & m) | o[d - 1] | new[d - 1]
                 x <<= one
                 x |= o[d - 1]
-                x |= (o[most + d] & swap) << kind(2)
+                x |= (o[most + d] & swap) << as_bits(2)
                 x &= allowed[d][who]
                 new[d] = x
                 alive |= x
@@ -164,6 +165,11 @@ def _letters(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(words, f"<U{wide}").view(np.uint32).reshape(len(words), wide), length
 
 
+def _length(n: int) -> str:
+    """Part of a shard's name: words up to LONGEST letters stand together, longer ones by their length."""
+    return "" if n <= LONGEST else f"#{n // 64}"
+
+
 def _shards(word: str, most: int = MOST) -> Iterator[tuple[str, int]]:
     """(shard, role) of a word: role 0 stands in the shard's trie, 1 asks it, 2 asks for continuations.
 
@@ -173,19 +179,21 @@ def _shards(word: str, most: int = MOST) -> Iterator[tuple[str, int]]:
     of at most one edit, has one end without any.
     """
     n = len(word)
+    own, others = _length(n), {_length(n + d) for d in range(-MOST, MOST + 1)}
     for side, w in (("f", word), ("b", word[::-1])):
-        yield f"{side}0{w[0]}", 0
+        yield f"{side}0{w[0]}{own}", 0
         for ch in {*w[:3]}:
-            yield f"{side}1{ch}", 0
+            yield f"{side}1{ch}{own}", 0
         if n < 7:
             yield f"{side}s{w[0]}", 0
         if n > 5:
-            yield f"{side}0{w[0]}", 1
-            if bound(n, most) > 1:
-                yield f"{side}1{w[1]}", 1
+            for length in others:
+                yield f"{side}0{w[0]}{length}", 1
+                if bound(n, most) > 1:
+                    yield f"{side}1{w[1]}{length}", 1
         elif n > 2:
             yield f"{side}s{w[0]}", 1
-    if n >= PREFIX and most > 1:
+    if PREFIX <= n <= LONGEST and most > 1:
         yield f"f0{word[0]}", 2
 
 
@@ -209,9 +217,8 @@ def heads(words: DataFrame, number: int) -> DataFrame:
     """``word``, ``head``: of each two of so many distinct words that the trie join finds to be spellings of one another, the more frequent is the head.
 
     Two words are, if one is within ``bound`` (of either's length) of the other, or begins with it and
-    goes on. ``words`` has each ``word``, its number ``n``, and perhaps
-    ``slips``, the most edits of this one. Null and empty words, and those of
-    more than ``LONGEST`` letters, have none. A shard that very many words ask is asked by several
+    goes on (up to ``LONGEST`` letters). ``words`` has each ``word``, its number ``n``, and perhaps
+    ``slips``, the most edits of this one. Null and empty words have none. A shard that very many words ask is asked by several
     tasks, each with the shard's trie.
     """
     spark = words.sparkSession
@@ -221,7 +228,7 @@ def heads(words: DataFrame, number: int) -> DataFrame:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [], [])
             for word, n, slips in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for shard, role in _shards(word, slips) if word and len(word) <= LONGEST else ():
+                for shard, role in _shards(word, slips) if word else ():
                     for copy in range(copies) if not role else (_number(word) % copies,):
                         for col, v in zip(out, (shard, copy, role, word, n, slips), strict=True):
                             col.append(v)
