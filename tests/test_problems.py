@@ -80,7 +80,7 @@ def test_rescue_and_replay(spark):
 
 def test_consistent_table(spark):
     df = headers(spark, [("f", 1, 1, "Umri", "number", "12"), ("f", 1, 2, "Odd One", "string", "z"), ("f", 2, 1, "Age", "string", "old")])
-    one, two = consistent_table(df).orderBy("feed_version").collect()
+    one, two = consistent_table(df, {"age": ("umri",)}).orderBy("feed_version").collect()
     assert one.age == 12 and one.rescued_json == '{"Odd One":"z"}' and two.age is None and two.rescued_json == '{"Age":"old"}'
 
 
