@@ -11,15 +11,13 @@ from __future__ import annotations
 import itertools
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomsift.functions.text import WS_CHARS, bare, blank_like
@@ -566,6 +564,8 @@ def evidence_groups(keys: DataFrame) -> DataFrame:
 
 
 _NONE = "array<bigint>"
+#: Rows whose words are counted together in a task before they are sent on.
+COUNTED = 200_000
 #: Edits within which the names of two places are one.
 PLACE_SLIPS = 1
 #: Words up to this number go to each task with their keys, some 100 bytes each; with more, rows meet their words' keys by a join.
@@ -641,11 +641,25 @@ class Vocabulary:
 
     def __init__(self, *tables: DataFrame) -> None:
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for c in range(batch.num_columns):
-                    words, name = batch.column(c), pa.types.is_list(batch.column(c).type)
-                    counted = pc.value_counts(words.flatten() if name else words)
-                    yield pa.RecordBatch.from_arrays([counted.field(0).cast(pa.string()), counted.field(1), pa.array([MOST if name else PLACE_SLIPS] * len(counted), pa.int32())], ["word", "n", "slips"])
+            held: dict[bool, list[pa.Array]] = {True: [], False: []}
+
+            def counted() -> Iterator[pa.RecordBatch]:
+                for name, parts in held.items():
+                    if parts:
+                        found = pc.value_counts(pa.chunked_array(parts))
+                        yield pa.RecordBatch.from_arrays([found.field(0), found.field(1), pa.array([MOST if name else PLACE_SLIPS] * len(found), pa.int32())], ["word", "n", "slips"])
+                        parts.clear()
+
+            rows = 0
+            for batch in batches:  # counted many batches at a time
+                for words in batch.columns:
+                    name = pa.types.is_list(words.type)
+                    held[name].append((words.flatten() if name else words).cast(pa.string()))
+                rows += batch.num_rows
+                if rows >= COUNTED:
+                    yield from counted()
+                    rows = 0
+            yield from counted()
 
         counted = None
         for df in tables:
@@ -921,16 +935,10 @@ def linked_persons(base: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def variants(df: DataFrame, organisations: Sequence[str], people: Mapping[str, str], id_col: str = "id") -> tuple[DataFrame, DataFrame]:
-    """The results of ``persons`` and of ``spellings``, with one trie join of all their words; the two are worked out side by side."""
-    base, spelt = _side_by_side(df.sparkSession, lambda: person_rows(df, id_col), lambda: Spellings(df, organisations, people, id_col))
+    """The results of ``persons`` and of ``spellings``, with one trie join of all their words."""
+    base, spelt = person_rows(df, id_col), Spellings(df, organisations, people, id_col)
     vocabulary = Vocabulary(base.select(*WORDS), spelt.cuts.select("heard"))
-    return tuple(_side_by_side(df.sparkSession, lambda: linked_persons(base, vocabulary), lambda: linked_spellings(spelt, vocabulary)))
-
-
-def _side_by_side(spark: SparkSession, *work: Callable) -> list:
-    """The results of some functions whose jobs don't depend on one another."""
-    with ThreadPoolExecutor(len(work)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(w)) for w in work]]
+    return linked_persons(base, vocabulary), linked_spellings(spelt, vocabulary)
 
 
 def different_pairs(df: DataFrame, group: str, *keep: str) -> DataFrame:
