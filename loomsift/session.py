@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -41,7 +42,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/loomsift-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # a dictionary of numbers that hardly repeat would be built for nothing
+    plain = {f"parquet.enable.dictionary#{f.name}": "false" for f in df.schema.fields if isinstance(f.dataType, T.LongType)}
+    df.write.options(**plain).parquet(path)
     removed_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
