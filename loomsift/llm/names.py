@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomsift.functions.text import WS_CHARS, bare, blank_like
+from loomsift.functions.text import bare, blank_like
 from loomsift.llm.mojibake import ALPHABET, CLEAN, Sequences
 from loomsift.llm.sieve import passing, sent_bits, sieved
 from loomsift.llm.spelling import edits, plain, sound
@@ -399,8 +399,7 @@ def phone9(digits: Column, lost: Column) -> Column:
 def bare_mail(mail: Column, user: Column) -> Column:
     """The part of an address before the @, or else the user name, without separators; below six characters it tells nothing."""
     from_mail = F.when(F.contains(mail, F.lit("@")), F.substring_index(mail, "@", 1))
-    other = F.when(~F.lower(F.btrim(user, F.lit(WS_CHARS))).isin("", "null"), user)
-    return F.regexp_replace(F.lower(F.coalesce(from_mail, other)), "[^a-z0-9]+", "")
+    return F.regexp_replace(F.lower(F.coalesce(from_mail, user)), "[^a-z0-9]+", "")
 
 
 def whole_years(c: Column) -> Column:
@@ -530,22 +529,47 @@ def _same_place(a: dict, b: dict) -> bool:
     return person_match(a["words"], b["words"], False)
 
 
-def _join_place(members: Sequence[dict]) -> Iterator[tuple[dict, dict]]:
-    for a, b in _meeting(members):
-        # what contradicts most often is asked first
-        if a["node"] == b["node"] or not (a["met"] or b["met"]):
-            continue
-        p, q = a["phone"], b["phone"]
-        if p is not None and q is not None and p != q:
-            continue
-        p, q = a["mail"], b["mail"]
-        if p is not None and q is not None and p != q:
-            continue
-        p, q = a["age"], b["age"]
-        if p is not None and q is not None and not -2 < p - q < 2:
-            continue
-        if _same_place(a, b):
-            yield a, b
+def _pairs_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of each two members of one shard, for shards of these sizes side by side."""
+    begin = np.cumsum(sizes) - sizes
+    first, second = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for n in np.unique(sizes):
+        i, j = np.triu_indices(n, 1)
+        at = begin[sizes == n][:, None]
+        first.append((at + i).ravel())
+        second.append((at + j).ravel())
+    return np.concatenate(first), np.concatenate(second)
+
+
+def _place_edges(shards: DataFrame) -> DataFrame:
+    """Links (a, b) of the shards' profiles by place, with the ``IDENTIFIERS`` of both ends."""
+    names = ["a", "b", *(f"{c}_{s}" for s in "ab" for c in IDENTIFIERS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch.column(0).flatten()
+            i, j = _pairs_of(pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False).astype(np.int64))
+            values = {c: pc.fill_null(flat.field(c), 0).to_numpy(zero_copy_only=False) for c in ("node", "side", "phone", "mail", "age")}
+            known = {c: pc.is_valid(flat.field(c)).to_numpy(zero_copy_only=False) for c in ("phone", "mail", "age")}
+            met = flat.field("met").to_numpy(zero_copy_only=False)
+            # what contradicts most often is asked of all pairs at once
+            good = (values["node"][i] != values["node"][j]) & (met[i] | met[j]) & ((values["side"][i] == 0) | (values["side"][i] != values["side"][j]))
+            for c, most in (("phone", 0), ("mail", 0), ("age", 1)):
+                i, j = i[good], j[good]
+                x, y = values[c][i], values[c][j]
+                good = ~(known[c][i] & known[c][j]) | ((x <= y + most) & (y <= x + most) if most else x == y)
+            i, j = i[good], j[good]
+            asked = np.unique(np.concatenate([i, j]))
+            members = dict(zip(asked.tolist(), _members(flat.take(pa.array(asked))), strict=True))
+            out: list[list[int | None]] = [[] for _ in names]
+            for p, q in zip(i.tolist(), j.tolist(), strict=True):
+                x, y = members[p], members[q]
+                if _same_place(x, y):
+                    for col, value in zip(out, (x["node"], y["node"], *(x[c] for c in IDENTIFIERS), *(y[c] for c in IDENTIFIERS)), strict=True):
+                        col.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
+
+    return shards.select("members").repartition(partitions(shards.sparkSession)).mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
 def evidence_groups(keys: DataFrame) -> DataFrame:
@@ -888,7 +912,7 @@ def _by_place(base: DataFrame, vocabulary: Vocabulary, names: int, member: DataF
     near = checkpointed(_met_at(one, vocabulary, names, several).select("k", "profile", "met").join(several, "k"))
     texts = sieved(one.select("profile", "node", "words", "age", "village", "ward", "sub", *IDENTIFIERS), F.col("profile"), near, "profile")
     shards = bounded_shards(near.join(texts, "profile"), "k", F.xxhash64("profile"), size="n")
-    return unambiguous(checkpointed(_edges(shards, _join_place, IDENTIFIERS).distinct()))
+    return unambiguous(checkpointed(_place_edges(shards).distinct()))
 
 
 def person_rows(df: DataFrame, id_col: str = "id", name_col: str = "full_name", nid_col: str = "national_id", mail_col: str = "email", user_col: str = "username", phone_col: str = "phone_number", age_col: str = "age", village_col: str = "village", ward_col: str = "ward", sub_col: str = "sub_county") -> DataFrame:
