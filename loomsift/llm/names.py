@@ -545,29 +545,36 @@ def _place_edges(shards: DataFrame) -> DataFrame:
     """Links (a, b) of the shards' profiles by place, with the ``IDENTIFIERS`` of both ends."""
     names = ["a", "b", *(f"{c}_{s}" for s in "ab" for c in IDENTIFIERS)]
 
+    def linked(flat: pa.StructArray, sizes: np.ndarray) -> pa.RecordBatch:
+        i, j = _pairs_of(sizes)
+        values = {c: pc.fill_null(flat.field(c), 0).to_numpy(zero_copy_only=False) for c in ("node", "side", "phone", "mail", "age")}
+        known = {c: pc.is_valid(flat.field(c)).to_numpy(zero_copy_only=False) for c in ("phone", "mail", "age")}
+        met = flat.field("met").to_numpy(zero_copy_only=False)
+        # what contradicts most often is asked of all pairs at once
+        good = (values["node"][i] != values["node"][j]) & (met[i] | met[j]) & ((values["side"][i] == 0) | (values["side"][i] != values["side"][j]))
+        for c, most in (("phone", 0), ("mail", 0), ("age", 1)):
+            i, j = i[good], j[good]
+            x, y = values[c][i], values[c][j]
+            good = ~(known[c][i] & known[c][j]) | ((x <= y + most) & (y <= x + most))
+        i, j = i[good], j[good]
+        asked = np.unique(np.concatenate([i, j]))
+        members = dict(zip(asked.tolist(), _members(flat.take(pa.array(asked))), strict=True))
+        out: list[list[int | None]] = [[] for _ in names]
+        for p, q in zip(i.tolist(), j.tolist(), strict=True):
+            x, y = members[p], members[q]
+            if _same_place(x, y):
+                for col, value in zip(out, (x["node"], y["node"], *(x[c] for c in IDENTIFIERS), *(y[c] for c in IDENTIFIERS)), strict=True):
+                    col.append(value)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column(0).flatten()
-            i, j = _pairs_of(pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False).astype(np.int64))
-            values = {c: pc.fill_null(flat.field(c), 0).to_numpy(zero_copy_only=False) for c in ("node", "side", "phone", "mail", "age")}
-            known = {c: pc.is_valid(flat.field(c)).to_numpy(zero_copy_only=False) for c in ("phone", "mail", "age")}
-            met = flat.field("met").to_numpy(zero_copy_only=False)
-            # what contradicts most often is asked of all pairs at once
-            good = (values["node"][i] != values["node"][j]) & (met[i] | met[j]) & ((values["side"][i] == 0) | (values["side"][i] != values["side"][j]))
-            for c, most in (("phone", 0), ("mail", 0), ("age", 1)):
-                i, j = i[good], j[good]
-                x, y = values[c][i], values[c][j]
-                good = ~(known[c][i] & known[c][j]) | ((x <= y + most) & (y <= x + most) if most else x == y)
-            i, j = i[good], j[good]
-            asked = np.unique(np.concatenate([i, j]))
-            members = dict(zip(asked.tolist(), _members(flat.take(pa.array(asked))), strict=True))
-            out: list[list[int | None]] = [[] for _ in names]
-            for p, q in zip(i.tolist(), j.tolist(), strict=True):
-                x, y = members[p], members[q]
-                if _same_place(x, y):
-                    for col, value in zip(out, (x["node"], y["node"], *(x[c] for c in IDENTIFIERS), *(y[c] for c in IDENTIFIERS)), strict=True):
-                        col.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
+            flat, sizes = batch.column(0).flatten(), pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False).astype(np.int64)
+            begin = np.concatenate([[0], np.cumsum(sizes)])
+            part = np.cumsum(sizes * (sizes - 1) // 2) // PAIRS
+            for n in np.unique(part):  # so many pairs at a time
+                some = np.nonzero(part == n)[0]
+                yield linked(flat.slice(begin[some[0]], begin[some[-1] + 1] - begin[some[0]]), sizes[some])
 
     return shards.select("members").repartition(partitions(shards.sparkSession)).mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
@@ -590,6 +597,8 @@ def evidence_groups(keys: DataFrame) -> DataFrame:
 _NONE = "array<bigint>"
 #: Rows whose words are counted together in a task before they are sent on.
 COUNTED = 200_000
+#: Pairs at a place that are sifted together.
+PAIRS = 1_000_000
 #: Edits within which the names of two places are one.
 PLACE_SLIPS = 1
 #: Words up to this number go to each task with their keys, some 100 bytes each; with more, rows meet their words' keys by a join.
