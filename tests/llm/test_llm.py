@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomsift.canonical import CANONICAL
 from loomsift.llm import bpe, canon, copies, leaks, mojibake, names, sieve, spelling, tries, unify
-from loomsift.llm.queries import ALIASES
+from loomsift.llm.queries import ALIASES, queries
 
 # ---- names
 
@@ -495,6 +495,45 @@ def test_distance_decides(spark, monkeypatch):
     assert {r.doc_id for r in leaks.leaks(df, items, budget=0).collect()} == {1, 2, 3}
 
 
+@pytest.mark.parametrize("sent", [0, 200_000])
+@pytest.mark.parametrize("budget", [0, 1, 2])
+def test_leaks_with_edits(spark, monkeypatch, sent, budget):
+    """Edited passages at either end of items and texts, pieces that occur in all items; pieces sent or joined, few at a time."""
+    monkeypatch.setattr(leaks, "SENT", sent)
+    monkeypatch.setattr(leaks, "AT_ONCE", 60)
+    random.seed(8)
+    item_words = [[f"a{i}"] * 5 + [random.choice("pqrstu") for _ in range(11)] + [f"b{i % 2}"] * 4 + [f"c{i}" for i in range(random.randrange(8))] for i in range(6)]
+    docs = []
+    for i in range(240):
+        item = random.choice(item_words)
+        at, words = random.randrange(len(item) - 11), [random.choice("pqrstu") for _ in range(random.randrange(6))]
+        held = item[at : at + random.randrange(11, 16)]
+        for _ in range(random.randrange(4)):
+            k = random.randrange(len(held))
+            held[k : k + random.randrange(2)] = random.choice([[], ["x"], ["q"]])
+        docs.append((i, " ".join([*words, *held, *words[: random.randrange(6)]])))
+    expected = set()
+    for i, text in docs:
+        for k, item in enumerate(item_words):
+            best = min(brute_distance(item[j : j + 12], text.split()) for j in range(len(item) - 11))
+            if best <= budget:
+                expected.add((i, k, best))
+    assert {d for _, _, d in expected} == set(range(budget + 1))
+    items = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(item_words)], "item_id int, text string")
+    found = [tuple(r) for r in leaks.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), items, budget=budget).collect()]
+    assert sorted(found) == sorted(expected)
+
+
+def test_queries_do_the_whole_work(spark, tmp_path):
+    """Edited passages come out too, with their distance; those without an edit are what p9_found asks for."""
+    words = [f"w{i}" for i in range(24)]
+    texts = [words[3:15], [*words[3:9], "other", *words[10:15]], [*words[3:9], *words[10:16]], [*words[3:9], "more", *words[9:15]], [*words[3:9], "other", "more", *words[11:15]], words[3:9], words[:11]]
+    spark.createDataFrame([(1, " ".join(words), "en")], "item_id int, text string, lang string").write.parquet(f"{tmp_path}/eval_items.parquet")
+    spark.createDataFrame([(i, " ".join(["before", *w, "after"])) for i, w in enumerate(texts)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(tuple(r) for r in queries()["p9_distances"](spark, str(tmp_path)).collect()) == [(0, 1, 0), (1, 1, 1), (2, 1, 1), (3, 1, 1), (6, 1, 1)]
+    assert [tuple(r) for r in queries()["p9_found"](spark, str(tmp_path)).collect()] == [(0, 1)]
+
+
 # ---- one form
 
 
